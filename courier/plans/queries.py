@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from courier.plans import queue_queries  # noqa: F401
+from courier.plans import queue_queries, transfer_queries  # noqa: F401
 from courier.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
