@@ -1,6 +1,11 @@
 """All registered queries."""
 
-from courier.plans import queue_queries, transfer_queries  # noqa: F401
+from courier.plans import (  # noqa: F401
+    outcome_queries,
+    queue_queries,
+    routing_queries,
+    transfer_queries,
+)
 from courier.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
