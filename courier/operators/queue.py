@@ -155,14 +155,25 @@ def trim_bytes(
     return _kept(queue, keep_bytes(queue, max_bytes, **search), protect_in_flight)
 
 
+def _cleaned(queue: DataFrame, config: QueueConfig, now_ms: int, **search) -> Column:
+    """Condition that holds for the rows a clean-up leaves: unexpired, then within limits."""
+    flying = F.col("transaction_id").isNotNull() if config.protect_in_flight else F.lit(False)
+    kept = unexpired(now_ms) | flying
+    for keep, limit in ((keep_rows, config.max_packets), (keep_bytes, config.max_bytes)):
+        inside = keep(queue.where(kept), limit, **search)
+        if inside is not None:
+            kept = kept & (inside | flying)
+    return kept
+
+
 def clean_up(queue: DataFrame, config: QueueConfig, now_ms: int, **search) -> DataFrame:
     """Age off, then trim by rows, then trim by bytes."""
-    protect = config.protect_in_flight
-    live = queue.where(
-        unexpired(now_ms) | F.col("transaction_id").isNotNull() if protect else unexpired(now_ms)
-    )
-    live = trim_rows(live, config.max_packets, protect, **search)
-    return trim_bytes(live, config.max_bytes, protect, **search)
+    return queue.where(_cleaned(queue, config, now_ms, **search))
+
+
+def cleaned_away(queue: DataFrame, config: QueueConfig, now_ms: int, **search) -> DataFrame:
+    """The rows that ``clean_up`` removes."""
+    return queue.where(~_cleaned(queue, config, now_ms, **search))
 
 
 def removed(before: DataFrame, after: DataFrame) -> DataFrame:

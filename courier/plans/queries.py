@@ -4,6 +4,8 @@ from courier.plans import (  # noqa: F401
     outcome_queries,
     queue_queries,
     routing_queries,
+    sql_queries,
+    text_queries,
     transfer_queries,
 )
 from courier.plans.registry import ORACLES, QUERIES
