@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from courier.plans import (  # noqa: F401
+    cycle_queries,
     outcome_queries,
     queue_queries,
     routing_queries,

@@ -40,8 +40,13 @@ class QueueService:
         created: Column | int | None = None,
         order_by: Sequence[str | Column] = (),
         source: str | None = None,
+        clean_up: bool = True,
     ) -> DataFrame:
-        """Append packets, clean up, report.  ``created`` defaults to ``now_ms``."""
+        """Append packets, clean up, report.  ``created`` defaults to ``now_ms``.
+
+        A clean-up reads the queue's sort columns.  Where appends are frequent and the
+        queue is large, leave it out and run ``clean_up`` at a slower pace.
+        """
         ordered = packets.orderBy(*order_by) if order_by else packets
         rows = to_queue_rows(
             ordered,
@@ -50,7 +55,7 @@ class QueueService:
             prioritizer=self.config.prioritizer,
         )
         self.store.append(rows, source=source)
-        return self.clean_up(now_ms)
+        return self.clean_up(now_ms) if clean_up else self.status()
 
     def clean_up(self, now_ms: int) -> DataFrame:
         self.store.clean_up(self.config, now_ms)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from courier.functions.packets import reference_millis
 from courier.plans.service import Deliver, QueueService
 
 
@@ -24,6 +25,7 @@ def enqueue_stream(
     checkpoint: str,
     created: Column | None = None,
     status_path: str | None = None,
+    clean_up: bool = True,
 ) -> DataStreamWriter:
     """Enqueue a stream of packets.  Set a trigger and start it.
 
@@ -34,7 +36,7 @@ def enqueue_stream(
 
     def enqueue(batch: DataFrame, number: int) -> None:
         status = service.enqueue(
-            batch, now(), created=created, source=f"{name}:{number}"
+            batch, now(), created=created, source=f"{name}:{number}", clean_up=clean_up
         )
         if status_path is not None:
             append_status(status, number, status_path)
@@ -72,6 +74,7 @@ def append_status(status: DataFrame, number: int, path: str) -> None:
     ).parquet(path)
 
 
-def live_packets(rows: DataFrame, now_ms: int) -> DataFrame:
-    """A stream (or table) of queue rows without the expired ones."""
-    return rows.where(F.col("expires").isNull() | (F.col("expires") >= F.lit(now_ms)))
+def live_packets(rows: DataFrame) -> DataFrame:
+    """A stream of queue rows without those expired when their micro-batch runs."""
+    now = reference_millis(F.current_timestamp())
+    return rows.where(F.col("expires").isNull() | (F.col("expires") >= now))
