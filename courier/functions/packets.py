@@ -112,6 +112,7 @@ def to_queue_rows(
     created: Column | int,
     packet_id: Column | str,
     prioritizer: Prioritizer | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Queue rows for packets: JSON attributes, size, clock columns, no transaction.
 
@@ -121,6 +122,7 @@ def to_queue_rows(
     created = F.lit(created).cast("bigint") if isinstance(created, int) else created.cast("bigint")
     packet_id = F.col(packet_id) if isinstance(packet_id, str) else packet_id
     rows = packets.select(
+        *keep,
         packet_id.cast("bigint").alias("packet_id"),
         attributes_json(F.col("attributes")).alias("attributes"),
         "content",
@@ -131,7 +133,7 @@ def to_queue_rows(
     )
     return rows.withColumn(
         "estimated_size", estimated_size(F.col("attributes"), F.col("content"))
-    ).select(*QUEUE_COLUMNS)
+    ).select(*QUEUE_COLUMNS, *keep)
 
 
 def to_packets(queue: DataFrame, keep: tuple[str, ...] = ("packet_id",)) -> DataFrame:

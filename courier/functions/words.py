@@ -6,7 +6,8 @@ import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +52,8 @@ class Tokenizer:
         """All tokens of a text, in order."""
         words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
         tokens = F.transform(words, self.token)
+        if self.rule is None and not self.stop_words:
+            return tokens
         return F.filter(tokens, lambda t: self.kept(t, text))
 
 
@@ -59,21 +62,34 @@ def strip_plural(token: Column) -> Column:
     return F.regexp_replace(token, "s$", "")
 
 
-def spans_of(text: str | None) -> list[dict] | None:
-    """Each word of a text with its UTF-8 byte offset and length."""
-    if text is None:
-        return None
-    found = []
-    at_char = at_byte = 0
-    for match in _WORD.finditer(text):
-        start, word = match.start(), match.group()
-        at_byte += len(text[at_char:start].encode("utf-8"))
-        length = len(word.encode("utf-8"))
-        found.append({"word": word, "byte_offset": at_byte, "byte_length": length})
-        at_char, at_byte = match.end(), at_byte + length
-    return found
-
-
-@F.pandas_udf(T.ArrayType(SPAN))
-def word_spans(text: pd.Series) -> pd.Series:
-    return text.map(spans_of)
+def byte_places(text: str) -> np.ndarray | range:
+    """The UTF-8 byte offset of every character, and of the end."""
+    if text.isascii():
+        return range(len(text) + 1)
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    widths = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+    return np.concatenate(([0], np.cumsum(widths)))
+
+
+@F.arrow_udf(T.ArrayType(SPAN))
+def word_spans(texts: pa.Array) -> pa.Array:
+    """Each word of each text with its UTF-8 byte offset and length."""
+    words, offsets, lengths, ends = [], [], [], [0]
+    for text in texts.to_pylist():
+        if text:
+            place = byte_places(text)
+            for found in _WORD.finditer(text):
+                start, stop = found.span()
+                words.append(found.group())
+                offsets.append(place[start])
+                lengths.append(place[stop] - place[start])
+        ends.append(len(words))
+    spans = pa.StructArray.from_arrays(
+        [
+            pa.array(words, pa.string()),
+            pa.array(offsets, pa.int32()),
+            pa.array(lengths, pa.int32()),
+        ],
+        names=SPAN.fieldNames(),
+    )
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans)

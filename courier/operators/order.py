@@ -27,7 +27,7 @@ from courier.sources.scratch import materialise
 SEND_ORDER = ("priority", "created", "packet_id")
 
 #: Rows up to which a range is searched with one sorted window.
-FINISH_ROWS = 20_000
+FINISH_ROWS = 250_000
 #: Row limit up to which a top-N is cheaper than searching: every task hands over at
 #: most this many slim rows.
 TAKE_ROWS = 200
@@ -75,13 +75,15 @@ def find_cut(
     size: int | None = None,
     order: Sequence[str] = SEND_ORDER,
     size_column: str = "estimated_size",
+    only_if_over: bool = False,
     finish_rows: int = FINISH_ROWS,
     take_rows: int = TAKE_ROWS,
     bins: int = BINS,
 ) -> Cut | None:
     """The first row, in order, at which ``rows`` rows or ``size`` bytes are reached.
 
-    ``None`` when the whole input stays below both limits.  A null size counts as 0.
+    ``None`` when the whole input stays below both limits; with ``only_if_over`` also when
+    it comes to exactly ``size`` bytes.  A null size counts as 0.
     The order columns are integers; the last one should be unique, otherwise rows that
     tie on all of them are taken together.
     """
@@ -92,11 +94,13 @@ def find_cut(
     order = tuple(order)
     slim = df.select(*order, F.coalesce(F.col(size_column), F.lit(0)).cast("bigint").alias("_size"))
 
-    if rows is not None and rows <= take_rows:
+    if rows is not None and rows <= take_rows and not only_if_over:
         head = slim.orderBy(*send_order(order)).limit(rows)
         return _search_rows(head, order, rows, size, 0, 0)
 
     span = slim.agg(*_span(order, 0)).first().asDict()
+    if only_if_over and span["b"] <= size:
+        return None
     seen_rows = seen_size = 0
     depth, scope = 0, F.lit(True)
     while span["n"]:
@@ -200,7 +204,8 @@ def running_totals(
     """Rows with ``row_number`` (from 1) and ``running_total`` inside their group.
 
     ``running_total`` includes the row itself; ``chunk`` is the range partition.  With
-    ``reverse`` the order runs backwards.  Pass slim rows: they are written once.
+    ``reverse`` the order runs backwards.  Pass slim rows: they are written once when they
+    do not fit one partition of ``chunk_rows``.
     """
     group, order = tuple(group), tuple(order)
     keys = [F.col(c).asc_nulls_first() for c in group] + [
@@ -209,19 +214,20 @@ def running_totals(
     value = F.lit(0) if total is None else F.coalesce(F.col(total), F.lit(0))
     rows = df.withColumn("_value", value.cast("bigint"))
     chunks = max(1, math.ceil(rows.count() / chunk_rows))
-    placed = materialise(
-        rows.repartitionByRange(chunks, *keys).withColumn("chunk", F.spark_partition_id()),
-        "ordered",
-    )
-
-    # A partition continues at most one group of an earlier one: its first.  So the
-    # carried totals are one row per partition, found from per-partition summaries.
-    if chunks == 1:
-        carried = placed.withColumn("_rows0", F.lit(0)).withColumn("_sum0", F.lit(0))
+    if chunks == 1:  # few rows in all, so no group can be large
+        carried = (
+            rows.withColumn("chunk", F.lit(0))
+            .withColumn("_rows0", F.lit(0))
+            .withColumn("_sum0", F.lit(0))
+        )
     else:
-        carried = placed.join(
-            F.broadcast(_carry(placed, group, reverse)), ["chunk"], "left"
+        # A partition continues at most one group of an earlier one: its first.  So the
+        # carried totals are one row per partition, found from per-partition summaries.
+        placed = materialise(
+            rows.repartitionByRange(chunks, *keys).withColumn("chunk", F.spark_partition_id()),
+            "ordered",
         )
+        carried = placed.join(F.broadcast(_carry(placed, group)), ["chunk"], "left")
         same = F.lit(True)
         for c in group:
             same = same & F.col(c).eqNullSafe(F.col(f"_first_{c}"))
@@ -240,7 +246,7 @@ def running_totals(
     )
 
 
-def _carry(placed: DataFrame, group: tuple[str, ...], reverse: bool) -> DataFrame:
+def _carry(placed: DataFrame, group: tuple[str, ...]) -> DataFrame:
     """Per chunk: its first group, and that group's rows and sum in earlier chunks."""
     if not group:
         totals = placed.groupBy("chunk").agg(

@@ -127,10 +127,7 @@ def keep_bytes(queue: DataFrame, max_bytes: int | None, **search) -> Column | No
     """
     if max_bytes is None:
         return None
-    total = queue.agg(F.coalesce(F.sum("estimated_size"), F.lit(0)).alias("b")).first()["b"]
-    if total <= max_bytes:
-        return None
-    cut = find_cut(queue, size=max_bytes, **search)
+    cut = find_cut(queue, size=max_bytes, only_if_over=True, **search)
     return None if cut is None else cut.inside()
 
 

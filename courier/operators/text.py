@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from courier.functions.words import Tokenizer, word_spans
 
 PLAIN = Tokenizer()
+#: Folders of an index; a search for whole terms reads one per term.
+BUCKETS = 64
 
 
 def tokens(df: DataFrame, key: str, column: str, tokenizer: Tokenizer = PLAIN) -> DataFrame:
@@ -65,11 +67,24 @@ def _token_spans(text: Column, tokenizer: Tokenizer) -> Column:
     return F.filter(spans, lambda s: tokenizer.kept(s["token"], text))
 
 
-def write_index(table: DataFrame, key: str, path: str) -> None:
-    """Write a token table so that a search reads only the files that hold its tokens."""
-    table.repartitionByRange("token", key).sortWithinPartitions("token", key).write.mode(
-        "errorifexists"
-    ).parquet(path)
+def _bucket(token: Column, buckets: int) -> Column:
+    return F.pmod(F.hash(token), F.lit(buckets))
+
+
+def write_index(table: DataFrame, key: str, path: str, buckets: int = BUCKETS) -> None:
+    """Write a token table in folders by token bucket, sorted by token.
+
+    Spark evens out the partitions as it writes: a bucket that holds a frequent token is
+    split over several files.
+    """
+    (
+        table.withColumn("bucket", _bucket(F.col("token"), buckets))
+        .hint("rebalance", "bucket")
+        .sortWithinPartitions("bucket", "token", key)
+        .write.mode("errorifexists")
+        .partitionBy("bucket")
+        .parquet(path)
+    )
 
 
 # --- searching -----------------------------------------------------------------------
@@ -101,10 +116,22 @@ def match(
     df: DataFrame, columns: Sequence[str], query: str, tokenizer: Tokenizer = PLAIN
 ) -> DataFrame:
     """Rows in which every term of the query occurs, in whichever of the columns."""
-    words = F.concat(*[F.coalesce(tokenizer.tokens(F.col(c)), F.array()) for c in columns])
-    terms = query_terms(query, tokenizer)
-    found = F.forall(terms, lambda wanted: F.exists(words, lambda token: _hits(token, wanted)))
-    return df.where((F.size(terms) > 0) & found)
+    words = [tokenizer.tokens(F.coalesce(F.col(c), F.lit(""))) for c in columns]
+    words = words[0] if len(words) == 1 else F.concat(*words)
+    terms = query_terms(query, tokenizer)  # a constant: Spark works it out once
+    whole = F.transform(F.filter(terms, lambda t: ~t["prefix"]), lambda t: t["term"])
+    begun = F.filter(terms, lambda t: t["prefix"])
+    return df.where(
+        (F.size(terms) > 0)
+        & (
+            (F.size(whole) == 0)
+            | (F.size(F.array_intersect(words, whole)) == F.size(F.array_distinct(whole)))
+        )
+        & (
+            (F.size(begun) == 0)
+            | F.exists(words, lambda w: F.forall(begun, lambda t: F.startswith(w, t["term"])))
+        )
+    )
 
 
 def match_offsets(
@@ -124,12 +151,26 @@ def match_offsets(
 
 
 def search_index(
-    index: DataFrame, key: str, query: str, tokenizer: Tokenizer = PLAIN
+    index: DataFrame,
+    key: str,
+    query: str,
+    tokenizer: Tokenizer = PLAIN,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Keys of documents that hold every term of the query, from a token table."""
+    """Keys of documents that hold every term of the query, from a written index.
+
+    Only the folders that can hold the terms are read; a prefix needs them all.
+    """
     terms = query_terms(query, tokenizer)
-    hits = index.select(key, "token", F.posexplode(terms).alias("term", "wanted")).where(
-        _hits(F.col("token"), F.col("wanted"))
+    hits = (
+        index.where(
+            F.exists(
+                terms, lambda t: t["prefix"] | (_bucket(t["term"], buckets) == F.col("bucket"))
+            )
+        )
+        .where(F.exists(terms, lambda wanted: _hits(F.col("token"), wanted)))
+        .select(key, "token", F.posexplode(terms).alias("term", "wanted"))
+        .where(_hits(F.col("token"), F.col("wanted")))
     )
     held = hits.groupBy(key).agg(F.collect_set("term").alias("held"))  # at most one per term
     return held.where(F.size("held") == F.size(terms)).select(key)

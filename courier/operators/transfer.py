@@ -28,11 +28,22 @@ def in_flight(queue: DataFrame) -> DataFrame:
     return queue.where(F.col("transaction_id").isNotNull())
 
 
+def _parsed(queue: DataFrame) -> DataFrame:
+    """Packets in flight with their attribute map, parsed once for all its uses."""
+    return in_flight(queue).select(
+        "transaction_id",
+        *SEND_ORDER,
+        parse_attributes(F.col("attributes")).alias("attributes"),
+        "content",
+    )
+
+
 def frames(queue: DataFrame) -> DataFrame:
     """``transaction_id``, the send order columns and ``frame`` of packets in flight."""
-    attributes = parse_attributes(F.col("attributes"))
-    return in_flight(queue).select(
-        "transaction_id", *SEND_ORDER, frame(attributes, F.col("content")).alias("frame")
+    return _parsed(queue).select(
+        "transaction_id",
+        *SEND_ORDER,
+        frame(F.col("attributes"), F.col("content")).alias("frame"),
     )
 
 
@@ -55,9 +66,8 @@ def manifest(
     queue: DataFrame, *, socket: bool = False, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """Per transaction in flight: packets, bytes and CRC-32 of its frames in send order."""
-    attributes = parse_attributes(F.col("attributes"))
-    content = F.col("content")
-    slim = in_flight(queue).select(
+    attributes, content = F.col("attributes"), F.col("content")
+    slim = _parsed(queue).select(
         "transaction_id",
         *SEND_ORDER,
         frame_length(attributes, content).alias("length"),

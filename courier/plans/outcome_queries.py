@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from courier.functions import urls as U
 from courier.operators import outcomes as O
-from courier.plans.inputs import event_queue, table, user_transactions
+from courier.plans.inputs import table, user_transactions
 from courier.plans.queue_queries import COLUMNS, QUEUE_SQL, shown
 from courier.plans.registry import query
 from courier.plans.routing_queries import SEQ_SQL
@@ -195,5 +195,5 @@ def latest_states(spark, sf_dir):
         WHERE last.state IS DISTINCT FROM 'TRANSACTION_COMPLETED')""",
 )
 def apply_outcomes(spark, sf_dir):
-    queue = user_transactions(event_queue(spark, sf_dir))
+    queue = user_transactions(spark, sf_dir)
     return shown(O.apply_outcomes(queue, O.latest_states(transaction_events(spark, sf_dir))))

@@ -215,7 +215,7 @@ def device_packets(spark, sf_dir):
     f"WITH {QUEUE_SQL}, {FLIGHT_SQL} SELECT {COLUMNS} FROM f WHERE transaction_id IS NULL",
 )
 def unassigned(spark, sf_dir):
-    return shown(Q.unassigned(partly_in_flight(event_queue(spark, sf_dir))))
+    return shown(Q.unassigned(partly_in_flight(spark, sf_dir)))
 
 
 @query(
@@ -224,7 +224,7 @@ def unassigned(spark, sf_dir):
         WHERE transaction_id = 'tx-signup' ORDER BY {ORDER}""",
 )
 def transaction_packets(spark, sf_dir):
-    return shown(Q.transaction_packets(partly_in_flight(event_queue(spark, sf_dir)), "tx-signup"))
+    return shown(Q.transaction_packets(partly_in_flight(spark, sf_dir), "tx-signup"))
 
 
 @query(
@@ -255,7 +255,7 @@ def batch_count_and_bytes(spark, sf_dir):
 
 @query("batch_unlimited", f"WITH {QUEUE_SQL}, {FLIGHT_SQL} SELECT {COLUMNS} FROM f WHERE transaction_id IS NULL")
 def batch_unlimited(spark, sf_dir):
-    return shown(Q.batch(partly_in_flight(event_queue(spark, sf_dir)), 0, 0))
+    return shown(Q.batch(partly_in_flight(spark, sf_dir), 0, 0))
 
 
 # --- age-off and trims -------------------------------------------------------------
@@ -335,7 +335,7 @@ def assign_by_id(spark, sf_dir):
         WHERE transaction_id IS DISTINCT FROM 'tx-purchase'""",
 )
 def acknowledge(spark, sf_dir):
-    return shown(Q.acknowledge(partly_in_flight(event_queue(spark, sf_dir)), "tx-purchase"))
+    return shown(Q.acknowledge(partly_in_flight(spark, sf_dir), "tx-purchase"))
 
 
 @query(
@@ -345,7 +345,7 @@ def acknowledge(spark, sf_dir):
                                AS transaction_id) FROM f)""",
 )
 def release(spark, sf_dir):
-    return shown(Q.release(partly_in_flight(event_queue(spark, sf_dir)), "tx-purchase"))
+    return shown(Q.release(partly_in_flight(spark, sf_dir), "tx-purchase"))
 
 
 @query(
@@ -356,7 +356,7 @@ def release(spark, sf_dir):
         count(*) FILTER (transaction_id = 'tx-signup') AS updated FROM f""",
 )
 def changed_rows(spark, sf_dir):
-    before = partly_in_flight(event_queue(spark, sf_dir))
+    before = partly_in_flight(spark, sf_dir)
     after = Q.release(Q.acknowledge(before, "tx-purchase"), "tx-signup")
     return Q.changed_rows(before, after)
 
@@ -391,7 +391,7 @@ def cleaned_status(spark, sf_dir):
                CAST(sum(strlen(content)) AS BIGINT) AS content_bytes FROM t GROUP BY 1""",
 )
 def transaction_totals(spark, sf_dir):
-    return Q.transaction_totals(user_transactions(event_queue(spark, sf_dir)))
+    return Q.transaction_totals(user_transactions(spark, sf_dir))
 
 
 # --- draining ---------------------------------------------------------------------------

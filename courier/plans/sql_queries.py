@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from courier.functions import sql as S
-from courier.plans.inputs import table
+from courier.functions.packets import utc_wall_clock
+from courier.plans.inputs import spread, table
 from courier.plans.registry import query
 
 
@@ -83,8 +84,6 @@ def numeric_text(spark, sf_dir):
        epoch_us(date_trunc('second', ts)) AS text_micros FROM events""",
 )
 def date_formats(spark, sf_dir):
-    from courier.functions.packets import utc_wall_clock
-
     ts, style = utc_wall_clock(F.col("ts")), "dd.MM.yyyy HH:mm:ss"
     return (
         table(spark, sf_dir, "events")
@@ -109,7 +108,7 @@ def sql_functions(spark, sf_dir):
     return spark.sql(
         """SELECT doc_id, remove_diacritics(text) AS plain,
            round(hypotenuse(doc_id, n_chars), 6) AS length FROM {d}""",
-        d=table(spark, sf_dir, "documents"),
+        d=spread(table(spark, sf_dir, "documents")),
     )
 
 

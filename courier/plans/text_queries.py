@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from courier.functions.words import Tokenizer, strip_plural
 from courier.operators import text as X
-from courier.plans.inputs import table
+from courier.plans.inputs import spread, table
 from courier.plans.registry import query
 from courier.sources.scratch import scratch_path
 
@@ -37,7 +37,7 @@ def placed_sql(source: str, key: str, text: str) -> str:
         unnest(words) AS token FROM (SELECT doc_id, {words_sql('text')} AS words FROM documents)""",
 )
 def word_tokens(spark, sf_dir):
-    return X.tokens(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return X.tokens(spread(table(spark, sf_dir, "documents")), "doc_id", "text")
 
 
 @query(
@@ -50,7 +50,7 @@ def word_tokens(spark, sf_dir):
 )
 def stop_words(spark, sf_dir):
     return X.tokens(
-        table(spark, sf_dir, "documents"), "doc_id", "text", Tokenizer(stop_words=STOP)
+        spread(table(spark, sf_dir, "documents")), "doc_id", "text", Tokenizer(stop_words=STOP)
     )
 
 
@@ -63,24 +63,21 @@ def stop_words(spark, sf_dir):
 )
 def stop_word_table(spark, sf_dir):
     words = X.tokens(table(spark, sf_dir, "benchmark"), "item_id", "text")
-    rows = X.tokens(table(spark, sf_dir, "documents"), "doc_id", "text")
+    rows = X.tokens(spread(table(spark, sf_dir, "documents")), "doc_id", "text")
     return X.remove_stop_words(rows, words.select(F.col("token").alias("word")))
 
 
 @query(
     "token_rule",
-    f"""SELECT token, count(*) AS uses, count(DISTINCT doc_id) AS documents FROM (
-          SELECT doc_id, regexp_replace(unnest({words_sql('text')}), 's$', '') AS token
+    f"""SELECT token, count(*) AS uses FROM (
+          SELECT regexp_replace(unnest({words_sql('text')}), 's$', '') AS token
           FROM documents) WHERE token <> '' GROUP BY 1""",
 )
 def token_rule(spark, sf_dir):
     rows = X.tokens(
-        table(spark, sf_dir, "documents"), "doc_id", "text", Tokenizer(rule=strip_plural)
-    )
-    per_document = rows.groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_document.groupBy("token").agg(
-        F.sum("n").alias("uses"), F.count(F.lit(1)).alias("documents")
+        spread(table(spark, sf_dir, "documents")), "doc_id", "text", Tokenizer(rule=strip_plural)
     )
+    return rows.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
 
 
 @query(
@@ -90,7 +87,7 @@ def token_rule(spark, sf_dir):
         FROM ({placed_sql('documents', 'doc_id', 'text')})""",
 )
 def token_table(spark, sf_dir):
-    return X.token_table(table(spark, sf_dir, "documents"), "doc_id", ["text"])
+    return X.token_table(spread(table(spark, sf_dir, "documents")), "doc_id", ["text"])
 
 
 def holds_sql(words: str, *terms: str) -> str:
@@ -102,7 +99,7 @@ def holds_sql(words: str, *terms: str) -> str:
     f"SELECT doc_id, lang FROM documents WHERE {holds_sql(words_sql('text'), 'nicht')}",
 )
 def text_match(spark, sf_dir):
-    return X.match(table(spark, sf_dir, "documents"), ["text"], "Nicht").select("doc_id", "lang")
+    return X.match(spread(table(spark, sf_dir, "documents")), ["text"], "Nicht").select("doc_id", "lang")
 
 
 @query(
@@ -110,7 +107,7 @@ def text_match(spark, sf_dir):
     f"SELECT doc_id, lang FROM documents WHERE {holds_sql(words_sql('text'), 'the', 'and', 'not')}",
 )
 def text_match_all_terms(spark, sf_dir):
-    return X.match(table(spark, sf_dir, "documents"), ["text"], "The and NOT").select(
+    return X.match(spread(table(spark, sf_dir, "documents")), ["text"], "The and NOT").select(
         "doc_id", "lang"
     )
 
@@ -121,7 +118,7 @@ def text_match_all_terms(spark, sf_dir):
         lambda w: starts_with(w, 'menteu'))) > 0""",
 )
 def text_prefix(spark, sf_dir):
-    return X.match(table(spark, sf_dir, "documents"), ["text"], "menteu*").select("doc_id")
+    return X.match(spread(table(spark, sf_dir, "documents")), ["text"], "menteu*").select("doc_id")
 
 
 @query(
@@ -131,7 +128,7 @@ def text_prefix(spark, sf_dir):
 )
 def plural_match(spark, sf_dir):
     return X.match(
-        table(spark, sf_dir, "documents"), ["text"], "las", Tokenizer(rule=strip_plural)
+        spread(table(spark, sf_dir, "documents")), ["text"], "las", Tokenizer(rule=strip_plural)
     ).select("doc_id")
 
 
@@ -141,7 +138,7 @@ def plural_match(spark, sf_dir):
         WHERE {holds_sql(f"list_concat({words_sql('url')}, {words_sql('html')})", 'example', 'nicht')}""",
 )
 def page_match(spark, sf_dir):
-    return X.match(table(spark, sf_dir, "pages"), ["url", "html"], "example nicht").select("page_id")
+    return X.match(spread(table(spark, sf_dir, "pages")), ["url", "html"], "example nicht").select("page_id")
 
 
 @query(
@@ -158,7 +155,7 @@ def page_match(spark, sf_dir):
 )
 def match_offsets(spark, sf_dir):
     return X.match_offsets(
-        table(spark, sf_dir, "pages"), "page_id", ["url", "html"], "example nich*"
+        spread(table(spark, sf_dir, "pages")), "page_id", ["url", "html"], "example nich*"
     )
 
 
@@ -169,6 +166,6 @@ def match_offsets(spark, sf_dir):
 def index_search(spark, sf_dir):
     path = scratch_path(spark, "index")
     X.write_index(
-        X.token_table(table(spark, sf_dir, "documents"), "doc_id", ["text"]), "doc_id", path
+        X.token_table(spread(table(spark, sf_dir, "documents")), "doc_id", ["text"]), "doc_id", path
     )
     return X.search_index(spark.read.parquet(path), "doc_id", "the and")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from courier.functions import packets as P
 from courier.functions.frames import frame, frame_length
 from courier.operators import transfer as T
-from courier.plans.inputs import event_packets, event_queue, user_transactions
+from courier.plans.inputs import event_packets, user_transactions
 from courier.plans.queue_queries import ORDER, QUEUE_SQL
 from courier.plans.registry import query
 
@@ -41,7 +41,7 @@ def crc_sql(hex_text: str) -> str:
 
 @query("frames", f"WITH {FRAME_SQL} SELECT packet_id, frame_hex FROM fr")
 def frames(spark, sf_dir):
-    rows = T.frames(user_transactions(event_queue(spark, sf_dir)))
+    rows = T.frames(user_transactions(spark, sf_dir))
     return rows.select("packet_id", F.hex("frame").alias("frame_hex"))
 
 
@@ -67,7 +67,7 @@ so AS (SELECT transaction_id, packet_id, priority, created,
 
 @query("socket_frames", f"WITH {SOCKET_SQL} SELECT packet_id, frame_hex FROM so")
 def socket_frames(spark, sf_dir):
-    rows = T.socket_frames(user_transactions(event_queue(spark, sf_dir)))
+    rows = T.socket_frames(user_transactions(spark, sf_dir))
     return rows.select("packet_id", F.hex("frame").alias("frame_hex"))
 
 
@@ -84,7 +84,7 @@ def manifest_sql(source: str) -> str:
         SELECT transaction_id, packets, bytes, checksum FROM m""",
 )
 def transfer_manifest(spark, sf_dir):
-    return T.manifest(user_transactions(event_queue(spark, sf_dir)))
+    return T.manifest(user_transactions(spark, sf_dir))
 
 
 @query(
@@ -93,7 +93,7 @@ def transfer_manifest(spark, sf_dir):
         SELECT transaction_id, packets, bytes, checksum FROM m""",
 )
 def socket_manifest(spark, sf_dir):
-    return T.manifest(user_transactions(event_queue(spark, sf_dir)), socket=True)
+    return T.manifest(user_transactions(spark, sf_dir), socket=True)
 
 
 @query(
@@ -105,7 +105,7 @@ def socket_manifest(spark, sf_dir):
                 AS server_checksum FROM m)""",
 )
 def check_checksums(spark, sf_dir):
-    sent = T.manifest(user_transactions(event_queue(spark, sf_dir)))
+    sent = T.manifest(user_transactions(spark, sf_dir))
     # The peer's answer: one bit of the checksum is wrong for every fifth size.
     answer = F.when(F.col("packets") % 5 == 0, F.col("checksum").bitwiseXOR(F.lit(1))).otherwise(
         F.col("checksum")

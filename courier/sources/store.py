@@ -54,13 +54,14 @@ class QueueStore:
             raise
 
     def _commit(self, version: int, kind: str, folder: str | None, next_id: int, source) -> None:
-        row = [(version, kind, folder, next_id, source)]
-        (
-            self.spark.createDataFrame(row, COMMIT_SCHEMA)
-            .coalesce(1)
-            .write.mode("append")
-            .json(f"{self.path}/commits")
+        row = self.spark.range(1, numPartitions=1).select(
+            F.lit(version).cast("bigint").alias("version"),
+            F.lit(kind).alias("kind"),
+            F.lit(folder).cast("string").alias("folder"),
+            F.lit(next_id).cast("bigint").alias("next_id"),
+            F.lit(source).cast("string").alias("source"),
         )
+        row.write.mode("append").json(f"{self.path}/commits")
 
     def _log(self) -> list:
         commits = self._commits()
@@ -77,9 +78,9 @@ class QueueStore:
 
     # --- reading --------------------------------------------------------------------
 
-    def queue(self) -> DataFrame:
-        """The queue as it stands."""
-        commits = self._log()
+    def queue(self, commits: list | None = None) -> DataFrame:
+        """The queue as it stands, or as it stood after ``commits``."""
+        commits = commits or self._log()
         bases = [i for i, r in enumerate(commits) if r["kind"] == "base"]
         live = commits[bases[-1]:] if bases else commits
         packets = [r["folder"] for r in live if r["kind"] in ("packets", "base")]
@@ -144,9 +145,8 @@ class QueueStore:
         self._commit(commits[-1]["version"] + 1, "packets", folder, next_id, source)
         return True
 
-    def _change(self, rows: DataFrame, source: str | None = None) -> int:
+    def _change(self, commits: list, rows: DataFrame) -> int:
         """Record ``packet_id, transaction_id, removed``; gives the number of rows."""
-        commits = self._log()
         version = commits[-1]["version"] + 1
         folder = f"changes/{uuid.uuid4().hex}"
         target = f"{self.path}/{folder}"
@@ -154,8 +154,8 @@ class QueueStore:
             "errorifexists"
         ).parquet(target)
         changed = self.spark.read.schema(CHANGE_SCHEMA).parquet(target).count()
-        if changed or source is not None:
-            self._commit(version, "changes", folder, commits[-1]["next_id"], source)
+        if changed:
+            self._commit(version, "changes", folder, commits[-1]["next_id"], None)
         return changed
 
     @staticmethod
@@ -170,29 +170,32 @@ class QueueStore:
         self, transaction_id: str, count_limit: int | None, byte_limit: int | None, **search
     ) -> int:
         """Give the next batch to a transaction; the number of packets in it."""
-        chosen = Q.batch(self.queue(), count_limit, byte_limit, **search)
-        return self._change(self._changes(chosen, F.lit(transaction_id), False))
+        commits = self._log()
+        chosen = Q.batch(self.queue(commits), count_limit, byte_limit, **search)
+        return self._change(commits, self._changes(chosen, F.lit(transaction_id), False))
 
     def packets(self, transaction_id: str) -> DataFrame:
         return Q.transaction_packets(self.queue(), transaction_id)
 
     def acknowledge(self, transaction_id: str) -> int:
-        mine = self.queue().where(F.col("transaction_id") == F.lit(transaction_id))
-        return self._change(self._changes(mine, F.lit(None), True))
+        commits = self._log()
+        mine = self.queue(commits).where(F.col("transaction_id") == F.lit(transaction_id))
+        return self._change(commits, self._changes(mine, F.lit(None), True))
 
     def release(self, transaction_id: str) -> int:
-        mine = self.queue().where(F.col("transaction_id") == F.lit(transaction_id))
-        return self._change(self._changes(mine, F.lit(None), False))
+        commits = self._log()
+        mine = self.queue(commits).where(F.col("transaction_id") == F.lit(transaction_id))
+        return self._change(commits, self._changes(mine, F.lit(None), False))
 
     def clean_up(self, config: QueueConfig, now_ms: int, **search) -> int:
         """Age off and trim; the number of packets removed."""
-        before = self.queue()
-        gone = Q.cleaned_away(before, config, now_ms, **search)
-        return self._change(self._changes(gone, F.lit(None), True))
+        commits = self._log()
+        gone = Q.cleaned_away(self.queue(commits), config, now_ms, **search)
+        return self._change(commits, self._changes(gone, F.lit(None), True))
 
     def compact(self) -> None:
         """Write the queue as it stands as a new base, so that reads skip what came before."""
         commits = self._log()
         folder = f"packets/{uuid.uuid4().hex}"
-        self.queue().write.mode("errorifexists").parquet(f"{self.path}/{folder}")
+        self.queue(commits).write.mode("errorifexists").parquet(f"{self.path}/{folder}")
         self._commit(commits[-1]["version"] + 1, "base", folder, commits[-1]["next_id"], None)
