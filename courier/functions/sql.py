@@ -74,14 +74,15 @@ def read_long(value: Column, kind: str = "string") -> Column:
     ``kind`` is the type of the column: ``string``, ``double`` or ``bigint``.
     """
     if kind == "string":
-        digits = F.regexp_extract(value, r"^\s*([+-]?\d+)", 1)
+        digits = F.coalesce(F.regexp_extract(value, r"^\s*([+-]?\d+)", 1), F.lit(""))
         limit = F.when(digits.startswith("-"), LONG_MIN).otherwise(LONG_MAX)
         number = F.when(digits == "", 0).otherwise(F.coalesce(digits.try_cast("bigint"), limit))
     elif kind == "double":
+        real = F.nanvl(value, F.lit(0.0))
         number = (
-            F.when(value >= F.lit(float(LONG_MAX)), LONG_MAX)
-            .when(value <= F.lit(float(LONG_MIN)), LONG_MIN)
-            .otherwise(F.when(~F.isnan(value), value).try_cast("bigint"))
+            F.when(real >= F.lit(float(LONG_MAX)), LONG_MAX)
+            .when(real <= F.lit(float(LONG_MIN)), LONG_MIN)
+            .otherwise(real.try_cast("bigint"))
         )
     else:
         number = value.cast("bigint")
