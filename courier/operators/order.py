@@ -189,6 +189,11 @@ def _search_rows(rows_df, order, rows, size, seen_rows, seen_size) -> Cut | None
     return None if hit is None else Cut(tuple(order), tuple(hit))
 
 
+def send_key(key: tuple) -> tuple:
+    """A key that Python compares the way the order does, nulls first."""
+    return tuple((value is not None, 0 if value is None else value) for value in key)
+
+
 # --- running totals ------------------------------------------------------------
 
 

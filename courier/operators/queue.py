@@ -7,6 +7,8 @@ told otherwise, and counts include them.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,67 +112,80 @@ def release(queue: DataFrame, transaction_id: str) -> DataFrame:
 # --- trims ---------------------------------------------------------------------
 
 
-def keep_rows(queue: DataFrame, max_rows: int | None, **search) -> Column | None:
-    """Condition that holds for the first ``max_rows`` rows; ``None`` keeps all."""
-    if max_rows is None:
-        return None
-    if max_rows == 0:
-        return F.lit(False)
-    cut = find_cut(queue, rows=max_rows, **search)
-    return None if cut is None else cut.inside()
+def rows_cut(queue: DataFrame, max_rows: int | None, **search) -> Cut | None:
+    """The key of the last of the first ``max_rows`` rows; ``None`` if all fit."""
+    return find_cut(queue, rows=max_rows, **search) if max_rows else None
 
 
-def keep_bytes(queue: DataFrame, max_bytes: int | None, **search) -> Column | None:
-    """Condition that holds up to the row that reaches ``max_bytes``; ``None`` keeps all.
+def bytes_cut(queue: DataFrame, max_bytes: int | None, **search) -> Cut | None:
+    """The key of the row that reaches ``max_bytes``; ``None`` if all fit.
 
     Nothing is cut while the total is within the limit.  A limit of 0 leaves the first row.
     """
     if max_bytes is None:
         return None
-    cut = find_cut(queue, size=max_bytes, only_if_over=True, **search)
-    return None if cut is None else cut.inside()
-
-
-def _kept(queue: DataFrame, keep: Column | None, protect_in_flight: bool) -> DataFrame:
-    if keep is None:
-        return queue
-    if protect_in_flight:
-        keep = keep | F.col("transaction_id").isNotNull()
-    return queue.where(keep)
+    return find_cut(queue, size=max_bytes, only_if_over=True, **search)
 
 
 def trim_rows(
     queue: DataFrame, max_rows: int | None, protect_in_flight: bool = False, **search
 ) -> DataFrame:
     """Keep the first rows in send order.  0 keeps none, ``None`` keeps all."""
-    return _kept(queue, keep_rows(queue, max_rows, **search), protect_in_flight)
+    trim = Trim(
+        None, rows_cut(queue, max_rows, **search), max_rows == 0, protect_in_flight
+    )
+    return queue.where(trim.kept())
 
 
 def trim_bytes(
     queue: DataFrame, max_bytes: int | None, protect_in_flight: bool = False, **search
 ) -> DataFrame:
-    return _kept(queue, keep_bytes(queue, max_bytes, **search), protect_in_flight)
-
-
-def _cleaned(queue: DataFrame, config: QueueConfig, now_ms: int, **search) -> Column:
-    """Condition that holds for the rows a clean-up leaves: unexpired, then within limits."""
-    flying = F.col("transaction_id").isNotNull() if config.protect_in_flight else F.lit(False)
-    kept = unexpired(now_ms) | flying
-    for keep, limit in ((keep_rows, config.max_packets), (keep_bytes, config.max_bytes)):
-        inside = keep(queue.where(kept), limit, **search)
-        if inside is not None:
-            kept = kept & (inside | flying)
-    return kept
+    """Keep the rows up to the one that reaches ``max_bytes``; ``None`` keeps all."""
+    trim = Trim(None, bytes_cut(queue, max_bytes, **search), False, protect_in_flight)
+    return queue.where(trim.kept())
+
+
+@dataclass(frozen=True)
+class Trim:
+    """What a clean-up decided, as a condition on rows: a time and a cut, not a list of ids."""
+
+    now_ms: int | None
+    cut: Cut | None
+    keep_none: bool = False
+    protect_in_flight: bool = False
+
+    def kept(self) -> Column:
+        kept = F.lit(True)
+        if self.now_ms is not None:
+            kept = kept & unexpired(self.now_ms)
+        if self.keep_none:
+            kept = F.lit(False)
+        elif self.cut is not None:
+            kept = kept & self.cut.inside()
+        return kept | F.col("transaction_id").isNotNull() if self.protect_in_flight else kept
+
+
+def plan_clean_up(queue: DataFrame, config: QueueConfig, now_ms: int, **search) -> Trim:
+    """Age off, then trim by rows, then trim by bytes: what stays."""
+    protect = config.protect_in_flight
+    trim = Trim(now_ms, None, config.max_packets == 0, protect)
+    if trim.keep_none:
+        return trim
+    cut = rows_cut(queue.where(trim.kept()), config.max_packets, **search)
+    trim = replace(trim, cut=cut)
+    # The byte cut lies among the rows kept so far, so it is the stricter one.
+    cut = bytes_cut(queue.where(trim.kept()), config.max_bytes, **search) or cut
+    return replace(trim, cut=cut)
 
 
 def clean_up(queue: DataFrame, config: QueueConfig, now_ms: int, **search) -> DataFrame:
-    """Age off, then trim by rows, then trim by bytes."""
-    return queue.where(_cleaned(queue, config, now_ms, **search))
+    """The queue after a clean-up."""
+    return queue.where(plan_clean_up(queue, config, now_ms, **search).kept())
 
 
 def cleaned_away(queue: DataFrame, config: QueueConfig, now_ms: int, **search) -> DataFrame:
     """The rows that ``clean_up`` removes."""
-    return queue.where(~_cleaned(queue, config, now_ms, **search))
+    return queue.where(~plan_clean_up(queue, config, now_ms, **search).kept())
 
 
 def removed(before: DataFrame, after: DataFrame) -> DataFrame:

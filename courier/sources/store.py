@@ -1,13 +1,14 @@
 """The stored queue: append-only Parquet tables under one folder.
 
 ``packets``  rows as they were enqueued; never rewritten except by ``compact``
-``changes``  per packet: its new transaction, or that it is gone; the latest one counts
+``changes``  per packet: its new transaction, or that it was delivered; the latest counts
 ``commits``  one JSON row per write, naming the folder it added
 
 A write puts its files into a new folder and then adds the commit row.  Folders that no
 commit names are not read, so a write that fails halfway changes nothing.  The queue is
-a view over the three, and assigning or removing packets writes their ids only, never
-their payloads.  One writer at a time.
+a view over the three.  Assigning, releasing and acknowledging packets write their ids,
+never their payloads.  A clean-up writes no rows at all: its commit holds the time and
+the cut, and the view filters older rows by them.  One writer at a time.
 """
 
 from __future__ import annotations
@@ -21,10 +22,15 @@ from pyspark.sql import types as T
 
 from courier.config import QueueConfig
 from courier.operators import queue as Q
+from courier.operators.order import SEND_ORDER, Cut, send_key
 from courier.schema import QUEUE_COLUMNS, QUEUE_SCHEMA
 
-COMMIT_SCHEMA = "version bigint, kind string, folder string, next_id bigint, source string"
-PACKET_SCHEMA = T.StructType([f for f in QUEUE_SCHEMA.fields])
+COMMIT_SCHEMA = (
+    "version bigint, kind string, folder string, next_id bigint, source string, "
+    "now_ms bigint, cut array<bigint>"
+)
+#: Queue columns, and the version of the commit that added the row.
+PACKET_SCHEMA = T.StructType([*QUEUE_SCHEMA.fields, T.StructField("added", T.LongType())])
 CHANGE_SCHEMA = "packet_id bigint, transaction_id string, removed boolean, version bigint"
 
 
@@ -40,7 +46,7 @@ class QueueStore:
     def create(self) -> "QueueStore":
         """Create the queue if it is not there yet."""
         if not self._commits():
-            self._commit(0, "create", None, 1, None)
+            self._commit(0, "create", None, 1)
         return self
 
     def _commits(self) -> list:
@@ -53,13 +59,18 @@ class QueueStore:
                 return []
             raise
 
-    def _commit(self, version: int, kind: str, folder: str | None, next_id: int, source) -> None:
+    def _commit(
+        self, version: int, kind: str, folder: str | None, next_id: int, source=None, trim=None
+    ) -> None:
+        cut = None if trim is None or trim.cut is None else F.array(*map(F.lit, trim.cut.key))
         row = self.spark.range(1, numPartitions=1).select(
             F.lit(version).cast("bigint").alias("version"),
             F.lit(kind).alias("kind"),
             F.lit(folder).cast("string").alias("folder"),
             F.lit(next_id).cast("bigint").alias("next_id"),
             F.lit(source).cast("string").alias("source"),
+            F.lit(trim and trim.now_ms).cast("bigint").alias("now_ms"),
+            (F.lit(None) if cut is None else cut).cast("array<bigint>").alias("cut"),
         )
         row.write.mode("append").json(f"{self.path}/commits")
 
@@ -91,6 +102,9 @@ class QueueStore:
         rows = self.spark.read.schema(PACKET_SCHEMA).parquet(
             *[f"{self.path}/{folder}" for folder in packets]
         )
+        for version, trim in _standing_trims(live):
+            rows = rows.where((F.col("added") > F.lit(version)) | trim.kept())
+        rows = rows.select(*QUEUE_COLUMNS)
         if not changes:
             return rows
         log = self.spark.read.schema(CHANGE_SCHEMA).parquet(
@@ -134,15 +148,16 @@ class QueueStore:
         base = commits[-1]["next_id"]
         # A sort leaves partitions in order, and the generated id rises with the partition.
         ordered = rows.orderBy(*order_by) if order_by else rows
+        version = commits[-1]["version"] + 1
         numbered = ordered.withColumn(
             "packet_id", F.monotonically_increasing_id() + F.lit(base)
-        ).select(*QUEUE_COLUMNS)
+        ).select(*QUEUE_COLUMNS, F.lit(version).cast("bigint").alias("added"))
         folder = f"packets/{uuid.uuid4().hex}"
         numbered.write.mode("errorifexists").parquet(f"{self.path}/{folder}")
         written = self.spark.read.schema(PACKET_SCHEMA).parquet(f"{self.path}/{folder}")
         last = written.agg(F.max("packet_id").alias("m")).first()["m"]
         next_id = base if last is None else last + 1
-        self._commit(commits[-1]["version"] + 1, "packets", folder, next_id, source)
+        self._commit(version, "packets", folder, next_id, source)
         return True
 
     def _change(self, commits: list, rows: DataFrame) -> int:
@@ -155,7 +170,7 @@ class QueueStore:
         ).parquet(target)
         changed = self.spark.read.schema(CHANGE_SCHEMA).parquet(target).count()
         if changed:
-            self._commit(version, "changes", folder, commits[-1]["next_id"], None)
+            self._commit(version, "changes", folder, commits[-1]["next_id"])
         return changed
 
     @staticmethod
@@ -190,12 +205,48 @@ class QueueStore:
     def clean_up(self, config: QueueConfig, now_ms: int, **search) -> int:
         """Age off and trim; the number of packets removed."""
         commits = self._log()
-        gone = Q.cleaned_away(self.queue(commits), config, now_ms, **search)
-        return self._change(commits, self._changes(gone, F.lit(None), True))
+        queue = self.queue(commits)
+        trim = Q.plan_clean_up(queue, config, now_ms, **search)
+        if trim.keep_none or trim.protect_in_flight:  # depends on each packet's state now
+            gone = queue.where(~trim.kept())
+            return self._change(commits, self._changes(gone, F.lit(None), True))
+        gone = queue.agg(F.count_if(~trim.kept()).alias("n")).first()["n"]
+        if gone:
+            last = commits[-1]
+            self._commit(last["version"] + 1, "trim", None, last["next_id"], trim=trim)
+        return gone
 
     def compact(self) -> None:
         """Write the queue as it stands as a new base, so that reads skip what came before."""
         commits = self._log()
+        version = commits[-1]["version"] + 1
         folder = f"packets/{uuid.uuid4().hex}"
-        self.queue(commits).write.mode("errorifexists").parquet(f"{self.path}/{folder}")
-        self._commit(commits[-1]["version"] + 1, "base", folder, commits[-1]["next_id"], None)
+        rows = self.queue(commits).withColumn("added", F.lit(version).cast("bigint"))
+        rows.write.mode("errorifexists").parquet(f"{self.path}/{folder}")
+        self._commit(version, "base", folder, commits[-1]["next_id"])
+
+
+def _standing_trims(commits: list) -> list[tuple[int, Q.Trim]]:
+    """The trims that still matter, each with its version.
+
+    A trim holds for rows added before it.  One that a later trim matches or exceeds, in
+    time and in cut, adds nothing.
+    """
+    standing: list[tuple[int, Q.Trim]] = []
+    latest_time, least_cut = None, None
+    for row in reversed(commits):
+        if row["kind"] != "trim":
+            continue
+        now_ms, key = row["now_ms"], row["cut"]
+        stricter_time = latest_time is None or now_ms > latest_time
+        stricter_cut = key is not None and (
+            least_cut is None or send_key(tuple(key)) < send_key(least_cut)
+        )
+        if stricter_time:
+            latest_time = now_ms
+        if stricter_cut:
+            least_cut = tuple(key)
+        if stricter_time or stricter_cut:
+            cut = Cut(SEND_ORDER, tuple(key)) if stricter_cut else None
+            standing.append((row["version"], Q.Trim(now_ms if stricter_time else None, cut)))
+    return standing

@@ -7,7 +7,7 @@ from courier.config import Prioritizer, QueueConfig
 from courier.functions import packets as P
 from courier.operators import queue as Q
 from courier.plans.service import DeliveryFailed, QueueService, folder_delivery
-from courier.sources.store import QueueStore
+from courier.sources.store import QueueStore, _standing_trims
 from courier.streaming.queue_stream import enqueue_stream, live_packets, process_stream
 
 NOW = 700_000_000_000
@@ -93,6 +93,38 @@ def test_clean_up(spark, store):
     assert store.clean_up(QueueConfig(), NOW + 1001) == 4
 
 
+def test_a_clean_up_holds_for_earlier_packets_only(spark, store):
+    store.append(rows(spark, 0, 10))
+    assert store.clean_up(QueueConfig(max_packets=4), NOW) == 6
+    store.append(rows(spark, 10, 15))  # behind the cut, but added after it
+    assert numbers(store.queue()) == [0, 1, 2, 3, 10, 11, 12, 13, 14]
+    assert store.clean_up(QueueConfig(max_packets=8), NOW) == 1
+    assert store.clean_up(QueueConfig(max_packets=8), NOW) == 0
+    assert numbers(store.queue()) == [0, 1, 2, 3, 10, 11, 12, 13]
+    store.assign("t", 2, None)
+    protected = QueueConfig(max_packets=0, protect_in_flight=True)
+    assert store.clean_up(protected, NOW + 2000) == 6
+    assert numbers(store.queue()) == [0, 1]
+    store.append(rows(spark, 20, 22))
+    store.compact()
+    store.append(rows(spark, 30, 31))
+    assert numbers(store.queue()) == [0, 1, 20, 21, 30]
+    assert store.clean_up(QueueConfig(), NOW + 5000) == 5
+    assert store.queue().isEmpty()
+
+
+def test_standing_trims():
+    def row(version, now_ms, cut):
+        return {"version": version, "kind": "trim", "now_ms": now_ms, "cut": cut}
+
+    commits = [
+        row(1, 10, [0, 0, 5]), row(2, 20, [0, 0, 9]), row(3, 30, [None, 7, 1]),
+        row(4, 40, [1, 0, 0]), row(5, 35, None),
+    ]
+    found = [(v, t.now_ms, t.cut and t.cut.key) for v, t in _standing_trims(commits)]
+    assert found == [(5, 35, None), (4, 40, (1, 0, 0)), (3, None, (None, 7, 1))]
+
+
 def test_cycles(spark, store, tmp_path):
     service = QueueService(store, CONFIG)
     status = service.enqueue(packets(spark, 0, 60), NOW, order_by=["n"]).first()
