@@ -26,7 +26,12 @@ from courier.schema import QUEUE_COLUMNS
 from courier.sources.files import file_packets
 from courier.sources.scratch import scratch_path
 from courier.sources.store import QueueStore
-from courier.streaming.queue_stream import enqueue_stream, process_stream
+from courier.streaming.queue_stream import (
+    enqueue_stream,
+    expired_packets,
+    live_packets,
+    process_stream,
+)
 
 CONFIG = replace(LIMITS, prioritizer=Prioritizer(PRIORITY, TTL_MILLIS))
 #: A stored queue gives its own ids, so results leave them out.
@@ -181,6 +186,43 @@ def stream_process(spark, sf_dir):
     return _unnumbered(service.store.queue())
 
 
+def _stream_rows(spark, sf_dir):
+    return P.to_queue_rows(
+        _event_stream(spark, sf_dir),
+        created=_created(),
+        packet_id="event_id",
+        prioritizer=CONFIG.prioritizer,
+    )
+
+
+def _written(spark, rows):
+    """A stream run to its end into a folder, read back."""
+    path = scratch_path(spark, "out")
+    _drained(
+        rows.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", scratch_path(spark, "stream"))
+    )
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@query(
+    "stream_age_off",
+    f"WITH {QUEUE_SQL} SELECT packet_id, {UNNUMBERED} FROM q WHERE expires >= {NOW_MS}",
+)
+def stream_age_off(spark, sf_dir):
+    return shown(_written(spark, live_packets(_stream_rows(spark, sf_dir), NOW_MS)))
+
+
+@query(
+    "stream_expired",
+    f"""WITH {QUEUE_SQL} SELECT packet_id, priority, expires FROM q
+        WHERE expires < (SELECT max(created) FROM q)""",
+)
+def stream_expired(spark, sf_dir):
+    return _written(spark, expired_packets(_stream_rows(spark, sf_dir)))
+
+
 # --- files ---------------------------------------------------------------------------
 
 

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from courier.functions.packets import reference_millis
 from courier.plans.service import Deliver, QueueService
+from courier.schema import REFERENCE_EPOCH_MILLIS
 
 
 def enqueue_stream(
@@ -74,7 +75,30 @@ def append_status(status: DataFrame, number: int, path: str) -> None:
     ).parquet(path)
 
 
-def live_packets(rows: DataFrame) -> DataFrame:
+def live_packets(rows: DataFrame, now_ms: Column | int | None = None) -> DataFrame:
     """A stream of queue rows without those expired when their micro-batch runs."""
-    now = reference_millis(F.current_timestamp())
+    if now_ms is None:
+        now_ms = reference_millis(F.current_timestamp())
+    now = F.lit(now_ms) if isinstance(now_ms, int) else now_ms
     return rows.where(F.col("expires").isNull() | (F.col("expires") >= now))
+
+
+def expired_packets(rows: DataFrame, delay: str = "0 seconds") -> DataFrame:
+    """Packets of a stream of queue rows, each once its time is over.
+
+    The clock is the latest enqueue time seen, less ``delay``.  Each packet waits as state
+    under its own id, in a session that lasts until it expires; packets without an expiry
+    never end.  Use append mode.
+    """
+    # A packet is over only after its expiry, hence one millisecond more.
+    life = F.concat((F.col("expires") - F.col("created") + 1).cast("string"), F.lit(" milliseconds"))
+    return (
+        rows.where(F.col("expires").isNotNull() & F.col("created").isNotNull())
+        .withColumn(
+            "created_at", F.timestamp_millis(F.col("created") + F.lit(REFERENCE_EPOCH_MILLIS))
+        )
+        .withWatermark("created_at", delay)
+        .groupBy("packet_id", F.session_window("created_at", life))
+        .agg(F.first("priority").alias("priority"), F.first("expires").alias("expires"))
+        .select("packet_id", "priority", "expires")
+    )
