@@ -63,8 +63,8 @@ def succeeded(kind: str, status: Column) -> Column:
 
 
 def duration_seconds(start: Column, end: Column) -> Column:
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return micros / F.lit(1_000_000.0)
+    """Seconds between two time-zoned timestamps."""
+    return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1_000_000.0)
 
 
 def leading_integer(text: Column) -> Column:

@@ -10,10 +10,17 @@ one task:
    that leave alike are merged, so a partition reports a few short rows;
 3. one short walk over these reports finds where the chain really enters each partition;
 4. each partition numbers its batches from there.
+
+With the usual limits a partition of a million rows reports at most a hundred.  Reports
+grow when batches are nearly as large as partitions.  Their number is checked: beyond
+``REPORT_ROWS`` the walk instead looks up the end of each batch in the one partition that
+holds it, which takes a small job per batch, and such batches are few.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,6 +30,9 @@ from courier.operators.order import CHUNK_ROWS, SEND_ORDER, running_totals
 from courier.operators.queue import unassigned
 from courier.sources.scratch import materialise
 
+#: Report rows that one task may walk over.
+REPORT_ROWS = 10_000_000
+
 _FIELDS = ["chunk", "place", "last_row", "last_byte", "open_row", "open_byte", "batches"]
 _REPORT = "chunk int, " + ", ".join(f"{f} bigint" for f in _FIELDS[1:])
 _ENTRY = "chunk int, open_row bigint, open_byte bigint, done bigint"
@@ -35,6 +45,7 @@ def drain_plan(
     byte_limit: int | None = None,
     *,
     chunk_rows: int = CHUNK_ROWS,
+    report_rows: int = REPORT_ROWS,
 ) -> DataFrame:
     """``packet_id, send_position, running_bytes, batch`` of every unassigned packet.
 
@@ -63,15 +74,17 @@ def drain_plan(
 
     limits = (count_limit or _NO_LIMIT, byte_limit)
     placed = materialise(placed, "drain")
-    reports = placed.groupBy("chunk").applyInPandas(
-        lambda rows: _report(rows, *limits), _REPORT
+    reports = materialise(
+        placed.groupBy("chunk").applyInPandas(lambda rows: _report(rows, *limits), _REPORT),
+        "drain-reports",
     )
-    entries = materialise(
-        reports.groupBy(F.lit(0).alias("all")).applyInPandas(
+    if reports.count() <= report_rows:
+        entries = reports.groupBy(F.lit(0).alias("all")).applyInPandas(
             lambda found: _walk(found, *limits), _ENTRY
-        ),
-        "drain-entries",
-    )  # one row per chunk
+        )
+    else:
+        entries = _look_up_entries(placed, *limits)
+    # One row per chunk, that is one per million packets.
     return (
         placed.join(F.broadcast(entries), "chunk")
         .groupBy("chunk")
@@ -131,6 +144,8 @@ def _report(rows: pd.DataFrame, count_limit: int, byte_limit: int) -> pd.DataFra
             "batches": np.array(batches[1 : window + 1], np.int64) + 1,
         }
     )
+    if count_limit == _NO_LIMIT:  # an empty packet never reaches a byte limit
+        found = found[upto[:window] > before[:window]]
     alike = found[["open_row", "batches"]]
     found = found[~(alike == alike.shift(-1)).all(axis=1)]
     start = pd.DataFrame(
@@ -174,6 +189,37 @@ def _walk(found: pd.DataFrame, count_limit: int, byte_limit: int) -> pd.DataFram
     return pd.DataFrame(entries, columns=["chunk", "open_row", "open_byte", "done"])
 
 
+def _look_up_entries(placed: DataFrame, count_limit: int, byte_limit: int) -> DataFrame:
+    """What ``_walk`` finds, by one lookup per batch in the chunk where it ends."""
+    ends = (
+        placed.groupBy("chunk")
+        .agg(F.max("send_position").alias("row"), F.max("running_bytes").alias("byte"))
+        .orderBy("chunk")
+        .collect()  # one row per chunk
+    )
+    last_rows, last_bytes = [e["row"] for e in ends], [e["byte"] for e in ends]
+    open_row, open_byte, done = 1, 0, 0
+    entries, at = [], 0
+    while at < len(ends):
+        row, byte = open_row - 1 + count_limit, open_byte + byte_limit
+        holder = min(bisect_left(last_rows, row), bisect_left(last_bytes, byte))
+        for chunk in ends[len(entries) : min(holder, len(ends) - 1) + 1]:
+            entries.append((chunk["chunk"], open_row, open_byte, done))
+        if holder == len(ends):
+            break
+        reached = (F.col("send_position") >= row) | (F.col("running_bytes") >= byte)
+        end = (
+            placed.where((F.col("chunk") == ends[holder]["chunk"]) & reached)
+            .agg(F.min(F.struct("send_position", "running_bytes")).alias("end"))
+            .first()["end"]
+        )
+        open_row, open_byte, done = end["send_position"] + 1, end["running_bytes"], done + 1
+        at = holder
+        if open_row > last_rows[-1]:
+            break
+    return placed.sparkSession.createDataFrame(entries, _ENTRY)
+
+
 def _number(rows: pd.DataFrame, count_limit: int, byte_limit: int) -> pd.DataFrame:
     rows, position, upto, ends = _ends(rows, count_limit, byte_limit)
     n = len(rows)

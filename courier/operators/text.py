@@ -144,9 +144,10 @@ def match_offsets(
     terms = query_terms(query, tokenizer)
     matching = match(df, columns, query, tokenizer).select(key, *columns)
     placed = token_table(matching, key, columns, tokenizer)
-    numbered = placed.select(
-        "*", F.posexplode(terms).alias("term", "wanted")
-    ).where(_hits(F.col("token"), F.col("wanted")))
+    hits = placed.where(F.exists(terms, lambda wanted: _hits(F.col("token"), wanted)))
+    numbered = hits.select("*", F.posexplode(terms).alias("term", "wanted")).where(
+        _hits(F.col("token"), F.col("wanted"))
+    )
     return numbered.select(key, "column", "term", "byte_offset", "byte_length")
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from courier.functions import urls as U
+from courier.functions.packets import utc_wall_clock
 from courier.operators import outcomes as O
 from courier.plans.inputs import table, user_transactions
 from courier.plans.queue_queries import COLUMNS, QUEUE_SQL, shown
@@ -144,7 +145,9 @@ def transfer_durations(spark, sf_dir):
         .select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
             (F.col("l_shipdate") > F.col("o_orderdate")).alias("later"),
-            U.duration_seconds(F.col("o_orderdate"), F.col("l_shipdate")).alias("duration_seconds"),
+            U.duration_seconds(
+                utc_wall_clock(F.col("o_orderdate")), utc_wall_clock(F.col("l_shipdate"))
+            ).alias("duration_seconds"),
         )
     )
 

@@ -1,6 +1,6 @@
 """Runs registered queries next to their SQL in DuckDB and compares the rows.
 
-    python -m tests.compare [--sf DIR] [NAME ...]
+    python -m tests.compare [--sf DIR] [--zone ZONE] [NAME ...]
 """
 
 from __future__ import annotations
@@ -80,6 +80,7 @@ def difference(df, con, sql: str) -> str | None:
 def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
+    parser.add_argument("--zone", default="UTC", help="session time zone")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -88,6 +89,7 @@ def main() -> int:
 
     assert glob.glob(f"{args.sf}/*.parquet"), args.sf
     spark = local_session()
+    spark.conf.set("spark.sql.session.timeZone", args.zone)
     con = duck(args.sf)
     oracle = entry.oracle_sql()
     bad = 0
