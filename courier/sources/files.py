@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from courier.functions.packets import empty_attributes
 from courier.operators.order import send_order
 from courier.operators.transfer import frames, manifest
+from courier.sources.scratch import materialise
 
 
 def file_packets(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
@@ -32,13 +33,17 @@ def deliver_to_folder(batch: DataFrame, path: str) -> DataFrame:
     Frames lie in send order under ``frames/transaction_id=…``.  A transaction is spread
     over files by its send order, so a large one does not pass through one task.
     """
-    by_transaction = frames(batch).repartitionByRange("transaction_id", *send_order())
-    (
-        by_transaction.sortWithinPartitions("transaction_id", *send_order())
-        .write.mode("append")
-        .partitionBy("transaction_id")
-        .parquet(f"{path}/frames")
-    )
-    summary = manifest(batch)
-    summary.write.mode("append").parquet(f"{path}/manifests")
+    held = batch.persist()  # read several times; spills to disk, and can be recomputed
+    try:
+        by_transaction = frames(held).repartitionByRange("transaction_id", *send_order())
+        (
+            by_transaction.sortWithinPartitions("transaction_id", *send_order())
+            .write.mode("append")
+            .partitionBy("transaction_id")
+            .parquet(f"{path}/frames")
+        )
+        summary = materialise(manifest(held), "manifest")
+        summary.write.mode("append").parquet(f"{path}/manifests")
+    finally:
+        held.unpersist()
     return summary

@@ -89,15 +89,14 @@ class QueueStore:
 
     # --- reading --------------------------------------------------------------------
 
-    def queue(self, commits: list | None = None) -> DataFrame:
-        """The queue as it stands, or as it stood after ``commits``."""
-        commits = commits or self._log()
+    def _parts(self, commits: list) -> tuple[DataFrame, DataFrame | None]:
+        """Packet rows that no clean-up removed, and the latest change of each packet."""
         bases = [i for i, r in enumerate(commits) if r["kind"] == "base"]
         live = commits[bases[-1]:] if bases else commits
         packets = [r["folder"] for r in live if r["kind"] in ("packets", "base")]
         changes = [r["folder"] for r in live if r["kind"] == "changes"]
         if not packets:
-            return self.spark.createDataFrame([], QUEUE_SCHEMA)
+            return self.spark.createDataFrame([], QUEUE_SCHEMA), None
         # Columns added later are read as null from files that lack them.
         rows = self.spark.read.schema(PACKET_SCHEMA).parquet(
             *[f"{self.path}/{folder}" for folder in packets]
@@ -106,15 +105,20 @@ class QueueStore:
             rows = rows.where((F.col("added") > F.lit(version)) | trim.kept())
         rows = rows.select(*QUEUE_COLUMNS)
         if not changes:
-            return rows
+            return rows, None
         log = self.spark.read.schema(CHANGE_SCHEMA).parquet(
             *[f"{self.path}/{folder}" for folder in changes]
         )
-        latest = (
-            log.groupBy("packet_id")
-            .agg(F.max_by(F.struct("transaction_id", "removed"), "version").alias("change"))
-            .select("packet_id", "change")
+        latest = log.groupBy("packet_id").agg(
+            F.max_by(F.struct("transaction_id", "removed"), "version").alias("change")
         )
+        return rows, latest.select("packet_id", "change")
+
+    def queue(self, commits: list | None = None) -> DataFrame:
+        """The queue as it stands, or as it stood after ``commits``."""
+        rows, latest = self._parts(commits or self._log())
+        if latest is None:
+            return rows
         return (
             rows.join(latest, "packet_id", "left")
             .where(~F.coalesce("change.removed", F.lit(False)))
@@ -127,6 +131,32 @@ class QueueStore:
             .select(*QUEUE_COLUMNS)
         )
 
+    def packets(self, transaction_id: str) -> DataFrame:
+        """The packets of one transaction, in send order."""
+        return Q.in_send_order(self._in_transaction(transaction_id, self._log()))
+
+    def _in_transaction(self, transaction_id: str, commits: list) -> DataFrame:
+        """The packets of one transaction.
+
+        Starts from the change log: the transaction's ids bound the packet files to read.
+        """
+        rows, latest = self._parts(commits)
+        own = F.col("transaction_id") == F.lit(transaction_id)
+        found = rows.where(own)
+        if latest is not None:
+            mine = latest.where(
+                ~F.col("change.removed") & (F.col("change.transaction_id") == F.lit(transaction_id))
+            ).select("packet_id")
+            low, high = mine.agg(F.min("packet_id"), F.max("packet_id")).first()
+            given = (
+                rows.where(F.col("packet_id").between(low, high))
+                .join(mine, "packet_id", "left_semi")
+                .withColumn("transaction_id", F.lit(transaction_id))
+            )
+            found = found.join(latest, "packet_id", "left_anti")  # kept from a base, unchanged
+            found = found if low is None else found.unionByName(given)
+        return found
+
     # --- writing --------------------------------------------------------------------
 
     def append(
@@ -189,17 +219,14 @@ class QueueStore:
         chosen = Q.batch(self.queue(commits), count_limit, byte_limit, **search)
         return self._change(commits, self._changes(chosen, F.lit(transaction_id), False))
 
-    def packets(self, transaction_id: str) -> DataFrame:
-        return Q.transaction_packets(self.queue(), transaction_id)
-
     def acknowledge(self, transaction_id: str) -> int:
         commits = self._log()
-        mine = self.queue(commits).where(F.col("transaction_id") == F.lit(transaction_id))
+        mine = self._in_transaction(transaction_id, commits)
         return self._change(commits, self._changes(mine, F.lit(None), True))
 
     def release(self, transaction_id: str) -> int:
         commits = self._log()
-        mine = self.queue(commits).where(F.col("transaction_id") == F.lit(transaction_id))
+        mine = self._in_transaction(transaction_id, commits)
         return self._change(commits, self._changes(mine, F.lit(None), False))
 
     def clean_up(self, config: QueueConfig, now_ms: int, **search) -> int:
