@@ -11,7 +11,7 @@ def local_session(cpus: str | None = None, **options: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus or os.environ.get('TEST_CPUS', '8')}]")
         .appName("courier")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
