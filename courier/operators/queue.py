@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courier.config import QueueConfig
-from courier.operators.order import SEND_ORDER, Cut, find_cut, send_order
+from courier.operators.order import Cut, find_cut, send_order
 
 # --- filters -------------------------------------------------------------------
 

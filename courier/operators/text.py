@@ -8,8 +8,10 @@ frequent token spreads over as many files as it needs.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courier.functions.words import Tokenizer, word_spans
@@ -90,25 +92,45 @@ def write_index(table: DataFrame, key: str, path: str, buckets: int = BUCKETS) -
 # --- searching -----------------------------------------------------------------------
 
 
-def query_terms(text: str, tokenizer: Tokenizer = PLAIN) -> Column:
-    """The query's tokens as ``array<struct<term:string, prefix:boolean>>``.
+@dataclass(frozen=True)
+class Term:
+    text: str
+    prefix: bool
+    bucket: int
 
-    The text goes through the tokenizer of the searched columns.  A final ``*`` makes the
-    last term a prefix.
-    """
-    terms = tokenizer.tokens(F.lit(text))
-    last = F.size(terms) - 1
-    return F.transform(
-        terms,
-        lambda t, i: F.struct(
-            t.alias("term"), (F.lit(text.rstrip().endswith("*")) & (i == last)).alias("prefix")
-        ),
-    )
+    def hits(self, token: Column) -> Column:
+        return F.startswith(token, F.lit(self.text)) if self.prefix else token == F.lit(self.text)
 
 
-def _hits(token: Column, wanted: Column) -> Column:
-    return F.when(wanted["prefix"], F.startswith(token, wanted["term"])).otherwise(
-        token == wanted["term"]
+def query_terms(
+    spark: SparkSession, query: str, tokenizer: Tokenizer = PLAIN, buckets: int = BUCKETS
+) -> list[Term]:
+    """The query's tokens, from the tokenizer of the searched columns.
+
+    A final ``*`` makes the last term a prefix.  The tokenizer is made of column
+    expressions, so Spark evaluates it once here; searches then compare with constants.
+    """
+    tokens = tokenizer.tokens(F.lit(query))
+    row = spark.range(1).select(
+        tokens.alias("tokens"),
+        F.transform(tokens, lambda t: _bucket(t, buckets)).alias("buckets"),
+    ).first()
+    last = len(row["tokens"]) - 1
+    begun = query.rstrip().endswith("*")
+    return [
+        Term(text, begun and i == last, bucket)
+        for i, (text, bucket) in enumerate(zip(row["tokens"], row["buckets"]))
+    ]
+
+
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
+def _terms_hit(token: Column, terms: list[Term]) -> Column:
+    """The numbers of the terms that a token hits."""
+    return F.array_compact(
+        F.array(*[F.when(term.hits(token), F.lit(i)) for i, term in enumerate(terms)])
     )
 
 
@@ -116,22 +138,27 @@ def match(
     df: DataFrame, columns: Sequence[str], query: str, tokenizer: Tokenizer = PLAIN
 ) -> DataFrame:
     """Rows in which every term of the query occurs, in whichever of the columns."""
+    return _match(df, columns, query_terms(df.sparkSession, query, tokenizer), tokenizer)
+
+
+def _match(
+    df: DataFrame, columns: Sequence[str], terms: list[Term], tokenizer: Tokenizer
+) -> DataFrame:
+    if not terms:
+        return df.where(F.lit(False))
     words = [tokenizer.tokens(F.coalesce(F.col(c), F.lit(""))) for c in columns]
     words = words[0] if len(words) == 1 else F.concat(*words)
-    terms = query_terms(query, tokenizer)  # a constant: Spark works it out once
-    whole = F.transform(F.filter(terms, lambda t: ~t["prefix"]), lambda t: t["term"])
-    begun = F.filter(terms, lambda t: t["prefix"])
-    return df.where(
-        (F.size(terms) > 0)
-        & (
-            (F.size(whole) == 0)
-            | (F.size(F.array_intersect(words, whole)) == F.size(F.array_distinct(whole)))
-        )
-        & (
-            (F.size(begun) == 0)
-            | F.exists(words, lambda w: F.forall(begun, lambda t: F.startswith(w, t["term"])))
-        )
-    )
+    whole = sorted({t.text for t in terms if not t.prefix})
+    found = F.lit(True)
+    if len(whole) == 1:
+        found = F.array_contains(words, F.lit(whole[0]))
+    elif whole:
+        wanted = F.array(*map(F.lit, whole))
+        found = F.size(F.array_intersect(words, wanted)) == len(whole)
+    for term in terms:
+        if term.prefix:
+            found = found & F.exists(words, term.hits)
+    return df.where(found)
 
 
 def match_offsets(
@@ -141,14 +168,17 @@ def match_offsets(
 
     Only matching rows reach the Python worker that measures byte offsets.
     """
-    terms = query_terms(query, tokenizer)
-    matching = match(df, columns, query, tokenizer).select(key, *columns)
+    terms = query_terms(df.sparkSession, query, tokenizer)
+    matching = _match(df, columns, terms, tokenizer).select(key, *columns)
     placed = token_table(matching, key, columns, tokenizer)
-    hits = placed.where(F.exists(terms, lambda wanted: _hits(F.col("token"), wanted)))
-    numbered = hits.select("*", F.posexplode(terms).alias("term", "wanted")).where(
-        _hits(F.col("token"), F.col("wanted"))
+    hits = placed.where(_any([t.hits(F.col("token")) for t in terms]))
+    return hits.select(
+        key,
+        "column",
+        F.explode(_terms_hit(F.col("token"), terms)).alias("term"),
+        "byte_offset",
+        "byte_length",
     )
-    return numbered.select(key, "column", "term", "byte_offset", "byte_length")
 
 
 def search_index(
@@ -162,16 +192,14 @@ def search_index(
 
     Only the folders that can hold the terms are read; a prefix needs them all.
     """
-    terms = query_terms(query, tokenizer)
-    hits = (
-        index.where(
-            F.exists(
-                terms, lambda t: t["prefix"] | (_bucket(t["term"], buckets) == F.col("bucket"))
-            )
-        )
-        .where(F.exists(terms, lambda wanted: _hits(F.col("token"), wanted)))
-        .select(key, "token", F.posexplode(terms).alias("term", "wanted"))
-        .where(_hits(F.col("token"), F.col("wanted")))
+    terms = query_terms(index.sparkSession, query, tokenizer, buckets)
+    if not terms:
+        return index.where(F.lit(False)).select(key)
+    token = F.col("token")
+    hits = index.where(_any([t.hits(token) for t in terms]))
+    if not any(t.prefix for t in terms):
+        hits = hits.where(F.col("bucket").isin(*sorted({t.bucket for t in terms})))
+    held = hits.select(key, F.explode(_terms_hit(token, terms)).alias("term")).groupBy(key).agg(
+        F.collect_set("term").alias("held")  # at most one entry per term
     )
-    held = hits.groupBy(key).agg(F.collect_set("term").alias("held"))  # at most one per term
-    return held.where(F.size("held") == F.size(terms)).select(key)
+    return held.where(F.size("held") == len(terms)).select(key)

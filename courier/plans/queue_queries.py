@@ -11,7 +11,6 @@ from courier.operators import drain as D
 from courier.operators import queue as Q
 from courier.plans.inputs import (
     NOW_MS,
-    event_packets,
     event_queue,
     partly_in_flight,
     table,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from courier.functions import packets as P
 from courier.functions.frames import frame, frame_length
 from courier.operators import transfer as T
 from courier.plans.inputs import event_packets, user_transactions

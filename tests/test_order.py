@@ -81,7 +81,7 @@ def test_cut_over_the_whole_long_range(queue_rows):
     ends = [-(2**63), -1, 0, 2**63 - 1]
     rows = [(i, 10, c, 0, p, None) for i, (p, c) in enumerate((p, c) for p in ends for c in ends)]
     df = queue_rows(rows)
-    for n in range(1, 17):
+    for n in (1, 4, 9, 16):
         kept = ids(queue.trim_rows(df, n, finish_rows=1, take_rows=0, bins=3))
         assert kept == sorted(simulate.trim_rows(rows, n))
 

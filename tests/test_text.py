@@ -1,8 +1,6 @@
 """Tokens, stop words, search and byte offsets."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from courier.functions.words import Tokenizer, strip_plural
 from courier.operators import text as X
 
