@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courier.llm import chat, decontamination, fingerprints, line_dedup, mixing, quality
-from courier.llm import simhash_dedup, tokens, toxicity
+from courier.llm import simhash_dedup, suffix_dedup, tokens, toxicity
 from courier.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +99,44 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(scores, quality.THRESHOLD)
 
 
+@query(
+    "op6_suffix_dedup",
+    """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+windows AS (
+  SELECT doc_id, p, md5(substr(x, 2 * p + 1, 200)) AS w
+  FROM docs, unnest(range(0, length(x) // 2 - 99)) AS t(p)),
+repeats AS (
+  SELECT doc_id, p FROM (
+    SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS nth FROM windows)
+  WHERE nth > 1),
+marked AS (
+  SELECT doc_id, p, CASE WHEN p > lag(p) OVER d + 100 OR lag(p) OVER d IS NULL THEN 1 ELSE 0 END
+           AS begins
+  FROM repeats WINDOW d AS (PARTITION BY doc_id ORDER BY p)),
+numbered AS (
+  SELECT doc_id, p, sum(begins) OVER (PARTITION BY doc_id ORDER BY p) AS n FROM marked),
+spans AS (
+  SELECT doc_id, n, min(p) AS low, max(p) + 100 AS high FROM numbered GROUP BY doc_id, n),
+edges AS (
+  SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS last
+  FROM spans),
+kept AS (
+  SELECT doc_id, count(*) AS n_spans, sum(high - low)::BIGINT AS n_removed,
+         string_agg(substr(x, 2 * last + 1, 2 * (low - last)), '' ORDER BY low) AS head,
+         max(high) AS last
+  FROM edges JOIN docs USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def _weights_sql(level: str) -> str:
     cases = " ".join(f"WHEN '{k}' THEN {w}" for k, w in mixing.WEIGHTS.get(level, {}).items())
     return f"CASE {level} {cases} ELSE 1 END" if cases else "1"
