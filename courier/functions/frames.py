@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courier.functions.packets import content_length, sorted_attributes
+from courier.functions.packets import content_length, empty_attributes, sorted_attributes
 
 # The marker before every packet but the first of a socket transfer,
 # letters R and C and the code of "continue transaction" (10).
@@ -30,8 +30,14 @@ def _text_hex(text: Column) -> Column:
     return F.concat(_int_hex(F.octet_length(text), 4), F.hex(text))
 
 
+def _known(attributes: Column) -> Column:
+    """Attributes that cannot be read count as none, so that the content still travels."""
+    return F.coalesce(attributes, empty_attributes())
+
+
 def frame(attributes: Column, content: Column) -> Column:
-    """The frame of one packet, as bytes."""
+    """The frame of one packet, as bytes; never null."""
+    attributes = _known(attributes)
     pairs = F.transform(
         sorted_attributes(attributes),
         lambda e: F.concat(_text_hex(e["key"]), _text_hex(F.coalesce(e["value"], F.lit("")))),
@@ -47,7 +53,7 @@ def frame(attributes: Column, content: Column) -> Column:
 def frame_length(attributes: Column, content: Column) -> Column:
     """Bytes of the frame, without building it."""
     pairs = F.aggregate(
-        F.map_entries(attributes),
+        F.map_entries(_known(attributes)),
         F.lit(0).cast("bigint"),
         lambda n, e: n
         + F.lit(8)
@@ -120,7 +126,13 @@ def shift_checksums(crc: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 @F.pandas_udf(T.LongType())
 def shift_checksum(crc: pd.Series, length: pd.Series) -> pd.Series:
-    return pd.Series(shift_checksums(crc.to_numpy(), length.to_numpy()))
+    """``shift_checksums`` of columns; null if either is null."""
+    known = crc.notna() & length.notna()
+    shifted = pd.Series(pd.NA, index=crc.index, dtype="Int64")
+    shifted[known] = shift_checksums(
+        crc[known].to_numpy().astype(np.int64), length[known].to_numpy().astype(np.int64)
+    )
+    return shifted
 
 
 MARKER_CRC = zlib.crc32(SOCKET_MARKER)

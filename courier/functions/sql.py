@@ -166,20 +166,22 @@ def remove_diacritics(text: pd.Series) -> pd.Series:
 
 
 def _fold(text: str) -> str:
+    if text.isascii():
+        return text
     kept = (c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
     return unicodedata.normalize("NFC", "".join(kept))
 
 
 def hypotenuse(a: Column, b: Column) -> Column:
     """Length of the hypotenuse; one missing side counts as 0, two are an error."""
-    neither = F.raise_error(F.lit("Expected numeric")).cast("double")
+    neither = F.raise_error(F.lit("hypotenuse needs a number")).cast("double")
     length = F.hypot(F.coalesce(a.cast("double"), F.lit(0.0)), F.coalesce(b.cast("double"), F.lit(0.0)))
     return F.when(a.isNull() & b.isNull(), neither).otherwise(length)
 
 
 def set_alternating_bytes(data: Column) -> Column:
     """Bytes 0, 2, 4, … set to 1; null is an error."""
-    missing = F.raise_error(F.lit("Expected blob")).cast("binary")
+    missing = F.raise_error(F.lit("set_alternating_bytes needs bytes")).cast("binary")
     changed = F.unhex(F.regexp_replace(F.hex(data), "..(..)?", "01$1"))
     return F.when(data.isNull(), missing).otherwise(changed)
 
@@ -193,11 +195,11 @@ def register_functions(spark: SparkSession) -> None:
     spark.udf.register("remove_diacritics", remove_diacritics)
     spark.sql(
         """CREATE OR REPLACE TEMPORARY FUNCTION hypotenuse(a DOUBLE, b DOUBLE) RETURNS DOUBLE
-           RETURN CASE WHEN a IS NULL AND b IS NULL THEN CAST(raise_error('Expected numeric') AS DOUBLE)
+           RETURN CASE WHEN a IS NULL AND b IS NULL THEN CAST(raise_error('hypotenuse needs a number') AS DOUBLE)
            ELSE hypot(coalesce(a, 0.0D), coalesce(b, 0.0D)) END"""
     )
     spark.sql(
         """CREATE OR REPLACE TEMPORARY FUNCTION set_alternating_bytes(data BINARY) RETURNS BINARY
-           RETURN CASE WHEN data IS NULL THEN CAST(raise_error('Expected blob') AS BINARY)
+           RETURN CASE WHEN data IS NULL THEN CAST(raise_error('set_alternating_bytes needs bytes') AS BINARY)
            ELSE unhex(regexp_replace(hex(data), '..(..)?', '01$1')) END"""
     )

@@ -39,10 +39,12 @@ def url_port(url: Column) -> Column:
 
 
 def raw_url(url: Column, raw_port: Column, scheme: str) -> Column:
-    """The socket address of a peer: scheme and port replaced, host and path kept."""
+    """The socket address of a peer: scheme and port replaced, all other parts kept."""
+    user = F.regexp_extract(url, r"^[^:/?#]+://([^@/?#]*@)", 1)
     path = F.regexp_extract(url, _AUTHORITY, 3)
+    rest = F.regexp_extract(url, _AUTHORITY, 4)
     port = F.coalesce(F.concat(F.lit(":"), raw_port.cast("string")), F.lit(""))
-    return F.concat(F.lit(f"{scheme}://"), url_host(url), port, path)
+    return F.concat(F.lit(f"{scheme}://"), user, url_host(url), port, path, rest)
 
 
 def last_segment(url: Column) -> Column:

@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courier.functions.urls import last_segment, leading_integer, status_error, succeeded
+from courier.functions.urls import (
+    duration_seconds,
+    last_segment,
+    leading_integer,
+    status_error,
+    succeeded,
+)
 from courier.operators.queue import unassigned
 from courier.schema import (
+    CONFIRM_TRANSACTION,
     DESTINATION_FULL,
     response_codes,
     transaction_states,
@@ -15,41 +22,62 @@ from courier.schema import (
 
 _REPLY_JSON = "flowFileSent string, responseCode string, message string"
 
-# Headers of a creation reply.  The time-to-live header is known by its end.
+# Headers of a creation reply, and the value that announces a transaction.
 INTENT_HEADER = "x-location-uri-intent"
 INTENT_VALUE = "transaction-url"
 LOCATION_HEADER = "location"
-TTL_HEADER_END = "-server-transaction-ttl"
+#: The body's parser puts text that is no JSON here.
+_BROKEN = "_broken"
 
 
-def _header(matches) -> Column:
-    """Value of the first header whose lower-cased name matches."""
-    found = F.filter(F.map_entries("headers"), lambda e: matches(F.lower(e["key"])))
+def _header(name: str) -> Column:
+    """Value of the first header of that lower-cased name; headers are folded once."""
+    found = F.filter("_headers", lambda e: e["key"] == name)
     return F.get(found, F.lit(0))["value"]
 
 
-def parse_creation_replies(replies: DataFrame) -> DataFrame:
+def parse_creation_replies(replies: DataFrame, ttl_header: str) -> DataFrame:
     """Transactions created by ``replies (request_id, status, headers, body)``.
 
-    One row per reply.  ``transaction_id`` is null when none was created: a status other
-    than 200 or 201, no transaction intent, or no location.  A body that is not JSON
-    still leaves a transaction, with ``body_error`` set.
+    One row per reply.  ``ttl_header`` names the header with the transaction's time to
+    live.  ``transaction_id`` is null when none was created: a status other than 200 or
+    201, no transaction intent, or no location.  A body that is not JSON still leaves a
+    transaction, with ``body_error`` set.
     """
-    created = (
-        succeeded("create", F.col("status"))
-        & _header(lambda k: k == INTENT_HEADER).eqNullSafe(F.lit(INTENT_VALUE))
-        & _header(lambda k: k == LOCATION_HEADER).isNotNull()
+    folded = F.transform(
+        F.map_entries("headers"),
+        lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
     )
-    body = F.from_json("body", _REPLY_JSON)
-    parsed = replies.select(
+    wanted = (INTENT_HEADER, LOCATION_HEADER, ttl_header.lower())
+    body = F.from_json(
+        "body",
+        f"{_REPLY_JSON}, {_BROKEN} string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN},
+    )
+    read = replies.select(
+        "request_id",
+        "status",
+        F.filter(folded, lambda e: e["key"].isin(*wanted)).alias("_headers"),
+        body.alias("_read"),
+    ).select(
         "request_id",
         "status",
-        F.when(created, _header(lambda k: k == LOCATION_HEADER)).alias("transaction_url"),
-        F.when(
-            created, leading_integer(_header(lambda k: k.endswith(TTL_HEADER_END)))
-        ).alias("server_ttl"),
-        F.when(created, body).alias("_body"),
-        F.when(created, F.try_parse_json("body").isNull()).alias("body_error"),
+        (
+            succeeded("create", F.col("status")) & _header(INTENT_HEADER).eqNullSafe(INTENT_VALUE)
+        ).alias("_intended"),
+        _header(LOCATION_HEADER).alias("_location"),
+        _header(ttl_header.lower()).alias("_ttl"),
+        "_read",
+    )
+    created = F.col("_intended") & F.col("_location").isNotNull()
+    broken = F.col("_read").isNull() | F.col(f"_read.{_BROKEN}").isNotNull()
+    parsed = read.select(
+        "request_id",
+        "status",
+        F.when(created, F.col("_location")).alias("transaction_url"),
+        F.when(created, leading_integer(F.col("_ttl"))).alias("server_ttl"),
+        F.when(created, F.col("_read")).alias("_body"),
+        F.when(created, broken).alias("body_error"),
     )
     return parsed.select(
         "request_id",
@@ -77,6 +105,52 @@ def parse_completion_replies(replies: DataFrame) -> DataFrame:
     )
 
 
+def parse_send_replies(replies: DataFrame) -> DataFrame:
+    """Checksums of ``replies (transaction_id, status, body)`` to sent packets.
+
+    ``server_checksum`` is the number that the body of a success begins with, 0 if there is
+    none; for any other status it is -1, and ``error_code`` stands for the status.
+    """
+    sent = succeeded("send", F.col("status"))
+    return replies.select(
+        "transaction_id",
+        F.when(sent, F.coalesce(leading_integer(F.col("body")), F.lit(0)))
+        .otherwise(F.lit(-1))
+        .cast("bigint")
+        .alias("server_checksum"),
+        F.when(sent.isNull() | ~sent, status_error(F.col("status"))).alias("error_code"),
+    )
+
+
+def transaction_results(checked: DataFrame, completions: DataFrame) -> DataFrame:
+    """How each transaction ended, from its checksum check and its completion reply.
+
+    ``checked`` has the response code to end each transaction with, ``completions`` at most
+    one parsed reply for each.  A transaction completes if its checksum was confirmed and
+    the reply could be read.  All others are errors that transferred nothing; their response
+    code is bad checksum, or null where the reply is missing.  With ``started_at`` in
+    ``checked`` and ``ended_at`` in ``completions`` the duration in seconds is added.
+    """
+    confirmed = F.col("response_code") == F.lit(CONFIRM_TRANSACTION)
+    replies = completions.withColumnsRenamed({"response_code": "_reply", "message": "_message"})
+    joined = checked.join(replies, "transaction_id", "left")
+    done = confirmed & F.col("_reply").isNotNull()
+    columns = [
+        "transaction_id",
+        F.when(done, "TRANSACTION_COMPLETED").otherwise("TRANSACTION_ERROR").alias("state"),
+        F.when(confirmed, F.col("_reply")).otherwise(F.col("response_code")).alias("response_code"),
+        F.when(done, F.coalesce("packets_transferred", F.lit(0)))
+        .otherwise(F.lit(0))
+        .cast("bigint")
+        .alias("packets_transferred"),
+        F.when(done, F.col("_message")).alias("message"),
+    ]
+    if "started_at" in checked.columns and "ended_at" in completions.columns:
+        duration = duration_seconds(F.col("started_at"), F.col("ended_at"))
+        columns.append(F.when(done, duration).alias("duration_seconds"))
+    return joined.select(*columns)
+
+
 def should_back_off(response_code: Column) -> Column:
     """The transaction finished, but the destination is full."""
     return response_code.eqNullSafe(F.lit(DESTINATION_FULL))

@@ -40,6 +40,23 @@ def parse_peers(documents: DataFrame) -> DataFrame:
     )
 
 
+def refresh_documents(replies: DataFrame) -> DataFrame:
+    """The document each cluster refreshes its peers from: ``cluster, url, body``.
+
+    ``replies (cluster, position, url, body)`` are the answers of a cluster's peers in the
+    order in which they are asked; the first that holds a list of peers is taken, an empty
+    list too.  A cluster without such an answer gives no row, and keeps the peers it has.
+    """
+    listed = F.from_json("body", _PEERS_JSON)["peers"].isNotNull()
+    first = F.min_by(F.struct("url", "body"), F.struct("position", "url"))
+    return (
+        replies.where(listed)
+        .groupBy("cluster")
+        .agg(first.alias("first"))
+        .select("cluster", "first.url", "first.body")
+    )
+
+
 def _preference(peers: DataFrame) -> tuple[DataFrame, list[str]]:
     """Peers with their comparison columns: failure time, load, host, port, missing last."""
     host, port = url_host(F.col("url")), url_port(F.col("url"))

@@ -8,7 +8,7 @@ A transaction of any size therefore spreads over as many tasks as it needs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courier.functions.frames import (
@@ -38,8 +38,16 @@ def _parsed(queue: DataFrame) -> DataFrame:
     )
 
 
+def unreadable(attributes: Column) -> Column:
+    """Is the attribute text no JSON object?  Such a packet is sent without attributes."""
+    return parse_attributes(attributes).isNull()
+
+
 def frames(queue: DataFrame) -> DataFrame:
-    """``transaction_id``, the send order columns and ``frame`` of packets in flight."""
+    """``transaction_id``, the send order columns and ``frame`` of packets in flight.
+
+    A packet with unreadable attributes is framed with none, and with its content.
+    """
     return _parsed(queue).select(
         "transaction_id",
         *SEND_ORDER,
@@ -103,16 +111,15 @@ def manifest(
 
 
 def check_checksums(manifests: DataFrame, acknowledged: DataFrame) -> DataFrame:
-    """Compare with ``acknowledged (transaction_id, server_checksum)``.
+    """Compare with ``acknowledged (transaction_id, server_checksum)``, one row each.
 
     Gives the response code to end the transaction with: confirm, or bad checksum.  A
-    transaction without an acknowledgement is not in the result.
+    transaction that nobody acknowledged, or with a null checksum, ends as bad checksum.
     """
-    return manifests.join(
-        acknowledged.select("transaction_id", "server_checksum"), "transaction_id"
-    ).withColumn(
+    answers = acknowledged.select("transaction_id", "server_checksum")
+    return manifests.join(answers, "transaction_id", "left").withColumn(
         "response_code",
-        F.when(F.col("checksum") == F.col("server_checksum"), CONFIRM_TRANSACTION).otherwise(
-            BAD_CHECKSUM
-        ),
+        F.when(
+            F.col("checksum") == F.col("server_checksum"), F.lit(CONFIRM_TRANSACTION)
+        ).otherwise(F.lit(BAD_CHECKSUM)),
     )

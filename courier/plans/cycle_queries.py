@@ -223,16 +223,48 @@ def stream_expired(spark, sf_dir):
     return _written(spark, expired_packets(_stream_rows(spark, sf_dir)))
 
 
+#: Lives of zero and less, and some without an end.
+SHORT_LIVES = """CASE packet_id % 5 WHEN 0 THEN created WHEN 1 THEN created - 3600000
+  WHEN 2 THEN NULL ELSE expires END"""
+
+
+@query(
+    "stream_expired_out_of_order",
+    f"""WITH {QUEUE_SQL}, s AS (SELECT * REPLACE ({SHORT_LIVES} AS expires) FROM q)
+        SELECT packet_id, priority, expires FROM s WHERE expires < (SELECT max(created) FROM s)""",
+)
+def stream_expired_out_of_order(spark, sf_dir):
+    """Four micro-batches, the latest packets first: most rows arrive late."""
+    path = scratch_path(spark, "source")
+    rows = event_queue(spark, sf_dir).withColumn("expires", F.expr(SHORT_LIVES))
+    slim = rows.select("packet_id", "priority", "created", "expires")
+    cuts = slim.agg(F.percentile_approx("created", [0.25, 0.5, 0.75])).first()[0] or []
+    # A file per quarter; the source takes them in the order of their writing.
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("created")))
+    for number in reversed(range(len(cuts) + 1)):
+        slim.where(part == number).coalesce(1).write.mode("append").parquet(path)
+    stream = (
+        spark.readStream.schema(slim.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    )
+    return _written(spark, expired_packets(stream))
+
+
 # --- files ---------------------------------------------------------------------------
 
 
-@query("file_packets")
+@query(
+    "file_packets",
+    """SELECT CAST(n_nationkey AS BIGINT) AS key, CAST(strlen(n_name) + 1 AS BIGINT) AS declared_length,
+         CAST(0 AS INTEGER) AS attribute_count, n_name || chr(10) AS content FROM nation""",
+)
 def files(spark, sf_dir):
-    """A packet per table file: its name, size and checksum."""
-    packets = file_packets(spark, sf_dir, "*.parquet")
-    return packets.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
+    """A packet per file, from one text file for each nation."""
+    path = scratch_path(spark, "files")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nations.write.partitionBy("n_nationkey").text(path)
+    return file_packets(spark, path, "*.txt").select(
+        F.regexp_extract("path", "n_nationkey=([0-9]+)", 1).cast("bigint").alias("key"),
         "declared_length",
         F.size("attributes").alias("attribute_count"),
-        F.crc32("content").alias("checksum"),
+        F.decode("content", "UTF-8").alias("content"),
     )

@@ -23,16 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer partitions than there are cores, dealt out to all cores.
-
-    For work that is heavy per row.  Large tables have more partitions than cores and
-    pass unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def event_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One packet per event: type and user as attributes, ``props`` as content."""
     return P.from_attributes(

@@ -15,6 +15,7 @@ from courier.plans.queue_queries import COLUMNS, QUEUE_SQL, shown
 from courier.plans.registry import query
 from courier.plans.routing_queries import SEQ_SQL
 
+TTL_HEADER = "X-Peer-Server-Transaction-TTL"
 CODE_SQL = "CASE o_orderstatus WHEN 'F' THEN 13 WHEN 'P' THEN 14 ELSE 19 END"
 
 
@@ -31,7 +32,8 @@ def creation_replies(spark, sf_dir):
         F.create_map(
             F.lit("Location"), F.concat(F.lit("http://peer:8080/api/transactions/"), key),
             F.lit("x-location-uri-intent"), intent,
-            F.lit("x-peer-server-transaction-ttl"), F.lit("30"),
+            F.lit(TTL_HEADER), F.lit("30"),
+            F.lit("other-server-transaction-ttl"), F.lit("99"),
         ).alias("headers"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "not json").otherwise(body).alias("body"),
     )
@@ -53,7 +55,7 @@ def creation_replies(spark, sf_dir):
         CASE WHEN status = 503 THEN CAST(1503 AS INTEGER) END AS error_code FROM m""",
 )
 def parse_creation_replies(spark, sf_dir):
-    return O.parse_creation_replies(creation_replies(spark, sf_dir))
+    return O.parse_creation_replies(creation_replies(spark, sf_dir), TTL_HEADER.lower())
 
 
 def completions(spark, sf_dir):

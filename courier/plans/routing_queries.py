@@ -176,7 +176,7 @@ def cluster_urls(spark, sf_dir):
         regexp_extract(url, '^[a-z]+://([^:/]+)', 1) AS host,
         CAST(nullif(regexp_extract(url, '^[a-z]+://[^:/]+:([0-9]+)', 1), '') AS INTEGER) AS port,
         'raw://' || regexp_extract(url, '^[a-z]+://([^:/]+)', 1)
-          || coalesce(':' || raw_port, '') || '/api' AS raw_url FROM peers""",
+          || coalesce(':' || raw_port, '') || '/api?x=1' AS raw_url FROM peers""",
 )
 def peer_urls(spark, sf_dir):
     url = F.col("url")

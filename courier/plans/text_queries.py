@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from courier.functions.words import Tokenizer, strip_plural
 from courier.operators import text as X
-from courier.plans.inputs import spread, table
+from courier.plans.inputs import table
 from courier.plans.registry import query
 from courier.sources.scratch import scratch_path
 
@@ -37,7 +37,7 @@ def placed_sql(source: str, key: str, text: str) -> str:
         unnest(words) AS token FROM (SELECT doc_id, {words_sql('text')} AS words FROM documents)""",
 )
 def word_tokens(spark, sf_dir):
-    return X.tokens(spread(table(spark, sf_dir, "documents")), "doc_id", "text")
+    return X.tokens(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @query(
@@ -50,7 +50,7 @@ def word_tokens(spark, sf_dir):
 )
 def stop_words(spark, sf_dir):
     return X.tokens(
-        spread(table(spark, sf_dir, "documents")), "doc_id", "text", Tokenizer(stop_words=STOP)
+        table(spark, sf_dir, "documents"), "doc_id", "text", Tokenizer(stop_words=STOP)
     )
 
 
@@ -63,7 +63,7 @@ def stop_words(spark, sf_dir):
 )
 def stop_word_table(spark, sf_dir):
     words = X.tokens(table(spark, sf_dir, "benchmark"), "item_id", "text")
-    rows = X.tokens(spread(table(spark, sf_dir, "documents")), "doc_id", "text")
+    rows = X.tokens(table(spark, sf_dir, "documents"), "doc_id", "text")
     return X.remove_stop_words(rows, words.select(F.col("token").alias("word")))
 
 
@@ -75,7 +75,7 @@ def stop_word_table(spark, sf_dir):
 )
 def token_rule(spark, sf_dir):
     rows = X.tokens(
-        spread(table(spark, sf_dir, "documents")), "doc_id", "text", Tokenizer(rule=strip_plural)
+        table(spark, sf_dir, "documents"), "doc_id", "text", Tokenizer(rule=strip_plural)
     )
     return rows.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
 
@@ -87,7 +87,7 @@ def token_rule(spark, sf_dir):
         FROM ({placed_sql('documents', 'doc_id', 'text')})""",
 )
 def token_table(spark, sf_dir):
-    return X.token_table(spread(table(spark, sf_dir, "documents")), "doc_id", ["text"])
+    return X.token_table(table(spark, sf_dir, "documents"), "doc_id", ["text"])
 
 
 def holds_sql(words: str, *terms: str) -> str:
@@ -104,10 +104,10 @@ def text_match(spark, sf_dir):
 
 @query(
     "text_match_all_terms",
-    f"SELECT doc_id, lang FROM documents WHERE {holds_sql(words_sql('text'), 'the', 'and', 'not')}",
+    f"SELECT doc_id, lang FROM documents WHERE {holds_sql(words_sql('text'), 'the', 'and', 'of')}",
 )
 def text_match_all_terms(spark, sf_dir):
-    return X.match(table(spark, sf_dir, "documents"), ["text"], "The and NOT").select(
+    return X.match(table(spark, sf_dir, "documents"), ["text"], "The and OF").select(
         "doc_id", "lang"
     )
 
@@ -155,7 +155,7 @@ def page_match(spark, sf_dir):
 )
 def match_offsets(spark, sf_dir):
     return X.match_offsets(
-        spread(table(spark, sf_dir, "pages")), "page_id", ["url", "html"], "example nich*"
+        table(spark, sf_dir, "pages"), "page_id", ["url", "html"], "example nich*"
     )
 
 
@@ -166,6 +166,6 @@ def match_offsets(spark, sf_dir):
 def index_search(spark, sf_dir):
     path = scratch_path(spark, "index")
     X.write_index(
-        X.token_table(spread(table(spark, sf_dir, "documents")), "doc_id", ["text"]), "doc_id", path
+        X.tokens(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id", path
     )
     return X.search_index(spark.read.parquet(path), "doc_id", "the and")

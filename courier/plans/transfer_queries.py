@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from courier.functions.frames import frame, frame_length
+from courier.operators import outcomes as O
 from courier.operators import transfer as T
 from courier.plans.inputs import event_packets, user_transactions
 from courier.plans.queue_queries import ORDER, QUEUE_SQL
@@ -100,16 +101,131 @@ def socket_manifest(spark, sf_dir):
     f"""WITH {FRAME_SQL}, {CRC_SQL}, {manifest_sql('fr')}
         SELECT transaction_id, checksum, server_checksum,
           CASE WHEN checksum = server_checksum THEN 12 ELSE 19 END AS response_code
-        FROM (SELECT *, CASE WHEN packets % 5 = 0 THEN xor(checksum, 1) ELSE checksum END
+        FROM (SELECT *, CASE WHEN packets % 7 = 0 THEN -1 WHEN packets % 7 = 1 THEN NULL
+                WHEN packets % 5 = 0 THEN xor(checksum, 1) ELSE checksum END
                 AS server_checksum FROM m)""",
 )
 def check_checksums(spark, sf_dir):
     sent = T.manifest(user_transactions(spark, sf_dir))
-    # The peer's answer: one bit of the checksum is wrong for every fifth size.
-    answer = F.when(F.col("packets") % 5 == 0, F.col("checksum").bitwiseXOR(F.lit(1))).otherwise(
+    return T.check_checksums(sent, O.parse_send_replies(send_replies(sent))).select(
+        "transaction_id", "checksum", "server_checksum", "response_code"
+    )
+
+
+def send_replies(sent):
+    """A reply per transaction: some with a wrong bit, some refused, and some not there."""
+    packets = F.col("packets")
+    answer = F.when(packets % 5 == 0, F.col("checksum").bitwiseXOR(F.lit(1))).otherwise(
         F.col("checksum")
     )
-    acknowledged = sent.select("transaction_id", answer.alias("server_checksum"))
-    return T.check_checksums(sent, acknowledged).select(
-        "transaction_id", "checksum", "server_checksum", "response_code"
+    return sent.where(packets % 7 != 1).select(
+        "transaction_id",
+        F.when(packets % 7 == 0, 503).when(packets % 2 == 0, 200).otherwise(202).alias("status"),
+        F.concat(answer.cast("string"), F.lit(" ok")).alias("body"),
+    )
+
+
+REPLIES_SQL = """
+replies AS (SELECT *, CASE WHEN packets % 7 = 0 THEN -1 WHEN packets % 5 = 0
+    THEN xor(checksum, 1) ELSE checksum END AS server_checksum FROM m WHERE packets % 7 <> 1)"""
+
+
+@query(
+    "send_replies",
+    f"""WITH {FRAME_SQL}, {CRC_SQL}, {manifest_sql('fr')}, {REPLIES_SQL}
+        SELECT transaction_id, server_checksum,
+          CASE WHEN packets % 7 = 0 THEN 1503 END::INTEGER AS error_code FROM replies""",
+)
+def parse_send_replies(spark, sf_dir):
+    return O.parse_send_replies(send_replies(T.manifest(user_transactions(spark, sf_dir))))
+
+
+RESULTS_SQL = f"""{REPLIES_SQL},
+results AS (
+  SELECT transaction_id,
+    CASE WHEN good AND packets % 11 <> 0 THEN 'TRANSACTION_COMPLETED' ELSE 'TRANSACTION_ERROR' END
+      AS state,
+    CAST(CASE WHEN NOT good THEN 19 WHEN packets % 11 <> 0 THEN 13 END AS INTEGER) AS response_code,
+    CASE WHEN good AND packets % 11 <> 0 THEN packets ELSE 0 END AS packets_transferred,
+    CASE WHEN good AND packets % 11 <> 0 THEN 'done' END AS message
+  FROM (SELECT m.*, coalesce(r.server_checksum = m.checksum, FALSE) AS good
+        FROM m LEFT JOIN replies r USING (transaction_id)))"""
+
+
+def results(spark, sf_dir):
+    """Manifests, the replies to them, and completion replies, of which some are broken."""
+    sent = T.manifest(user_transactions(spark, sf_dir))
+    checked = T.check_checksums(sent, O.parse_send_replies(send_replies(sent)))
+    body = F.format_string(
+        '{"flowFileSent":%d,"responseCode":13,"message":"done"}', F.col("packets")
+    )
+    body = F.when(F.col("packets") % 11 == 0, F.lit("{")).otherwise(body)
+    ended = O.parse_completion_replies(sent.select("transaction_id", body.alias("body")))
+    return O.transaction_results(checked, ended)
+
+
+@query(
+    "transaction_results",
+    f"WITH {FRAME_SQL}, {CRC_SQL}, {manifest_sql('fr')}, {RESULTS_SQL} SELECT * FROM results",
+)
+def transaction_results(spark, sf_dir):
+    return results(spark, sf_dir)
+
+
+@query(
+    "results_to_queue",
+    f"""WITH {FRAME_SQL}, {CRC_SQL}, {manifest_sql('fr')}, {RESULTS_SQL}
+        SELECT packet_id, CAST(NULL AS VARCHAR) AS transaction_id FROM fr JOIN results USING (transaction_id)
+        WHERE state <> 'TRANSACTION_COMPLETED'""",
+)
+def results_to_queue(spark, sf_dir):
+    """Replies to results to the queue: what did not complete is free again."""
+    after = O.apply_outcomes(user_transactions(spark, sf_dir), results(spark, sf_dir))
+    return after.select("packet_id", "transaction_id")
+
+
+DAMAGED_SQL = f"""{FRAME_SQL},
+bad AS (
+  SELECT packet_id, transaction_id, priority, created, packet_id % 4 = 1 AS unreadable,
+    CASE WHEN packet_id % 4 = 3 THEN frame_hex
+      ELSE '00000000' || substr(frame_hex, length(frame_hex) - 2 * n - 15) END AS frame_hex
+  FROM fr JOIN (SELECT packet_id, strlen(content) AS n FROM q) USING (packet_id))"""
+
+
+def damaged(spark, sf_dir):
+    """Packets in flight whose attributes are missing, no JSON, empty, or sound."""
+    number = F.col("packet_id") % 4
+    attributes = (
+        F.when(number == 1, F.lit("no json"))
+        .when(number == 2, F.lit("{}"))
+        .when(number == 3, F.col("attributes"))
     )
+    return user_transactions(spark, sf_dir).withColumn("attributes", attributes)
+
+
+@query("damaged_frames", f"WITH {DAMAGED_SQL} SELECT packet_id, unreadable, frame_hex FROM bad")
+def damaged_frames(spark, sf_dir):
+    rows = damaged(spark, sf_dir)
+    marks = rows.select("packet_id", T.unreadable(F.col("attributes")).alias("unreadable"))
+    return T.frames(rows).join(marks, "packet_id").select(
+        "packet_id", "unreadable", F.hex("frame").alias("frame_hex")
+    )
+
+
+@query(
+    "damaged_manifest",
+    f"""WITH {DAMAGED_SQL}, {CRC_SQL}, {manifest_sql('bad')}
+        SELECT transaction_id, packets, bytes, checksum FROM m""",
+)
+def damaged_manifest(spark, sf_dir):
+    return T.manifest(damaged(spark, sf_dir))
+
+
+@query(
+    "small_chunk_manifest",
+    f"""WITH {FRAME_SQL}, {CRC_SQL}, {manifest_sql('fr')}
+        SELECT transaction_id, packets, bytes, checksum FROM m""",
+)
+def small_chunk_manifest(spark, sf_dir):
+    """Transactions that span several range partitions."""
+    return T.manifest(user_transactions(spark, sf_dir), chunk_rows=2_000)

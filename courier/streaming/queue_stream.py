@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -83,22 +84,63 @@ def live_packets(rows: DataFrame, now_ms: Column | int | None = None) -> DataFra
     return rows.where(F.col("expires").isNull() | (F.col("expires") >= now))
 
 
+#: Time of day of rows that must not count as late: later than any watermark.
+_NEVER_LATE_MILLIS = 7_258_118_400_000
+_EXPIRED = "packet_id bigint, priority bigint, expires bigint"
+
+
 def expired_packets(rows: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """Packets of a stream of queue rows, each once its time is over.
 
-    The clock is the latest enqueue time seen, less ``delay``.  Each packet waits as state
-    under its own id, in a session that lasts until it expires; packets without an expiry
-    never end.  Use append mode.
+    The clock is the latest enqueue time seen, less ``delay``.  A packet waits as state under
+    its own id until the clock passes its expiry.  One that is over when it arrives, because
+    it is late or because its life is zero or negative, comes out at once, so every packet
+    with an expiry comes out exactly once.  Packets without one never do.  Rows that repeat an
+    id in one micro-batch count as one packet, with the latest expiry.  Use append mode.
     """
-    # A packet is over only after its expiry, hence one millisecond more.
-    life = F.concat((F.col("expires") - F.col("created") + 1).cast("string"), F.lit(" milliseconds"))
-    return (
-        rows.where(F.col("expires").isNotNull() & F.col("created").isNotNull())
+    clocked = (
+        rows.where(F.col("expires").isNotNull())
         .withColumn(
-            "created_at", F.timestamp_millis(F.col("created") + F.lit(REFERENCE_EPOCH_MILLIS))
+            "created_at",
+            F.timestamp_millis(
+                F.coalesce("created", F.lit(-REFERENCE_EPOCH_MILLIS)) + F.lit(REFERENCE_EPOCH_MILLIS)
+            ),
         )
         .withWatermark("created_at", delay)
-        .groupBy("packet_id", F.session_window("created_at", life))
-        .agg(F.first("priority").alias("priority"), F.first("expires").alias("expires"))
-        .select("packet_id", "priority", "expires")
+    )
+    # State operators drop rows whose event time lies before the watermark.  The clock has
+    # been read above; what goes on carries an event time that is never late.
+    timely = clocked.select(
+        "packet_id",
+        "priority",
+        "expires",
+        F.timestamp_millis(F.lit(_NEVER_LATE_MILLIS)).alias(
+            "event_time", metadata={"spark.watermarkDelayMs": 0}
+        ),
+    )
+
+    def step(key, frames, state):
+        clock = state.getCurrentWatermarkMs()
+        if state.hasTimedOut:
+            priority, expires = state.get
+            state.remove()
+        else:
+            arrived = pd.concat(frames).sort_values("expires").iloc[-1]
+            expires = int(arrived["expires"])
+            priority = None if pd.isna(arrived["priority"]) else int(arrived["priority"])
+            over = expires + REFERENCE_EPOCH_MILLIS + 1
+            if over > clock:
+                state.update((priority, expires))
+                state.setTimeoutTimestamp(over)
+                return
+        yield pd.DataFrame(
+            {
+                "packet_id": [key[0]],
+                "priority": pd.array([priority], dtype="Int64"),
+                "expires": [expires],
+            }
+        )
+
+    return timely.groupBy("packet_id").applyInPandasWithState(
+        step, _EXPIRED, "priority bigint, expires bigint", "append", "EventTimeTimeout"
     )

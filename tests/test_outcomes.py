@@ -17,7 +17,8 @@ def test_creation_reply(spark):
         "Content-Type": "application/json",
         "Location": url,
         "x-location-uri-intent": "transaction-url",
-        "x-peer-server-transaction-ttl": "30",
+        "other-server-transaction-ttl": "99",
+        "X-Peer-Server-Transaction-TTL": "30",
     }
     body = json.dumps({"flowFileSent": 0, "responseCode": 1, "message": "created"})
     without = {k: v for k, v in headers.items() if k != "x-location-uri-intent"}
@@ -31,7 +32,8 @@ def test_creation_reply(spark):
         ],
         "request_id int, status int, headers map<string,string>, body string",
     )
-    found = {r["request_id"]: r for r in O.parse_creation_replies(replies).collect()}
+    parsed = O.parse_creation_replies(replies, "x-peer-server-transaction-ttl")
+    found = {r["request_id"]: r for r in parsed.collect()}
     good = found[1]
     assert (good["transaction_id"], good["transaction_url"], good["server_ttl"]) == ("8966b23c", url, 30)
     assert (good["packets_sent"], good["response_code"], good["message"]) == (0, 1, "created")
@@ -42,6 +44,37 @@ def test_creation_reply(spark):
     assert found[4]["error_code"] == 1503
 
 
+def test_send_replies(spark):
+    replies = spark.createDataFrame(
+        [("a", 200, "123 x"), ("b", 202, "7"), ("c", 503, "9"), ("d", 200, None), ("e", None, "1")],
+        "transaction_id string, status int, body string",
+    )
+    rows = O.parse_send_replies(replies).orderBy("transaction_id").collect()
+    assert [tuple(r) for r in rows] == [
+        ("a", 123, None), ("b", 7, None), ("c", -1, 1503), ("d", 0, None), ("e", -1, None),
+    ]
+
+
+def test_transaction_results(spark):
+    checked = spark.createDataFrame(
+        [("a", 12, 0.0), ("b", 19, 0.0), ("c", 12, 0.0), ("d", 12, 0.0)],
+        "transaction_id string, response_code int, t double",
+    ).withColumn("started_at", F.timestamp_seconds("t"))
+    replies = spark.createDataFrame(
+        [("a", '{"flowFileSent":1,"responseCode":13,"message":"ok"}'),
+         ("b", '{"flowFileSent":1,"responseCode":13,"message":"ok"}'), ("c", "{")],
+        "transaction_id string, body string",
+    )
+    ended = O.parse_completion_replies(replies).withColumn("ended_at", F.timestamp_seconds(F.lit(2.5)))
+    rows = O.transaction_results(checked, ended).orderBy("transaction_id").collect()
+    assert [tuple(r) for r in rows] == [
+        ("a", "TRANSACTION_COMPLETED", 13, 1, "ok", 2.5),
+        ("b", "TRANSACTION_ERROR", 19, 0, None, None),
+        ("c", "TRANSACTION_ERROR", None, 0, None, None),
+        ("d", "TRANSACTION_ERROR", None, 0, None, None),
+    ]
+
+
 def test_completion_reply(spark):
     replies = spark.createDataFrame(
         [("a", '{"flowFileSent":3,"responseCode":14,"message":"full"}'), ("b", "x"),

@@ -31,17 +31,3 @@ def test_query(spark, con, name):
 def test_entry(spark):
     rows = entry.entry(spark)
     assert rows.columns[0] == "packet_id" and 0 < rows.count() <= 100
-
-
-def test_file_packets_are_whole_files(spark):
-    import glob
-    import os
-    import zlib
-
-    expected = {}
-    for path in glob.glob(f"{SF}/*.parquet"):
-        with open(path, "rb") as file:
-            body = file.read()
-        expected[os.path.basename(path)] = (len(body), 0, zlib.crc32(body))
-    rows = QUERIES["file_packets"](spark, SF).collect()
-    assert {r["file"]: tuple(r)[1:] for r in rows} == expected

@@ -150,12 +150,24 @@ def test_failover(spark, peers):
 
 
 def test_urls(spark):
-    df = spark.createDataFrame([("https://h.x:8443/a/b?q=1#f",), ("http://h",)], "u string")
+    df = spark.createDataFrame([("https://h.x:8443/a/b?q=1#f",), ("http://h",), ("http://me:pw@h:1/a",)], "u string")
     rows = df.select(
         U.base_url(F.col("u")), U.url_host(F.col("u")), U.url_port(F.col("u")),
         U.raw_url(F.col("u"), F.lit(99), "raw"), U.last_segment(F.lit("http://h/t/abc")),
     ).collect()
     assert [tuple(r) for r in rows] == [
-        ("https://h.x:8443?q=1#f", "h.x", 8443, "raw://h.x:99/a/b", "abc"),
+        ("https://h.x:8443?q=1#f", "h.x", 8443, "raw://h.x:99/a/b?q=1#f", "abc"),
         ("http://h", "h", None, "raw://h:99", "abc"),
+        ("http://me:pw@h:1", "h", 1, "raw://me:pw@h:99/a", "abc"),
     ]
+
+
+def test_refresh_documents(spark):
+    good, empty = '{"peers":[{"hostname":"n"}]}', '{"peers":[]}'
+    replies = spark.createDataFrame(
+        [("c", 0, "u0", None), ("c", 1, "u1", "x"), ("c", 2, "u2", good), ("c", 3, "u3", empty),
+         ("d", 0, "v0", empty), ("e", 0, "w0", "{}")],
+        "cluster string, position int, url string, body string",
+    )
+    rows = R.refresh_documents(replies).orderBy("cluster").collect()
+    assert [tuple(r) for r in rows] == [("c", "u2", good), ("d", "v0", empty)]

@@ -98,8 +98,8 @@ def test_functions(spark):
     assert (row["t"], row["n"], row["h"], row["one"]) == ("Creme brulee", None, 5.0, 4.0)
     assert bytes(row["odd"]) == b"\x01\xbb\x01\xdd\x01" and bytes(row["none"]) == b""
     for call, message in (
-        ("hypotenuse(NULL, NULL)", "Expected numeric"),
-        ("set_alternating_bytes(NULL)", "Expected blob"),
+        ("hypotenuse(NULL, NULL)", "hypotenuse needs a number"),
+        ("set_alternating_bytes(NULL)", "set_alternating_bytes needs bytes"),
     ):
         with pytest.raises(PySparkException, match=message):
             spark.sql(f"SELECT {call} AS x FROM range(1)").collect()

@@ -92,7 +92,20 @@ def test_checksum_check(spark):
     sent = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "transaction_id string, checksum bigint")
     answers = spark.createDataFrame([("a", 1), ("b", 9)], "transaction_id string, server_checksum bigint")
     found = {r["transaction_id"]: r["response_code"] for r in T.check_checksums(sent, answers).collect()}
-    assert found == {"a": 12, "b": 19}
+    assert found == {"a": 12, "b": 19, "c": 19}
+
+
+def test_unreadable_attributes_do_not_lose_the_packet(spark):
+    queue = spark.createDataFrame(
+        [(1, None, b"x"), (2, "no json", b"yz"), (3, "{}", None)],
+        "packet_id long, attributes string, content binary",
+    ).selectExpr("*", "0L AS priority", "0L AS created", "'t' AS transaction_id")
+    head = b"\0\0\0\0"
+    bodies = {n: head + len(c).to_bytes(8, "big") + c for n, c in ((1, b"x"), (2, b"yz"), (3, b""))}
+    assert {r["packet_id"]: bytes(r["frame"]) for r in T.frames(queue).collect()} == bodies
+    whole = b"".join(bodies[n] for n in (1, 2, 3))
+    row = T.manifest(queue).first()
+    assert (row["packets"], row["bytes"], row["checksum"]) == (3, len(whole), zlib.crc32(whole))
 
 
 def test_delivery_to_a_folder(spark, queue, packets, tmp_path):
