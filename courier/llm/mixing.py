@@ -175,7 +175,8 @@ def mixed_copies(
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     reached = F.col("before") + F.sum("n_tokens").over(within)
-    copies = F.col("epochs") + F.when(reached <= F.col("rest"), 1).otherwise(0)
+    in_prefix = (F.col("rest") > 0) & (reached <= F.col("rest"))
+    copies = F.col("epochs") + F.when(in_prefix, 1).otherwise(0)
     return (
         keyed.join(before, [*levels, "slice"])
         .withColumn("copies", copies.cast("bigint"))

@@ -192,8 +192,8 @@ placed AS (
                                 ROWS UNBOUNDED PRECEDING) AS reached
   FROM keyed)
 SELECT doc_id, domain, lang, source, n_tokens,
-       epochs + CASE WHEN reached <= rest THEN 1 ELSE 0 END AS copies
-FROM placed WHERE epochs + CASE WHEN reached <= rest THEN 1 ELSE 0 END > 0
+       epochs + CASE WHEN rest > 0 AND reached <= rest THEN 1 ELSE 0 END AS copies
+FROM placed WHERE epochs + CASE WHEN rest > 0 AND reached <= rest THEN 1 ELSE 0 END > 0
 """
 
 
@@ -211,8 +211,7 @@ WITH lines AS (
        unnest(range(1, len(l) + 1)) AS t(i)),
 sets AS (
   SELECT *, list_distinct(regexp_extract_all(
-           translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[^\x20\x09-\x0D]+')) AS words
+           lower(line), '[^\x20\x09-\x0D]+')) AS words
   FROM lines),
 filled AS (
   SELECT doc_id, line_no, words, len(words) AS n, row_number() OVER (ORDER BY doc_id, line_no) AS id
