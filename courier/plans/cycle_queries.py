@@ -167,7 +167,7 @@ def stream_enqueue(spark, sf_dir):
 def stream_status(spark, sf_dir):
     path = scratch_path(spark, "status")
     _streamed(spark, sf_dir, status_path=path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).withColumn("batch", F.col("batch").cast("bigint"))
 
 
 @query("stream_process", f"WITH {QUEUE_SQL}, {BATCH_SQL} SELECT {UNNUMBERED} FROM b WHERE NOT taken")

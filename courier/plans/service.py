@@ -64,13 +64,17 @@ class QueueService:
     def process(self, now_ms: int, transaction_id: str, deliver: Deliver) -> DataFrame:
         """Clean up, send the next batch, acknowledge or release it, report.
 
-        An empty queue sends nothing.  Only a completed transaction is acknowledged: any
+        An empty queue sends nothing.  A transaction id used before takes no new batch:
+        what it still holds is sent again, and once acknowledged nothing is.  Only a completed transaction is acknowledged: any
         other state, and any error, frees its packets and raises.
         """
+        kind = self.store.transaction_kind(transaction_id)
+        if kind == "ended":
+            return self.status()
         self.store.clean_up(self.config, now_ms)
         if not Q.has_packets(self.store.queue()):
             return self.status()
-        taken = self.store.assign(
+        taken = kind == "open" or self.store.assign(
             transaction_id, self.config.batch_packets, self.config.batch_bytes
         )
         if taken:

@@ -31,19 +31,27 @@ def deliver_to_folder(batch: DataFrame, path: str) -> DataFrame:
     """Write the frames and the manifest of packets in flight; gives the manifest.
 
     Frames lie in send order under ``frames/transaction_id=…``.  A transaction is spread
-    over files by its send order, so a large one does not pass through one task.
+    over files by its send order, so a large one does not pass through one task.  Sent again,
+    a transaction takes the place of what was written of it before.
     """
     held = batch.persist()  # read several times; spills to disk, and can be recomputed
     try:
         by_transaction = frames(held).repartitionByRange("transaction_id", *send_order())
         (
             by_transaction.sortWithinPartitions("transaction_id", *send_order())
-            .write.mode("append")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy("transaction_id")
             .parquet(f"{path}/frames")
         )
         summary = materialise(manifest(held), "manifest")
-        summary.write.mode("append").parquet(f"{path}/manifests")
+        (
+            summary.withColumn("sent_as", F.col("transaction_id"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("sent_as")
+            .parquet(f"{path}/manifests")
+        )
     finally:
         held.unpersist()
     return summary

@@ -8,15 +8,22 @@ A write puts its files into a new folder and then adds the commit row.  Folders
 commit names are not read, so a write that fails halfway changes nothing.  The queue is
 a view over the three.  Assigning, releasing and acknowledging packets write their ids,
 never their payloads.  A clean-up writes no rows at all: its commit holds the time and
-the cut, and the view filters older rows by them.  One writer at a time.
+the cut, and the view filters older rows by them.
+
+Writers in one driver take turns by a lock for each folder.  A commit is written under its
+version and never overwrites one, so of two drivers that write at the same time the slower
+fails, and what it wrote is not read.
 """
 
 from __future__ import annotations
 
+import functools
+import threading
 import uuid
+from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +31,7 @@ from courier.config import QueueConfig
 from courier.operators import queue as Q
 from courier.operators.order import SEND_ORDER, Cut, send_key
 from courier.schema import QUEUE_COLUMNS, QUEUE_SCHEMA
+from courier.sources.scratch import materialise
 
 COMMIT_SCHEMA = (
     "version bigint, kind string, folder string, next_id bigint, source string, "
@@ -34,6 +42,20 @@ PACKET_SCHEMA = T.StructType([*QUEUE_SCHEMA.fields, T.StructField("added", T.Lon
 CHANGE_SCHEMA = "packet_id bigint, transaction_id string, removed boolean, version bigint"
 
 
+_locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
+
+
+def _one_at_a_time(write):
+    """Let writers of the same folder take turns."""
+
+    @functools.wraps(write)
+    def run(self, *args, **options):
+        with _locks[self.path]:
+            return write(self, *args, **options)
+
+    return run
+
+
 class QueueStore:
     """A packet queue in a folder that driver and executors share."""
 
@@ -43,6 +65,7 @@ class QueueStore:
 
     # --- commits --------------------------------------------------------------------
 
+    @_one_at_a_time
     def create(self) -> "QueueStore":
         """Create the queue if it is not there yet."""
         if not self._commits():
@@ -72,7 +95,7 @@ class QueueStore:
             F.lit(trim and trim.now_ms).cast("bigint").alias("now_ms"),
             (F.lit(None) if cut is None else cut).cast("array<bigint>").alias("cut"),
         )
-        row.write.mode("append").json(f"{self.path}/commits")
+        row.drop("version").write.mode("errorifexists").json(f"{self.path}/commits/version={version}")
 
     def _log(self) -> list:
         commits = self._commits()
@@ -159,6 +182,7 @@ class QueueStore:
 
     # --- writing --------------------------------------------------------------------
 
+    @_one_at_a_time
     def append(
         self,
         rows: DataFrame,
@@ -169,27 +193,51 @@ class QueueStore:
         """Add queue rows, all or none; their ids follow all ids given before.
 
         Ids rise in the order of ``order_by``, or in the order in which Spark reads the
-        rows.  They are distinct but have gaps.  With ``source``, a batch that was
+        rows, one by one without gaps.  With ``source``, a batch that was
         committed before is skipped, and the result is ``False``.
         """
         commits = self._log()
         if source is not None and any(r["source"] == source for r in commits):
             return False
         base = commits[-1]["next_id"]
-        # A sort leaves partitions in order, and the generated id rises with the partition.
+        # A sort leaves partitions in order.  Rows are numbered inside their partition, and
+        # the sizes of the partitions before it are added.
         ordered = rows.orderBy(*order_by) if order_by else rows
         version = commits[-1]["version"] + 1
-        numbered = ordered.withColumn(
-            "packet_id", F.monotonically_increasing_id() + F.lit(base)
-        ).select(*QUEUE_COLUMNS, F.lit(version).cast("bigint").alias("added"))
+        placed = materialise(
+            ordered.withColumn("_part", F.spark_partition_id()).withColumn(
+                "_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+            ),
+            "append",
+        )
+        sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+        earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select(
+            "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
+        )
+        numbered = (
+            placed.join(offsets, "_part")
+            .withColumn("packet_id", F.col("_offset") + F.col("_place") + F.lit(base))
+            .select(*QUEUE_COLUMNS, F.lit(version).cast("bigint").alias("added"))
+        )
         folder = f"packets/{uuid.uuid4().hex}"
         numbered.write.mode("errorifexists").parquet(f"{self.path}/{folder}")
         written = self.spark.read.schema(PACKET_SCHEMA).parquet(f"{self.path}/{folder}")
-        last = written.agg(F.max("packet_id").alias("m")).first()["m"]
-        next_id = base if last is None else last + 1
-        self._commit(version, "packets", folder, next_id, source)
+        self._commit(version, "packets", folder, base + written.count(), source)
         return True
 
+    def transaction_kind(self, transaction_id: str) -> str | None:
+        """``open`` if packets are in flight, ``ended`` if some were acknowledged, else ``None``."""
+        commits = self._log()
+        if not self._in_transaction(transaction_id, commits).isEmpty():
+            return "open"
+        folders = [f"{self.path}/{r['folder']}" for r in commits if r["kind"] == "changes"]
+        if not folders:
+            return None
+        log = self.spark.read.schema(CHANGE_SCHEMA).parquet(*folders)
+        sent = log.where((F.col("transaction_id") == transaction_id) & F.col("removed"))
+        return None if sent.isEmpty() else "ended"
+
     def _change(self, commits: list, rows: DataFrame) -> int:
         """Record ``packet_id, transaction_id, removed``; gives the number of rows."""
         version = commits[-1]["version"] + 1
@@ -211,6 +259,7 @@ class QueueStore:
             F.lit(removed).alias("removed"),
         )
 
+    @_one_at_a_time
     def assign(
         self, transaction_id: str, count_limit: int | None, byte_limit: int | None, **search
     ) -> int:
@@ -219,16 +268,19 @@ class QueueStore:
         chosen = Q.batch(self.queue(commits), count_limit, byte_limit, **search)
         return self._change(commits, self._changes(chosen, F.lit(transaction_id), False))
 
+    @_one_at_a_time
     def acknowledge(self, transaction_id: str) -> int:
         commits = self._log()
         mine = self._in_transaction(transaction_id, commits)
-        return self._change(commits, self._changes(mine, F.lit(None), True))
+        return self._change(commits, self._changes(mine, F.lit(transaction_id), True))
 
+    @_one_at_a_time
     def release(self, transaction_id: str) -> int:
         commits = self._log()
         mine = self._in_transaction(transaction_id, commits)
         return self._change(commits, self._changes(mine, F.lit(None), False))
 
+    @_one_at_a_time
     def clean_up(self, config: QueueConfig, now_ms: int, **search) -> int:
         """Age off and trim; the number of packets removed."""
         commits = self._log()
@@ -243,6 +295,7 @@ class QueueStore:
             self._commit(last["version"] + 1, "trim", None, last["next_id"], trim=trim)
         return gone
 
+    @_one_at_a_time
     def compact(self) -> None:
         """Write the queue as it stands as a new base, so that reads skip what came before."""
         commits = self._log()

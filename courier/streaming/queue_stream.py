@@ -71,9 +71,8 @@ def process_stream(
 
 
 def append_status(status: DataFrame, number: int, path: str) -> None:
-    status.select(F.lit(number).cast("bigint").alias("batch"), "*").coalesce(1).write.mode(
-        "append"
-    ).parquet(path)
+    """Write the status of a micro-batch; a replay takes the place of the first write."""
+    status.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
 
 def live_packets(rows: DataFrame, now_ms: Column | int | None = None) -> DataFrame:

@@ -45,8 +45,48 @@ def test_append_keeps_order_across_appends_and_handles(spark, store):
     other = QueueStore(spark, store.path).create()
     other.append(rows(spark, 10, 20), order_by=["attributes"])
     assert numbers(store.queue()) == list(range(20))
-    ids = [r["packet_id"] for r in store.queue().collect()]
-    assert len(set(ids)) == 20 and min(ids) > 0
+    ids = [r["packet_id"] for r in store.queue().orderBy("packet_id").collect()]
+    assert ids == list(range(1, 21))
+
+
+def test_overlapping_handles_give_no_id_twice(spark, store):
+    import threading
+
+    def write(n):
+        other = QueueStore(spark, store.path)
+        for i in range(2):
+            other.append(rows(spark, 10 * n + 5 * i, 10 * n + 5 * i + 5))
+
+    threads = [threading.Thread(target=write, args=(n,)) for n in range(3)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    ids = sorted(r["packet_id"] for r in store.queue().collect())
+    assert ids == list(range(1, 31)) and sorted(numbers(store.queue())) == list(range(30))
+
+
+def test_a_commit_is_never_overwritten(spark, store):
+    store.append(rows(spark, 0, 3))
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        store._commit(store.version(), "packets", "packets/other", 99)
+    assert numbers(store.queue()) == [0, 1, 2]
+
+
+def test_a_replayed_transaction_takes_no_second_batch(spark, store, tmp_path):
+    service = QueueService(store, CONFIG)
+    service.enqueue(packets(spark, 0, 10), NOW, order_by=["n"])
+    deliver = folder_delivery(str(tmp_path / "out"))
+    store.assign("t0", 4, None)  # as after a crash before the acknowledgement
+    for _ in range(2):
+        service.process(NOW, "t0", deliver)
+    sent = spark.read.parquet(str(tmp_path / "out/manifests")).collect()
+    assert [(r["transaction_id"], r["packets"]) for r in sent] == [("t0", 4)]
+    assert store.queue().count() == 6
+    with pytest.raises(DeliveryFailed):
+        service.process(NOW, "t1", lambda batch, _: "TRANSACTION_ERROR")
+    service.process(NOW, "t1", deliver)  # a failed one may be tried again
+    assert store.queue().count() == 2
 
 
 def test_missing_queue(spark, tmp_path):
@@ -180,7 +220,7 @@ def test_streams(spark, store, tmp_path):
     fill("b")  # a lost checkpoint replays the batches under their old numbers
     assert numbers(store.queue()) == first
     counts = [r["queued_packets"] for r in spark.read.parquet(status).orderBy("batch").collect()]
-    assert sorted(counts) == [20, 40, 50, 50, 50, 50]
+    assert counts == [50, 50, 50]  # a replay's status takes the place of the first
 
     drained(
         process_stream(
