@@ -10,7 +10,9 @@ grams need to be compared; an anchor serves about 35 windows in a row, and toget
 its context.  Grams that occur once in the corpus cannot anchor a repeat.  A bitmap of
 fixed size lets the others through; what it lets through needlessly costs time only.
 
-Equal contexts are settled by an aggregate: all but the first repeat an earlier one.
+Contexts are dealt out by gram and sorted, so that equal ones follow each other: all but the
+first repeat an earlier one.  That takes hashes and places; the bytes of a context are read
+again only where a gram has several different ones.
 
 Different contexts of one gram share some of their windows at most.  These are found column
 by column: round by round one more symbol of every context of the collection is taken in,
@@ -101,13 +103,34 @@ def _numbered(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     text = text_of(text_column)
     return docs.select(
         F.coalesce(F.col(id_column).cast("bigint"), F.lit(-(1 << 63))).alias("id"),
-        F.xxhash64(text).alias("h"),
+        F.hash(text).alias("h"),
         text.alias("text"),
     )
 
 
-def _repeated_bitmap(rows: DataFrame, length: int) -> np.ndarray:
-    """Bits of grams that anchor more than once, by hash; of a fixed size."""
+def _bitmap(slots: DataFrame) -> np.ndarray:
+    """Bits of the bigint column ``slot``, of a fixed size whatever the input."""
+    slot = F.col("slot").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    bit = F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int")
+    )
+    words = slots.groupBy(F.shiftright(slot, 6).cast("int").alias("word")).agg(
+        F.bit_or(bit).alias("bits")
+    )
+    got = words.toArrow()  # at most 2 ** (BITMAP_BITS - 6) rows
+    bitmap = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.int64)
+    bitmap[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    return bitmap.view(np.uint64)
+
+
+def _is_set(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    slot = slots & np.uint64((1 << BITMAP_BITS) - 1)
+    word = bitmap[(slot >> np.uint64(6)).astype(np.int64)]
+    return (word >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _repeated_grams(rows: DataFrame, length: int) -> np.ndarray:
+    """The bitmap of grams that anchor more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,70 +143,144 @@ def _repeated_bitmap(rows: DataFrame, length: int) -> np.ndarray:
 
     counted = rows.select("text").mapInArrow(run, "gram bigint, n bigint")
     repeated = counted.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1")
-    slot = F.col("gram").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-    bit = F.call_function(
-        "shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63)).cast("int")
-    )
-    words = repeated.groupBy(F.shiftright(slot, 6).cast("int").alias("word")).agg(
-        F.bit_or(bit).alias("bits")
-    )
-    got = words.toArrow()  # at most 2 ** (BITMAP_BITS - 6) rows
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.int64)
-    bitmap[got.column("word").to_numpy()] = got.column("bits").to_numpy()
-    return bitmap.view(np.uint64)
+    return _bitmap(repeated.select(F.col("gram").alias("slot")))
+
+
+def _place_slots(ids: np.ndarray, h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Slots of a context by its document and first window."""
+    word = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    word = _mix(word ^ h.astype(np.int64).view(np.uint64))
+    return _mix(word * np.uint64(0x94D049BB133111EB) + starts.astype(np.int64).view(np.uint64))
+
+
+#: Columns of a context; ``start`` is the first window's, ``place`` the gram's distance from it.
+_CONTEXT = "id bigint, h int, gram bigint, place int, start bigint, windows int"
+
+
+def _anchored(batch: pa.RecordBatch, length: int, keep) -> tuple[list, list[bytes]]:
+    """Columns of the contexts in ``id, h, text`` rows that ``keep`` lets through; bytes."""
+    columns, pieces = [], []
+    ids = batch.column(0).to_numpy()
+    hashes = batch.column(1).to_numpy()
+    for number, text in enumerate(batch.column(2).to_pylist()):
+        raw = text.encode()
+        gram, at, first, count = anchors(raw, length)
+        kept = keep(np.full(gram.size, ids[number]), np.full(gram.size, hashes[number]), gram, first)
+        gram, at, first, count = gram[kept], at[kept], first[kept], count[kept]
+        columns.append((np.full(gram.size, number), gram, at - first, first, count))
+        ends = (first + count + length - 1).tolist()
+        pieces += [raw[a:b] for a, b in zip(first.tolist(), ends)]
+    number, gram, place, first, count = (np.concatenate(c) for c in zip(*columns))
+    return [
+        pa.array(ids[number], pa.int64()),
+        pa.array(hashes[number], pa.int32()),
+        pa.array(gram.view(np.int64)),
+        pa.array(place.astype(np.int32)),
+        pa.array(first, pa.int64()),
+        pa.array(count.astype(np.int32)),
+    ], pieces
 
 
 def _contexts(rows: DataFrame, length: int) -> DataFrame:
-    """``id, h, gram, place, start, windows, context_hash, context`` of possible repeats.
-
-    ``start`` is the first window's, ``place`` the gram's distance from it.
-    """
-    bitmap = rows.sparkSession.sparkContext.broadcast(_repeated_bitmap(rows, length))
+    """Possible repeats, each with the hash of its bytes."""
+    bitmap = rows.sparkSession.sparkContext.broadcast(_repeated_grams(rows, length))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        keep = lambda ids, h, gram, first: _is_set(bitmap.value, gram)
         for batch in batches:
-            columns = []
-            for number, text in enumerate(batch.column(2).to_pylist()):
-                raw = text.encode()
-                gram, at, first, count = anchors(raw, length)
-                slot = gram & np.uint64((1 << BITMAP_BITS) - 1)
-                word = bitmap.value[(slot >> np.uint64(6)).astype(np.int64)]
-                kept = (word >> (slot & np.uint64(63))) & np.uint64(1) == 1
-                gram, at, first, count = gram[kept], at[kept], first[kept], count[kept]
-                ends = (first + count + length - 1).tolist()
-                pieces = [raw[a:b] for a, b in zip(first.tolist(), ends)]
-                columns.append((np.full(gram.size, number), gram, at - first, first, count, pieces))
-            if not columns:
+            if batch.num_rows:
+                columns, pieces = _anchored(batch, length, keep)
+                hashed = np.array([xxhash.xxh64_intdigest(p) for p in pieces], dtype=np.uint64)
+                columns.append(pa.array(hashed.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    columns, names=["id", "h", "gram", "place", "start", "windows", "hash"]
+                )
+
+    return rows.mapInArrow(run, f"{_CONTEXT}, hash bigint")
+
+
+def _settled(contexts: DataFrame) -> DataFrame:
+    """Copies of contexts, and the first of each where a gram has several different ones.
+
+    ``different`` is 0 for a copy, else the number of different contexts of its gram.  Rows
+    come sorted; what is held between batches are the first contexts of one gram.
+    """
+    names = ["gram", "place", "hash", "id", "h", "start", "windows"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            number, gram, place, first, count = (
-                np.concatenate([c[i] for c in columns]) for i in range(5)
-            )
-            pieces = [p for c in columns for p in c[5]]
-            hashed = np.array([xxhash.xxh64_intdigest(p) for p in pieces], dtype=np.uint64)
-            rows_of = pa.array(number)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(rows_of),
-                    batch.column(1).take(rows_of),
-                    pa.array(gram.view(np.int64)),
-                    pa.array(place.astype(np.int32)),
-                    pa.array(first),
-                    pa.array(count.astype(np.int32)),
-                    pa.array(hashed.view(np.int64)),
-                    pa.array(pieces, pa.binary()),
-                ],
-                names=["id", "h", "gram", "place", "start", "windows", "context_hash", "context"],
+            rows = [batch.column(i).to_numpy() for i in range(len(names))]
+            if held is not None:
+                rows = [np.concatenate(pair) for pair in zip(held, rows)]
+            gram, place, hashed, ids, h, start, _ = rows
+            new = np.ones(gram.size, dtype=bool)
+            new[1:] = (
+                (gram[1:] != gram[:-1]) | (place[1:] != place[:-1]) | (hashed[1:] != hashed[:-1])
             )
+            first = np.flatnonzero(new)
+            of = first[np.cumsum(new) - 1]
+            # The same place again is a row repeated in the input, not a copy.
+            copy = ~new & ((ids != ids[of]) | (h != h[of]) | (start != start[of]))
+            last = gram[first] == gram[-1]
+            yield out(rows, np.flatnonzero(copy), np.zeros(int(copy.sum()), dtype=np.int32))
+            yield grown(rows, first[~last])
+            held = [column[first[last]] for column in rows]
+        if held is not None:
+            yield grown(held, np.arange(held[0].size))
+
+    def grown(rows: list, firsts: np.ndarray) -> pa.RecordBatch:
+        _, group, n = np.unique(rows[0][firsts], return_inverse=True, return_counts=True)
+        several = n[group] > 1
+        return out(rows, firsts[several], n[group][several].astype(np.int32))
+
+    def out(rows: list, at: np.ndarray, different: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array(rows[names.index(c)][at]) for c in ("id", "h", "gram", "start", "windows")]
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array(different)],
+            names=["id", "h", "gram", "start", "windows", "different"],
+        )
 
-    return rows.mapInArrow(
-        run,
-        "id bigint, h bigint, gram bigint, place int, start bigint, windows int, "
-        "context_hash bigint, context binary",
+    return (
+        contexts.select(*names)
+        .repartition("gram")
+        .sortWithinPartitions("gram", "place", "hash", "id", "h", "start")
+        .mapInArrow(run, "id bigint, h int, gram bigint, start bigint, windows int, different int")
     )
 
 
+def _with_bytes(rows: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
+    """The contexts of ``firsts`` with their bytes, read once more.
+
+    A few others come along, as the bitmap of places has no more than its fixed size;
+    they are contexts like any other.
+    """
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = _place_slots(*(batch.column(i).to_numpy() for i in range(3)))
+            yield pa.RecordBatch.from_arrays([pa.array(slot.view(np.int64))], names=["slot"])
+
+    places = firsts.select("id", "h", "start").mapInArrow(slots, "slot bigint")
+    bitmap = rows.sparkSession.sparkContext.broadcast(_bitmap(places))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = lambda ids, h, gram, first: _is_set(bitmap.value, _place_slots(ids, h, first))
+        for batch in batches:
+            if batch.num_rows:
+                columns, pieces = _anchored(batch, length, keep)
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(pieces, pa.binary())],
+                    names=["id", "h", "gram", "place", "start", "windows", "context"],
+                )
+
+    return rows.mapInArrow(run, f"{_CONTEXT}, context binary")
+
+
 def _refine(classes: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     """Places in the order after one more symbol; -1 for contexts that stand alone.
 
@@ -259,6 +356,13 @@ def _spans_of_contexts(contexts: DataFrame, length: int) -> DataFrame:
         order = table.append_column(
             "gram_at", pa.array(table["start"].to_numpy() + table["place"].to_numpy())
         ).sort_by([("id", "ascending"), ("h", "ascending"), ("gram_at", "ascending")])
+        # A row repeated in the input is one document.
+        same = np.zeros(order.num_rows, dtype=bool)
+        same[1:] = True
+        for name in ("id", "h", "gram_at"):
+            column = order[name].to_numpy()
+            same[1:] &= column[1:] == column[:-1]
+        order = order.filter(pa.array(~same))
         places = order["place"].to_numpy().astype(np.int64)
         found = repeated_windows(
             order["gram"].to_numpy(), places, order["context"].to_pylist(), length
@@ -268,7 +372,7 @@ def _spans_of_contexts(contexts: DataFrame, length: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(taken["id"].to_numpy(), pa.int64()),
-                pa.array(taken["h"].to_numpy(), pa.int64()),
+                pa.array(taken["h"].to_numpy(), pa.int32()),
                 pa.array(low, pa.int64()),
                 pa.array(high, pa.int64()),
             ],
@@ -299,7 +403,7 @@ def _spans_of_contexts(contexts: DataFrame, length: int) -> DataFrame:
         contexts.select("gram", "id", "h", "place", "start", "context")
         .repartition("gram")
         .sortWithinPartitions("gram")
-        .mapInArrow(run, "id bigint, h bigint, low bigint, high bigint")
+        .mapInArrow(run, "id bigint, h int, low bigint, high bigint")
     )
 
 
@@ -334,36 +438,24 @@ def repeated_spans(
 ) -> DataFrame:
     """``id, h, low, high``: byte ranges that repeat; they may overlap."""
     rows = _numbered(docs, id_column, text_column)
-    contexts = materialise(_contexts(rows, length), "contexts")
-    keys = ["gram", "place", "context_hash"]
-    at = F.struct("id", "h", "start")
-    # The first of equal contexts, and how many there are.
-    firsts = contexts.groupBy(*keys).agg(F.min(at).alias("first"), F.count("*").alias("n"))
-    marked = contexts.select("id", "h", "start", "windows", *keys)
-    copies = (
-        marked.join(firsts.where("n > 1"), keys)
-        .where(at != F.col("first"))
-        .select(
-            "id", "h", F.col("start").alias("low"), (F.col("start") + F.col("windows") + (length - 1)).alias("high")
-        )
-    )
-    several = (
-        firsts.groupBy("gram").agg(F.count("*").alias("different")).where("different > 1")
+    settled = materialise(_settled(_contexts(rows, length)), "settled-contexts")
+    end = F.col("start") + F.col("windows") + (length - 1)
+    copies = settled.where("different = 0").select(
+        "id", "h", F.col("start").alias("low"), end.alias("high")
     )
-    chosen = firsts.join(several, "gram").select(
-        F.col("first.id").alias("id"),
-        F.col("first.h").alias("h"),
-        F.col("first.start").alias("start"),
-        "different",
-        *keys,
+    firsts = settled.where("different > 0")
+    contexts = _with_bytes(rows, firsts, length)
+    large_grams = materialise(
+        firsts.where(F.col("different") > most_contexts).select("gram").distinct(), "large-grams"
     )
-    different = materialise(
-        contexts.join(chosen, ["id", "h", "start", *keys]).dropDuplicates(["id", "h", "start", *keys]),
-        "different-contexts",
+    if large_grams.isEmpty():
+        return copies.unionByName(_spans_of_contexts(contexts, length))
+    small = contexts.join(large_grams, "gram", "left_anti")
+    large = contexts.join(large_grams, "gram", "left_semi")
+    return (
+        copies.unionByName(_spans_of_contexts(small, length))
+        .unionByName(_spans_of_large_grams(large, length))
     )
-    small = _spans_of_contexts(different.where(F.col("different") <= most_contexts), length)
-    large = _spans_of_large_grams(different.where(F.col("different") > most_contexts), length)
-    return copies.unionByName(small).unionByName(large)
 
 
 def _merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
