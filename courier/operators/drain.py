@@ -8,19 +8,18 @@ one task:
 2. each range partition works out, for every place a batch arriving from earlier
    partitions could end in it, where the chain leaves the partition; neighbouring places
    that leave alike are merged, so a partition reports a few short rows;
-3. one short walk over these reports finds where the chain really enters each partition;
+3. the reports of ``fan`` neighbouring partitions are combined into one, those again, and so
+   on up to a single report; going back down, the place where the chain enters is worked out
+   for each group and then for each partition in it, ``fan`` of them per task;
 4. each partition numbers its batches from there.
 
-With the usual limits a partition of a million rows reports at most a hundred.  Reports
-grow when batches are nearly as large as partitions.  Their number is checked: beyond
-``REPORT_ROWS`` the walk instead looks up the end of each batch in the one partition that
-holds it, which takes a small job per batch, and such batches are few.
+A report has a row per place only as long as places leave unlike each other; with the usual
+limits a partition of a million rows reports at most a hundred, and combining keeps reports
+about as short, since chains that meet never part again.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,8 +29,8 @@ from courier.operators.order import CHUNK_ROWS, SEND_ORDER, running_totals
 from courier.operators.queue import unassigned
 from courier.sources.scratch import materialise
 
-#: Report rows that one task may walk over.
-REPORT_ROWS = 10_000_000
+#: Neighbouring reports that one task combines.
+FAN = 64
 
 _FIELDS = ["chunk", "place", "last_row", "last_byte", "open_row", "open_byte", "batches"]
 _REPORT = "chunk int, " + ", ".join(f"{f} bigint" for f in _FIELDS[1:])
@@ -45,7 +44,7 @@ def drain_plan(
     byte_limit: int | None = None,
     *,
     chunk_rows: int = CHUNK_ROWS,
-    report_rows: int = REPORT_ROWS,
+    fan: int = FAN,
 ) -> DataFrame:
     """``packet_id, send_position, running_bytes, batch`` of every unassigned packet.
 
@@ -78,15 +77,9 @@ def drain_plan(
         placed.groupBy("chunk").applyInPandas(lambda rows: _report(rows, *limits), _REPORT),
         "drain-reports",
     )
-    if reports.count() <= report_rows:
-        entries = reports.groupBy(F.lit(0).alias("all")).applyInPandas(
-            lambda found: _walk(found, *limits), _ENTRY
-        )
-    else:
-        entries = _look_up_entries(placed, *limits)
-    # One row per chunk, that is one per million packets.
+    entries = _entries(reports, fan, *limits)
     return (
-        placed.join(F.broadcast(entries), "chunk")
+        placed.join(entries, "chunk")
         .groupBy("chunk")
         .applyInPandas(
             lambda rows: _number(rows, *limits),
@@ -95,6 +88,37 @@ def drain_plan(
     )
 
 
+def _entries(reports: DataFrame, fan: int, count_limit: int, byte_limit: int) -> DataFrame:
+    """Per chunk: the batch open on entry, and how many batches ended before it."""
+    group = F.expr(f"cast(chunk div {int(fan)} as int)").alias("group")
+    levels = [reports]
+    while (levels[-1].agg(F.max("chunk")).first()[0] or 0) > 0:
+        grouped = levels[-1].withColumn("group", group)
+        combined = grouped.groupBy("group").applyInPandas(
+            lambda found: _combined(found, count_limit, byte_limit), _REPORT
+        )
+        levels.append(materialise(combined, "drain-reports"))
+    spark = reports.sparkSession
+    entries = spark.range(1).selectExpr(
+        "cast(0 as int) AS chunk", "1L AS open_row", "0L AS open_byte", "0L AS done"
+    )
+    for level in reversed(levels[:-1]):
+        given = entries.select(
+            F.col("chunk").alias("group"),
+            F.col("open_row").alias("in_row"),
+            F.col("open_byte").alias("in_byte"),
+            F.col("done").alias("in_done"),
+        )
+        walked = (
+            level.withColumn("group", group)
+            .join(given, "group")
+            .groupBy("group")
+            .applyInPandas(lambda found: _walk(found, count_limit, byte_limit), _ENTRY)
+        )
+        entries = materialise(walked, "drain-entries")
+    return entries
+
+
 def _ends(rows: pd.DataFrame, count_limit: int, byte_limit: int):
     """Sorted positions and bytes of a chunk, and where a batch starting at each row ends.
 
@@ -121,16 +145,19 @@ def _report(rows: pd.DataFrame, count_limit: int, byte_limit: int) -> pd.DataFra
     rows, position, upto, ends = _ends(rows, count_limit, byte_limit)
     n = len(rows)
     before = upto - rows["size"].to_numpy(np.int64)
-    # Index n stands for a batch that starts with the next chunk.
-    open_row = position.tolist() + [int(position[-1]) + 1]
-    open_byte = before.tolist() + [int(upto[-1])]
-    batches = [0] * (n + 1)
-    stops = ends.tolist()
-    for i in range(n - 1, -1, -1):
-        following = stops[i] + 1
-        if following <= n:
-            open_row[i], open_byte[i] = open_row[following], open_byte[following]
-            batches[i] = batches[following] + 1
+    # Index n stands for a batch that starts with the next chunk.  Each start leads to the
+    # start after its batch; the last one leads to itself.  Doubling finds it for all.
+    after = np.r_[ends + 1, n]
+    leads = np.where(after <= n, after, np.arange(n + 1))
+    batches = (leads != np.arange(n + 1)).astype(np.int64)
+    while True:
+        further = leads[leads]
+        if (further == leads).all():
+            break
+        batches = batches + batches[leads]
+        leads = further
+    open_row = np.r_[position, position[-1] + 1][leads]
+    open_byte = np.r_[before, upto[-1]][leads]
     # A batch open on entry began earlier, so it ends within these first rows.
     window = int(np.searchsorted(upto, before[0] + byte_limit, side="left")) + 1
     window = min(n, window, count_limit)
@@ -141,13 +168,12 @@ def _report(rows: pd.DataFrame, count_limit: int, byte_limit: int) -> pd.DataFra
             "last_byte": upto[:window],
             "open_row": open_row[1 : window + 1],
             "open_byte": open_byte[1 : window + 1],
-            "batches": np.array(batches[1 : window + 1], np.int64) + 1,
+            "batches": batches[1 : window + 1] + 1,
         }
     )
     if count_limit == _NO_LIMIT:  # an empty packet never reaches a byte limit
         found = found[upto[:window] > before[:window]]
-    alike = found[["open_row", "batches"]]
-    found = found[~(alike == alike.shift(-1)).all(axis=1)]
+    found = _merged(found)
     start = pd.DataFrame(
         {
             "place": [0],
@@ -161,63 +187,62 @@ def _report(rows: pd.DataFrame, count_limit: int, byte_limit: int) -> pd.DataFra
     return pd.concat([start, found], ignore_index=True).assign(chunk=rows["chunk"].iloc[0])[_FIELDS]
 
 
-def _walk(found: pd.DataFrame, count_limit: int, byte_limit: int) -> pd.DataFrame:
-    """Per chunk: the batch open on entry, and how many batches ended before it."""
-    found = found.sort_values(["chunk", "place"])
-    chunk = found["chunk"].to_numpy()
-    fields = {f: found[f].to_numpy(np.int64) for f in _FIELDS[2:]}
-    starts = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
-    stops = np.r_[starts[1:], len(found)]
-    open_row, open_byte, done = 1, 0, 0
-    entries = []
-    for start, stop in zip(starts, stops):
-        entries.append((int(chunk[start]), open_row, open_byte, done))
-        at = int(start)
-        if open_row != fields["last_row"][start]:
-            # a batch came in: the first place where it reaches a limit
-            by_bytes = np.searchsorted(
-                fields["last_byte"][start + 1 : stop], open_byte + byte_limit, "left"
-            )
-            by_count = np.searchsorted(
-                fields["last_row"][start + 1 : stop], open_row - 1 + count_limit, "left"
-            )
-            at = int(start + 1 + min(by_bytes, by_count))
-            if at == stop:
-                continue  # still open after this chunk
-        open_row, open_byte = int(fields["open_row"][at]), int(fields["open_byte"][at])
-        done += int(fields["batches"][at])
-    return pd.DataFrame(entries, columns=["chunk", "open_row", "open_byte", "done"])
+def _merged(found: pd.DataFrame) -> pd.DataFrame:
+    """Neighbouring places that leave alike, as one row: the last."""
+    alike = found[["open_row", "batches"]]
+    return found[~(alike == alike.shift(-1)).all(axis=1)]
+
 
+def _passed(report: pd.DataFrame, row, byte, count_limit: int, byte_limit: int):
+    """How chains whose batch opened at ``row`` and ``byte`` leave a chunk; and batches ended.
 
-def _look_up_entries(placed: DataFrame, count_limit: int, byte_limit: int) -> DataFrame:
-    """What ``_walk`` finds, by one lookup per batch in the chunk where it ends."""
-    ends = (
-        placed.groupBy("chunk")
-        .agg(F.max("send_position").alias("row"), F.max("running_bytes").alias("byte"))
-        .orderBy("chunk")
-        .collect()  # one row per chunk
+    The first row of ``report`` is for a batch that starts with it.
+    """
+    last_row, last_byte, out_row, out_byte, ended = (
+        report[f].to_numpy(np.int64)
+        for f in ("last_row", "last_byte", "open_row", "open_byte", "batches")
     )
-    last_rows, last_bytes = [e["row"] for e in ends], [e["byte"] for e in ends]
-    open_row, open_byte, done = 1, 0, 0
-    entries, at = [], 0
-    while at < len(ends):
-        row, byte = open_row - 1 + count_limit, open_byte + byte_limit
-        holder = min(bisect_left(last_rows, row), bisect_left(last_bytes, byte))
-        for chunk in ends[len(entries) : min(holder, len(ends) - 1) + 1]:
-            entries.append((chunk["chunk"], open_row, open_byte, done))
-        if holder == len(ends):
-            break
-        reached = (F.col("send_position") >= row) | (F.col("running_bytes") >= byte)
-        end = (
-            placed.where((F.col("chunk") == ends[holder]["chunk"]) & reached)
-            .agg(F.min(F.struct("send_position", "running_bytes")).alias("end"))
-            .first()["end"]
+    row, byte = np.asarray(row, np.int64), np.asarray(byte, np.int64)
+    by_bytes = np.searchsorted(last_byte[1:], byte + byte_limit, "left")
+    by_count = np.searchsorted(last_row[1:], row - 1 + count_limit, "left")
+    at = np.where(row == last_row[0], 0, 1 + np.minimum(by_bytes, by_count))
+    stays = at == len(report)  # still open after it
+    at = np.where(stays, 0, at)
+    return (
+        np.where(stays, row, out_row[at]),
+        np.where(stays, byte, out_byte[at]),
+        np.where(stays, 0, ended[at]),
+    )
+
+
+def _combined(found: pd.DataFrame, count_limit: int, byte_limit: int) -> pd.DataFrame:
+    """One report for a group of neighbouring chunks, from theirs."""
+    group = int(found["group"].iloc[0])
+    parts = [p for _, p in found.sort_values(["chunk", "place"]).groupby("chunk")]
+    whole = parts[0][_FIELDS].reset_index(drop=True)
+    for part in parts[1:]:
+        row, byte, ended = _passed(
+            part, whole["open_row"], whole["open_byte"], count_limit, byte_limit
         )
-        open_row, open_byte, done = end["send_position"] + 1, end["running_bytes"], done + 1
-        at = holder
-        if open_row > last_rows[-1]:
-            break
-    return placed.sparkSession.createDataFrame(entries, _ENTRY)
+        whole = whole.assign(open_row=row, open_byte=byte, batches=whole["batches"] + ended)
+        rows = int(part["last_row"].iloc[0]) - int(whole["last_row"].iloc[0])
+        size = int(part["last_byte"].iloc[0]) - int(whole["last_byte"].iloc[0])
+        places = [whole.iloc[1:]]
+        if rows < count_limit and size < byte_limit:  # a batch may reach across all so far
+            places.append(part[_FIELDS].iloc[1:])
+        whole = pd.concat([whole.iloc[:1], _merged(pd.concat(places, ignore_index=True))])
+    return whole.assign(chunk=group, place=np.arange(len(whole)))[_FIELDS]
+
+
+def _walk(found: pd.DataFrame, count_limit: int, byte_limit: int) -> pd.DataFrame:
+    """The entries of neighbouring chunks, from the entry into the first of them."""
+    row, byte, done = (int(found[f].iloc[0]) for f in ("in_row", "in_byte", "in_done"))
+    entries = []
+    for chunk, report in found.sort_values(["chunk", "place"]).groupby("chunk"):
+        entries.append((chunk, row, byte, done))
+        out_row, out_byte, ended = _passed(report, [row], [byte], count_limit, byte_limit)
+        row, byte, done = int(out_row[0]), int(out_byte[0]), done + int(ended[0])
+    return pd.DataFrame(entries, columns=["chunk", "open_row", "open_byte", "done"])
 
 
 def _number(rows: pd.DataFrame, count_limit: int, byte_limit: int) -> pd.DataFrame:

@@ -232,7 +232,7 @@ def running_totals(
             rows.repartitionByRange(chunks, *keys).withColumn("chunk", F.spark_partition_id()),
             "ordered",
         )
-        carried = placed.join(F.broadcast(_carry(placed, group)), ["chunk"], "left")
+        carried = placed.join(_carry(placed, group), ["chunk"], "left")
         same = F.lit(True)
         for c in group:
             same = same & F.col(c).eqNullSafe(F.col(f"_first_{c}"))
@@ -271,7 +271,7 @@ def _carry(placed: DataFrame, group: tuple[str, ...]) -> DataFrame:
     lasts = ends.select("chunk", F.col("_max").alias("_g"))
     edges = firsts.unionByName(lasts).distinct()
     on_edge = placed.join(
-        F.broadcast(edges.withColumnRenamed("chunk", "_edge_chunk")),
+        edges.withColumnRenamed("chunk", "_edge_chunk"),
         (F.col("chunk") == F.col("_edge_chunk")) & F.struct(*group).eqNullSafe(F.col("_g")),
     )
     totals = on_edge.groupBy("chunk", "_g").agg(

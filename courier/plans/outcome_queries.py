@@ -202,3 +202,20 @@ def latest_states(spark, sf_dir):
 def apply_outcomes(spark, sf_dir):
     queue = user_transactions(spark, sf_dir)
     return shown(O.apply_outcomes(queue, O.latest_states(transaction_events(spark, sf_dir))))
+
+
+@query(
+    "failure_events",
+    f"""SELECT 'http://peer-' || l_orderkey AS url, max(l_extendedprice) AS failed_at
+        FROM lineitem GROUP BY l_orderkey
+        HAVING arg_max({STATE_NAME_SQL}, {SEQ_SQL}) <> 'TRANSACTION_COMPLETED' """,
+)
+def failure_events(spark, sf_dir):
+    """A failure of its peer for each order whose last state is no completion."""
+    prices = table(spark, sf_dir, "lineitem").groupBy(
+        F.concat(F.lit("tx-"), F.col("l_orderkey").cast("string")).alias("transaction_id")
+    ).agg(F.max("l_extendedprice").alias("failed_at"))
+    ended = O.latest_states(transaction_events(spark, sf_dir)).join(prices, "transaction_id")
+    return O.failure_events(
+        ended.withColumn("url", F.regexp_replace("transaction_id", "^tx-", "http://peer-"))
+    )

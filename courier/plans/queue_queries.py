@@ -16,7 +16,7 @@ from courier.plans.inputs import (
     table,
     user_transactions,
 )
-from courier.plans.registry import query
+from courier.plans.registry import ORACLES, query
 
 BATCH_COUNT = 100
 BATCH_BYTES = 4096
@@ -427,3 +427,86 @@ def drain_plan(spark, sf_dir):
     return D.drain_plan(event_queue(spark, sf_dir), BATCH_COUNT, BATCH_BYTES).select(
         "packet_id", "send_position", "batch"
     )
+
+
+# --- the same results by the branches meant for large queues --------------------------------
+
+#: Search settings that make every step of a search take place on small tables.
+STEPS = {"finish_rows": 50, "take_rows": 0, "bins": 16}
+
+
+@query("stepwise_batch_bytes", ORACLES["batch_bytes"])
+def stepwise_batch_bytes(spark, sf_dir):
+    return shown(Q.batch(event_queue(spark, sf_dir), 0, BATCH_BYTES, **STEPS))
+
+
+@query("stepwise_batch_count_and_bytes", ORACLES["batch_count_and_bytes"])
+def stepwise_batch_count_and_bytes(spark, sf_dir):
+    return shown(Q.batch(event_queue(spark, sf_dir), BATCH_COUNT, BATCH_BYTES, **STEPS))
+
+
+@query("stepwise_trim_rows", ORACLES["trim_rows"])
+def stepwise_trim_rows(spark, sf_dir):
+    return shown(Q.trim_rows(event_queue(spark, sf_dir), MAX_ROWS, **STEPS))
+
+
+@query("stepwise_trim_bytes", ORACLES["trim_bytes"])
+def stepwise_trim_bytes(spark, sf_dir):
+    return shown(Q.trim_bytes(event_queue(spark, sf_dir), MAX_BYTES, **STEPS))
+
+
+@query("drain_plan_in_levels", ORACLES["drain_plan"])
+def drain_plan_in_levels(spark, sf_dir):
+    """Several chunks, their reports combined two by two."""
+    plan = D.drain_plan(
+        event_queue(spark, sf_dir), BATCH_COUNT, BATCH_BYTES, chunk_rows=2_000, fan=2
+    )
+    return plan.select("packet_id", "send_position", "batch")
+
+
+@query(
+    "trim_protecting_flight",
+    f"""WITH {QUEUE_SQL}, f AS (SELECT * REPLACE (CASE WHEN event_type IN ('purchase', 'signup')
+          THEN 'tx-' || event_type END AS transaction_id) FROM q), r AS ({ranked('f')})
+        SELECT {COLUMNS} FROM r WHERE rn <= {MAX_ROWS} OR transaction_id IS NOT NULL""",
+)
+def trim_protecting_flight(spark, sf_dir):
+    return shown(Q.trim_rows(partly_in_flight(spark, sf_dir), MAX_ROWS, True))
+
+
+NULLED = """CASE WHEN packet_id % 3 = 0 THEN NULL ELSE priority END"""
+
+
+@query(
+    "batch_with_null_keys",
+    f"""WITH {QUEUE_SQL}, z AS (SELECT * REPLACE ({NULLED} AS priority,
+          CASE WHEN packet_id % 2 = 0 THEN NULL ELSE created END AS created) FROM q)
+        SELECT packet_id FROM z
+        ORDER BY priority NULLS FIRST, created NULLS FIRST, packet_id LIMIT {BATCH_COUNT * 3}""",
+)
+def batch_with_null_keys(spark, sf_dir):
+    queue = (
+        event_queue(spark, sf_dir)
+        .withColumn("priority", F.expr(NULLED))
+        .withColumn("created", F.expr("CASE WHEN packet_id % 2 = 0 THEN NULL ELSE created END"))
+    )
+    return Q.batch(queue, BATCH_COUNT * 3, None, **STEPS).select("packet_id")
+
+
+@query(
+    "trim_to_nothing",
+    f"""WITH {QUEUE_SQL}, r AS ({ranked('q')})
+        SELECT 'rows' AS "limit", packet_id FROM r WHERE FALSE
+        UNION ALL SELECT 'bytes', packet_id FROM r WHERE rn = 1
+        UNION ALL SELECT 'none', packet_id FROM r""",
+)
+def trim_to_nothing(spark, sf_dir):
+    """A limit of 0 keeps no rows, or the first row; without a limit all rows stay."""
+    queue = event_queue(spark, sf_dir)
+    kept = {
+        "rows": Q.trim_rows(queue, 0),
+        "bytes": Q.trim_bytes(queue, 0),
+        "none": Q.trim_rows(queue, None),
+    }
+    parts = [df.select(F.lit(name).alias("limit"), "packet_id") for name, df in kept.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -367,3 +367,24 @@ def creation_failures(spark, sf_dir):
         F.col("c_name").alias("cluster"), F.concat(F.lit("http://"), F.col("c_name")).alias("url")
     )
     return R.creation_failures(attempts, preferred, F.lit(727056000.0))
+
+
+@query(
+    "refresh_documents",
+    """WITH a AS (SELECT c_mktsegment AS cluster, c_custkey AS position,
+          'http://c' || c_custkey AS url, CASE WHEN c_custkey % 4 = 0
+            THEN '{"peers":[{"hostname":"h' || c_custkey || '"}]}' ELSE 'busy' END AS body
+        FROM customer)
+      SELECT cluster, arg_min(url, position) AS url, arg_min(body, position) AS body
+      FROM a WHERE body <> 'busy' GROUP BY cluster""",
+)
+def refresh_documents(spark, sf_dir):
+    key = F.col("c_custkey").cast("string")
+    listed = F.concat(F.lit('{"peers":[{"hostname":"h'), key, F.lit('"}]}'))
+    replies = table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("cluster"),
+        F.col("c_custkey").alias("position"),
+        F.concat(F.lit("http://c"), key).alias("url"),
+        F.when(F.col("c_custkey") % 4 == 0, listed).otherwise("busy").alias("body"),
+    )
+    return R.refresh_documents(replies)

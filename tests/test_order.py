@@ -151,9 +151,17 @@ def test_drain_plan(queue_rows, rows, limits, chunk_rows):
 
 
 @pytest.mark.parametrize("limits", [(60, 250), (0, 9000), (0, 10**9)])
-def test_drain_plan_by_lookup(queue_rows, rows, limits):
+def test_drain_plan_in_levels(queue_rows, rows, limits):
     df = queue_rows(rows).repartition(5)
-    found = drain.drain_plan(df, *limits, chunk_rows=40, report_rows=0).collect()
+    found = drain.drain_plan(df, *limits, chunk_rows=9, fan=2).collect()
+    assert {f["packet_id"]: f["batch"] for f in found} == simulate.drain(rows, *limits)
+
+
+@pytest.mark.parametrize("limits", [(20, 10**9), (10**9, 200), (23, 230), (7, 1000)])
+def test_drain_plan_of_equal_packets_with_batches_as_large_as_chunks(queue_rows, limits):
+    rows = [(i, 10, i, None, 0, None) for i in range(200)]
+    df = queue_rows(rows)
+    found = drain.drain_plan(df, *limits, chunk_rows=20, fan=3).collect()
     assert {f["packet_id"]: f["batch"] for f in found} == simulate.drain(rows, *limits)
 
 
