@@ -24,11 +24,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courier.llm.common import lower_ascii, text_of, words_of
+from courier.llm.common import SPACE, broadcast_if_small, text_of
 from courier.sources.scratch import materialise
 
 THRESHOLD = (4, 5)
 RARITY_SLOTS = 1 << 16
+#: Rows of 100 bytes or less up to which a table of places is broadcast.
+BROADCAST_ROWS = 500_000
+#: The characters that separate words.
+BLANKS = " \t\n\x0b\x0c\r"
 _REST = (1 << 47) - 1
 
 
@@ -40,13 +44,18 @@ def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
+def line_words(line: Column) -> Column:
+    """The words of a line; a line without any has one empty word."""
+    return F.split(F.btrim(F.lower(line), F.lit(BLANKS)), SPACE)
+
+
 def _slot(hashed: Column) -> Column:
     return F.shiftrightunsigned(hashed, 48).cast("int")
 
 
 def rarity_ranks(lines: DataFrame) -> Column:
     """The rank of each slot, the rarest first, as a constant array of RARITY_SLOTS numbers."""
-    words = lines.select(F.explode(words_of(lower_ascii(F.col("line")))).alias("w"))
+    words = lines.select(F.explode(line_words(F.col("line"))).alias("w"))
     counts = words.groupBy(_slot(F.xxhash64("w")).alias("slot")).agg(F.count("*").alias("n"))
     by_slot = {r["slot"]: r["n"] for r in counts.collect()}  # at most RARITY_SLOTS rows
     order = sorted(range(RARITY_SLOTS), key=lambda slot: (by_slot.get(slot, 0), slot))
@@ -58,14 +67,13 @@ def rarity_ranks(lines: DataFrame) -> Column:
 
 def ordered_words(line: Column, ranks: Column) -> Column:
     """A line's distinct words as numbers that sort by rarity: rank of the slot, then hash."""
-    hashes = F.transform(words_of(lower_ascii(line)), lambda w: F.xxhash64(w))
-    numbers = F.transform(
-        hashes,
-        lambda h: F.shiftleft(F.get(ranks, _slot(h)).cast("bigint"), 47).bitwiseOR(
-            h.bitwiseAND(F.lit(_REST))
-        ),
-    )
-    return F.sort_array(F.array_distinct(numbers))
+
+    def number(word: Column) -> Column:
+        h = F.xxhash64(word)
+        rank = F.get(ranks, _slot(h)).cast("bigint")
+        return F.shiftleft(rank, 47).bitwiseOR(h.bitwiseAND(F.lit(_REST)))
+
+    return F.sort_array(F.array_distinct(F.transform(line_words(line), number)))
 
 
 def _at_least(share: tuple[int, int], n: Column) -> Column:
@@ -87,8 +95,11 @@ def similar_earlier(
     """
     t, b = threshold
     lines = _lines(docs, id_column, text_column)
-    table = rarity_ranks(lines)
-    sets = lines.select("doc_id", "line_no", ordered_words(F.col("line"), table).alias("words"))
+    ranks = rarity_ranks(lines)
+    filled = F.btrim("line", F.lit(BLANKS)) != ""
+    sets = lines.where(filled).select(
+        "doc_id", "line_no", ordered_words(F.col("line"), ranks).alias("words")
+    )
     n = F.size("words")
     signature = F.aggregate(
         "words",
@@ -99,97 +110,127 @@ def similar_earlier(
     )
     prefix = F.slice("words", F.lit(1), n - _at_least((t, b), n) + 1)
     marked = materialise(
-        sets.where(n > 0).select(
+        sets.select(
             "doc_id",
             "line_no",
             F.xxhash64("words").alias("set_a"),
             F.xxhash64(F.lit(1), "words").alias("set_b"),
             n.alias("n"),
             signature.alias("signature"),
-            prefix.alias("prefix"),
+            # As keys, 32 bits of each word will do: candidates are verified.
+            F.transform(prefix, lambda w: F.hash(w)).alias("prefix"),
         ),
         "line-sets",
     )
+    keys = ["set_a", "set_b"]
     place = F.struct("doc_id", "line_no")
-    firsts = marked.groupBy("set_a", "set_b").agg(F.min(place).alias("first"))
-    firsts = materialise(firsts, "first-lines")
-    distinct = materialise(
-        marked.join(firsts, ["set_a", "set_b"])
-        .where(place.eqNullSafe(F.col("first")))
-        .dropDuplicates(["set_a", "set_b"])
-        .select("set_a", "set_b", "first", "n", "signature", "prefix"),
-        "distinct-lines",
-    )
-    near = materialise(_near_firsts(distinct, lines, table, threshold), "near-lines")
-    copies = (
-        marked.select("doc_id", "line_no", "set_a", "set_b")
-        .join(firsts, ["set_a", "set_b"])
-        .join(near.withColumn("near", F.lit(True)), ["set_a", "set_b"], "left")
-        .where(F.col("near") | ~place.eqNullSafe(F.col("first")))
+    distinct = (
+        marked.groupBy(*keys)
+        .agg(F.min(F.struct("doc_id", "line_no", "n", "signature", "prefix")).alias("first"))
+        .select("first.*")
+    )
+    distinct = materialise(distinct, "distinct-lines")
+    near = materialise(_near_firsts(distinct, lines, ranks, threshold), "near-lines")
+    narrow = marked.select("doc_id", "line_no", *keys)
+    firsts = narrow.groupBy(*keys).agg(F.min(place).alias("first"))
+    # Of near sets the first line goes as well, of all others only the copies.
+    kept_first = firsts.join(
+        near.withColumn("near", F.lit(True)), firsts["first"].eqNullSafe(near["place"]), "left"
+    ).select(*keys, "first", F.coalesce("near", F.lit(False)).alias("near"))
+    copies = narrow.join(kept_first, keys).where(
+        F.col("near") | ~place.eqNullSafe(F.col("first"))
     )
     return copies.select("doc_id", "line_no").distinct()
 
 
-def _near_firsts(
-    distinct: DataFrame, lines: DataFrame, table: Column, threshold: tuple[int, int]
-) -> DataFrame:
-    """``set_a, set_b`` of the sets that a similar set's first line precedes."""
+def _candidates(later: DataFrame, earlier: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """``later, earlier, distance``: sets that may be similar, by prefix, size, place, signature.
+
+    ``distance`` is the share of differing signature bits, in thousandths of the words.
+    """
     t, b = threshold
-    entries = distinct.select(
-        "set_a", "set_b", "n", "signature", F.posexplode("prefix").alias("at", "word")
-    )
-    large, small = entries.alias("x"), entries.alias("y")
+    entry = ["doc_id", "line_no", "n", "signature", F.posexplode("prefix").alias("at", "word")]
+    x, y = later.select(*entry).alias("x"), earlier.select(*entry).alias("y")
     n, m = F.col("x.n"), F.col("y.n")
+    xp, yp = (F.struct(f"{s}.doc_id", f"{s}.line_no") for s in "xy")
     overlap = _at_least((t, t + b), n + m)
-    to_come = F.least(n - F.col("x.at"), m - F.col("y.at"))
+    differing = F.bit_count(F.col("x.signature").bitwiseXOR(F.col("y.signature")))
     candidate = (
         (F.col("x.word") == F.col("y.word"))
-        & ((n > m) | ((n == m) & (F.col("x.set_a") > F.col("y.set_a"))))
+        & (xp > yp)
         & (m * b >= n * t)
-        & (to_come >= overlap)
-        & (
-            F.bit_count(F.col("x.signature").bitwiseXOR(F.col("y.signature")))
-            <= n + m - overlap * 2
-        )
-    )
-    pairs = (
-        large.join(small, candidate)
-        .select(
-            F.col("x.set_a").alias("xa"),
-            F.col("x.set_b").alias("xb"),
-            F.col("y.set_a").alias("ya"),
-            F.col("y.set_b").alias("yb"),
-        )
-        .distinct()
+        & (n * b >= m * t)
+        & (F.least(n - F.col("x.at"), m - F.col("y.at")) >= overlap)
+        & (differing <= n + m - overlap * 2)
     )
-    pairs = materialise(pairs, "candidates")
-    ends = pairs.select(F.col("xa").alias("set_a"), F.col("xb").alias("set_b")).union(
-        pairs.select("ya", "yb")
+    return x.join(y, candidate).select(
+        xp.alias("later"), yp.alias("earlier"), F.floor(differing * 1000 / (n + m)).alias("distance")
     )
-    asked = distinct.select("set_a", "set_b", "first").join(
-        ends.distinct(), ["set_a", "set_b"], "left_semi"
+
+
+def _verified(
+    pairs: DataFrame, lines: DataFrame, ranks: Column, threshold: tuple[int, int]
+) -> DataFrame:
+    """``later`` of the pairs whose words are similar, read from their lines once more."""
+    t, b = threshold
+    pairs = pairs.select("later", "earlier")
+    asked = pairs.select(F.col("later").alias("place")).union(pairs.select("earlier")).distinct()
+    asked = materialise(asked.select("place.*"), "asked-lines")
+    asked = broadcast_if_small(asked, asked.count(), BROADCAST_ROWS)
+    found = lines.join(
+        asked.withColumnsRenamed({"doc_id": "asked_id", "line_no": "asked_no"}),
+        F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("line_no") == F.col("asked_no")),
+        "left_semi",
     )
-    # The words of the candidates only, read from their first lines once more.
-    place = F.struct("doc_id", "line_no")
+    words = ordered_words(F.col("line"), ranks)
     worded = materialise(
-        lines.join(asked, place.eqNullSafe(F.col("first")))
-        .select("set_a", "set_b", "first", ordered_words(F.col("line"), table).alias("words"))
-        .where(F.xxhash64("words") == F.col("set_a"))
-        .dropDuplicates(["set_a", "set_b"]),
+        found.select(F.struct("doc_id", "line_no").alias("own"), words.alias("words")).distinct(),
         "candidate-words",
     )
-    x = worded.withColumnsRenamed({"set_a": "xa", "set_b": "xb", "first": "xf", "words": "xw"})
-    y = worded.withColumnsRenamed({"set_a": "ya", "set_b": "yb", "first": "yf", "words": "yw"})
+    x = worded.select(F.col("own").alias("xo"), F.col("words").alias("xw"))
+    y = worded.select(F.col("own").alias("yo"), F.col("words").alias("yw"))
     shared = F.size(F.array_intersect("xw", "yw"))
     union = F.size("xw") + F.size("yw") - shared
-    verified = (
-        pairs.join(x, ["xa", "xb"]).join(y, ["ya", "yb"]).where(shared * b >= union * t)
+    return (
+        pairs.join(x, F.col("later").eqNullSafe(F.col("xo")))
+        .join(y, F.col("earlier").eqNullSafe(F.col("yo")))
+        .where(shared * b >= union * t)
+        .select("later")
+        .distinct()
+    )
+
+
+def _near_firsts(
+    distinct: DataFrame, lines: DataFrame, ranks: Column, threshold: tuple[int, int]
+) -> DataFrame:
+    """``place`` of the first lines of sets that a similar set's first line precedes.
+
+    Among many variants of a line each has many candidates, and one similar one is enough.
+    So the likeliest of each is verified first, and only the lines that it does not settle
+    are verified against all their candidates.
+    """
+    likeliest = F.min(F.struct("distance", "earlier")).alias("best")
+    best = _candidates(distinct, distinct, threshold).groupBy("later").agg(likeliest)
+    best = materialise(best.select("later", "best.earlier"), "likeliest")
+    settled = materialise(_verified(best, lines, ranks, threshold), "settled")
+    place = F.struct("doc_id", "line_no")
+    open_ = best.select("later").join(settled, "later", "left_anti").select("later.*")
+    unsettled = materialise(
+        distinct.join(
+            broadcast_if_small(open_, open_.count(), BROADCAST_ROWS).withColumnsRenamed(
+                {"doc_id": "open_id", "line_no": "open_no"}
+            ),
+            F.col("doc_id").eqNullSafe(F.col("open_id")) & (F.col("line_no") == F.col("open_no")),
+            "left_semi",
+        ),
+        "unsettled",
+    )
+    asking = broadcast_if_small(unsettled, unsettled.count() * 16, BROADCAST_ROWS)
+    rest = materialise(
+        _candidates(asking, distinct, threshold).select("later", "earlier").distinct(), "rest"
     )
-    later = F.col("xf") > F.col("yf")
-    return verified.select(
-        F.when(later, F.col("xa")).otherwise(F.col("ya")).alias("set_a"),
-        F.when(later, F.col("xb")).otherwise(F.col("yb")).alias("set_b"),
-    ).distinct()
+    found = settled.union(_verified(rest, lines, ranks, threshold))
+    return found.select(F.col("later").alias("place")).distinct()
 
 
 def without_similar_lines(docs: DataFrame, **parameters) -> DataFrame:
@@ -198,6 +239,8 @@ def without_similar_lines(docs: DataFrame, **parameters) -> DataFrame:
     by_doc = gone.groupBy(F.col("doc_id").alias("gone_id")).agg(
         F.collect_set("line_no").alias("gone")
     )
+    by_doc = materialise(by_doc, "gone-lines")
+    by_doc = broadcast_if_small(by_doc, by_doc.count(), BROADCAST_ROWS)
     joined = docs.join(
         by_doc, F.col("doc_id").cast("bigint").eqNullSafe(F.col("gone_id")), "left"
     )
