@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courier.sources.scratch import materialise
+
 #: The documents columns, in order; pipeline stages return these.
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: Ids of 8 bytes up to which a list of documents is broadcast.
+BROADCAST_IDS = 1_000_000
+
 #: White space of the word rules: space and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -37,6 +42,13 @@ def id_fold(id_column: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % folds
 
 
+def without_ids(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+    """``docs`` without the ids of ``ids (doc_id)``; rows with a null id stay."""
+    gone = materialise(ids.where("doc_id IS NOT NULL").distinct(), label)
+    small = broadcast_if_small(gone, gone.count(), BROADCAST_IDS)
+    return docs.join(small, "doc_id", "left_anti")
+
+
 def broadcast_if_small(side: DataFrame, rows: int, limit: int) -> DataFrame:
     """``side`` with a broadcast hint if its counted rows are within ``limit``.
 

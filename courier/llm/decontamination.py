@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courier.llm.common import text_of
+from courier.llm.common import text_of, without_ids
 from courier.sources.scratch import materialise
 
 #: Positions that each mask reads, in spans of 11 words.
@@ -160,5 +160,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Of a repeated id all rows go if one is contaminated; rows with a null id are kept.
     """
-    found = overlaps(docs, benchmark)
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    return without_ids(docs, overlaps(docs, benchmark).select("doc_id"), "contaminated-ids")

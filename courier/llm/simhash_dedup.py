@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courier.llm.common import without_ids
 from courier.llm.components import connected_components
 from courier.sources.scratch import materialise
 
@@ -187,5 +188,5 @@ def keep_one_of_each_group(docs: DataFrame, words: int = 4, radius: int = 4) ->
     Rows that repeat the kept id stay together; documents with a null id all stay.
     """
     groups = near_duplicate_groups(docs, words=words, radius=radius)
-    gone = groups.where("id <> component_id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    gone = groups.where("id <> component_id").select(F.col("id").alias("doc_id"))
+    return without_ids(docs, gone, "near-duplicate-ids")

@@ -30,13 +30,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courier.llm.common import broadcast_if_small, id_fold, text_of
+from courier.llm.common import broadcast_if_small, id_fold, text_of, without_ids
 from courier.sources.scratch import materialise
 
 WORD_SLOTS = 1 << 20
@@ -50,6 +51,8 @@ TOLERANCE = 5.0
 BROADCAST_LABELS = 1_000_000
 #: Evidence is counted in bins of this width, between the limits.
 EVIDENCE_BIN, EVIDENCE_LIMIT = 0.005, 4.0
+#: Words whose ratios are computed at once.
+BLOCK = 1 << 17
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.3
 
@@ -82,6 +85,13 @@ class ClassModels:
         most = np.maximum(np.array([[toxic], [ordinary]], np.float32), TOLERANCE * other)
         return np.minimum(counts, most)
 
+    @cached_property
+    def again(self) -> tuple[np.ndarray, np.ndarray]:
+        """What openings release, and per class: words, words released, openings released."""
+        again = self.released(self.openings)
+        sums = [t.sum(1, dtype=np.float64) for t in (self.words, self.openings, again)]
+        return again, np.maximum(np.stack(sums, axis=1), 1.0)
+
     def log_ratios(self, words: np.ndarray, openings: np.ndarray) -> np.ndarray:
         """log P_toxic - log P_ordinary of each word, from its hashes."""
         word = words & (WORD_SLOTS - 1)
@@ -91,15 +101,13 @@ class ClassModels:
         # One more for what neither class has shown, so that no probability is zero.
         form = (let_go.sum(0) + 1) / (released.sum(0) + 1)
         form = np.minimum(form, 1)
-        again = self.released(self.openings)
-        start = (again[:, opening].sum(0) + 1) / (again.sum() + OPENING_SLOTS)
+        again, totals = self.again
+        start = (again[:, opening].sum(0) + 1) / (totals[:, 2].sum() + OPENING_SLOTS)
         logs = []
         for c in (0, 1):
-            all_released = max(1.0, float(self.openings[c].sum()))
-            saved = max(1.0, float(again[c].sum()))
+            tokens, all_released, saved = totals[c]
             kept = released[c] - again[c, opening]
             first = kept / all_released + saved / all_released * start
-            tokens = max(1.0, float(self.words[c].sum(dtype=np.float64)))
             own = (counts[c] - let_go[c]) / tokens
             logs.append(np.log(own + all_released / tokens * first * form))
         return logs[0] - logs[1]
@@ -193,10 +201,12 @@ def document_evidence(docs: DataFrame, models, id_column: str, text_column: str)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, openings = batch.column(1), batch.column(2)
-            ratios = models.value.log_ratios(
-                words.flatten().to_numpy(zero_copy_only=False),
-                openings.flatten().to_numpy(zero_copy_only=False),
-            )
+            flat = [c.flatten().to_numpy(zero_copy_only=False) for c in (words, openings)]
+            # Block by block, so that the arrays on the way stay small.
+            ratios = np.empty(flat[0].size, dtype=np.float32)
+            for low in range(0, ratios.size, BLOCK):
+                part = slice(low, low + BLOCK)
+                ratios[part] = models.value.log_ratios(flat[0][part], flat[1][part])
             sizes = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             sums = np.r_[0.0, np.cumsum(ratios, dtype=np.float64)]
             ends = np.cumsum(sizes)
@@ -297,4 +307,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     all rows go if one does.
     """
     bad = toxicity_scores(docs, labels).where(F.col("score") >= threshold)
-    return docs.join(bad.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_anti")
+    return without_ids(docs, bad.select(F.col("id").alias("doc_id")), "toxic-ids")
