@@ -10,8 +10,9 @@ grams need to be compared; an anchor serves about 35 windows in a row, and toget
 its context.  Grams that occur once in the corpus cannot anchor a repeat.  A bitmap of
 fixed size lets the others through; what it lets through needlessly costs time only.
 
-Contexts are dealt out by gram and sorted, so that equal ones follow each other: all but the
-first repeat an earlier one.  That takes hashes and places; the bytes of a context are read
+Of equal contexts all but the first repeat an earlier one.  They are told apart where they
+are read, so that a text with a period sends one of each on; those that are left are dealt
+out by gram and sorted, so that equal ones follow each other.  That takes hashes and places; the bytes of a context are read
 again only where a gram has several different ones.
 
 Different contexts of one gram share some of their windows at most.  These are found column
@@ -194,11 +195,35 @@ def _contexts(rows: DataFrame, length: int) -> DataFrame:
                 columns, pieces = _anchored(batch, length, keep)
                 hashed = np.array([xxhash.xxh64_intdigest(p) for p in pieces], dtype=np.uint64)
                 columns.append(pa.array(hashed.view(np.int64)))
+                columns.append(pa.array(_copies_within(columns)))
                 yield pa.RecordBatch.from_arrays(
-                    columns, names=["id", "h", "gram", "place", "start", "windows", "hash"]
+                    columns, names=["id", "h", "gram", "place", "start", "windows", "hash", "copy"]
                 )
 
-    return rows.mapInArrow(run, f"{_CONTEXT}, hash bigint")
+    return rows.mapInArrow(run, f"{_CONTEXT}, hash bigint, copy boolean")
+
+
+def _copies_within(columns: list[pa.Array]) -> np.ndarray:
+    """Which contexts of a batch repeat an earlier one of the same batch."""
+    ids, h, gram, place, start, _, hashed = (c.to_numpy() for c in columns)
+    order = np.lexsort((start, h, ids, hashed, place, gram))
+    keys = [column[order] for column in (gram, place, hashed)]
+    where = [column[order] for column in (ids, h, start)]
+    copy = np.zeros(order.size, dtype=bool)
+    copy[order] = _copies_of_sorted(keys, where)[0]
+    return copy
+
+
+def _copies_of_sorted(keys: list, where: list) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows sorted by key and place: which are copies, and which begin a key.
+
+    The same place again is a row repeated in the input, not a copy.
+    """
+    new = np.ones(keys[0].size, dtype=bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    first = np.flatnonzero(new)
+    of = first[np.cumsum(new) - 1]
+    return ~new & np.any([w != w[of] for w in where], axis=0), first
 
 
 def _settled(contexts: DataFrame) -> DataFrame:
@@ -214,18 +239,18 @@ def _settled(contexts: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [batch.column(i).to_numpy() for i in range(len(names))]
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(names) + 1)]
+            known = rows.pop()
+            if known.any():  # copies found where they were read only pass through
+                at = np.flatnonzero(known)
+                yield out(rows, at, np.zeros(at.size, dtype=np.int32))
+                rows = [column[~known] for column in rows]
             if held is not None:
                 rows = [np.concatenate(pair) for pair in zip(held, rows)]
+            if not rows[0].size:
+                continue
             gram, place, hashed, ids, h, start, _ = rows
-            new = np.ones(gram.size, dtype=bool)
-            new[1:] = (
-                (gram[1:] != gram[:-1]) | (place[1:] != place[:-1]) | (hashed[1:] != hashed[:-1])
-            )
-            first = np.flatnonzero(new)
-            of = first[np.cumsum(new) - 1]
-            # The same place again is a row repeated in the input, not a copy.
-            copy = ~new & ((ids != ids[of]) | (h != h[of]) | (start != start[of]))
+            copy, first = _copies_of_sorted([gram, place, hashed], [ids, h, start])
             last = gram[first] == gram[-1]
             yield out(rows, np.flatnonzero(copy), np.zeros(int(copy.sum()), dtype=np.int32))
             yield grown(rows, first[~last])
@@ -245,9 +270,11 @@ def _settled(contexts: DataFrame) -> DataFrame:
             names=["id", "h", "gram", "start", "windows", "different"],
         )
 
+    # Copies may be many to a gram, as in periodic texts; they are spread by a salt.
+    salt = F.when(F.col("copy"), F.xxhash64("id", "start") % 1024).otherwise(F.lit(-1))
     return (
-        contexts.select(*names)
-        .repartition("gram")
+        contexts.select(*names, "copy")
+        .repartition("gram", salt)
         .sortWithinPartitions("gram", "place", "hash", "id", "h", "start")
         .mapInArrow(run, "id bigint, h int, gram bigint, start bigint, windows int, different int")
     )
