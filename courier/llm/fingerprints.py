@@ -221,9 +221,12 @@ def fingerprint_table(docs: DataFrame, radius: int = 3, every: int = 20) -> Data
     counted = prints.groupBy("fp").agg(F.count("*").alias("n"))
     asked = F.col("doc_id") % every == 0
     near = near_fingerprints(prints.where(asked).select("fp"), counted, radius)
-    rows = prints.withColumn("asked", F.when(asked, F.col("fp")))
-    near = near.withColumnsRenamed({"fp": "asked"})
-    return rows.join(near, "asked", "left").select(
+    # Rows that are not asked for stay out of the join, where they would meet in one task.
+    others = prints.where(F.coalesce(~asked, F.lit(True))).withColumn(
+        "n_near", F.lit(None).cast("bigint")
+    )
+    rows = prints.where(asked).join(near, "fp").select(*others.columns).unionByName(others)
+    return rows.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
