@@ -1,26 +1,30 @@
-"""Benchmark decontamination by spaced seeds.
-
-A mask is a fixed choice of positions within a span of words.  A seed is the hash of the
-words at these positions; the others are ignored, so a passage with some words substituted
-still shares seeds with its original.  Seeds of documents and of benchmark items are
-joined.  Each hit puts a document and an item on a diagonal; along it the words of the
-item are compared with those of the document one by one, whatever lies around the hit.  A
-document is contaminated if ``LEAST`` words of an item, or a share of ``SHARE`` of it where
-that is fewer, stand in their places.
-
-Items shorter than a span are looked for as whole windows of their words; items of fewer
-than ``SHORTEST`` words are too short to tell and match nothing.
+"""Benchmark decontamination by spaced seeds of three words.
+
+A document is contaminated if ``LEAST`` words of an item, or a share of ``SHARE`` of it
+where that is fewer, stand in their places: on one diagonal, whatever stands between them.
+The seeds miss no such passage.  Where k words of an item of n are in place, the gaps
+between them add up to at most n - 1, so among the (k - 1) // 2 neighbouring pairs of gaps
+one is at most ``reach(n)`` wide, and one gap of that pair at most half of it.  An item is
+therefore filed under every three of its words within its reach.  A document is searched
+for pairs within half the longest reach that occur in an item at all; only these are
+completed to three words, before or after, and looked up.  Each hit puts a document and
+an item on a diagonal; along it the words are compared one by one.
+
+Items of fewer than
+``SHORTEST`` words are too short to tell and match nothing.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courier.llm.common import text_of, without_ids
+from courier.llm.common import broadcast_if_small, text_of, without_ids
 from courier.sources.scratch import materialise
 
-#: Positions that each mask reads, in spans of 11 words.
+#: Masks of the query's SQL, which asks for one of them besides; not read here.
 MASKS = ((0, 1, 2, 4, 7, 8, 10), (0, 2, 3, 5, 6, 9, 10))
 SPAN = 11
 SHORTEST = 5
@@ -38,22 +42,100 @@ def _hashes(text: Column) -> Column:
     return F.transform(normal_words(text), lambda w: F.xxhash64(w))
 
 
-def _seeds(rows: DataFrame, keep: list[str], short: list[int]) -> DataFrame:
-    """``keep``, the position ``at`` and the ``seed`` of every window of the hashes ``h``."""
-    masks = [(SPAN, m) for m in MASKS] + [(n, tuple(range(n))) for n in short]
-    n = F.size("h")
-    starts = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    at = rows.select(*keep, "h", F.explode(starts).alias("at"))
+def words_needed(words: int) -> int:
+    """Words in place that make an overlap with an item of ``words`` words."""
+    return min(LEAST, math.ceil(round(words * SHARE, 6)))
+
+
+def reach(words: int) -> int:
+    """Width within which some three of the words in place lie, for ``SHORTEST`` or more."""
+    gaps = words_needed(words) - 1
+    return (words - 1 - gaps % 2) // (gaps // 2)
+
+
+def _pair(at: Column, gap: int) -> Column:
+    return F.xxhash64(F.lit(gap), F.get("h", at), F.get("h", at + gap))
+
+
+def _triple(at: Column, first: Column, second: Column) -> Column:
+    """Words ``at``, ``first`` after it and ``second`` after that, counted from 0."""
+    return F.xxhash64(
+        first, second, F.get("h", at), F.get("h", at + first), F.get("h", at + first + second)
+    )
+
+
+def _item_seeds(items: DataFrame, widest: int) -> tuple[DataFrame, DataFrame]:
+    """``seed, item, item_at`` of every three words within reach; ``pair`` of their pairs."""
+    start = F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("at")
+    at = items.select("item", "h", "reach", start)
+    both = F.array(
+        *[
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"))
+            for a in range(1, widest)
+            for b in range(1, widest - a + 1)
+        ]
+    )
+    inside = (F.col("e.a") + F.col("e.b") <= F.col("reach")) & (
+        F.col("at") + F.col("e.a") + F.col("e.b") < F.size("h")
+    )
+    threes = at.select("item", "h", "reach", "at", F.explode(both).alias("e")).where(inside)
+    seeds = threes.select(
+        _triple(F.col("at"), F.col("e.a"), F.col("e.b")).alias("seed"),
+        "item",
+        F.col("at").alias("item_at"),
+    ).distinct()
+    gaps = F.array(*[F.struct(F.lit(g).alias("g"), _pair(F.col("at"), g).alias("p")) for g in _gaps(widest)])
+    pairs = at.select("h", "at", F.explode(gaps).alias("e")).where(F.col("at") + F.col("e.g") < F.size("h"))
+    return seeds, pairs.select(F.col("e.p").alias("pair")).distinct()
+
+
+def _gaps(widest: int) -> range:
+    return range(1, widest // 2 + 1)
+
+
+def _document_seeds(hashed: DataFrame, pairs: DataFrame, widest: int, margin: int) -> DataFrame:
+    """``doc_id, at, seed`` of all three words that a pair of an item is part of.
+
+    ``h`` holds the words up to ``margin`` before and after the pair, from ``low`` on.
+    """
+    start = F.when(F.size("h") > 2, F.sequence(F.lit(0), F.size("h") - 2))
+    at = hashed.select("doc_id", "h", F.explode(start).alias("place"))
+    low = F.greatest(F.col("place") - margin, F.lit(0))
+    around = at.select(
+        "doc_id",
+        F.slice("h", low + 1, 2 * margin + 1).alias("h"),
+        (F.col("place") - low).alias("at"),
+        low.alias("low"),
+    )
     entries = F.array(
+        *[F.struct(F.lit(g).alias("g"), _pair(F.col("at"), g).alias("pair")) for g in _gaps(widest)]
+    )
+    filed = around.select("doc_id", "h", "at", "low", F.explode(entries).alias("e")).where(
+        F.col("at") + F.col("e.g") < F.size("h")
+    )
+    met = filed.select("doc_id", "h", "at", "low", "e.g", "e.pair").join(pairs, "pair", "left_semi")
+    one = F.col("at")
+    thirds = F.array(
         *[
-            F.when(
-                F.col("at") + span - 1 <= F.size("h"),
-                F.xxhash64(F.lit(number), *[F.expr(f"h[at + {o - 1}]") for o in mask]),
+            s
+            for o in range(1, widest)
+            for s in (
+                # After the pair, and before it.
+                F.struct(one.alias("at"), F.col("g").alias("a"), F.lit(o).alias("b")),
+                F.struct((one - o).alias("at"), F.lit(o).alias("a"), F.col("g").alias("b")),
             )
-            for number, (span, mask) in enumerate(masks)
         ]
     )
-    return at.select(*keep, "at", F.explode(entries).alias("seed")).where("seed is not null")
+    last = F.col("t.at") + F.col("t.a") + F.col("t.b")
+    inside = (F.col("t.a") + F.col("t.b") <= widest) & (F.col("t.at") >= 0) & (last < F.size("h"))
+    threes = met.select("doc_id", "h", "low", F.explode(thirds).alias("t")).where(inside)
+    return threes.select(
+        "doc_id",
+        "h",
+        "low",
+        (F.col("t.at") + F.col("low")).alias("at"),
+        _triple(F.col("t.at"), F.col("t.a"), F.col("t.b")).alias("seed"),
+    )
 
 
 def overlaps(
@@ -72,7 +154,7 @@ def overlaps(
     nothing; items with a null id count as items of their own.  Repeated rows give an
     overlap once for each id.
     """
-    items = materialise(
+    cut = materialise(
         benchmark.select(
             F.col(item_column).cast("bigint").alias("item_id"),
             _hashes(text_of(item_text)).alias("h"),
@@ -82,48 +164,44 @@ def overlaps(
         .withColumn("item", F.xxhash64("item_id", "h")),
         "items",
     )
-    lengths = items.select(F.size("h").alias("n")).where(F.col("n") < SPAN).distinct()
-    short = sorted(r["n"] for r in lengths.collect())  # at most SPAN - SHORTEST numbers
-    needed = items.select("item", "h", F.size("h").alias("words"))
-    seeds = materialise(
-        _seeds(needed, ["item", "words"], short).distinct().select(
-            "seed", "item", "words", F.col("at").alias("item_at")
-        ),
-        "seeds",
+    needed = F.least(F.lit(LEAST), F.ceil(F.size("h") * F.lit(SHARE)).cast("int"))
+    reached = F.expr("(size(h) - 1 - (needed - 1) % 2) div ((needed - 1) div 2)").cast("int")
+    items = cut.withColumn("needed", needed).withColumn("reach", reached)
+    widest = max(items.agg(F.max("reach")).first()[0] or 0, 2)  # one number
+    seeds, pairs = (
+        materialise(side, label)
+        for side, label in zip(_item_seeds(items, widest), ("seeds", "pairs"))
     )
     hashed = docs.select(
         F.col(id_column).cast("bigint").alias("doc_id"), _hashes(text_of(text_column)).alias("h")
     )
+    small = items.select("item", "item_id", "needed", F.col("h").alias("words"))
     shift = (F.col("at") - F.col("item_at")).alias("shift")
-    # The document's words where the item would lie; fewer at the document's ends.
-    low = F.greatest(F.col("shift"), F.lit(0))
-    piece = F.slice("h", low + 1, F.greatest(F.col("words") + F.least(F.col("shift"), F.lit(0)), F.lit(0)))
-    if seeds.count() <= broadcast_seeds:
-        hits = (
-            _seeds(hashed, ["doc_id", "h"], short)
-            .join(F.broadcast(seeds), "seed")
-            .select("doc_id", "item", "words", shift, "h")
-        )
-        found = hits.select("doc_id", "item", "shift", piece.alias("piece")).distinct()
+    n_pairs = pairs.count()
+    near = broadcast_if_small(pairs, n_pairs, broadcast_seeds)
+    if max(n_pairs, seeds.count()) <= broadcast_seeds:
+        longest = items.agg(F.max(F.size("h"))).first()[0] or widest
+        hits = _document_seeds(hashed, near, widest, max(longest, widest))
+        found = hits.join(F.broadcast(seeds), "seed").select("doc_id", "item", shift, "low", "h")
+        found = found.join(F.broadcast(small), "item")
     else:
-        narrow = _seeds(hashed, ["doc_id"], short).join(seeds, "seed")
-        hits = narrow.select("doc_id", "item", "words", shift).distinct()
-        found = (
-            hits.join(hashed, hits["doc_id"].eqNullSafe(hashed["doc_id"]))
-            .select(hits["doc_id"], "item", "shift", piece.alias("piece"))
-            .distinct()
+        hits = _document_seeds(hashed, near, widest, widest)
+        slim = hits.join(seeds, "seed").select("doc_id", "item", shift).distinct()
+        found = slim.join(hashed, slim["doc_id"].eqNullSafe(hashed["doc_id"])).select(
+            slim["doc_id"], "item", "shift", F.lit(0).alias("low"), "h"
         )
-    skipped = F.greatest(-F.col("shift"), F.lit(0))
+        found = found.join(small, "item")
+    # The document's words where the item would lie; fewer at the document's ends.
+    at = F.col("shift") - F.col("low")
+    ahead, skipped = F.greatest(at, F.lit(0)), F.greatest(-at, F.lit(0))
     same = F.zip_with(
-        F.slice("h", skipped + 1, F.greatest(F.size("piece"), F.lit(0))),
-        F.col("piece"),
+        F.slice("words", skipped + 1, F.size("words")),
+        F.slice("h", ahead + 1, F.greatest(F.size("words") - skipped, F.lit(0))),
         lambda a, b: a == b,
     )
     matched = F.size(F.filter(same, lambda s: s))
-    enough = F.least(F.lit(LEAST), F.ceil(F.size("h") * F.lit(SHARE)).cast("int"))
     return (
-        found.join(items, "item")
-        .select("doc_id", "item_id", "shift", matched.alias("matched"), enough.alias("needed"))
+        found.select("doc_id", "item_id", "shift", matched.alias("matched"), "needed")
         .where("matched >= needed")
         .distinct()
     )

@@ -1,6 +1,7 @@
 """Chat formatting, mixing, fingerprints, decontamination and token counts."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import defaultdict
@@ -213,6 +214,46 @@ def test_decontamination(spark, limit):
     assert decontamination.contamination(frame(spark, []), bench).count() == 0
 
 
+def test_decontamination_finds_all_the_rule_accepts(spark):
+    """Brute force without any mask: every 4th or 5th word replaced, short items, no spaces."""
+    rng = random.Random(11)
+    items = [(n, prose(rng, n, 100_000)) for n in (5, 6, 9, 10, 11, 12, 16, 20, 25, 40, 59, 130)]
+    cut = lambda t: re.findall(r"[\u4e00-\u9fff]|[a-z0-9]+", t.lower())
+    passages = []
+    for _, text in items:
+        words = cut(text)
+        need = min(13, -(-len(words) * 4 // 5))
+        for step in (4, 5):
+            passages.append(["x" if k % step == step - 1 else w for k, w in enumerate(words)])
+        for n in (need, need, need, need - 1):
+            kept = set(rng.sample(range(len(words)), n))
+            passages.append([w if k in kept else "x" for k, w in enumerate(words)])
+        even = {k * (len(words) - 1) // (need - 1) for k in range(need)}  # as far apart as can be
+        passages.append([w if k in even else "x" for k, w in enumerate(words)])
+        passages += [["x", *words[1:]], words]
+    rows = [(i, " ".join(["y", "z", *p, "y"]), "", "", 0) for i, p in enumerate(passages)]
+    expected = set()
+    for i, text, *_ in rows:
+        words = cut(text)
+        for item, item_text in items:
+            own = cut(item_text)
+            for shift in range(-len(own), len(words)):
+                same = sum(0 <= k + shift < len(words) and words[k + shift] == w for k, w in enumerate(own))
+                if same >= min(13, -(-len(own) * 4 // 5)):
+                    expected.add((i, item, shift))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    for limit in (500_000, 0):
+        got = decontamination.overlaps(frame(spark, rows), bench, broadcast_seeds=limit)
+        assert {(r["doc_id"], r["item_id"], r["shift"]) for r in got.collect()} == expected
+
+
+@pytest.mark.parametrize("words", range(5, 20))
+def test_reach_holds_three_words_of_every_pattern(words):
+    for places in itertools.combinations(range(words), decontamination.words_needed(words)):
+        widths = [places[i + 2] - places[i] for i in range(len(places) - 2)]
+        assert min(widths) <= decontamination.reach(words)
+
+
 def test_token_counts(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
