@@ -10,7 +10,7 @@ for pairs within half the longest reach that occur in an item at all; only these
 completed to three words, before or after, and looked up.  Each hit puts a document and
 an item on a diagonal; along it the words are compared one by one.
 
-Items of fewer than
+Scripts written without spaces count character by character.  Items of fewer than
 ``SHORTEST`` words are too short to tell and match nothing.
 """
 
@@ -33,9 +33,16 @@ LEAST, SHARE = 13, 0.8
 BROADCAST_SEEDS = 500_000
 
 
+#: Characters of scripts that do not put spaces between words.
+UNSPACED = (
+    r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+)
+
+
 def normal_words(text: Column) -> Column:
-    """Lower-cased runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    """Lower-cased runs of letters and digits; each character of ``UNSPACED`` by itself."""
+    spaced = F.regexp_replace(F.lower(text), UNSPACED, " $1 ")
+    return F.filter(F.split(spaced, r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
 def _hashes(text: Column) -> Column:

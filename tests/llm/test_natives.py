@@ -218,6 +218,7 @@ def test_decontamination_finds_all_the_rule_accepts(spark):
     """Brute force without any mask: every 4th or 5th word replaced, short items, no spaces."""
     rng = random.Random(11)
     items = [(n, prose(rng, n, 100_000)) for n in (5, 6, 9, 10, 11, 12, 16, 20, 25, 40, 59, 130)]
+    items.append((700, "".join(chr(0x4E00 + rng.randrange(5_000)) for _ in range(24))))
     cut = lambda t: re.findall(r"[\u4e00-\u9fff]|[a-z0-9]+", t.lower())
     passages = []
     for _, text in items:
@@ -232,6 +233,7 @@ def test_decontamination_finds_all_the_rule_accepts(spark):
         passages.append([w if k in even else "x" for k, w in enumerate(words)])
         passages += [["x", *words[1:]], words]
     rows = [(i, " ".join(["y", "z", *p, "y"]), "", "", 0) for i, p in enumerate(passages)]
+    rows.append((len(rows), "前" + items[-1][1] + "後", "", "", 0))
     expected = set()
     for i, text, *_ in rows:
         words = cut(text)
@@ -241,6 +243,7 @@ def test_decontamination_finds_all_the_rule_accepts(spark):
                 same = sum(0 <= k + shift < len(words) and words[k + shift] == w for k, w in enumerate(own))
                 if same >= min(13, -(-len(own) * 4 // 5)):
                     expected.add((i, item, shift))
+    assert len(rows) - 1 in {e[0] for e in expected}
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     for limit in (500_000, 0):
         got = decontamination.overlaps(frame(spark, rows), bench, broadcast_seeds=limit)
