@@ -31,6 +31,8 @@ from courier.sources.scratch import materialise
 BLOCK = 32_768
 #: Entries of up to this many fingerprints are compared pair by pair.
 SMALL = 16
+#: Words of the shingles that the pipeline's stage compares.
+STAGE_WORDS = 5
 
 
 def shingle_fingerprint(text: str | None, words: int) -> int:
@@ -182,11 +184,91 @@ def fingerprint_hex(fp: str | Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one_of_each_group(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """``id, key, shingles``: the distinct hashes of a text's shingles, sorted, and their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import re
+
+        import xxhash
+
+        for batch in batches:
+            for at, text in zip(batch.column(0), batch.column(1)):
+                raw = (text.as_py() or "").encode("utf-8", "surrogatepass").lower()
+                found = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+                last = max(1, len(found) - words + 1) if found else 0
+                hashes = [xxhash.xxh64_intdigest(b" ".join(found[i : i + words]), 42) for i in range(last)]
+                own = np.unique(np.array(hashes, dtype=np.uint64).view(np.int64))
+                key = np.array([xxhash.xxh64_intdigest(own.tobytes(), 7)], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([at.as_py()], pa.int64()), pa.array(key.view(np.int64)),
+                     pa.array([own], pa.list_(pa.int64()))],
+                    names=["id", "key", "shingles"],
+                )
+
+    slim = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    return slim.mapInArrow(run, "id bigint, key bigint, shingles array<bigint>")
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+    """The ``pairs (a, b)`` of keys whose sets have a Jaccard similarity of 0.8 or more."""
+    pairs = materialise(pairs.distinct(), f"{label}-pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    met = sets.select("key", "shingles").join(ends, "key", "left_semi").dropDuplicates(["key"])
+    met = materialise(met, f"{label}-sets")
+    left = met.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
+    right = met.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    return materialise(
+        pairs.join(left, "a").join(right, "b")
+        .where(common * 9 >= 4 * (F.size("x") + F.size("y"))).select("a", "b"),
+        f"{label}-links",
+    )
+
+
+def jaccard_groups(docs: DataFrame, words: int = STAGE_WORDS) -> DataFrame:
+    """``id, component_id``: groups of all pairs with a Jaccard similarity of 0.8 or more.
+
+    Sorted by hash, two such sets share one of their first n - ceil(0.8 n) + 1 shingles, so
+    no pair is missed.  First every set is compared with the smallest key of each of its
+    entries; then, in entries that still hold several groups, all pairs between groups.
+    Texts without words are equal.  Null ids link, and have no part in naming a group.
+    """
+    sets = shingle_sets(docs, words)
+    marked = materialise(sets.select("id", "key"), "set-keys")
+    n = F.size("shingles")
+    first = F.slice("shingles", F.lit(1), n - F.floor((4 * n + 4) / 5).cast("int") + 1)
+    filed = materialise(
+        sets.where(n > 0).select("key", n.alias("n"), F.explode(first).alias("entry")).distinct(),
+        "entries",
+    )
+    least = filed.groupBy("entry").agg(F.min(F.struct("key", "n")).alias("m"), F.count("*").alias("c"))
+    led = filed.join(least.where("c > 1"), "entry")
+    near = "least(n, m) * 5 >= greatest(n, m) * 4"
+    one = led.select("key", "n", F.col("m.key").alias("a"), F.col("m.n").alias("m"))
+    links = _alike(one.where("key <> a").where(near).select("a", F.col("key").alias("b")), sets, "leader")
+    roots = connected_components(links, "a", "b").withColumnRenamed("node", "key")
+    placed = filed.join(roots, "key", "left").select("key", "n", "entry", F.coalesce("root", "key").alias("root"))
+    placed = materialise(placed, "placed")
+    mixed = placed.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    rest = placed.join(mixed.where("lo <> hi").select("entry"), "entry", "left_semi")
+    other = rest.select("entry", F.col("key").alias("b"), F.col("n").alias("m"), F.col("root").alias("r"))
+    across = rest.join(other, "entry").where("key < b AND root <> r").where(near)
+    more = _alike(across.select(F.col("key").alias("a"), "b"), sets, "rest")
+    roots = connected_components(links.unionByName(more), "a", "b").withColumnRenamed("node", "key")
+    named = marked.join(roots, "key", "left").select("id", F.coalesce("root", "key").alias("root"))
+    named = materialise(named, "set-groups")
+    return named.join(named.groupBy("root").agg(F.min("id").alias("component_id")), "root").select(
+        "id", "component_id"
+    )
+
+
+def keep_one_of_each_group(docs: DataFrame) -> DataFrame:
     """``docs`` with the document of the smallest id of each group; all its columns.
 
-    Rows that repeat the kept id stay together; documents with a null id all stay.
+    The groups are those of ``jaccard_groups``.  Rows that repeat the kept id stay
+    together; documents with a null id all stay.
     """
-    groups = near_duplicate_groups(docs, words=words, radius=radius)
+    groups = jaccard_groups(docs)
     gone = groups.where("id <> component_id").select(F.col("id").alias("doc_id"))
     return without_ids(docs, gone, "near-duplicate-ids")

@@ -181,3 +181,37 @@ def test_lines_of_awkward_rows(spark):
     assert got == {(1, 0), (1, 1)}
     assert line_dedup.deduplicate_lines(frame(spark, rows)).columns == SCHEMA.replace(" bigint", "").replace(" string", "").split(", ")
     assert line_dedup.similar_earlier(frame(spark, [])).count() == 0
+
+
+def test_stage_finds_every_pair_at_the_similarity(spark):
+    """Copies with a few edited words lie far beyond 4 bits; brute force over all pairs."""
+    import random
+
+    from courier.llm import simhash_dedup
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(12):
+        words = [f"v{rng.randrange(5_000)}" for _ in range(rng.choice((6, 60, 150)))]
+        for edits in (0, 1, 2, 3, 4):
+            near = list(words)
+            for k in rng.sample(range(len(near)), edits):
+                near[k] = f"e{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(near), "", "", 0))
+    rows += [(100, "", "", "", 0), (101, None, "", "", 0)]
+
+    def shingles(text):
+        w = (text or "").split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = {r[0]: shingles(r[1]) for r in rows}
+    group = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {i: low if g == high else g for i, g in group.items()}
+    kept = simhash_dedup.keep_one_of_each_group(spark.createDataFrame(
+        rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"))
+    assert {r["doc_id"] for r in kept.collect()} == set(group.values())
+    assert 14 < len(set(group.values())) < 62
