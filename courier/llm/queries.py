@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courier.llm import chat, decontamination, fingerprints, line_dedup, mixing, quality
-from courier.llm import simhash_dedup, suffix_dedup, tokens, toxicity
+from courier.llm import alignment, byte_bpe, chat, decontamination, fingerprints, line_dedup
+from courier.llm import mixing, quality, simhash_dedup, suffix_dedup, tokens, toxicity, variants
 from courier.llm.common import read_table
+from courier.sources.scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -295,3 +296,28 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     )
+
+
+@query("op11_byte_bpe")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = byte_bpe.encode_documents(read_table(spark, sf_dir, "documents"))
+    return byte_bpe.decode_documents(encoded).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op12_tokenizer_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align_documents(read_table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    slim = aligned.withColumn("groups_sha256", digest).drop("groups")
+    return alignment.link_statistics(materialise(slim, "aligned"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.word_counts(read_table(spark, sf_dir, "documents"), shorten_one_in=31)
+    return variants.spelling_variants(words)
