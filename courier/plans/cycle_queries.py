@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from courier.config import Prioritizer
 from courier.functions import packets as P
-from courier.plans.inputs import NOW_MS, PRIORITY, TTL_MILLIS, event_packets, event_queue, table
+from courier.plans.inputs import DAY_MS, NOW_MS, PRIORITY, TTL_MILLIS, event_packets, event_queue, table
 from courier.plans.queue_queries import (
     BATCH_BYTES,
     BATCH_COUNT,
@@ -220,7 +220,8 @@ def stream_age_off(spark, sf_dir):
         WHERE expires < (SELECT max(created) FROM q)""",
 )
 def stream_expired(spark, sf_dir):
-    return _written(spark, expired_packets(_stream_rows(spark, sf_dir)))
+    rows = _stream_rows(spark, sf_dir)
+    return _written(spark, expired_packets(rows, bucket_millis=DAY_MS, shards=4))
 
 
 #: Lives of zero and less, and some without an end.
@@ -234,19 +235,19 @@ SHORT_LIVES = """CASE packet_id % 5 WHEN 0 THEN created WHEN 1 THEN created - 36
         SELECT packet_id, priority, expires FROM s WHERE expires < (SELECT max(created) FROM s)""",
 )
 def stream_expired_out_of_order(spark, sf_dir):
-    """Four micro-batches, the latest packets first: most rows arrive late."""
+    """A quarter of the packets after the other, the latest first: most rows arrive late."""
     path = scratch_path(spark, "source")
     rows = event_queue(spark, sf_dir).withColumn("expires", F.expr(SHORT_LIVES))
     slim = rows.select("packet_id", "priority", "created", "expires")
     cuts = slim.agg(F.percentile_approx("created", [0.25, 0.5, 0.75])).first()[0] or []
-    # A file per quarter; the source takes them in the order of their writing.
+    # The source takes the quarters' files, one a micro-batch, in the order of their writing.
     part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("created")))
     for number in reversed(range(len(cuts) + 1)):
-        slim.where(part == number).coalesce(1).write.mode("append").parquet(path)
+        slim.where(part == number).write.mode("append").parquet(path)
     stream = (
         spark.readStream.schema(slim.schema).option("maxFilesPerTrigger", 1).parquet(path)
     )
-    return _written(spark, expired_packets(stream))
+    return _written(spark, expired_packets(stream, bucket_millis=DAY_MS, shards=4))
 
 
 # --- files ---------------------------------------------------------------------------

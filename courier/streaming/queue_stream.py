@@ -6,12 +6,12 @@ and not enqueued again.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from courier.functions.packets import reference_millis
 from courier.plans.service import Deliver, QueueService
@@ -83,20 +83,74 @@ def live_packets(rows: DataFrame, now_ms: Column | int | None = None) -> DataFra
     return rows.where(F.col("expires").isNull() | (F.col("expires") >= now))
 
 
-#: Time of day of rows that must not count as late: later than any watermark.
-_NEVER_LATE_MILLIS = 7_258_118_400_000
-_EXPIRED = "packet_id bigint, priority bigint, expires bigint"
+_EXPIRED = "packet_id bigint, priority string, expires bigint"
+#: One chunk of a bucket: the packets that one micro-batch added to it.
+_WAITING = "packet_id array<bigint>, priority array<string>, expires array<bigint>"
+#: Where ``transformWithState`` keeps its state.
+_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+HOUR_MILLIS = 3_600_000
 
 
-def expired_packets(rows: DataFrame, delay: str = "0 seconds") -> DataFrame:
+class _Expiry(StatefulProcessor):
+    """The packets of one shard whose expiry lies in one bucket, in chunks of arrays.
+
+    The bucket's one timer is set to its earliest expiry.  When it fires, the packets that
+    are over come out and the rest stay, under a timer for the next.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._waiting = handle.getListState("waiting", _WAITING)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        arrived = pd.concat(list(rows), ignore_index=True)[["packet_id", "priority", "expires"]]
+        yield from self._split(arrived, timerValues, self._waiting.appendValue)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        chunks = [pd.DataFrame(dict(zip(_Expiry._COLUMNS, map(list, c)))) for c in self._waiting.get()]
+        if not chunks:
+            return
+        self._waiting.clear()
+        yield from self._split(
+            pd.concat(chunks, ignore_index=True), timerValues, self._waiting.appendValue
+        )
+
+    _COLUMNS = ("packet_id", "priority", "expires")
+
+    def _split(self, packets: pd.DataFrame, timers, keep) -> Iterator[pd.DataFrame]:
+        clock = timers.getCurrentWatermarkInMs() - REFERENCE_EPOCH_MILLIS
+        over = packets["expires"] < clock
+        waits = packets[~over]
+        if len(waits):
+            keep(tuple(waits[c].astype(object).tolist() for c in self._COLUMNS))
+            self._handle.registerTimer(int(waits["expires"].min()) + REFERENCE_EPOCH_MILLIS + 1)
+        if over.any():
+            yield packets[over]
+
+    def close(self) -> None:
+        pass
+
+
+def expired_packets(
+    rows: DataFrame,
+    delay: str = "0 seconds",
+    *,
+    bucket_millis: int = HOUR_MILLIS,
+    shards: int = 8,
+) -> DataFrame:
     """Packets of a stream of queue rows, each once its time is over.
 
-    The clock is the latest enqueue time seen, less ``delay``.  A packet waits as state under
-    its own id until the clock passes its expiry.  One that is over when it arrives, because
-    it is late or because its life is zero or negative, comes out at once, so every packet
-    with an expiry comes out exactly once.  Packets without one never do.  Rows that repeat an
-    id in one micro-batch count as one packet, with the latest expiry.  Use append mode.
+    The clock is the latest enqueue time seen, less ``delay``.  A packet waits as state until
+    the clock passes its expiry, together with the packets of its shard that expire in the
+    same ``bucket_millis``: there is one state and one timer for each shard and bucket, so
+    wide buckets make few of them and ``shards`` keep one bucket from being one task's work.
+    A packet that is over when it arrives, because it is late or because its life is zero or
+    negative, comes out at once; so every row with an expiry comes out exactly once, rows that
+    repeat an id too.  Packets without an expiry never do.  Use append mode.
+
+    State is kept in RocksDB, which the session is set to.
     """
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
     clocked = (
         rows.where(F.col("expires").isNotNull())
         .withColumn(
@@ -107,39 +161,15 @@ def expired_packets(rows: DataFrame, delay: str = "0 seconds") -> DataFrame:
         )
         .withWatermark("created_at", delay)
     )
-    # State operators drop rows whose event time lies before the watermark.  The clock has
-    # been read above; what goes on carries an event time that is never late.
+    # Only the clock is wanted.  Rows go on without their event time, so none counts as late.
     timely = clocked.select(
         "packet_id",
-        "priority",
+        F.col("priority").cast("string"),  # pandas would make numbers with nulls inexact
         "expires",
-        F.timestamp_millis(F.lit(_NEVER_LATE_MILLIS)).alias(
-            "event_time", metadata={"spark.watermarkDelayMs": 0}
-        ),
+        F.expr(f"expires div {bucket_millis}L").alias("bucket"),
+        F.pmod(F.xxhash64("packet_id"), F.lit(shards)).alias("shard"),
     )
-
-    def step(key, frames, state):
-        clock = state.getCurrentWatermarkMs()
-        if state.hasTimedOut:
-            priority, expires = state.get
-            state.remove()
-        else:
-            arrived = pd.concat(frames).sort_values("expires").iloc[-1]
-            expires = int(arrived["expires"])
-            priority = None if pd.isna(arrived["priority"]) else int(arrived["priority"])
-            over = expires + REFERENCE_EPOCH_MILLIS + 1
-            if over > clock:
-                state.update((priority, expires))
-                state.setTimeoutTimestamp(over)
-                return
-        yield pd.DataFrame(
-            {
-                "packet_id": [key[0]],
-                "priority": pd.array([priority], dtype="Int64"),
-                "expires": [expires],
-            }
-        )
-
-    return timely.groupBy("packet_id").applyInPandasWithState(
-        step, _EXPIRED, "priority bigint, expires bigint", "append", "EventTimeTimeout"
+    expired = timely.groupBy("bucket", "shard").transformWithStateInPandas(
+        _Expiry(), _EXPIRED, "append", "EventTime"
     )
+    return expired.withColumn("priority", F.col("priority").cast("bigint"))
