@@ -9,8 +9,8 @@ into bins, and goes into the one bin where the limit is crossed.  Nothing is sor
 shuffled but the last few thousand rows, and payloads are not read.
 
 ``running_totals`` numbers every row of every group and gives it a running sum: range
-partitions, one total per partition, then a window inside each partition.  A group may
-span any number of partitions, so one that holds a third of all rows is split.
+partitions cut into pieces, one total per piece, then a window inside each piece.  A group
+may span any number of pieces, so one that holds a third of all rows is split.
 """
 
 from __future__ import annotations
@@ -33,8 +33,10 @@ FINISH_ROWS = 250_000
 TAKE_ROWS = 200
 #: Bins per search round, which is also the number of rows a round brings back.
 BINS = 1024
-#: Target rows of a range partition in ``running_totals``.
+#: Rows of a piece of a range partition in ``running_totals``.
 CHUNK_ROWS = 1_000_000
+#: Range partitions in ``running_totals``, as a multiple of the shuffle partitions, at most.
+RANGES_PER_SHUFFLE = 4
 
 
 def send_order(columns: Sequence[str] = SEND_ORDER) -> list[Column]:
@@ -208,9 +210,10 @@ def running_totals(
 ) -> DataFrame:
     """Rows with ``row_number`` (from 1) and ``running_total`` inside their group.
 
-    ``running_total`` includes the row itself; ``chunk`` is the range partition.  With
-    ``reverse`` the order runs backwards.  Pass slim rows: they are written once when they
-    do not fit one partition of ``chunk_rows``.
+    ``running_total`` includes the row itself.  With ``reverse`` the order runs backwards.
+    Rows go into a bounded number of range partitions, each of which is cut into pieces of
+    ``chunk_rows``; ``chunk`` numbers the pieces in order, with gaps.  Pass slim rows: they are
+    written once when they do not fit one piece.
     """
     group, order = tuple(group), tuple(order)
     keys = [F.col(c).asc_nulls_first() for c in group] + [
@@ -218,18 +221,27 @@ def running_totals(
     ]
     value = F.lit(0) if total is None else F.coalesce(F.col(total), F.lit(0))
     rows = df.withColumn("_value", value.cast("bigint"))
-    chunks = max(1, math.ceil(rows.count() / chunk_rows))
-    if chunks == 1:  # few rows in all, so no group can be large
+    total_rows = rows.count()
+    if total_rows <= chunk_rows:  # few rows in all, so no group can be large
         carried = (
             rows.withColumn("chunk", F.lit(0))
             .withColumn("_rows0", F.lit(0))
             .withColumn("_sum0", F.lit(0))
         )
     else:
-        # A partition continues at most one group of an earlier one: its first.  So the
-        # carried totals are one row per partition, found from per-partition summaries.
+        # A chunk continues at most one group of an earlier one: its first.  So the carried
+        # totals are one row per chunk, found from per-chunk summaries.
+        most = RANGES_PER_SHUFFLE * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = min(math.ceil(total_rows / chunk_rows), most)
+        at = F.monotonically_increasing_id()
+        piece = F.expr(f"cast((_at & {(1 << 33) - 1}L) div {int(chunk_rows)} as int)")
+        pieces = math.ceil(total_rows / chunk_rows)  # no partition has more
         placed = materialise(
-            rows.repartitionByRange(chunks, *keys).withColumn("chunk", F.spark_partition_id()),
+            rows.repartitionByRange(ranges, *keys)
+            .sortWithinPartitions(*keys)
+            .withColumn("_at", at)
+            .withColumn("chunk", (F.spark_partition_id() * pieces + piece).cast("int"))
+            .drop("_at"),
             "ordered",
         )
         carried = placed.join(_carry(placed, group), ["chunk"], "left")

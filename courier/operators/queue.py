@@ -220,11 +220,27 @@ def queue_status(queue: DataFrame, config: QueueConfig) -> DataFrame:
     Full by count at the count limit; else full by bytes at the byte limit less one
     average packet.
     """
-    totals = queue.agg(
-        F.count(F.lit(1)).alias("queued_packets"),
-        F.coalesce(F.sum("estimated_size"), F.lit(0)).alias("queued_bytes"),
-        F.coalesce(F.avg("estimated_size").cast("bigint"), F.lit(0)).alias("average_bytes"),
+    return _status(
+        queue.agg(
+            F.count(F.lit(1)).alias("queued_packets"),
+            F.coalesce(F.sum("estimated_size"), F.lit(0)).alias("queued_bytes"),
+            F.coalesce(F.avg("estimated_size").cast("bigint"), F.lit(0)).alias("average_bytes"),
+        ),
+        config,
     )
+
+
+def status_of_totals(totals: DataFrame, config: QueueConfig) -> DataFrame:
+    """The same from ``totals (packets, bytes)`` of any parts of the queue."""
+    summed = totals.agg(
+        F.coalesce(F.sum("packets"), F.lit(0)).alias("queued_packets"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("queued_bytes"),
+    )
+    average = F.expr("coalesce(queued_bytes div nullif(queued_packets, 0), 0L)")
+    return _status(summed.withColumn("average_bytes", average), config)
+
+
+def _status(totals: DataFrame, config: QueueConfig) -> DataFrame:
     full = F.lit(False)
     if config.max_packets:
         full = full | (F.col("queued_packets") >= F.lit(config.max_packets))

@@ -22,10 +22,10 @@ from courier.plans.queue_queries import (
 )
 from courier.plans.registry import query
 from courier.plans.service import QueueService, folder_delivery
-from courier.schema import QUEUE_COLUMNS
+from courier.plans.transfer_queries import CRC_SQL, FRAME_SQL, manifest_sql
 from courier.sources.files import file_packets
 from courier.sources.scratch import scratch_path
-from courier.sources.store import QueueStore
+from courier.sources.store import QueueStore, first_id
 from courier.streaming.queue_stream import (
     enqueue_stream,
     expired_packets,
@@ -34,10 +34,22 @@ from courier.streaming.queue_stream import (
 )
 
 CONFIG = replace(LIMITS, prioritizer=Prioritizer(PRIORITY, TTL_MILLIS))
-#: A stored queue gives its own ids, so results leave them out.
-UNNUMBERED = "attributes, content, estimated_size, created, expires, priority, transaction_id"
-BATCH_SQL = f"""{CLEAN_SQL},
+STATE = "attributes, content, estimated_size, created, expires, priority, transaction_id"
+#: A stored queue gives its own ids: those of a batch follow the order of the events.
+NUMBERED_SQL = f"""{QUEUE_SQL},
+numbered AS (SELECT packet_id, row_number() OVER (ORDER BY packet_id) AS nth FROM q)"""
+
+
+def stored_sql(source: str, batch: int, writer: int = 0, state: str = STATE) -> str:
+    return f"""SELECT CAST({first_id(writer, batch)} + nth AS BIGINT) AS packet_id, {state}
+        FROM {source} JOIN numbered USING (packet_id)"""
+
+
+#: The writer number of the streams below.
+STREAM = 1
+BATCH_SQL_TAIL = f"""
 b AS (SELECT *, rn <= {BATCH_COUNT} AND before < {BATCH_BYTES} AS taken FROM ({ranked('clean')}))"""
+BATCH_SQL = f"{CLEAN_SQL}, {BATCH_SQL_TAIL}"
 
 
 def _created():
@@ -45,7 +57,7 @@ def _created():
 
 
 def _service(spark) -> QueueService:
-    return QueueService(QueueStore(spark, scratch_path(spark, "queue")).create(), CONFIG)
+    return QueueService(QueueStore(spark, scratch_path(spark, "queue"), buckets=8).create(), CONFIG)
 
 
 def _filled(spark, sf_dir) -> QueueService:
@@ -56,55 +68,55 @@ def _filled(spark, sf_dir) -> QueueService:
     return service
 
 
-def _unnumbered(queue):
-    return shown(queue).select(*[c for c in QUEUE_COLUMNS if c != "packet_id"])
-
-
-@query("enqueue_cycle", f"WITH {QUEUE_SQL}, {CLEAN_SQL} SELECT {UNNUMBERED} FROM clean")
+@query("enqueue_cycle", f"WITH {NUMBERED_SQL}, {CLEAN_SQL} {stored_sql('clean', 0)}")
 def enqueue_cycle(spark, sf_dir):
-    return _unnumbered(_filled(spark, sf_dir).store.queue())
+    return shown(_filled(spark, sf_dir).store.queue())
 
 
 @query("clean_up_cycle", f"WITH {QUEUE_SQL}, {CLEAN_SQL} {status_sql('clean')}")
 def clean_up_cycle(spark, sf_dir):
-    store = QueueStore(spark, scratch_path(spark, "queue")).create()
+    store = QueueStore(spark, scratch_path(spark, "queue"), buckets=8).create()
     store.append(event_queue(spark, sf_dir), order_by=["packet_id"])
     return QueueService(store, CONFIG).clean_up(NOW_MS)
 
 
-@query("process_cycle", f"WITH {QUEUE_SQL}, {BATCH_SQL} SELECT {UNNUMBERED} FROM b WHERE NOT taken")
+@query(
+    "process_cycle",
+    f"WITH {NUMBERED_SQL}, {BATCH_SQL} {stored_sql('b', 0)} WHERE NOT taken",
+)
 def process_cycle(spark, sf_dir):
     service = _filled(spark, sf_dir)
     service.process(NOW_MS, "tx-1", folder_delivery(scratch_path(spark, "delivered")))
-    return _unnumbered(service.store.queue())
+    return shown(service.store.queue())
 
 
 @query(
     "delivered_manifest",
-    f"""WITH {QUEUE_SQL}, {BATCH_SQL}
-        SELECT 'tx-1' AS transaction_id, count(*) AS packets,
-          CAST(sum(45 + strlen(CAST(user_id AS VARCHAR)) + strlen(event_type) + strlen(content))
-            AS BIGINT) AS bytes FROM b WHERE taken""",
+    f"""WITH {FRAME_SQL}, {CLEAN_SQL}, {BATCH_SQL_TAIL},
+        sent AS (SELECT 'tx-1' AS transaction_id, fr.* EXCLUDE (transaction_id)
+                 FROM fr JOIN b USING (packet_id) WHERE taken),
+        {CRC_SQL}, {manifest_sql('sent')}
+        SELECT transaction_id, packets, bytes, checksum FROM m""",
 )
 def delivered_manifest(spark, sf_dir):
     service = _filled(spark, sf_dir)
     path = scratch_path(spark, "delivered")
     service.process(NOW_MS, "tx-1", folder_delivery(path))
-    return spark.read.parquet(f"{path}/manifests").select("transaction_id", "packets", "bytes")
+    return spark.read.parquet(f"{path}/manifests").drop("sent_as")
 
 
 @query(
     "stored_states",
-    f"""WITH {QUEUE_SQL}, a AS (
+    f"""WITH {NUMBERED_SQL}, a AS (
           SELECT *, rn <= {BATCH_COUNT} AND before < {BATCH_BYTES} AS taken FROM ({ranked('q')})),
         rest AS (SELECT * EXCLUDE (rn, before, taken) FROM a WHERE NOT taken),
         z AS ({ranked('rest')})
-        SELECT attributes, content, estimated_size, created, expires, priority,
-          CASE WHEN rn <= 250 THEN 'tx-3' END AS transaction_id FROM z""",
+        {stored_sql('z', 0, state=STATE.replace(
+            'transaction_id', "CASE WHEN rn <= 250 THEN 'tx-3' END AS transaction_id"))}""",
 )
 def stored_states(spark, sf_dir):
     """Append, assign, release, assign again, acknowledge, compact, assign once more."""
-    store = QueueStore(spark, scratch_path(spark, "queue")).create()
+    store = QueueStore(spark, scratch_path(spark, "queue"), buckets=8).create()
     store.append(event_queue(spark, sf_dir), order_by=["packet_id"])
     store.assign("tx-1", BATCH_COUNT, BATCH_BYTES)
     store.release("tx-1")
@@ -112,7 +124,7 @@ def stored_states(spark, sf_dir):
     store.acknowledge("tx-2")
     store.compact()
     store.assign("tx-3", 250, None)
-    return _unnumbered(store.queue())
+    return shown(store.queue())
 
 
 # --- streams -----------------------------------------------------------------------
@@ -147,7 +159,7 @@ def _streamed(spark, sf_dir, **options) -> QueueService:
         enqueue_stream(
             _event_stream(spark, sf_dir),
             service,
-            name="events",
+            writer=STREAM,
             now=lambda: NOW_MS,
             checkpoint=scratch_path(spark, "stream"),
             created=_created(),
@@ -157,9 +169,9 @@ def _streamed(spark, sf_dir, **options) -> QueueService:
     return service
 
 
-@query("stream_enqueue", f"WITH {QUEUE_SQL}, {CLEAN_SQL} SELECT {UNNUMBERED} FROM clean")
+@query("stream_enqueue", f"WITH {NUMBERED_SQL}, {CLEAN_SQL} {stored_sql('clean', 0, STREAM)}")
 def stream_enqueue(spark, sf_dir):
-    return _unnumbered(_streamed(spark, sf_dir).store.queue())
+    return shown(_streamed(spark, sf_dir).store.queue())
 
 
 @query("stream_status", f"WITH {QUEUE_SQL}, {CLEAN_SQL}, s AS ({status_sql('clean')}) "
@@ -170,7 +182,10 @@ def stream_status(spark, sf_dir):
     return spark.read.parquet(path).withColumn("batch", F.col("batch").cast("bigint"))
 
 
-@query("stream_process", f"WITH {QUEUE_SQL}, {BATCH_SQL} SELECT {UNNUMBERED} FROM b WHERE NOT taken")
+@query(
+    "stream_process",
+    f"WITH {NUMBERED_SQL}, {BATCH_SQL} {stored_sql('b', 0, STREAM)} WHERE NOT taken",
+)
 def stream_process(spark, sf_dir):
     service = _streamed(spark, sf_dir)
     _drained(
@@ -183,7 +198,7 @@ def stream_process(spark, sf_dir):
             checkpoint=scratch_path(spark, "stream"),
         )
     )
-    return _unnumbered(service.store.queue())
+    return shown(service.store.queue())
 
 
 def _stream_rows(spark, sf_dir):
@@ -208,7 +223,7 @@ def _written(spark, rows):
 
 @query(
     "stream_age_off",
-    f"WITH {QUEUE_SQL} SELECT packet_id, {UNNUMBERED} FROM q WHERE expires >= {NOW_MS}",
+    f"WITH {QUEUE_SQL} SELECT packet_id, {STATE} FROM q WHERE expires >= {NOW_MS}",
 )
 def stream_age_off(spark, sf_dir):
     return shown(_written(spark, live_packets(_stream_rows(spark, sf_dir), NOW_MS)))

@@ -30,7 +30,7 @@ class QueueService:
         self.config = config or QueueConfig()
 
     def status(self) -> DataFrame:
-        return Q.queue_status(self.store.queue(), self.config)
+        return self.store.status(self.config)
 
     def enqueue(
         self,
@@ -39,12 +39,14 @@ class QueueService:
         *,
         created: Column | int | None = None,
         order_by: Sequence[str | Column] = (),
-        source: str | None = None,
+        writer: int | None = None,
+        batch: int | None = None,
         clean_up: bool = True,
     ) -> DataFrame:
         """Append packets, clean up, report.  ``created`` defaults to ``now_ms``.
 
-        A clean-up reads the queue's sort columns.  Where appends are frequent and the
+        ``writer`` and ``batch`` number the append, see ``QueueStore.append``.  A clean-up that
+        has something to do reads the queue's sort columns; where appends are frequent and the
         queue is large, leave it out and run ``clean_up`` at a slower pace.
         """
         ordered = packets.orderBy(*order_by) if order_by else packets
@@ -54,7 +56,7 @@ class QueueService:
             packet_id=F.lit(0),
             prioritizer=self.config.prioritizer,
         )
-        self.store.append(rows, source=source)
+        self.store.append(rows, writer=writer, batch=batch)
         return self.clean_up(now_ms) if clean_up else self.status()
 
     def clean_up(self, now_ms: int) -> DataFrame:
@@ -65,14 +67,14 @@ class QueueService:
         """Clean up, send the next batch, acknowledge or release it, report.
 
         An empty queue sends nothing.  A transaction id used before takes no new batch:
-        what it still holds is sent again, and once acknowledged nothing is.  Only a completed transaction is acknowledged: any
-        other state, and any error, frees its packets and raises.
+        what it still holds is sent again, and once acknowledged nothing is.  Only a completed
+        transaction is acknowledged: any other state, and any error, frees its packets and raises.
         """
         kind = self.store.transaction_kind(transaction_id)
         if kind == "ended":
             return self.status()
         self.store.clean_up(self.config, now_ms)
-        if not Q.has_packets(self.store.queue()):
+        if not Q.has_packets(self.store.live()):
             return self.status()
         taken = kind == "open" or self.store.assign(
             transaction_id, self.config.batch_packets, self.config.batch_bytes

@@ -228,4 +228,4 @@ def damaged_manifest(spark, sf_dir):
 )
 def small_chunk_manifest(spark, sf_dir):
     """Transactions that span several range partitions."""
-    return T.manifest(user_transactions(spark, sf_dir), chunk_rows=2_000)
+    return T.manifest(user_transactions(spark, sf_dir), partitions=16)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from courier.functions.packets import empty_attributes
 from courier.operators.order import send_order
-from courier.operators.transfer import frames, manifest
+from courier.operators.transfer import checksums, combined
 from courier.sources.scratch import materialise
 
 
@@ -30,28 +30,27 @@ def file_packets(spark: SparkSession, path: str, pattern: str | None = None) ->
 def deliver_to_folder(batch: DataFrame, path: str) -> DataFrame:
     """Write the frames and the manifest of packets in flight; gives the manifest.
 
-    Frames lie in send order under ``frames/transaction_id=…``.  A transaction is spread
-    over files by its send order, so a large one does not pass through one task.  Sent again,
-    a transaction takes the place of what was written of it before.
+    Frames lie in send order under ``frames/transaction_id=…``, each with its length and
+    checksum.  They are built once: the manifest is made of what was written.  A transaction
+    is spread over files by its send order, so a large one does not pass through one task.  Sent
+    again, a transaction takes the place of what was written of it before.
     """
-    held = batch.persist()  # read several times; spills to disk, and can be recomputed
-    try:
-        by_transaction = frames(held).repartitionByRange("transaction_id", *send_order())
-        (
-            by_transaction.sortWithinPartitions("transaction_id", *send_order())
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("transaction_id")
-            .parquet(f"{path}/frames")
-        )
-        summary = materialise(manifest(held), "manifest")
-        (
-            summary.withColumn("sent_as", F.col("transaction_id"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("sent_as")
-            .parquet(f"{path}/manifests")
-        )
-    finally:
-        held.unpersist()
+    # Range bounds are sampled, so the batch, which may be a costly view, is written first.
+    built = materialise(checksums(batch), "frames")
+    by_transaction = built.repartitionByRange("transaction_id", *send_order())
+    (
+        by_transaction.sortWithinPartitions("transaction_id", *send_order())
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("transaction_id")
+        .parquet(f"{path}/frames")
+    )
+    summary = materialise(combined(built), "manifest")
+    (
+        summary.withColumn("sent_as", F.col("transaction_id"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("sent_as")
+        .parquet(f"{path}/manifests")
+    )
     return summary

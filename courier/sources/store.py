@@ -1,52 +1,55 @@
-"""The stored queue: append-only Parquet tables under one folder.
+"""The stored queue: two append-only tables bucketed by packet id, and a summary of each write.
 
-``packets``  rows as they were enqueued; never rewritten except by ``compact``
-``changes``  per packet: its new transaction, or that it was delivered; the latest counts
-``commits``  one JSON row per write, naming the folder it added
+``packets``  rows as they were enqueued
+``events``   per packet: its new transaction, or that it was removed; the latest counts
+``totals``   what each write added or took away: rows and bytes by hour of expiry
 
-A write puts its files into a new folder and then adds the commit row.  Folders that no
-commit names are not read, so a write that fails halfway changes nothing.  The queue is
-a view over the three.  Assigning, releasing and acknowledging packets write their ids,
-never their payloads.  A clean-up writes no rows at all: its commit holds the time and
-the cut, and the view filters older rows by them.
+Nothing is rewritten.  Assigning, releasing, acknowledging and cleaning up write packet ids,
+never payloads; the queue is a view over the two tables, which share their buckets, so that
+the latest event of each packet is found and joined without a shuffle.  Status, and whether a
+clean-up has anything to do, follow from ``totals`` alone.
 
-Writers in one driver take turns by a lock for each folder.  A commit is written under its
-version and never overwrites one, so of two drivers that write at the same time the slower
-fails, and what it wrote is not read.
+A packet id is (batch, writer, row): batches are numbered by their writer, rows inside their
+batch.  So drivers that append at the same time need no shared counter: give each its own
+``writer`` number, and likewise each stream, whose micro-batches bring their numbers.  A batch
+number that its writer used before is a replay.  Let one driver at a time change states.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import threading
-import uuid
+import time
 from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from courier.config import QueueConfig
 from courier.operators import queue as Q
-from courier.operators.order import SEND_ORDER, Cut, send_key
 from courier.schema import QUEUE_COLUMNS, QUEUE_SCHEMA
 from courier.sources.scratch import materialise
 
-COMMIT_SCHEMA = (
-    "version bigint, kind string, folder string, next_id bigint, source string, "
-    "now_ms bigint, cut array<bigint>"
-)
-#: Queue columns, and the version of the commit that added the row.
-PACKET_SCHEMA = T.StructType([*QUEUE_SCHEMA.fields, T.StructField("added", T.LongType())])
-CHANGE_SCHEMA = "packet_id bigint, transaction_id string, removed boolean, version bigint"
+ROW_BITS, WRITER_BITS = 32, 5
+EXPIRY_MILLIS = 3_600_000
+BUCKETS = 32
 
+PACKETS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in QUEUE_SCHEMA)
+EVENTS = "packet_id bigint, transaction_id string, removed boolean, seq bigint"
+TOTALS = (
+    "generation int, buckets int, seq bigint, writer int, batch bigint, expiry bigint, "
+    "packets bigint, bytes bigint"
+)
+#: What a change needs to know of its packets.
+CHANGED = ("packet_id", "estimated_size", "expires")
 
 _locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
 
 
 def _one_at_a_time(write):
-    """Let writers of the same folder take turns."""
+    """Let the threads of a driver that write to the same folder take turns."""
 
     @functools.wraps(write)
     def run(self, *args, **options):
@@ -56,277 +59,256 @@ def _one_at_a_time(write):
     return run
 
 
+def first_id(writer: int, batch: int) -> int:
+    """The id before the first row of a writer's batch."""
+    if not 0 <= writer < 1 << WRITER_BITS or not 0 <= batch < 1 << 63 - ROW_BITS - WRITER_BITS:
+        raise ValueError(f"no ids for writer {writer}, batch {batch}")
+    return (batch << WRITER_BITS | writer) << ROW_BITS
+
+
 class QueueStore:
     """A packet queue in a folder that driver and executors share."""
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    # --- commits --------------------------------------------------------------------
+    def __init__(
+        self, spark: SparkSession, path: str, *, writer: int = 0, buckets: int = BUCKETS
+    ) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        self.writer, self.buckets = writer, buckets
 
-    @_one_at_a_time
-    def create(self) -> "QueueStore":
-        """Create the queue if it is not there yet."""
-        if not self._commits():
-            self._commit(0, "create", None, 1)
-        return self
+    # --- reading --------------------------------------------------------------------
 
-    def _commits(self) -> list:
-        """Commit rows in order: metadata, a row per write."""
+    def _totals(self) -> DataFrame:
         try:
-            rows = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits")
-            return sorted(rows.collect(), key=lambda r: r["version"])
+            return self.spark.read.schema(TOTALS).parquet(f"{self.path}/totals")
         except Exception as error:
             if "PATH_NOT_FOUND" in str(error):
-                return []
+                raise FileNotFoundError(f"no queue at {self.path}") from None
             raise
 
-    def _commit(
-        self, version: int, kind: str, folder: str | None, next_id: int, source=None, trim=None
-    ) -> None:
-        cut = None if trim is None or trim.cut is None else F.array(*map(F.lit, trim.cut.key))
-        row = self.spark.range(1, numPartitions=1).select(
-            F.lit(version).cast("bigint").alias("version"),
-            F.lit(kind).alias("kind"),
-            F.lit(folder).cast("string").alias("folder"),
-            F.lit(next_id).cast("bigint").alias("next_id"),
-            F.lit(source).cast("string").alias("source"),
-            F.lit(trim and trim.now_ms).cast("bigint").alias("now_ms"),
-            (F.lit(None) if cut is None else cut).cast("array<bigint>").alias("cut"),
+    def _state(self, writer: int | None = None) -> Row:
+        """The generation and its buckets, the latest change, the writer's latest batch."""
+        mine = F.col("writer") == (self.writer if writer is None else writer)
+        return self._totals().agg(
+            F.max("generation").alias("generation"),
+            F.max_by("buckets", "generation").alias("buckets"),
+            F.max("seq").alias("seq"),
+            F.coalesce(F.max(F.when(mine, F.col("batch"))), F.lit(-1)).alias("batch"),
+        ).first()
+
+    def _table(self, name: str, columns: str, state: Row) -> str:
+        """The table of this folder in the session's catalog, which knows its buckets."""
+        folder = f"{self.path}/{name}/generation={state['generation']}"
+        table = f"courier_{name}_{hashlib.md5(folder.encode()).hexdigest()}"
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+            f"CLUSTERED BY (packet_id) INTO {state['buckets']} BUCKETS LOCATION "
+            f"'{folder.replace(chr(39), chr(92) + chr(39))}'"
         )
-        row.drop("version").write.mode("errorifexists").json(f"{self.path}/commits/version={version}")
-
-    def _log(self) -> list:
-        commits = self._commits()
-        if not commits:
-            raise FileNotFoundError(f"no queue at {self.path}")
-        return commits
+        self.spark.catalog.refreshTable(table)  # files of other sessions
+        return table
 
-    def version(self) -> int:
-        return self._log()[-1]["version"]
+    def _packets(self, state: Row) -> DataFrame:
+        return self.spark.table(self._table("packets", PACKETS, state))
 
-    def has_source(self, source: str) -> bool:
-        """Was this source batch committed already?"""
-        return any(r["source"] == source for r in self._log())
+    def _events(self, state: Row) -> DataFrame:
+        return self.spark.table(self._table("events", EVENTS, state))
 
-    # --- reading --------------------------------------------------------------------
-
-    def _parts(self, commits: list) -> tuple[DataFrame, DataFrame | None]:
-        """Packet rows that no clean-up removed, and the latest change of each packet."""
-        bases = [i for i, r in enumerate(commits) if r["kind"] == "base"]
-        live = commits[bases[-1]:] if bases else commits
-        packets = [r["folder"] for r in live if r["kind"] in ("packets", "base")]
-        changes = [r["folder"] for r in live if r["kind"] == "changes"]
-        if not packets:
-            return self.spark.createDataFrame([], QUEUE_SCHEMA), None
-        # Columns added later are read as null from files that lack them.
-        rows = self.spark.read.schema(PACKET_SCHEMA).parquet(
-            *[f"{self.path}/{folder}" for folder in packets]
-        )
-        for version, trim in _standing_trims(live):
-            rows = rows.where((F.col("added") > F.lit(version)) | trim.kept())
-        rows = rows.select(*QUEUE_COLUMNS)
-        if not changes:
-            return rows, None
-        log = self.spark.read.schema(CHANGE_SCHEMA).parquet(
-            *[f"{self.path}/{folder}" for folder in changes]
-        )
-        latest = log.groupBy("packet_id").agg(
-            F.max_by(F.struct("transaction_id", "removed"), "version").alias("change")
-        )
-        return rows, latest.select("packet_id", "change")
-
-    def queue(self, commits: list | None = None) -> DataFrame:
-        """The queue as it stands, or as it stood after ``commits``."""
-        rows, latest = self._parts(commits or self._log())
-        if latest is None:
-            return rows
-        return (
-            rows.join(latest, "packet_id", "left")
-            .where(~F.coalesce("change.removed", F.lit(False)))
-            .withColumn(
-                "transaction_id",
-                F.when(F.col("change").isNull(), F.col("transaction_id")).otherwise(
-                    F.col("change.transaction_id")
-                ),
-            )
-            .select(*QUEUE_COLUMNS)
-        )
+    def queue(self) -> DataFrame:
+        """The queue as it stands."""
+        state = self._state()
+        return _with_latest(self._packets(state), self._events(state))
 
     def packets(self, transaction_id: str) -> DataFrame:
         """The packets of one transaction, in send order."""
-        return Q.in_send_order(self._in_transaction(transaction_id, self._log()))
+        return Q.in_send_order(self._in_transaction(transaction_id))
 
-    def _in_transaction(self, transaction_id: str, commits: list) -> DataFrame:
-        """The packets of one transaction.
-
-        Starts from the change log: the transaction's ids bound the packet files to read.
-        """
-        rows, latest = self._parts(commits)
+    def _in_transaction(self, transaction_id: str) -> DataFrame:
+        """The packets of one transaction; its ids bound the rows to read."""
+        state = self._state()
+        rows, events = self._packets(state), self._events(state)
         own = F.col("transaction_id") == F.lit(transaction_id)
-        found = rows.where(own)
-        if latest is not None:
-            mine = latest.where(
-                ~F.col("change.removed") & (F.col("change.transaction_id") == F.lit(transaction_id))
-            ).select("packet_id")
-            low, high = mine.agg(F.min("packet_id"), F.max("packet_id")).first()
-            given = (
-                rows.where(F.col("packet_id").between(low, high))
-                .join(mine, "packet_id", "left_semi")
-                .withColumn("transaction_id", F.lit(transaction_id))
-            )
-            found = found.join(latest, "packet_id", "left_anti")  # kept from a base, unchanged
-            found = found if low is None else found.unionByName(given)
-        return found
+        ids = events.where(own).select("packet_id").union(rows.where(own).select("packet_id"))
+        low, high = ids.agg(F.min("packet_id"), F.max("packet_id")).first()
+        between = F.col("packet_id").between(low, high)
+        return _with_latest(rows.where(between), events.where(between)).where(own)
+
+    def live(self) -> DataFrame:
+        """Packets and bytes in the queue by hour of expiry, from the summaries."""
+        totals = self._totals()
+        newest = totals.agg(F.max("generation").alias("generation"))  # one row
+        kept = totals.join(F.broadcast(newest), "generation").groupBy("expiry")
+        return kept.agg(F.sum("packets").alias("packets"), F.sum("bytes").alias("bytes")).where(
+            "packets > 0"
+        )
+
+    def status(self, config: QueueConfig) -> DataFrame:
+        """The queue's status, without reading the queue."""
+        return Q.status_of_totals(self.live(), config)
+
+    def transaction_kind(self, transaction_id: str) -> str | None:
+        """``open`` if packets are in flight, ``ended`` if some were acknowledged, else ``None``."""
+        if not self._in_transaction(transaction_id).isEmpty():
+            return "open"
+        own = (F.col("transaction_id") == F.lit(transaction_id)) & F.col("removed")
+        return None if self._events(self._state()).where(own).isEmpty() else "ended"
 
     # --- writing --------------------------------------------------------------------
 
+    @_one_at_a_time
+    def create(self) -> "QueueStore":
+        """Create the queue if it is not there yet."""
+        try:
+            self._state()
+        except FileNotFoundError:
+            self._summarise(self.spark.createDataFrame([], QUEUE_SCHEMA), 0, self.buckets, 0)
+        return self
+
+    def _summarise(
+        self, rows: DataFrame, generation: int, buckets: int, seq: int,
+        sign: int = 1, writer: int | None = None, batch: int | None = None,
+    ) -> None:
+        """Add what a write did to ``totals``, and a row that only names the write."""
+        by_hour = rows.groupBy(F.expr(f"expires div {EXPIRY_MILLIS}L").alias("expiry")).agg(
+            (F.count(F.lit(1)) * sign).alias("packets"),
+            (F.coalesce(F.sum("estimated_size"), F.lit(0)) * sign).alias("bytes"),
+        )
+        named = self.spark.range(1).selectExpr("NULL AS expiry", "0L AS packets", "0L AS bytes")
+        both = by_hour.union(named).selectExpr(
+            f"{generation} AS generation", f"{buckets} AS buckets", f"{seq}L AS seq",
+            f"CAST({'NULL' if writer is None else writer} AS int) AS writer",
+            f"CAST({'NULL' if batch is None else batch} AS bigint) AS batch",
+            "expiry", "packets", "bytes",
+        )
+        both.coalesce(1).write.mode("append").parquet(f"{self.path}/totals")
+
+    def _insert(self, rows: DataFrame, name: str, columns: str, state: Row) -> None:
+        """Add rows to a table, a file for each bucket."""
+        table = self._table(name, columns, state)
+        rows.repartition(state["buckets"], "packet_id").write.insertInto(table)
+
     @_one_at_a_time
     def append(
         self,
         rows: DataFrame,
         *,
         order_by: Sequence[str | Column] = (),
-        source: str | None = None,
+        writer: int | None = None,
+        batch: int | None = None,
     ) -> bool:
-        """Add queue rows, all or none; their ids follow all ids given before.
+        """Add queue rows; their ids follow those of the writer's earlier batches.
 
         Ids rise in the order of ``order_by``, or in the order in which Spark reads the
-        rows, one by one without gaps.  With ``source``, a batch that was
-        committed before is skipped, and the result is ``False``.
+        rows, one by one without gaps.  Without ``batch`` the writer's next number is taken.  A
+        given number that is not above the writer's latest is a replay: nothing is written, and
+        the result is ``False``.  Of a batch that was cut off, the rows still missing are added.
         """
-        commits = self._log()
-        if source is not None and any(r["source"] == source for r in commits):
+        writer = self.writer if writer is None else writer
+        state = self._state(writer)
+        number = state["batch"] + 1 if batch is None else batch
+        if number <= state["batch"]:
             return False
-        base = commits[-1]["next_id"]
+        base = first_id(writer, number)
         # A sort leaves partitions in order.  Rows are numbered inside their partition, and
         # the sizes of the partitions before it are added.
         ordered = rows.orderBy(*order_by) if order_by else rows
-        version = commits[-1]["version"] + 1
-        placed = materialise(
-            ordered.withColumn("_part", F.spark_partition_id()).withColumn(
-                "_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-            ),
-            "append",
-        )
-        sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+        placed = materialise(ordered.withColumn("_at", F.monotonically_increasing_id()), "append")
+        part = F.shiftright("_at", 33).alias("_part")
+        sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("_size"))
         earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sizes.select(
-            "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
+        offsets = sizes.select(  # one row per partition
+            "_part", (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) + base + 1).alias("_first")
         )
-        numbered = (
-            placed.join(offsets, "_part")
-            .withColumn("packet_id", F.col("_offset") + F.col("_place") + F.lit(base))
-            .select(*QUEUE_COLUMNS, F.lit(version).cast("bigint").alias("added"))
+        last = base + (1 << ROW_BITS) - 1
+        number_of = F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+        full = F.raise_error(F.lit("too many rows for one batch")).cast("bigint")
+        numbered = placed.withColumn("_part", part).join(offsets, "_part")
+        numbered = numbered.withColumn(
+            "packet_id", F.when(number_of <= last, number_of).otherwise(full)
+        ).select(*QUEUE_COLUMNS)
+        mine = F.col("packet_id").between(base + 1, last)
+        there = self._packets(state).where(mine).select("packet_id")
+        if not there.isEmpty():
+            numbered = numbered.join(there, "packet_id", "left_anti")
+        self._insert(numbered.select(*QUEUE_COLUMNS), "packets", PACKETS, state)
+        added = self._packets(state).where(mine)
+        self._summarise(
+            added, state["generation"], state["buckets"], state["seq"], 1, writer, number
         )
-        folder = f"packets/{uuid.uuid4().hex}"
-        numbered.write.mode("errorifexists").parquet(f"{self.path}/{folder}")
-        written = self.spark.read.schema(PACKET_SCHEMA).parquet(f"{self.path}/{folder}")
-        self._commit(version, "packets", folder, base + written.count(), source)
         return True
 
-    def transaction_kind(self, transaction_id: str) -> str | None:
-        """``open`` if packets are in flight, ``ended`` if some were acknowledged, else ``None``."""
-        commits = self._log()
-        if not self._in_transaction(transaction_id, commits).isEmpty():
-            return "open"
-        folders = [f"{self.path}/{r['folder']}" for r in commits if r["kind"] == "changes"]
-        if not folders:
-            return None
-        log = self.spark.read.schema(CHANGE_SCHEMA).parquet(*folders)
-        sent = log.where((F.col("transaction_id") == transaction_id) & F.col("removed"))
-        return None if sent.isEmpty() else "ended"
-
-    def _change(self, commits: list, rows: DataFrame) -> int:
-        """Record ``packet_id, transaction_id, removed``; gives the number of rows."""
-        version = commits[-1]["version"] + 1
-        folder = f"changes/{uuid.uuid4().hex}"
-        target = f"{self.path}/{folder}"
-        rows.withColumn("version", F.lit(version).cast("bigint")).write.mode(
-            "errorifexists"
-        ).parquet(target)
-        changed = self.spark.read.schema(CHANGE_SCHEMA).parquet(target).count()
-        if changed:
-            self._commit(version, "changes", folder, commits[-1]["next_id"])
-        return changed
-
-    @staticmethod
-    def _changes(rows: DataFrame, transaction_id: Column, removed: bool) -> DataFrame:
-        return rows.select(
-            "packet_id",
-            transaction_id.cast("string").alias("transaction_id"),
-            F.lit(removed).alias("removed"),
-        )
+    def _change(self, rows: DataFrame, transaction_id: str | None, removed: bool) -> int:
+        """Record an event for every row; gives their number."""
+        state = self._state()
+        changed = materialise(rows.select(*CHANGED), "changed")
+        count = changed.count()
+        if count:
+            seq = max(state["seq"] + 1, time.time_ns())  # later than one that was cut off
+            events = changed.select(
+                "packet_id",
+                F.lit(transaction_id).cast("string").alias("transaction_id"),
+                F.lit(removed).alias("removed"),
+                F.lit(seq).cast("bigint").alias("seq"),
+            )
+            self._insert(events, "events", EVENTS, state)
+            gone = changed if removed else changed.limit(0)
+            self._summarise(gone, state["generation"], state["buckets"], seq, -1)
+        return count
 
     @_one_at_a_time
     def assign(
         self, transaction_id: str, count_limit: int | None, byte_limit: int | None, **search
     ) -> int:
         """Give the next batch to a transaction; the number of packets in it."""
-        commits = self._log()
-        chosen = Q.batch(self.queue(commits), count_limit, byte_limit, **search)
-        return self._change(commits, self._changes(chosen, F.lit(transaction_id), False))
+        chosen = Q.batch(self.queue(), count_limit, byte_limit, **search)
+        return self._change(chosen, transaction_id, False)
 
     @_one_at_a_time
     def acknowledge(self, transaction_id: str) -> int:
-        commits = self._log()
-        mine = self._in_transaction(transaction_id, commits)
-        return self._change(commits, self._changes(mine, F.lit(transaction_id), True))
+        return self._change(self._in_transaction(transaction_id), transaction_id, True)
 
     @_one_at_a_time
     def release(self, transaction_id: str) -> int:
-        commits = self._log()
-        mine = self._in_transaction(transaction_id, commits)
-        return self._change(commits, self._changes(mine, F.lit(None), False))
+        return self._change(self._in_transaction(transaction_id), None, False)
 
     @_one_at_a_time
     def clean_up(self, config: QueueConfig, now_ms: int, **search) -> int:
         """Age off and trim; the number of packets removed."""
-        commits = self._log()
-        queue = self.queue(commits)
-        trim = Q.plan_clean_up(queue, config, now_ms, **search)
-        if trim.keep_none or trim.protect_in_flight:  # depends on each packet's state now
-            gone = queue.where(~trim.kept())
-            return self._change(commits, self._changes(gone, F.lit(None), True))
-        gone = queue.agg(F.count_if(~trim.kept()).alias("n")).first()["n"]
-        if gone:
-            last = commits[-1]
-            self._commit(last["version"] + 1, "trim", None, last["next_id"], trim=trim)
-        return gone
+        low, packets, size = (
+            self.live().agg(F.min("expiry"), F.sum("packets"), F.sum("bytes")).first()
+        )
+        young = low is None or now_ms <= low * EXPIRY_MILLIS
+        few = config.max_packets is None or (packets or 0) <= config.max_packets
+        if young and few and (config.max_bytes is None or (size or 0) <= config.max_bytes):
+            return 0
+        return self._change(Q.cleaned_away(self.queue(), config, now_ms, **search), None, True)
 
     @_one_at_a_time
     def compact(self) -> None:
-        """Write the queue as it stands as a new base, so that reads skip what came before."""
-        commits = self._log()
-        version = commits[-1]["version"] + 1
-        folder = f"packets/{uuid.uuid4().hex}"
-        rows = self.queue(commits).withColumn("added", F.lit(version).cast("bigint"))
-        rows.write.mode("errorifexists").parquet(f"{self.path}/{folder}")
-        self._commit(version, "base", folder, commits[-1]["next_id"])
-
-
-def _standing_trims(commits: list) -> list[tuple[int, Q.Trim]]:
-    """The trims that still matter, each with its version.
-
-    A trim holds for rows added before it.  One that a later trim matches or exceeds, in
-    time and in cut, adds nothing.
-    """
-    standing: list[tuple[int, Q.Trim]] = []
-    latest_time, least_cut = None, None
-    for row in reversed(commits):
-        if row["kind"] != "trim":
-            continue
-        now_ms, key = row["now_ms"], row["cut"]
-        stricter_time = latest_time is None or now_ms > latest_time
-        stricter_cut = key is not None and (
-            least_cut is None or send_key(tuple(key)) < send_key(least_cut)
+        """Write the queue as it stands as a new generation, with exact totals.
+
+        Reads then skip what came before.  Ids, batch numbers and ended transactions stay known.
+        """
+        state = self._state()
+        after = Row(generation=state["generation"] + 1, buckets=state["buckets"])
+        self._insert(self.queue(), "packets", PACKETS, after)
+        ended = self._events(state).where("removed AND transaction_id IS NOT NULL")
+        ended = ended.groupBy("transaction_id").agg(F.max("seq").alias("seq"))
+        ended = ended.selectExpr("-1L AS packet_id", "transaction_id", "true AS removed", "seq")
+        self._insert(ended, "events", EVENTS, after)
+        self._summarise(
+            self._packets(after), after["generation"], after["buckets"], state["seq"]
         )
-        if stricter_time:
-            latest_time = now_ms
-        if stricter_cut:
-            least_cut = tuple(key)
-        if stricter_time or stricter_cut:
-            cut = Cut(SEND_ORDER, tuple(key)) if stricter_cut else None
-            standing.append((row["version"], Q.Trim(now_ms if stricter_time else None, cut)))
-    return standing
+
+
+def _with_latest(rows: DataFrame, events: DataFrame) -> DataFrame:
+    """Packets that no event removed, with their latest transaction."""
+    latest = events.groupBy("packet_id").agg(
+        F.max_by(F.struct("transaction_id", "removed"), "seq").alias("event")
+    )
+    here = rows.join(latest, "packet_id", "left").where(
+        "event IS NULL OR NOT event.removed"
+    )
+    own = F.when(F.col("event").isNull(), F.col("transaction_id")).otherwise(
+        F.col("event.transaction_id")
+    )
+    return here.withColumn("transaction_id", own).select(*QUEUE_COLUMNS)

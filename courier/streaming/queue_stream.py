@@ -22,7 +22,7 @@ def enqueue_stream(
     packets: DataFrame,
     service: QueueService,
     *,
-    name: str,
+    writer: int,
     now: Callable[[], int],
     checkpoint: str,
     created: Column | None = None,
@@ -31,6 +31,7 @@ def enqueue_stream(
 ) -> DataStreamWriter:
     """Enqueue a stream of packets.  Set a trigger and start it.
 
+    ``writer`` is the stream's own writer number, under which its micro-batches are numbered.
     Each micro-batch is appended once, then the queue is cleaned up, which also ages off
     packets whose time is over.  With ``status_path`` the status after each micro-batch is
     appended there.
@@ -38,7 +39,7 @@ def enqueue_stream(
 
     def enqueue(batch: DataFrame, number: int) -> None:
         status = service.enqueue(
-            batch, now(), created=created, source=f"{name}:{number}", clean_up=clean_up
+            batch, now(), created=created, writer=writer, batch=number, clean_up=clean_up
         )
         if status_path is not None:
             append_status(status, number, status_path)

@@ -7,8 +7,13 @@ from courier.config import Prioritizer, QueueConfig
 from courier.functions import packets as P
 from courier.operators import queue as Q
 from courier.plans.service import DeliveryFailed, QueueService, folder_delivery
-from courier.sources.store import QueueStore, _standing_trims
-from courier.streaming.queue_stream import enqueue_stream, live_packets, process_stream
+from courier.sources.store import PACKETS, QueueStore, first_id
+from courier.streaming.queue_stream import (
+    enqueue_stream,
+    expired_packets,
+    live_packets,
+    process_stream,
+)
 
 NOW = 700_000_000_000
 CONFIG = QueueConfig(
@@ -19,7 +24,7 @@ CONFIG = QueueConfig(
 
 @pytest.fixture()
 def store(spark, tmp_path):
-    return QueueStore(spark, str(tmp_path / "queue")).create()
+    return QueueStore(spark, str(tmp_path / "queue"), buckets=2).create()
 
 
 def packets(spark, low, high):
@@ -46,7 +51,7 @@ def test_append_keeps_order_across_appends_and_handles(spark, store):
     other.append(rows(spark, 10, 20), order_by=["attributes"])
     assert numbers(store.queue()) == list(range(20))
     ids = [r["packet_id"] for r in store.queue().orderBy("packet_id").collect()]
-    assert ids == list(range(1, 21))
+    assert ids == [first_id(0, batch) + row for batch in (0, 1) for row in range(1, 11)]
 
 
 def test_overlapping_handles_give_no_id_twice(spark, store):
@@ -63,14 +68,69 @@ def test_overlapping_handles_give_no_id_twice(spark, store):
     for t in threads:
         t.join()
     ids = sorted(r["packet_id"] for r in store.queue().collect())
-    assert ids == list(range(1, 31)) and sorted(numbers(store.queue())) == list(range(30))
-
-
-def test_a_commit_is_never_overwritten(spark, store):
-    store.append(rows(spark, 0, 3))
-    with pytest.raises(Exception, match="ALREADY_EXISTS"):
-        store._commit(store.version(), "packets", "packets/other", 99)
-    assert numbers(store.queue()) == [0, 1, 2]
+    assert ids == [first_id(0, batch) + row for batch in range(6) for row in range(1, 6)]
+    assert sorted(numbers(store.queue())) == list(range(30))
+
+
+def test_writers_of_two_drivers_share_no_counter(spark, store):
+    # Both have looked before either writes, as drivers that know nothing of each other may.
+    one, two = (QueueStore(spark, store.path, writer=w) for w in (3, 4))
+    states = {s.writer: s._state() for s in (one, two)}
+    for handle in (one, two):
+        handle._state = lambda writer=None, s=states[handle.writer]: s
+        handle.append(rows(spark, handle.writer * 10, handle.writer * 10 + 5))
+    ids = [r["packet_id"] for r in store.queue().collect()]
+    assert len(ids) == len(set(ids)) == 10
+    assert sorted(ids) == [first_id(w, 0) + row for w in (3, 4) for row in range(1, 6)]
+    for writer, batch in ((-1, 0), (32, 0), (0, 1 << 26)):
+        with pytest.raises(ValueError):
+            first_id(writer, batch)
+
+
+def test_the_latest_event_is_joined_without_a_shuffle(spark, store):
+    store.append(rows(spark, 0, 40))
+    store.assign("t1", 5, None)
+    store.acknowledge("t1")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = store.queue()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" in text and "Exchange" not in text and "Bucketed: true" in text
+
+
+def test_status_and_idle_clean_ups_read_only_summaries(spark, store, monkeypatch):
+    store.append(rows(spark, 0, 40))
+    store.assign("t1", 5, None)
+    store.acknowledge("t1")
+    expected = Q.queue_status(store.queue(), CONFIG).first()
+    monkeypatch.setattr(store, "_table", None)  # neither table can be opened
+    assert store.status(CONFIG).first() == expected
+    assert store.clean_up(CONFIG, NOW - 3_600_000) == 0
+    with pytest.raises(TypeError):
+        store.clean_up(CONFIG, NOW + 10**9)
+
+
+def test_a_batch_that_was_cut_off_is_completed(spark, store):
+    state = store._state()
+    there = rows(spark, 0, 2).coalesce(1)
+    there = there.withColumn("packet_id", F.monotonically_increasing_id() + first_id(2, 7) + 1)
+    store._insert(there, "packets", PACKETS, state)  # without its totals
+    assert store.append(rows(spark, 0, 6).coalesce(1), writer=2, batch=7)
+    assert numbers(store.queue()) == list(range(6))
+    assert store.status(CONFIG).first()["queued_packets"] == 6
+
+
+def test_null_sizes_and_packets_without_expiry(spark, store):
+    odd = rows(spark, 0, 6).withColumn("expires", F.lit(None).cast("bigint"))
+    odd = odd.withColumn("estimated_size", F.lit(None).cast("bigint")).withColumn("path", F.lit("x"))
+    store.append(odd)
+    assert store.clean_up(CONFIG, NOW + 10**12) == 0
+    assert store.clean_up(QueueConfig(max_packets=2, max_bytes=None), NOW) == 4
+    status = store.status(CONFIG).first()
+    assert (status["queued_packets"], status["queued_bytes"], status["average_bytes"]) == (2, 0, 0)
+    assert store.acknowledge("nobody") == 0 and store.transaction_kind("nobody") is None
 
 
 def test_a_replayed_transaction_takes_no_second_batch(spark, store, tmp_path):
@@ -112,18 +172,34 @@ def test_states(spark, store):
 
 def test_a_failed_write_changes_nothing(spark, store):
     store.append(rows(spark, 0, 3))
-    version = store.version()
+    state = store._state()
     bad = rows(spark, 3, 6).withColumn("content", F.raise_error(F.lit("broken")).cast("binary"))
     with pytest.raises(Exception, match="broken"):
         store.append(bad)
-    assert store.version() == version and numbers(store.queue()) == [0, 1, 2]
+    assert store._state() == state and numbers(store.queue()) == [0, 1, 2]
 
 
 def test_a_batch_is_appended_once(spark, store):
-    assert store.append(rows(spark, 0, 3), source="s:1")
-    assert not store.append(rows(spark, 0, 3), source="s:1")
-    assert store.append(rows(spark, 3, 4), source="s:2")
-    assert store.queue().count() == 4 and store.has_source("s:1") and not store.has_source("s:3")
+    assert store.append(rows(spark, 0, 3), writer=1, batch=0)
+    assert not store.append(rows(spark, 0, 3), writer=1, batch=0)
+    store.compact()
+    assert not store.append(rows(spark, 0, 3), writer=1, batch=0)
+    assert store.append(rows(spark, 3, 4), writer=1, batch=2)
+    assert store.queue().count() == 4
+
+
+def test_what_compaction_keeps(spark, store):
+    store.append(rows(spark, 0, 6))
+    store.assign("done", 2, None)
+    store.acknowledge("done")
+    store.assign("open", 2, None)
+    before = store.queue().orderBy("packet_id").collect()
+    store.compact()
+    assert store.queue().orderBy("packet_id").collect() == before
+    assert [store.transaction_kind(t) for t in ("done", "open", "new")] == ["ended", "open", None]
+    assert numbers(store.packets("open")) == [2, 3]
+    assert store.status(CONFIG).first()["queued_packets"] == 4
+    assert store.acknowledge("open") == 2 and numbers(store.queue()) == [4, 5]
 
 
 def test_clean_up(spark, store):
@@ -153,18 +229,6 @@ def test_a_clean_up_holds_for_earlier_packets_only(spark, store):
     assert store.queue().isEmpty()
 
 
-def test_standing_trims():
-    def row(version, now_ms, cut):
-        return {"version": version, "kind": "trim", "now_ms": now_ms, "cut": cut}
-
-    commits = [
-        row(1, 10, [0, 0, 5]), row(2, 20, [0, 0, 9]), row(3, 30, [None, 7, 1]),
-        row(4, 40, [1, 0, 0]), row(5, 35, None),
-    ]
-    found = [(v, t.now_ms, t.cut and t.cut.key) for v, t in _standing_trims(commits)]
-    assert found == [(5, 35, None), (4, 40, (1, 0, 0)), (3, None, (None, 7, 1))]
-
-
 def test_cycles(spark, store, tmp_path):
     service = QueueService(store, CONFIG)
     status = service.enqueue(packets(spark, 0, 60), NOW, order_by=["n"]).first()
@@ -209,7 +273,7 @@ def test_streams(spark, store, tmp_path):
     def fill(checkpoint):
         drained(
             enqueue_stream(
-                stream(spark, source), service, name="s", now=lambda: NOW,
+                stream(spark, source), service, writer=1, now=lambda: NOW,
                 checkpoint=str(tmp_path / checkpoint), status_path=status,
             )
         )
@@ -236,3 +300,34 @@ def test_streams(spark, store, tmp_path):
 def test_live_packets(queue_rows):
     queue = queue_rows([(1, 1, 0, 0, 0, None), (2, 1, 0, None, 0, None), (3, 1, 0, 2**60, 0, None)])
     assert sorted(r["packet_id"] for r in live_packets(queue).collect()) == [2, 3]
+
+
+def queue_stream_rows(spark, folder, table):
+    """Queue rows (packet_id, priority, created, expires) as a stream, a micro-batch a list."""
+    schema = "packet_id bigint, priority bigint, created bigint, expires bigint"
+    for batch in table:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@pytest.mark.parametrize("bucket_millis", [10, 100_000])
+def test_expired_packets_come_out_once(spark, tmp_path, bucket_millis):
+    first = [(i, None if i % 3 else 2**60 + i, 1000, 1000 + 7 * i) for i in range(40)]
+    table = [
+        first,
+        [(100, 1, 1100, 5000), (101, 1, 10, 20), (102, 1, 1100, None), (103, 1, 1100, 1100)],
+        [(3, 1, 1200, 1150), (104, None, 500, 1250), (105, 1, None, 1199), (0, 1, 1190, 1190)],
+        [(106, 1, 1250, 1300)],
+    ]
+    out = str(tmp_path / "out")
+    expired = expired_packets(
+        queue_stream_rows(spark, str(tmp_path / "in"), table), bucket_millis=bucket_millis, shards=2
+    )
+    drained(
+        expired.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+    )
+    got = sorted(map(tuple, spark.read.parquet(out).collect()), key=repr)
+    every = [r for batch in table for r in batch]
+    assert got == sorted(((i, p, e) for i, p, c, e in every if e is not None and e < 1250), key=repr)

@@ -60,14 +60,14 @@ def test_frames(queue, packets):
     assert {r["packet_id"]: bytes(r["frame"]) for r in T.frames(queue).collect()} == expected
 
 
-@pytest.mark.parametrize("chunk_rows", [9, 10**6])
+@pytest.mark.parametrize("partitions", [7, None])
 @pytest.mark.parametrize("socket", [False, True])
-def test_manifest(queue, packets, socket, chunk_rows):
+def test_manifest(queue, packets, socket, partitions):
     expected = {
         t: (sum(1 for p in packets if p[5] == t), len(body), zlib.crc32(body))
         for t, body in payloads(packets, b"RC\n" if socket else b"").items()
     }
-    found = T.manifest(queue, socket=socket, chunk_rows=chunk_rows).collect()
+    found = T.manifest(queue, socket=socket, partitions=partitions).collect()
     assert {r["transaction_id"]: (r["packets"], r["bytes"], r["checksum"]) for r in found} == expected
 
 
