@@ -95,16 +95,66 @@ def parse_creation_replies(replies: DataFrame, ttl_header: str) -> DataFrame:
 
 
 def parse_completion_replies(replies: DataFrame) -> DataFrame:
-    """Results of ``replies (transaction_id, body)``; bad JSON gives a row of nulls."""
-    body = F.from_json("body", _REPLY_JSON)
+    """Results of ``replies (transaction_id, body)``.
+
+    ``readable`` tells whether the body is a JSON object.  One that lacks a field leaves
+    that column null; one that cannot be read, or is missing, leaves all of them null.
+    """
+    body = F.from_json(
+        "body",
+        f"{_REPLY_JSON}, {_BROKEN} string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN},
+    )
+    readable = F.col("_body").isNotNull() & F.col(f"_body.{_BROKEN}").isNull()
     return replies.select("transaction_id", body.alias("_body")).select(
         "transaction_id",
         leading_integer(F.col("_body.flowFileSent")).alias("packets_transferred"),
         leading_integer(F.col("_body.responseCode")).cast("int").alias("response_code"),
         F.col("_body.message").alias("message"),
+        readable.alias("readable"),
+    )
+
+
+# Fixed value: the letters that every reply of a socket transfer begins with.
+SOCKET_REPLY = "RC"
+
+
+def _number(data: Column) -> Column:
+    return F.conv(F.hex(data), 16, 10).cast("int")
+
+
+def parse_socket_replies(replies: DataFrame) -> DataFrame:
+    """Codes and messages of ``replies (transaction_id, body)`` with a binary body.
+
+    A reply is ``RC``, a byte with the response code, and perhaps a message: its length in two
+    bytes, big-endian, and its UTF-8 bytes.  ``readable`` is false, and the other columns null,
+    for a missing body, one of under three bytes, or one that begins otherwise.  A message
+    cut short gives what is there.
+    """
+    body = F.col("body")
+    readable = (F.octet_length(body) >= 3) & (F.substring(body, 1, 2) == F.encode(F.lit(SOCKET_REPLY), "UTF-8"))
+    readable = F.coalesce(readable, F.lit(False))
+    text = F.substring(body, F.lit(6), _number(F.substring(body, 4, 2))).cast("string")
+    return replies.select(
+        "transaction_id",
+        F.when(readable, _number(F.substring(body, 3, 1))).alias("response_code"),
+        F.when(readable & (F.octet_length(body) > 3), F.make_valid_utf8(text)).alias("message"),
+        readable.alias("readable"),
     )
 
 
+def socket_results(manifests: DataFrame, confirmations: DataFrame, endings: DataFrame) -> DataFrame:
+    """How each socket transfer ended, from its two parsed replies, at most one row of each.
+
+    The first must say that the checksum is confirmed; the second, to the confirmation sent
+    back, only has to be readable.  All packets of a completed transaction count as sent.
+    """
+    first = confirmations.select("transaction_id", "response_code")
+    checked = manifests.select("transaction_id").join(first, "transaction_id", "left")
+    counts = manifests.select("transaction_id", F.col("packets").alias("packets_transferred"))
+    return transaction_results(checked, endings.join(counts, "transaction_id"))
+
+
 def parse_send_replies(replies: DataFrame) -> DataFrame:
     """Checksums of ``replies (transaction_id, status, body)`` to sent packets.
 
@@ -127,14 +177,15 @@ def transaction_results(checked: DataFrame, completions: DataFrame) -> DataFrame
 
     ``checked`` has the response code to end each transaction with, ``completions`` at most
     one parsed reply for each.  A transaction completes if its checksum was confirmed and
-    the reply could be read.  All others are errors that transferred nothing; their response
-    code is bad checksum, or null where the reply is missing.  With ``started_at`` in
-    ``checked`` and ``ended_at`` in ``completions`` the duration in seconds is added.
+    the reply could be read, whatever fields it has: no code stays null, no count is 0.  All
+    others are errors that transferred nothing; their response code is the one of the check, or
+    null where that was confirmed.  With ``started_at`` in ``checked`` and ``ended_at`` in
+    ``completions`` the duration in seconds is added.
     """
     confirmed = F.col("response_code") == F.lit(CONFIRM_TRANSACTION)
     replies = completions.withColumnsRenamed({"response_code": "_reply", "message": "_message"})
     joined = checked.join(replies, "transaction_id", "left")
-    done = confirmed & F.col("_reply").isNotNull()
+    done = F.coalesce(confirmed & F.col("readable"), F.lit(False))
     columns = [
         "transaction_id",
         F.when(done, "TRANSACTION_COMPLETED").otherwise("TRANSACTION_ERROR").alias("state"),

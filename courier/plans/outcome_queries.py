@@ -76,7 +76,8 @@ def completions(spark, sf_dir):
 
 COMPLETIONS_SQL = f"""
 done AS (SELECT 'tx-' || o_orderkey AS transaction_id, o_custkey AS packets_transferred,
-         CAST({CODE_SQL} AS INTEGER) AS response_code, o_orderpriority AS message FROM orders)"""
+         CAST({CODE_SQL} AS INTEGER) AS response_code, o_orderpriority AS message,
+         TRUE AS readable FROM orders)"""
 
 
 @query(
@@ -89,6 +90,36 @@ def completion_replies(spark, sf_dir):
     )
 
 
+#: Replies with a message, with none, cut short, with other letters, missing, and with odd bytes.
+SOCKET_BODIES = (
+    "concat(encode('RC', 'UTF-8'), unhex('0D'), unhex('000B'), encode('café ' || mark, 'UTF-8'))",
+    "concat(encode('RC', 'UTF-8'), unhex('FA'))",
+    "concat(encode('RC', 'UTF-8'), unhex('0E'), unhex('0100'), encode(mark, 'UTF-8'))",
+    "encode('CR' || mark, 'UTF-8')",
+    "CAST(NULL AS binary)",
+    "encode('RC', 'UTF-8')",
+)
+
+
+@query(
+    "socket_replies",
+    """WITH r AS (SELECT o_orderkey AS k, o_orderkey % 6 AS n,
+                  lpad(CAST(o_orderkey % 100000 AS VARCHAR), 5, '0') AS mark FROM orders)
+       SELECT 'tx-' || k AS transaction_id, n < 3 AS readable,
+         CAST(CASE n WHEN 0 THEN 13 WHEN 1 THEN 250 WHEN 2 THEN 14 END AS INTEGER) AS response_code,
+         CASE n WHEN 0 THEN 'café ' || mark WHEN 2 THEN mark END AS message FROM r""",
+)
+def socket_replies(spark, sf_dir):
+    """A socket reply per order."""
+    kinds = " ".join(f"WHEN {n} THEN {body}" for n, body in enumerate(SOCKET_BODIES))
+    mark = F.lpad((F.col("o_orderkey") % 100000).cast("string"), 5, "0")
+    replies = table(spark, sf_dir, "orders").withColumn("mark", mark).select(
+        F.concat(F.lit("tx-"), F.col("o_orderkey").cast("string")).alias("transaction_id"),
+        F.expr(f"CASE o_orderkey % 6 {kinds} END").alias("body"),
+    )
+    return O.parse_socket_replies(replies)
+
+
 @query(
     "described_outcomes",
     f"""WITH {COMPLETIONS_SQL} SELECT *,

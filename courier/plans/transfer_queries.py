@@ -10,6 +10,7 @@ from courier.operators import transfer as T
 from courier.plans.inputs import event_packets, user_transactions
 from courier.plans.queue_queries import ORDER, QUEUE_SQL
 from courier.plans.registry import query
+from courier.sources.scratch import materialise
 
 FRAME_SQL = f"""{QUEUE_SQL},
 fr AS (
@@ -145,21 +146,26 @@ results AS (
   SELECT transaction_id,
     CASE WHEN good AND packets % 11 <> 0 THEN 'TRANSACTION_COMPLETED' ELSE 'TRANSACTION_ERROR' END
       AS state,
-    CAST(CASE WHEN NOT good THEN 19 WHEN packets % 11 <> 0 THEN 13 END AS INTEGER) AS response_code,
-    CASE WHEN good AND packets % 11 <> 0 THEN packets ELSE 0 END AS packets_transferred,
-    CASE WHEN good AND packets % 11 <> 0 THEN 'done' END AS message
+    CAST(CASE WHEN NOT good THEN 19 WHEN packets % 11 <> 0 AND packets % 4 <> 1 THEN 13 END
+      AS INTEGER) AS response_code,
+    CASE WHEN good AND packets % 11 <> 0 AND packets % 4 <> 2 THEN packets ELSE 0 END
+      AS packets_transferred,
+    CASE WHEN good AND packets % 11 <> 0 AND packets % 4 <> 3 THEN 'done' END AS message
   FROM (SELECT m.*, coalesce(r.server_checksum = m.checksum, FALSE) AS good
         FROM m LEFT JOIN replies r USING (transaction_id)))"""
 
 
 def results(spark, sf_dir):
-    """Manifests, the replies to them, and completion replies, of which some are broken."""
+    """Manifests, the replies to them, and completion replies: broken ones, and without a field."""
     sent = T.manifest(user_transactions(spark, sf_dir))
     checked = T.check_checksums(sent, O.parse_send_replies(send_replies(sent)))
-    body = F.format_string(
-        '{"flowFileSent":%d,"responseCode":13,"message":"done"}', F.col("packets")
+    lacks = F.col("packets") % 4
+    fields = F.struct(
+        F.when(lacks != 2, F.col("packets")).alias("flowFileSent"),
+        F.when(lacks != 1, F.lit(13)).alias("responseCode"),
+        F.when(lacks != 3, F.lit("done")).alias("message"),
     )
-    body = F.when(F.col("packets") % 11 == 0, F.lit("{")).otherwise(body)
+    body = F.when(F.col("packets") % 11 == 0, F.lit("{")).otherwise(F.to_json(fields))
     ended = O.parse_completion_replies(sent.select("transaction_id", body.alias("body")))
     return O.transaction_results(checked, ended)
 
@@ -212,6 +218,34 @@ def damaged_frames(spark, sf_dir):
     )
 
 
+@query(
+    "socket_results",
+    f"""WITH {SOCKET_SQL}, {CRC_SQL}, {manifest_sql('so')},
+        r AS (SELECT *, CASE WHEN packets % 5 = 0 THEN 19 WHEN packets % 5 = 1 THEN NULL ELSE 12 END
+                AS first, packets % 7 <> 0 AS second FROM m)
+        SELECT transaction_id,
+          CASE WHEN first = 12 AND second THEN 'TRANSACTION_COMPLETED' ELSE 'TRANSACTION_ERROR' END
+            AS state,
+          CAST(CASE WHEN first <> 12 THEN first WHEN first = 12 AND second THEN 14 END AS INTEGER)
+            AS response_code,
+          CASE WHEN first = 12 AND second THEN packets ELSE 0 END AS packets_transferred,
+          CASE WHEN first = 12 AND second THEN 'ok' END AS message FROM r""",
+)
+def socket_results(spark, sf_dir):
+    """Confirmations with other codes, or that cannot be read, and answers to them."""
+    sent = materialise(T.manifest(user_transactions(spark, sf_dir), socket=True), "socket-manifest")
+    first = F.expr(
+        """CASE packets % 5 WHEN 0 THEN unhex('524313') WHEN 1 THEN unhex('524B0C')
+           ELSE concat(unhex('52430C000A'), encode(lpad(checksum, 10, '0'), 'UTF-8')) END"""
+    )
+    second = F.expr("CASE WHEN packets % 7 <> 0 THEN unhex('52430E00026F6B') ELSE unhex('5243') END")
+    replies = [
+        O.parse_socket_replies(sent.select("transaction_id", body.alias("body")))
+        for body in (first, second)
+    ]
+    return O.socket_results(sent, *replies)
+
+
 @query(
     "damaged_manifest",
     f"""WITH {DAMAGED_SQL}, {CRC_SQL}, {manifest_sql('bad')}

@@ -57,12 +57,14 @@ def test_send_replies(spark):
 
 def test_transaction_results(spark):
     checked = spark.createDataFrame(
-        [("a", 12, 0.0), ("b", 19, 0.0), ("c", 12, 0.0), ("d", 12, 0.0)],
+        [("a", 12, 0.0), ("b", 19, 0.0), ("c", 12, 0.0), ("d", 12, 0.0), ("e", 12, 0.0),
+         ("f", 12, 0.0), ("g", None, 0.0), ("h", 12, 0.0)],
         "transaction_id string, response_code int, t double",
     ).withColumn("started_at", F.timestamp_seconds("t"))
     replies = spark.createDataFrame(
         [("a", '{"flowFileSent":1,"responseCode":13,"message":"ok"}'),
-         ("b", '{"flowFileSent":1,"responseCode":13,"message":"ok"}'), ("c", "{")],
+         ("b", '{"flowFileSent":1,"responseCode":13,"message":"ok"}'), ("c", "{"),
+         ("e", '{"flowFileSent":3}'), ("f", "{}"), ("g", "{}"), ("h", None)],
         "transaction_id string, body string",
     )
     ended = O.parse_completion_replies(replies).withColumn("ended_at", F.timestamp_seconds(F.lit(2.5)))
@@ -72,6 +74,44 @@ def test_transaction_results(spark):
         ("b", "TRANSACTION_ERROR", 19, 0, None, None),
         ("c", "TRANSACTION_ERROR", None, 0, None, None),
         ("d", "TRANSACTION_ERROR", None, 0, None, None),
+        ("e", "TRANSACTION_COMPLETED", None, 3, None, 2.5),
+        ("f", "TRANSACTION_COMPLETED", None, 0, None, 2.5),
+        ("g", "TRANSACTION_ERROR", None, 0, None, None),
+        ("h", "TRANSACTION_ERROR", None, 0, None, None),
+    ]
+
+
+def test_socket_replies(spark):
+    bodies = {
+        "a": b"RC\x0c\x00\x0242", "b": b"RC\x0d", "c": b"RC", "d": b"XC\x0c", "e": None,
+        "f": b"", "g": b"RC\x13\x01\x05" + b"m" * 261, "h": b"RC\x0e\x00\x09cut",
+        "i": b"RC\x0c\x00\x00", "j": b"RC\x0c\x00\x02\xff\xfe", "k": b"RC\x0c\x00",
+    }
+    replies = spark.createDataFrame(list(bodies.items()), "transaction_id string, body binary")
+    found = {r[0]: tuple(r)[1:] for r in O.parse_socket_replies(replies).collect()}
+    none = (None, None, False)
+    assert found == {
+        "a": (12, "42", True), "b": (13, None, True), "c": none, "d": none, "e": none, "f": none,
+        "g": (19, "m" * 261, True), "h": (14, "cut", True), "i": (12, "", True),
+        "j": (12, "\ufffd\ufffd", True), "k": (12, "", True),
+    }
+
+
+def test_socket_results(spark):
+    names = "abcdef"
+    sent = spark.createDataFrame([(n, 5) for n in names], "transaction_id string, packets bigint")
+    first = {"a": b"RC\x0c", "b": b"RC\x13", "c": b"?", "d": b"RC\x0c", "f": b"RC\x0c"}
+    second = {n: b"RC\x0e\x00\x02ok" for n in "abce"} | {"d": b"RC"}
+    replies = [
+        O.parse_socket_replies(spark.createDataFrame(list(r.items()), "transaction_id string, body binary"))
+        for r in (first, second)
+    ]
+    rows = O.socket_results(sent, *replies).orderBy("transaction_id").collect()
+    error = "TRANSACTION_ERROR"
+    assert [tuple(r) for r in rows] == [
+        ("a", "TRANSACTION_COMPLETED", 14, 5, "ok"), ("b", error, 19, 0, None),
+        ("c", error, None, 0, None), ("d", error, None, 0, None), ("e", error, None, 0, None),
+        ("f", error, None, 0, None),
     ]
 
 
@@ -83,7 +123,8 @@ def test_completion_reply(spark):
     )
     df = O.parse_completion_replies(replies).withColumn("back_off", O.should_back_off(F.col("response_code")))
     assert [tuple(r) for r in df.orderBy("transaction_id").collect()] == [
-        ("a", 3, 14, "full", True), ("b", None, None, None, False), ("c", 12, 13, None, False),
+        ("a", 3, 14, "full", True, True), ("b", None, None, None, False, False),
+        ("c", 12, 13, None, True, False),
     ]
     assert O.total_sent(df).first()[0] == 15
 
