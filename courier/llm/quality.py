@@ -7,19 +7,24 @@ without negatives, with the class prior q of good documents in unlabelled text,
 
 The second term estimates the risk on negatives.  It can fall below zero on a sample only
 by fitting noise; the non-negative risk then stops counting it, and a step that would
-make it negative walks back.  The prior is estimated from the data as well: a plain
-scorer of positives against unlabelled rows is, where it is surest, a known multiple of q
-(Elkan and Noto), so q is the mean of its score over unlabelled rows divided by its mean
-over positives that it has not seen.
-
-The scorer is fitted on bounded samples, ``sample`` rows of either kind chosen by a hash
-of their ids; every document is scored.
+make it negative walks back.  Of all steps the one with the least non-negative risk is kept.
+The prior is estimated from the data as well.  A plain scorer of positives against unlabelled
+rows ranks rows that neither side has shown it; above any score, the unlabelled share divided
+by the positive share is at least q, and close to it where only good rows score so high.  The
+threshold is the one whose upper confidence bound is least (best bin estimation).
+
+Features are ratios of characters, words and lines, and the shares of ``WORD_SLOTS`` hashed
+groups of words.  The scorer is fitted on bounded samples, one row of each of ``sample`` ids
+of either kind chosen by a hash; every document is scored.  Nothing of the held-out fold is
+used, neither its labels nor its texts.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,10 @@ from courier.llm.common import id_fold, text_of
 SAMPLE = 8_000
 #: Score from which a document counts as good.
 THRESHOLD = 0.3
+#: Groups of hashed words, a fixed number of features.
+WORD_SLOTS = 128
+#: Chance that the prior's confidence bound is too low, and the weight of the bound.
+DOUBT, BOUND_WEIGHT = 0.1, 1.1
 _WORD = re.compile(r"\S+")
 
 
@@ -47,7 +56,10 @@ def text_features(text: str) -> np.ndarray:
     marks = lambda chars: sum(int(raw[ord(c)]) for c in chars)
     shouted = sum(w.isupper() and len(w) > 1 for w in words)
     ends = sum(not w[-1].isalnum() for w in words)
-    return np.array(
+    slots = np.zeros(WORD_SLOTS)
+    for word, count in Counter(words).items():
+        slots[crc32(word.lower().encode()) % WORD_SLOTS] += count
+    ratios = np.array(
         [
             upper / letters,
             shouted / k,
@@ -66,6 +78,7 @@ def text_features(text: str) -> np.ndarray:
             float(not words),
         ]
     )
+    return np.r_[ratios, np.sqrt(slots / k)]
 
 
 def _standard(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +87,7 @@ def _standard(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _design(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
     z = np.clip((x - mean) / scale, -8, 8)
-    return np.c_[np.ones(len(z)), z, np.abs(z)]
+    return np.c_[np.ones(len(z)), z[:, :-WORD_SLOTS], np.abs(z[:, :-WORD_SLOTS]), z[:, -WORD_SLOTS:] / 4]
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -93,36 +106,54 @@ def _plain_scorer(pos: np.ndarray, unl: np.ndarray, ridge: float) -> np.ndarray:
     return beta
 
 
+def _best_bin(pos: np.ndarray, unl: np.ndarray) -> float:
+    """Share of positives among unlabelled rows, from scores of rows new to the scorer."""
+    cuts = np.unique(pos)
+    above_pos = 1 - np.searchsorted(np.sort(pos), cuts) / len(pos)
+    above_unl = 1 - np.searchsorted(np.sort(unl), cuts) / len(unl)
+    width = sum(np.sqrt(np.log(4 / DOUBT) / (2 * len(x))) for x in (pos, unl))
+    at = np.argmin((above_unl + BOUND_WEIGHT * width) / above_pos)
+    return float(above_unl[at] / above_pos[at])
+
+
 def estimate_prior(pos: np.ndarray, unl: np.ndarray, ridge: float = 1e-3) -> float:
-    """Share of positives among unlabelled rows."""
-    half = np.arange(len(pos)) % 2 == 0
-    beta = _plain_scorer(pos[half], unl, ridge)
-    odds = lambda x: np.exp(np.clip(x @ beta, -30, 30))  # noqa: E731  proportional to p(s|x)/p(u|x)
-    # Where only positives occur, the density of positives is 1/q times that of unlabelled rows.
-    ratio = odds(pos[~half]) * len(unl) / half.sum()
-    return float(np.clip(1 / np.mean(ratio), 0.05, 0.98))
+    """Share of positives among unlabelled rows; each half scores the other."""
+    found = []
+    for side in (0, 1):
+        seen = [x[np.arange(len(x)) % 2 == side] for x in (pos, unl)]
+        new = [x[np.arange(len(x)) % 2 != side] for x in (pos, unl)]
+        if min(map(len, [*seen, *new])) == 0:
+            continue
+        beta = _plain_scorer(*seen, ridge)
+        found.append(_best_bin(*(x @ beta for x in new)))
+    return float(np.clip(np.mean(found) if found else 0.5, 0.05, 0.98))
 
 
 def fit_non_negative(
     pos: np.ndarray, unl: np.ndarray, prior: float, ridge: float = 1e-3, steps: int = 400
 ) -> np.ndarray:
-    """Weights that minimise the non-negative risk, by Adam steps over all rows."""
+    """Weights of the least non-negative risk among Adam steps over all rows."""
     beta = np.zeros(pos.shape[1])
+    best, least = beta, np.inf
+    loss = lambda z: np.logaddexp(0, z).mean()
     first, second = np.zeros_like(beta), np.zeros_like(beta)
     for t in range(1, steps + 1):
-        gp, gu = _sigmoid(pos @ beta), _sigmoid(unl @ beta)
+        on_pos, on_unl = pos @ beta, unl @ beta
+        negative_risk = loss(on_unl) - prior * loss(on_pos)
+        risk = prior * loss(-on_pos) + max(0.0, negative_risk) + ridge / 2 * (beta[1:] @ beta[1:])
+        if risk < least:
+            best, least = beta.copy(), risk
+        gp, gu = _sigmoid(on_pos), _sigmoid(on_unl)
         # d l(g) = -(1 - s(g)) x and d l(-g) = s(g) x.
         on_positives = -prior * ((1 - gp) @ pos) / len(pos)
         on_negatives = (gu @ unl) / len(unl) - prior * (gp @ pos) / len(pos)
-        loss = lambda z: np.logaddexp(0, z).mean()
-        negative_risk = loss(unl @ beta) - prior * loss(pos @ beta)
         slope = on_positives + on_negatives if negative_risk >= 0 else -on_negatives
         slope = slope + ridge * np.r_[0, beta[1:]]
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         size = first / (1 - 0.9**t) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
-        beta -= 0.1 * (1 - t / (steps + 1)) * size
-    return beta
+        beta = beta - 0.1 * (1 - t / (steps + 1)) * size
+    return best
 
 
 def feature_rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -155,29 +186,31 @@ def fit_scorer(
     sample: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """Mean, scale and weights; ``None`` if there are no positives or no unlabelled rows."""
-    fold = id_fold(id_column, folds)
-    known = labels.where(F.col(id_column).isNotNull() & F.col(quality_column).isNotNull())
-    trusted = (
-        known.where(fold != held_out_fold)
-        .groupBy(F.col(id_column).alias("id"))
-        .agg(F.min(quality_column).alias("y"))
-        .where("y = 1")
-        .select("id")
-    )
-    every = docs.select(F.col(id_column).cast("bigint").alias("id")).where("id is not null")
-    unlabelled = every.join(known.select(F.col(id_column).alias("id")), "id", "left_anti")
+    labelled = labels.select(
+        F.col(id_column).cast("bigint").alias("id"), F.col(quality_column).alias("y")
+    ).where("id IS NOT NULL AND y IS NOT NULL")
+    texts = docs.select(
+        F.col(id_column).cast("bigint").alias("id"), text_of(text_column).alias("t")
+    ).where("id IS NOT NULL")
+    usable = id_fold("id", folds) != held_out_fold
+    known = labelled.where(usable).groupBy("id").agg(F.min("y").alias("y"))
+    every = texts.where(usable).select("id").distinct()
     chosen = (
-        _sample_ids(trusted, sample)
+        _sample_ids(every.join(known.where("y = 1"), "id", "left_semi"), sample)
         .withColumn("positive", F.lit(True))
-        .unionByName(_sample_ids(unlabelled.distinct(), sample).withColumn("positive", F.lit(False)))
+        .unionByName(
+            _sample_ids(every.join(known, "id", "left_anti"), sample).withColumn(
+                "positive", F.lit(False)
+            )
+        )
     )
-    # At most two samples of ids: 16 bytes each.
-    picked = docs.withColumnRenamed(id_column, "id").select("id", F.col(text_column).alias("t"))
-    rows = picked.join(F.broadcast(chosen), "id").select("id", "t", "positive")
+    # At most two samples of ids, 16 bytes each, are broadcast; one row of each comes back.
+    rows = texts.join(F.broadcast(chosen.select("id")), "id", "left_semi")
     got = (
         feature_rows(rows, "id", "t")
+        .groupBy("id")
+        .agg(F.min("x").alias("x"))
         .join(F.broadcast(chosen), "id")
-        .select("id", "positive", "x")
         .toPandas()
         .sort_values("id", kind="stable")
     )
@@ -202,8 +235,8 @@ def quality_scores(
     """``id, held_out, score`` for every row of ``docs``.
 
     Trusted positives are rows with label 1 outside the held-out fold (the smallest label
-    of an id counts); unlabelled rows are those without any label.  Labels of the held-out
-    fold and labels 0 are not used.  Null and empty texts are scored by the features of an
+    of an id counts); unlabelled rows are those outside that fold without any label.  Labels of
+    the held-out fold and labels 0 are not used; without those label rows nothing changes.  Null and empty texts are scored by the features of an
     empty text.  Without positives or unlabelled rows every score is 0.5.  Null and
     repeated ids keep their rows.
     """

@@ -94,6 +94,42 @@ def test_prior_is_found():
         assert right > 0.94
 
 
+def test_prior_of_few_rows():
+    rng = np.random.default_rng(1)
+    rows = lambda n: np.c_[np.ones(n), rng.normal(0, 1, n)]
+    for n in (1, 2, 3, 50):
+        assert 0.05 <= quality.estimate_prior(rows(n), rows(n)) <= 0.98
+
+
+def test_quality_never_reads_label_rows_of_the_held_out_fold(spark):
+    docs, labels = tables(spark)
+    labels = labels.where("doc_id % 2 = 0")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    changed = labels.withColumn("quality", F.when(fold == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
+    scores = [
+        {r["id"]: r["score"] for r in quality.quality_scores(docs, which).collect()}
+        for which in (labels, labels.where(fold != 0), changed)
+    ]
+    assert scores[0] == scores[1] == scores[2]
+
+
+def test_quality_sees_words_and_extra_columns(spark):
+    """Good and bad texts of the same shape, told apart by their words alone."""
+    rng = random.Random(2)
+    good, bad = (["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(30)] for _ in "ab")
+    rows = [
+        (i, " ".join(rng.choice(good if i % 2 else bad) for _ in range(60)), "en", "s", 0)
+        for i in range(600)
+    ]
+    docs = frame(spark, rows).selectExpr("*", "1 AS id", "2 AS x", "3 AS y", "true AS positive", "'t' AS t")
+    labels = spark.createDataFrame(
+        [(i, i % 2, 0) for i in range(300)], "doc_id bigint, quality int, toxic int"
+    ).selectExpr("*", "5 AS id", "6 AS y")
+    got = quality.quality_scores(docs.unionByName(docs.limit(50)), labels).collect()
+    right = sum((r["score"] >= 0.5) == (r["id"] % 2 == 1) for r in got)
+    assert len(got) == 650 and right >= 0.95 * len(got)
+
+
 def test_quality_of_awkward_rows(spark):
     docs, labels = tables(spark)
     odd = frame(spark, [(None, "x", None, None, None), (900, None, None, None, None), (901, "", "", "", 0)])
