@@ -34,4 +34,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a scratch table and return it, read back."""
     path = scratch_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove scratch tables that ``materialise`` gave, once nothing will read them again."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
