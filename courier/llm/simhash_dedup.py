@@ -25,14 +25,16 @@ from pyspark.sql import functions as F
 
 from courier.llm.common import without_ids
 from courier.llm.components import connected_components
-from courier.sources.scratch import materialise
+from courier.sources.scratch import discard, materialise
 
 #: Shingles hashed before their bits are added up.
 BLOCK = 32_768
 #: Entries of up to this many fingerprints are compared pair by pair.
 SMALL = 16
-#: Words of the shingles that the pipeline's stage compares.
-STAGE_WORDS = 5
+#: Words of the shingles that the pipeline's stage compares, and bits of its first search.
+STAGE_WORDS, STAGE_RADIUS = 5, 5
+#: Slots of the counts that order shingles by rarity; they change no result, only the work.
+RARITY_SLOTS = 1 << 18
 
 
 def shingle_fingerprint(text: str | None, words: int) -> int:
@@ -184,80 +186,194 @@ def fingerprint_hex(fp: str | Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+# --- groups by similarity ------------------------------------------------------------
+
+
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``id, key, shingles``: the distinct hashes of a text's shingles, sorted, and their hash."""
+    """``id, key, fp, n, shingles``: the sorted distinct hashes of a text's shingles.
+
+    ``key`` is a hash of the set, ``fp`` the fingerprint, ``n`` the size of the set.  Null and
+    empty texts have an empty set; null and repeated ids keep their rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
         import xxhash
 
+        words_of = re.compile(rb"[^\x20\x09-\x0D]+").findall
         for batch in batches:
-            for at, text in zip(batch.column(0), batch.column(1)):
-                raw = (text.as_py() or "").encode("utf-8", "surrogatepass").lower()
-                found = re.findall(rb"[^\x20\x09-\x0D]+", raw)
-                last = max(1, len(found) - words + 1) if found else 0
-                hashes = [xxhash.xxh64_intdigest(b" ".join(found[i : i + words]), 42) for i in range(last)]
-                own = np.unique(np.array(hashes, dtype=np.uint64).view(np.int64))
-                key = np.array([xxhash.xxh64_intdigest(own.tobytes(), 7)], dtype=np.uint64)
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                own, keys, prints = [], [], []
+                for text in part.column(1).to_pylist():
+                    found = words_of((text or "").encode("utf-8", "surrogatepass").lower())
+                    last = max(1, len(found) - words + 1) if found else 0
+                    hashes = np.array(
+                        [xxhash.xxh64_intdigest(b" ".join(found[i : i + words]), 42) for i in range(last)],
+                        dtype="<u8",
+                    )
+                    votes = np.zeros(64, np.int64)
+                    for at in range(0, last, BLOCK):
+                        rows = hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8)
+                        votes += np.unpackbits(rows, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+                    prints.append(np.packbits(votes * 2 > last, bitorder="little").view("<i8")[0])
+                    own.append(np.unique(hashes).view(np.int64))
+                    keys.append(xxhash.xxh64_intdigest(own[-1].tobytes(), 7))
+                ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([at.as_py()], pa.int64()), pa.array(key.view(np.int64)),
-                     pa.array([own], pa.list_(pa.int64()))],
-                    names=["id", "key", "shingles"],
+                    [
+                        part.column(0),
+                        pa.array(np.array(keys, np.uint64).view(np.int64)),
+                        pa.array(np.array(prints, np.int64)),
+                        pa.array(np.diff(ends)),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own))),
+                    ],
+                    names=["id", "key", "fp", "n", "shingles"],
                 )
 
     slim = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return slim.mapInArrow(run, "id bigint, key bigint, shingles array<bigint>")
+    return slim.mapInArrow(
+        run, "id bigint, key bigint, fp bigint, n int, shingles array<bigint>"
+    )
+
 
+def _rarity(sets: DataFrame, slots: int) -> np.ndarray:
+    """How often shingles of each of ``slots`` hash slots occur, over all sets."""
 
-def _alike(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(slots, np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column(0).flatten().to_numpy() % slots, minlength=slots)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "c"])
+
+    counted = sets.select("shingles").mapInArrow(run, "slot bigint, c bigint")
+    found = counted.groupBy("slot").agg(F.sum("c").alias("c")).toArrow()  # at most a row a slot
+    out = np.zeros(slots, np.int64)
+    out[found["slot"].to_numpy()] = found["c"].to_numpy()
+    return out
+
+
+def _prefixes(sets: DataFrame, slots: int) -> DataFrame:
+    """``key, n, entry``: the rarest n - ceil(0.8 n) + 1 shingles of each set.
+
+    Two sets of similarity 0.8 share one of these, whatever the order is, as long as it is
+    the same for all; rarest first keeps shingles of common passages out.
+    """
+    counts = sets.sparkSession.sparkContext.broadcast(_rarity(sets, slots))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column(2).flatten().to_numpy()
+            n = batch.column(1).to_numpy()
+            owner = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((flat, counts.value[flat % slots], owner))
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+            first = place < np.repeat(n - (4 * n + 4) // 5 + 1, n)
+            chosen, owner = flat[order][first], owner[first]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(batch.column(0).to_numpy()[owner]),
+                    pa.array(n[owner]),
+                    pa.array(chosen),
+                ],
+                names=["key", "n", "entry"],
+            )
+
+    return sets.select("key", "n", "shingles").mapInArrow(run, "key bigint, n int, entry bigint")
+
+
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The ``pairs (a, b)`` of keys whose sets have a Jaccard similarity of 0.8 or more."""
-    pairs = materialise(pairs.distinct(), f"{label}-pairs")
+    pairs = materialise(
+        pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
+        "pairs",
+    )
     ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    met = sets.select("key", "shingles").join(ends, "key", "left_semi").dropDuplicates(["key"])
-    met = materialise(met, f"{label}-sets")
-    left = met.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
-    right = met.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
+    met = materialise(
+        sets.join(ends, "key", "left_semi").groupBy("key").agg(F.any_value("shingles").alias("x")),
+        "pair-sets",
+    )
+    left, right = met.select(F.col("key").alias("a"), "x"), met.toDF("b", "y")
     common = F.size(F.array_intersect("x", "y"))
-    return materialise(
+    links = materialise(
         pairs.join(left, "a").join(right, "b")
         .where(common * 9 >= 4 * (F.size("x") + F.size("y"))).select("a", "b"),
-        f"{label}-links",
+        "links",
     )
+    discard(pairs, met)
+    return links
+
+
+def _placed(entries: DataFrame, links: DataFrame) -> DataFrame:
+    """``entries`` with the root of each key's group."""
+    roots = connected_components(links, "a", "b").withColumnRenamed("node", "key")
+    return entries.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
 
 
-def jaccard_groups(docs: DataFrame, words: int = STAGE_WORDS) -> DataFrame:
+def jaccard_groups(
+    docs: DataFrame,
+    words: int = STAGE_WORDS,
+    radius: int = STAGE_RADIUS,
+    slots: int = RARITY_SLOTS,
+) -> DataFrame:
     """``id, component_id``: groups of all pairs with a Jaccard similarity of 0.8 or more.
 
-    Sorted by hash, two such sets share one of their first n - ceil(0.8 n) + 1 shingles, so
-    no pair is missed.  First every set is compared with the smallest key of each of its
-    entries; then, in entries that still hold several groups, all pairs between groups.
-    Texts without words are equal.  Null ids link, and have no part in naming a group.
+    Candidates come from the fingerprints of five-word shingles first: rows of the segment
+    tables within ``radius`` bits, verified on the whole sets, which links most copies along
+    spanning trees.  At a similarity of 0.8 fingerprints differ in ten bits on average, often
+    more, so what lies further apart is completed by rare shingles: sets that share one of
+    their rarest, and are in different groups yet, are verified as well, first with one set of
+    each shingle and then, where several groups are left, with all.  No pair is missed.  Texts
+    without words are equal.  Null ids link, and have no part in naming a group.
     """
-    sets = shingle_sets(docs, words)
-    marked = materialise(sets.select("id", "key"), "set-keys")
-    n = F.size("shingles")
-    first = F.slice("shingles", F.lit(1), n - F.floor((4 * n + 4) / 5).cast("int") + 1)
-    filed = materialise(
-        sets.where(n > 0).select("key", n.alias("n"), F.explode(first).alias("entry")).distinct(),
-        "entries",
+    sets = materialise(shingle_sets(docs, words), "sets")
+    full = sets.where("n > 0")
+    prints = materialise(
+        full.groupBy("fp").agg(F.min("key").alias("key"), F.max("key").alias("last")), "prints"
     )
-    least = filed.groupBy("entry").agg(F.min(F.struct("key", "n")).alias("m"), F.count("*").alias("c"))
-    led = filed.join(least.where("c > 1"), "entry")
-    near = "least(n, m) * 5 >= greatest(n, m) * 4"
-    one = led.select("key", "n", F.col("m.key").alias("a"), F.col("m.n").alias("m"))
-    links = _alike(one.where("key <> a").where(near).select("a", F.col("key").alias("b")), sets, "leader")
-    roots = connected_components(links, "a", "b").withColumnRenamed("node", "key")
-    placed = filed.join(roots, "key", "left").select("key", "n", "entry", F.coalesce("root", "key").alias("root"))
-    placed = materialise(placed, "placed")
-    mixed = placed.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    rest = placed.join(mixed.where("lo <> hi").select("entry"), "entry", "left_semi")
+    far = fingerprint_links(prints.select("fp"), radius)
+    ends = [
+        prints.select(F.col("fp").alias(side), F.col("key").alias(f"key_{side}")) for side in "ab"
+    ]
+    near = far.join(ends[0], "a").join(ends[1], "b").select(
+        F.col("key_a").alias("a"), F.col("key_b").alias("b")
+    )
+    same = full.select("fp", F.col("key").alias("b")).join(
+        prints.where("key <> last").select("fp", F.col("key").alias("a")), "fp"
+    )
+    links = _alike(near.unionByName(same.where("a <> b").select("a", "b")), full)
+
+    filed = materialise(_prefixes(full, slots).distinct(), "entries")
+    shared = filed.groupBy("entry").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+    kept = filed.join(shared.where("lo <> hi").select("entry"), "entry")
+    entries = materialise(_placed(kept, links), "shared-entries")
+    discard(filed, prints)
+    near_sizes = "least(n, m) * 5 >= greatest(n, m) * 4"
+    one = entries.groupBy("entry").agg(F.min(F.struct("root", "key", "n")).alias("one"))
+    led = entries.join(one, "entry").select(
+        F.col("key").alias("b"), "n", "root", F.col("one.key").alias("a"),
+        F.col("one.n").alias("m"), F.col("one.root").alias("other"),
+    )
+    more = _alike(led.where("root <> other").where(near_sizes).select("a", "b"), full)
+    links = links.unionByName(more)
+
+    entries_now = materialise(_placed(entries.drop("root"), links), "placed")
+    discard(entries)
+    mixed = entries_now.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    rest = entries_now.join(mixed.where("lo <> hi").select("entry"), "entry")
     other = rest.select("entry", F.col("key").alias("b"), F.col("n").alias("m"), F.col("root").alias("r"))
-    across = rest.join(other, "entry").where("key < b AND root <> r").where(near)
-    more = _alike(across.select(F.col("key").alias("a"), "b"), sets, "rest")
-    roots = connected_components(links.unionByName(more), "a", "b").withColumnRenamed("node", "key")
-    named = marked.join(roots, "key", "left").select("id", F.coalesce("root", "key").alias("root"))
-    named = materialise(named, "set-groups")
+    across = rest.join(other, "entry").where("key < b AND root <> r").where(near_sizes)
+    last = _alike(across.select(F.col("key").alias("a"), "b"), full)
+    roots = connected_components(links.unionByName(last), "a", "b").withColumnRenamed("node", "key")
+    named = materialise(
+        sets.select("id", "key").join(roots, "key", "left").select(
+            "id", F.coalesce("root", "key").alias("root")
+        ),
+        "set-groups",
+    )
+    discard(entries_now, sets)
     return named.join(named.groupBy("root").agg(F.min("id").alias("component_id")), "root").select(
         "id", "component_id"
     )

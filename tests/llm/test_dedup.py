@@ -215,3 +215,41 @@ def test_stage_finds_every_pair_at_the_similarity(spark):
         rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"))
     assert {r["doc_id"] for r in kept.collect()} == set(group.values())
     assert 14 < len(set(group.values())) < 62
+
+
+def shingles(text, words=5):
+    found = WORD.findall(ascii_lower(text or ""))
+    return {" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
+
+
+def brute_similar_groups(texts):
+    """Groups of all pairs of similarity 0.8 or more, by id."""
+    sets = {i: shingles(t) for i, t in texts.items()}
+    root = {i: i for i in sets}
+    find = lambda i: i if root[i] == i else find(root[i])
+    for i in sets:
+        for j in sets:
+            if j < i and len(sets[i] & sets[j]) * 5 >= 4 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in sets}
+
+
+@pytest.mark.parametrize("slots, radius", [(1 << 18, 5), (4, 0)])
+def test_similar_groups_are_those_of_all_pairs(spark, slots, radius):
+    rng = np.random.default_rng(4)
+    shared = " ".join(f"s{i}" for i in range(30))
+    texts = {i: r[1] for i, r in enumerate(documents(seed=4, n=20))}
+    for _ in range(60):  # edited copies around the bound, some with a common passage
+        words = [f"v{k}" for k in rng.integers(0, 5000, int(rng.integers(5, 120)))]
+        for _ in range(int(rng.integers(1, 5))):
+            texts[len(texts)] = " ".join(words) + (" " + shared if rng.random() < 0.3 else "")
+            for _ in range(int(rng.integers(0, 3))):
+                words[int(rng.integers(0, len(words)))] = f"e{rng.integers(0, 999)}"
+    texts |= {len(texts) + k: f"{shared} t{k} u{k} w{k}" for k in range(20)}
+    expected = brute_similar_groups(texts)
+    assert 20 < len(set(expected.values())) < len(texts) - 20
+    docs = frame(spark, [(i, t, "en", "s", 0) for i, t in texts.items()])
+    docs = docs.selectExpr("*", "1 AS id", "2 AS key", "3 AS fp", "4 AS shingles").repartition(3)
+    groups = simhash_dedup.jaccard_groups(docs, radius=radius, slots=slots)
+    assert {r["id"]: r["component_id"] for r in groups.collect()} == expected
