@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courier.llm.common import SPACE, broadcast_if_small, text_of
-from courier.sources.scratch import materialise
+from courier.sources.scratch import discard, materialise
 
 THRESHOLD = (4, 5)
 RARITY_SLOTS = 1 << 16
@@ -131,6 +131,7 @@ def similar_earlier(
     )
     distinct = materialise(distinct, "distinct-lines")
     near = materialise(_near_firsts(distinct, lines, ranks, threshold), "near-lines")
+    discard(distinct)
     narrow = marked.select("doc_id", "line_no", *keys)
     firsts = narrow.groupBy(*keys).agg(F.min(place).alias("first"))
     # Of near sets the first line goes as well, of all others only the copies.
@@ -175,8 +176,8 @@ def _verified(
     t, b = threshold
     pairs = pairs.select("later", "earlier")
     asked = pairs.select(F.col("later").alias("place")).union(pairs.select("earlier")).distinct()
-    asked = materialise(asked.select("place.*"), "asked-lines")
-    asked = broadcast_if_small(asked, asked.count(), BROADCAST_ROWS)
+    table = materialise(asked.select("place.*"), "asked-lines")
+    asked = broadcast_if_small(table, table.count(), BROADCAST_ROWS)
     found = lines.join(
         asked.withColumnsRenamed({"doc_id": "asked_id", "line_no": "asked_no"}),
         F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("line_no") == F.col("asked_no")),
@@ -187,17 +188,21 @@ def _verified(
         found.select(F.struct("doc_id", "line_no").alias("own"), words.alias("words")).distinct(),
         "candidate-words",
     )
+    discard(table)
     x = worded.select(F.col("own").alias("xo"), F.col("words").alias("xw"))
     y = worded.select(F.col("own").alias("yo"), F.col("words").alias("yw"))
     shared = F.size(F.array_intersect("xw", "yw"))
     union = F.size("xw") + F.size("yw") - shared
-    return (
+    similar = materialise(
         pairs.join(x, F.col("later").eqNullSafe(F.col("xo")))
         .join(y, F.col("earlier").eqNullSafe(F.col("yo")))
         .where(shared * b >= union * t)
         .select("later")
-        .distinct()
+        .distinct(),
+        "similar",
     )
+    discard(worded)
+    return similar
 
 
 def _near_firsts(
@@ -212,7 +217,7 @@ def _near_firsts(
     likeliest = F.min(F.struct("distance", "earlier")).alias("best")
     best = _candidates(distinct, distinct, threshold).groupBy("later").agg(likeliest)
     best = materialise(best.select("later", "best.earlier"), "likeliest")
-    settled = materialise(_verified(best, lines, ranks, threshold), "settled")
+    settled = _verified(best, lines, ranks, threshold)
     place = F.struct("doc_id", "line_no")
     open_ = best.select("later").join(settled, "later", "left_anti").select("later.*")
     unsettled = materialise(
@@ -225,51 +230,73 @@ def _near_firsts(
         ),
         "unsettled",
     )
+    discard(best)
     asking = broadcast_if_small(unsettled, unsettled.count() * 16, BROADCAST_ROWS)
     rest = materialise(
         _candidates(asking, distinct, threshold).select("later", "earlier").distinct(), "rest"
     )
     found = settled.union(_verified(rest, lines, ranks, threshold))
+    discard(unsettled, rest)
     return found.select(F.col("later").alias("place")).distinct()
 
 
-def without_similar_lines(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs`` with ``kept``, its text without the removed lines, and ``n_removed``."""
-    gone = similar_earlier(docs, **parameters)
+def _cleaned(docs: DataFrame, **parameters) -> DataFrame:
+    """``row, kept, n_removed``: each row of ``docs`` as a struct, and its text cleaned.
+
+    Columns of ``docs`` may have any names, as they stay inside ``row``.
+    """
+    gone = similar_earlier(docs.select("doc_id", "text"), **parameters)
     by_doc = gone.groupBy(F.col("doc_id").alias("gone_id")).agg(
         F.collect_set("line_no").alias("gone")
     )
     by_doc = materialise(by_doc, "gone-lines")
     by_doc = broadcast_if_small(by_doc, by_doc.count(), BROADCAST_ROWS)
-    joined = docs.join(
-        by_doc, F.col("doc_id").cast("bigint").eqNullSafe(F.col("gone_id")), "left"
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = rows.join(
+        by_doc, F.col("row.doc_id").cast("bigint").eqNullSafe(F.col("gone_id")), "left"
     )
-    numbered = F.transform(
-        F.split(text_of("text"), "\n", -1),
-        lambda line, i: F.struct(i.alias("i"), line.alias("s")),
-    )
-    kept = F.filter(numbered, lambda e: ~F.array_contains("gone", e["i"]))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda e: e["s"]), "\n")
-    )
-    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size(numbered) - F.size(kept))
-    return joined.select(
-        *docs.columns, text.alias("kept"), removed.cast("bigint").alias("n_removed")
+    lines = F.split(text_of(F.col("row.text")), "\n", -1)
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
+    # One struct, so that the lines are split once and not for every place.
+    once = F.array(F.struct(lines.alias("lines"), places.alias("places")))
+    cleaned = F.transform(
+        once,
+        lambda d: F.struct(
+            F.array_join(F.transform(d["places"], lambda i: F.get(d["lines"], i)), "\n").alias("text"),
+            (F.size(d["lines"]) - F.size(d["places"])).cast("bigint").alias("n"),
+        ),
+    )[0]
+    cleaned = joined.select("row", "gone", F.when(F.col("gone").isNotNull(), cleaned).alias("new"))
+    return cleaned.select(
+        "row",
+        F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.col("new.text")).alias("kept"),
+        F.coalesce("new.n", F.lit(0).cast("bigint")).alias("n_removed"),
     )
 
 
+def without_similar_lines(docs: DataFrame, **parameters) -> DataFrame:
+    """``docs`` with ``kept``, its text without the removed lines, and ``n_removed``.
+
+    Null texts stay null and lose nothing; null ids are one document.  Columns of ``docs``
+    that have these two names are replaced.
+    """
+    mine = [c for c in docs.columns if c not in ("kept", "n_removed")]
+    out = _cleaned(docs, **parameters)
+    return out.select(*[F.col(f"row.`{c}`") for c in mine], "kept", "n_removed")
+
+
 def deduplicate_lines(docs: DataFrame, **parameters) -> DataFrame:
     """``docs`` with similar later lines taken out of ``text``; other columns as they are.
 
     Documents that lose every line stay, with an empty text.  ``n_chars`` is counted anew
     where the text changed.
     """
-    out = without_similar_lines(docs, **parameters)
-    changed = F.col("n_removed") > 0
+    new = {"text": F.col("kept")}
     if "n_chars" in docs.columns:
         count = F.length("kept").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(changed, count).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.col("kept")).select(*docs.columns)
+        new["n_chars"] = F.when(F.col("n_removed") > 0, count).otherwise(F.col("row.n_chars"))
+    columns = [new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
+    return _cleaned(docs, **parameters).select(*columns)
 
 
 def line_dedup_counts(docs: DataFrame, **parameters) -> DataFrame:

@@ -183,6 +183,32 @@ def test_lines_of_awkward_rows(spark):
     assert line_dedup.similar_earlier(frame(spark, [])).count() == 0
 
 
+def test_lines_beside_columns_of_any_name(spark):
+    rows = documents(seed=2, n=12)
+    docs = frame(spark, rows)
+    names = ("kept", "gone", "gone_id", "n_removed", "row", "new", "line", "a b", "c.d")
+    odd = docs.select("*", *[F.lit(k).alias(name) for k, name in enumerate(names)])
+    got = line_dedup.deduplicate_lines(odd)
+    assert got.columns == odd.columns
+    plain = {r["doc_id"]: r["text"] for r in line_dedup.deduplicate_lines(docs).collect()}
+    for r in got.collect():
+        assert plain[r["doc_id"]] == r["text"] and tuple(r)[5:] == tuple(range(len(names)))
+    both = line_dedup.without_similar_lines(odd)
+    assert both.columns[-2:] == ["kept", "n_removed"] and len(set(both.columns)) == len(both.columns)
+
+
+def test_a_document_of_very_many_similar_lines(spark):
+    import time
+
+    line = "one two three four five six seven eight nine ten"
+    text = "\n".join(f"{line} {i % 50}" for i in range(200_000)) + "\nlast words"
+    docs = frame(spark, [(1, text, "en", "s", 0), (2, "own text", "en", "s", 0)])
+    begin = time.monotonic()
+    got = {r["doc_id"]: r["text"] for r in line_dedup.deduplicate_lines(docs).collect()}
+    assert got == {1: f"{line} 0\nlast words", 2: "own text"}
+    assert time.monotonic() - begin < 100
+
+
 def test_stage_finds_every_pair_at_the_similarity(spark):
     """Copies with a few edited words lie far beyond 4 bits; brute force over all pairs."""
     import random
