@@ -87,6 +87,20 @@ def write_index(table: DataFrame, key: str, path: str, buckets: int = BUCKETS) -
         .partitionBy("bucket")
         .parquet(path)
     )
+    # The dictionary, sorted by token: which folders hold the tokens of a prefix.
+    (
+        table.select("token", _bucket(F.col("token"), buckets).alias("bucket"))
+        .distinct()
+        .repartitionByRange("token")
+        .sortWithinPartitions("token")
+        .write.mode("errorifexists")
+        .parquet(terms_path(path))
+    )
+
+
+def terms_path(path: str) -> str:
+    """Where the dictionary of the index at ``path`` lies."""
+    return f"{path.rstrip('/')}-terms"
 
 
 # --- searching -----------------------------------------------------------------------
@@ -187,18 +201,26 @@ def search_index(
     query: str,
     tokenizer: Tokenizer = PLAIN,
     buckets: int = BUCKETS,
+    dictionary: DataFrame | None = None,
 ) -> DataFrame:
     """Keys of documents that hold every term of the query, from a written index.
 
-    Only the folders that can hold the terms are read; a prefix needs them all.
+    Only the folders that can hold the terms are read.  For a prefix these are looked up in
+    the ``dictionary`` at ``terms_path``, whose sorted files skip all other tokens; without it
+    a prefix needs all folders.
     """
     terms = query_terms(index.sparkSession, query, tokenizer, buckets)
     if not terms:
         return index.where(F.lit(False)).select(key)
     token = F.col("token")
     hits = index.where(_any([t.hits(token) for t in terms]))
-    if not any(t.prefix for t in terms):
-        hits = hits.where(F.col("bucket").isin(*sorted({t.bucket for t in terms})))
+    begun = [t for t in terms if t.prefix]
+    if not begun or dictionary is not None:
+        folders = {t.bucket for t in terms if not t.prefix}
+        if begun:
+            found = dictionary.where(_any([t.hits(token) for t in begun]))
+            folders |= {r["bucket"] for r in found.select("bucket").distinct().collect()}
+        hits = hits.where(F.col("bucket").isin(*sorted(folders)))
     held = hits.select(key, F.explode(_terms_hit(token, terms)).alias("term")).groupBy(key).agg(
         F.collect_set("term").alias("held")  # at most one entry per term
     )

@@ -169,3 +169,20 @@ def index_search(spark, sf_dir):
         X.tokens(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id", path
     )
     return X.search_index(spark.read.parquet(path), "doc_id", "the and")
+
+
+@query(
+    "index_prefix_search",
+    f"""SELECT doc_id FROM documents WHERE {holds_sql(words_sql('text'), 'the')}
+        AND len(list_filter({words_sql('text')}, lambda w: starts_with(w, 'menteu'))) > 0""",
+)
+def index_prefix_search(spark, sf_dir):
+    """A prefix, by way of the index's sorted dictionary."""
+    path = scratch_path(spark, "index")
+    X.write_index(
+        X.tokens(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id", path
+    )
+    return X.search_index(
+        spark.read.parquet(path), "doc_id", "the menteu*",
+        dictionary=spark.read.parquet(X.terms_path(path)),
+    )

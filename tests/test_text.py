@@ -1,5 +1,7 @@
 """Tokens, stop words, search and byte offsets."""
 
+import re
+
 import pytest
 from courier.functions.words import Tokenizer, strip_plural
 from courier.operators import text as X
@@ -91,5 +93,28 @@ def test_index(spark, mail, tmp_path):
         assert ids(X.search_index(index, "id", query, buckets=8)) == ids(
             X.match(mail, ["subject", "body"], query)
         ), query
+    dictionary = spark.read.parquet(X.terms_path(path))
+    for query in ("ser*", "this m*", "world*", "none*", "world"):
+        found = X.search_index(index, "id", query, buckets=8, dictionary=dictionary)
+        assert ids(found) == ids(X.match(mail, ["subject", "body"], query)), query
     plan = X.search_index(index, "id", "world", buckets=8)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
+def test_a_prefix_reads_only_folders_of_its_tokens(spark, tmp_path):
+    path = str(tmp_path / "index")
+    words = [(i, f"common w{i} x{i}") for i in range(200)]
+    df = spark.createDataFrame(words, "id int, t string")
+    X.write_index(X.tokens(df, "id", "t"), "id", path, buckets=16)
+    index, dictionary = spark.read.parquet(path), spark.read.parquet(X.terms_path(path))
+    found = X.search_index(index, "id", "common w1*", buckets=16, dictionary=dictionary)
+    assert ids(found) == [i for i in range(200) if str(i).startswith("1")]
+    few = X.search_index(index, "id", "w15*", buckets=16, dictionary=dictionary)
+    assert ids(few) == [15, *range(150, 160)]
+    read = few._jdf.queryExecution().executedPlan().toString()
+    folders = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", read).group(1)
+    assert "bucket#" in folders and set(re.findall(r"\b\d+\b", folders)) != {str(b) for b in range(16)}
+    one = X.search_index(index, "id", "x77*", buckets=16, dictionary=dictionary)
+    assert ids(one) == [77]
+    pushed = dictionary.where("startswith(token, 'x77')")._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(token,x77)" in pushed
