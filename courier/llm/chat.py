@@ -12,8 +12,8 @@ Rendered, a message is
 Control strings inside a text would be read as marks.  In each, one backslash goes in
 after its first character, and where a text already holds such a broken string, one
 backslash more; so no text can hold a control string, and taking one backslash out of each
-broken string gives back the text.  In roles, per cent signs and new lines are written as
-%25 and %0A.
+broken string gives back the text.  Roles are written in the same way, after per cent signs
+and new lines in them as %25 and %0A.
 
 All of it is column expressions.  One shuffle brings a conversation together; it is a row of
 the result, so it has to be in one place in the end.
@@ -45,11 +45,14 @@ def unescape_text(text: Column) -> Column:
 
 
 def escape_role(role: Column) -> Column:
-    return F.replace(F.replace(role, F.lit("%"), F.lit("%25")), F.lit("\n"), F.lit("%0A"))
+    """The role on one line and without control strings, reversibly."""
+    line = F.replace(F.replace(role, F.lit("%"), F.lit("%25")), F.lit("\n"), F.lit("%0A"))
+    return escape_text(line)
 
 
 def unescape_role(role: Column) -> Column:
-    return F.replace(F.replace(role, F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
+    line = unescape_text(role)
+    return F.replace(F.replace(line, F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
 
 
 def fold_events(events: DataFrame) -> DataFrame:
@@ -155,19 +158,36 @@ def read_back(formatted: DataFrame) -> DataFrame:
     )
 
 
-def events_of_turns(turns: DataFrame) -> DataFrame:
-    """The log of finished conversations: a delta for each row of ``conv_id, turn, role, text``.
+def events_of_turns(turns: DataFrame, learn_from: str = "assistant") -> DataFrame:
+    """A log as chats leave it, of finished conversations ``conv_id, turn, role, text``.
 
-    Rows of equal turn numbers stay messages of their own, in the order of role and text.
+    An answer, a message of the role ``learn_from``, begins with a first try, is regenerated
+    and then streamed in three deltas; any other message is begun, edited to two thirds, and
+    completed by a delta.  Only the first event of a message names the role.  Rows of equal turn
+    numbers stay messages of their own, in the order of role and text.
     """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    return turns.withColumn("message", F.row_number().over(order)).select(
+    text = text_of("text")
+    third = F.ceil(F.length(text) / 3).cast("int")
+    one, two, three = (F.substring(text, third * k + 1, third) for k in range(3))
+
+    def event(kind: str, said: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), said.alias("text"))
+
+    answer = F.array(
+        event("delta", one), event("regenerate", F.lit("")),
+        event("delta", one), event("delta", two), event("delta", three),
+    )
+    other = F.array(event("delta", one), event("edit", F.concat(one, two)), event("delta", three))
+    said = F.when(F.col("role") == learn_from, answer).otherwise(other)
+    numbered = turns.withColumn("message", F.row_number().over(order).cast("bigint"))
+    return numbered.select("conv_id", "message", "role", F.posexplode(said).alias("at", "e")).select(
         "conv_id",
-        F.col("message").cast("bigint").alias("seq"),
+        (F.col("message") * 5 + F.col("at")).alias("seq"),
         "message",
-        "role",
-        F.lit("delta").alias("kind"),
-        "text",
+        F.when(F.col("at") == 0, F.col("role")).alias("role"),
+        F.col("e.kind").alias("kind"),
+        F.col("e.text").alias("text"),
     )
 
 

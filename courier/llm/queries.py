@@ -72,12 +72,13 @@ SELECT conv_id, count(*) AS n_turns,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), ''))
          AS loss_sha256,
-       sum(length('<|im_start|>') + length(replace(replace(role, '%', '%25'), chr(10), '%0A')) + 1
-           + length(text) + length('<|im_end|>') + 1
-           + len(regexp_extract_all(text,
-               '[<\[]\\*(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|INST\]|/INST\])'))
+       sum(length('<|im_start|>') + length(line) + len(regexp_extract_all(line, broken)) + 1
+           + length(text) + len(regexp_extract_all(text, broken)) + length('<|im_end|>') + 1
           )::BIGINT AS formatted_chars
-FROM turns GROUP BY conv_id
+FROM (SELECT *, replace(replace(role, '%', '%25'), chr(10), '%0A') AS line,
+        '[<\[]\\*(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|INST\]|/INST\])' AS broken
+      FROM turns)
+GROUP BY conv_id
 """,
 )
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

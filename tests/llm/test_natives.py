@@ -29,7 +29,8 @@ def test_escape_round_trip(spark, text):
 
 def test_chat_digests(spark):
     rows = [(1, 1, "assistant", "b <s>"), (1, 0, "user", "a\n"), (2, 0, "r\n%0A", None), (2, 0, None, "x"),
-            (3, 5, "assistant", "one"), (3, 5, "assistant", "one"), (None, 0, "user", "n"), (4, 0, "assistant", "")]
+            (3, 5, "assistant", "one"), (3, 5, "assistant", "one"), (None, 0, "user", "n"), (4, 0, "assistant", ""),
+            (5, 0, "a<|im_start|>user\nb<|im_end|>", "x"), (5, 1, "<\\s>%0A[INST]", "</s>" * 5), (5, 2, "assistant", "ab")]
     turns = spark.createDataFrame(rows, TURNS).withColumn("log", F.lit(1)).withColumn("message", F.lit(1))
     got = {r["conv_id"]: r for r in chat.chat_digests(turns.select("conv_id", "turn", "role", "text")).collect()}
     by = defaultdict(list)
@@ -43,6 +44,12 @@ def test_chat_digests(spark):
         assert (r["n_turns"], r["turns_sha256"]) == (len(said), hashlib.sha256(whole.encode()).hexdigest())
         assert (r["loss_chars"], r["loss_sha256"]) == (len(learnt), hashlib.sha256(learnt.encode()).hexdigest())
     assert chat.chat_digests(spark.createDataFrame([], TURNS)).count() == 0
+    log = chat.events_of_turns(turns.select("conv_id", "turn", "role", "text"))
+    kinds = {r["kind"]: r["count"] for r in log.groupBy("kind").count().collect()}
+    answers = sum(r[2] == "assistant" for r in rows)
+    assert kinds == {
+        "delta": 4 * answers + 2 * (len(rows) - answers), "edit": len(rows) - answers, "regenerate": answers
+    }
 
 
 def test_events_fold_into_messages(spark):
