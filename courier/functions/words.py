@@ -2,28 +2,14 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# A word is a run of letters and digits, in Java and in Python notation.
+# Fixed value: a word is a run of letters and digits.
 WORD = r"[\p{L}\p{N}]+"
-_WORD = re.compile(r"[^\W_]+")
-
-SPAN = T.StructType(
-    [
-        T.StructField("word", T.StringType()),
-        T.StructField("byte_offset", T.IntegerType()),
-        T.StructField("byte_length", T.IntegerType()),
-    ]
-)
-
 
 @dataclass(frozen=True)
 class Tokenizer:
@@ -62,34 +48,57 @@ def strip_plural(token: Column) -> Column:
     return F.regexp_replace(token, "s$", "")
 
 
-def byte_places(text: str) -> np.ndarray | range:
-    """The UTF-8 byte offset of every character, and of the end."""
-    if text.isascii():
-        return range(len(text) + 1)
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    widths = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
-    return np.concatenate(([0], np.cumsum(widths)))
-
-
-@F.arrow_udf(T.ArrayType(SPAN))
-def word_spans(texts: pa.Array) -> pa.Array:
-    """Each word of each text with its UTF-8 byte offset and length."""
-    words, offsets, lengths, ends = [], [], [], [0]
-    for text in texts.to_pylist():
-        if text:
-            place = byte_places(text)
-            for found in _WORD.finditer(text):
-                start, stop = found.span()
-                words.append(found.group())
-                offsets.append(place[start])
-                lengths.append(place[stop] - place[start])
-        ends.append(len(words))
-    spans = pa.StructArray.from_arrays(
-        [
-            pa.array(words, pa.string()),
-            pa.array(offsets, pa.int32()),
-            pa.array(lengths, pa.int32()),
-        ],
-        names=SPAN.fieldNames(),
-    )
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans)
+def running_sums(numbers: Column) -> Column:
+    """``numbers[0] + ... + numbers[i]`` for every i of an array of bigints.
+
+    Each step adds what lies 1, 2, 4, ... places before, so n numbers take log n passes.
+    """
+    size = F.size(numbers)
+    steps = F.when(
+        size > 1, F.sequence(F.lit(0), F.ceil(F.log2(size)).cast("int") - 1)
+    ).otherwise(F.array().cast("array<int>"))
+
+    def step(sums: Column, k: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(
+            sums, lambda v, i: v + F.coalesce(F.get(sums, i - back), F.lit(0).cast("bigint"))
+        )
+
+    return F.aggregate(steps, numbers, step)
+
+
+def word_spans(text: Column) -> Column:
+    """Each word of a text with its UTF-8 byte offset and length; null for a null text.
+
+    Offsets are running sums over the gaps between the words and the words themselves.
+    """
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    gaps = F.split(text, WORD, -1)
+    both = F.struct(words.alias("words"), F.slice(gaps, F.lit(1), F.size(gaps) - 1).alias("gaps"))
+
+    # Arrays of one struct name what would be worked out again for every word.
+    def placed(d: Column) -> Column:
+        bytes_of = F.zip_with(
+            d["gaps"],
+            d["words"],
+            lambda g, w: (F.octet_length(g) + F.octet_length(w)).cast("bigint"),
+        )
+        return F.struct(d["words"].alias("words"), bytes_of.alias("bytes"))
+
+    def summed(d: Column) -> Column:
+        return F.struct(d["words"].alias("words"), running_sums(d["bytes"]).alias("ends"))
+
+    def spans(d: Column) -> Column:
+        return F.transform(
+            d["words"],
+            lambda w, i: F.struct(
+                w.alias("word"),
+                (F.get(d["ends"], i) - F.octet_length(w)).cast("int").alias("byte_offset"),
+                F.octet_length(w).alias("byte_length"),
+            ),
+        )
+
+    found = F.array(both)
+    for step in (placed, summed, spans):
+        found = F.transform(found, step)
+    return F.when(text.isNotNull(), F.get(found, F.lit(0)))

@@ -180,7 +180,7 @@ def match_offsets(
 ) -> DataFrame:
     """Every hit in the matching rows: column, term number, byte offset, byte length.
 
-    Only matching rows reach the Python worker that measures byte offsets.
+    Byte offsets are measured for matching rows only.
     """
     terms = query_terms(df.sparkSession, query, tokenizer)
     matching = _match(df, columns, terms, tokenizer).select(key, *columns)

@@ -16,8 +16,9 @@ def test_match_moves_nothing(spark):
         assert "Exchange" not in text and "Python" not in text
 
 
-def test_offsets_are_measured_for_matching_rows_only(spark):
+def test_offsets_are_measured_in_the_jvm_for_matching_rows(spark):
     pages = table(spark, "/root/testdata/sf0.001", "pages")
     text = plan(X.match_offsets(pages, "page_id", ["url", "html"], "example nich*"))
-    python, scan = text.index("ArrowEvalPython"), text.index("FileScan")
-    assert "array_contains" in text[python:scan]
+    assert "Python" not in text and "Exchange" not in text
+    measured, scan = text.index("octet_length"), text.index("FileScan")
+    assert "array_contains" in text[measured:scan]

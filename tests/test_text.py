@@ -3,7 +3,10 @@
 import re
 
 import pytest
-from courier.functions.words import Tokenizer, strip_plural
+import regex
+from pyspark.sql import functions as F
+
+from courier.functions.words import Tokenizer, running_sums, strip_plural, word_spans
 from courier.operators import text as X
 
 PLURAL = Tokenizer(rule=strip_plural)
@@ -118,3 +121,24 @@ def test_a_prefix_reads_only_folders_of_its_tokens(spark, tmp_path):
     assert ids(one) == [77]
     pushed = dictionary.where("startswith(token, 'x77')")._jdf.queryExecution().executedPlan().toString()
     assert "StringStartsWith(token,x77)" in pushed
+
+
+def test_running_sums(spark):
+    rows = [list(range(n)) for n in (0, 1, 2, 3, 7, 8, 9, 1000)] + [None, [2**40, 2**40]]
+    df = spark.createDataFrame([(r,) for r in rows], "v array<bigint>")
+    found = [r[0] for r in df.select(running_sums(F.col("v"))).collect()]
+    assert found == [None if r is None else [sum(r[: i + 1]) for i in range(len(r))] for r in rows]
+
+
+def test_spans_of_odd_texts(spark):
+    texts = ["", " ", "a", "é𠀀b 🙂x", "\n\nzwei  drei", "١٢ ½ a_b", "w " * 5000, None, "𠀀𠀀 𝒳"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    for r in df.select("t", word_spans(F.col("t")).alias("s")).collect():
+        if r["t"] is None:
+            assert r["s"] is None
+            continue
+        words = regex.findall(r"[\p{L}\p{N}]+", r["t"])
+        assert [s["word"] for s in r["s"]] == words
+        raw = r["t"].encode()
+        for s in r["s"]:
+            assert raw[s["byte_offset"] : s["byte_offset"] + s["byte_length"]].decode() == s["word"]
