@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 from courier.llm.common import broadcast_if_small, text_of, without_ids
 from courier.sources.scratch import materialise
 
-#: Masks of the query's SQL, which asks for one of them besides; not read here.
-MASKS = ((0, 1, 2, 4, 7, 8, 10), (0, 2, 3, 5, 6, 9, 10))
-SPAN = 11
 SHORTEST = 5
 LEAST, SHARE = 13, 0.8
 #: Seeds up to which the benchmark's side is broadcast: 40 bytes each.

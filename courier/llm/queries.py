@@ -250,38 +250,26 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_table(read_table(spark, sf_dir, "documents"))
 
 
-def _mask_sql(masks, source: str, key: str) -> str:
-    return " UNION ALL ".join(
-        f"SELECT {key}, i, {number} AS mask, concat_ws(' ', "
-        + ", ".join(f"h[i + {o}]" for o in mask)
-        + f") AS seed FROM {source}, unnest(range(1, len(h) - {decontamination.SPAN} + 2)) AS t(i)"
-        for number, mask in enumerate(masks)
-    )
+def _normal_words_sql(table: str, key: str) -> str:
+    unspaced = "".join(f"\\p{{{s}}}" for s in "Han Hiragana Katakana Thai Lao Khmer Myanmar".split())
+    return f"""SELECT {key}, regexp_extract_all(
+        regexp_replace(lower(coalesce(text, '')), '([{unspaced}])', ' \\1 ', 'g'),
+        '[\\p{{L}}\\p{{N}}]+') AS h FROM {table}"""
 
 
+#: Every diagonal that shares a word is counted, without seeds.
 _DECONTAMINATION_SQL = f"""
-WITH items AS (
-  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS h
-  FROM benchmark),
-docs AS (
-  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS h
-  FROM documents),
-item_seeds AS ({_mask_sql(decontamination.MASKS, "items", "item_id")}),
-doc_seeds AS ({_mask_sql(decontamination.MASKS, "docs", "doc_id")}),
-hits AS (
-  SELECT DISTINCT doc_id, item_id, d.i - b.i AS shift
-  FROM doc_seeds d JOIN item_seeds b USING (mask, seed)),
-places AS (
-  SELECT doc_id, item_id, shift, len(b.h) AS words, unnest(range(1, len(b.h) + 1)) AS k
-  FROM hits JOIN items b USING (item_id)),
-scored AS (
-  SELECT p.doc_id, p.item_id, p.shift, any_value(p.words) AS words,
-         count(*) FILTER (b.h[k] = d.h[k + shift] AND k + shift >= 1) AS matched
-  FROM places p JOIN items b USING (item_id) JOIN docs d USING (doc_id)
-  GROUP BY ALL),
+WITH items AS ({_normal_words_sql("benchmark", "item_id")}),
+docs AS ({_normal_words_sql("documents", "doc_id")}),
+item_words AS (
+  SELECT item_id, len(h) AS words, unnest(h) AS w, generate_subscripts(h, 1) AS i
+  FROM items WHERE len(h) >= {decontamination.SHORTEST}),
+doc_words AS (SELECT doc_id, unnest(h) AS w, generate_subscripts(h, 1) AS i FROM docs),
 enough AS (
-  SELECT * FROM scored
-  WHERE matched >= least({decontamination.LEAST}, ceil(words * {decontamination.SHARE}))),
+  SELECT doc_id, item_id, d.i - b.i AS shift, any_value(words) AS words, count(*) AS matched
+  FROM doc_words d JOIN item_words b USING (w) GROUP BY doc_id, item_id, shift
+  HAVING count(*) >= least({decontamination.LEAST},
+                           ceil(round(any_value(words) * {decontamination.SHARE}, 6)))),
 best AS (
   SELECT doc_id, count(DISTINCT item_id) AS n_items, max(matched) AS matched,
          min_by(item_id, (-matched, item_id)) AS item_id
