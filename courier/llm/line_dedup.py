@@ -34,6 +34,8 @@ BROADCAST_ROWS = 500_000
 #: The characters that separate words.
 BLANKS = " \t\n\x0b\x0c\r"
 _REST = (1 << 47) - 1
+#: A place as read back from a table; joins on another type would shuffle once more.
+_PLACE = "struct<doc_id: bigint, line_no: int>"
 
 
 def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -176,32 +178,34 @@ def _verified(
     t, b = threshold
     pairs = pairs.select("later", "earlier")
     asked = pairs.select(F.col("later").alias("place")).union(pairs.select("earlier")).distinct()
-    table = materialise(asked.select("place.*"), "asked-lines")
-    asked = broadcast_if_small(table, table.count(), BROADCAST_ROWS)
+    asked = materialise(asked.select("place.*"), "asked-lines")
+    small = broadcast_if_small(asked, asked.count(), BROADCAST_ROWS)
     found = lines.join(
-        asked.withColumnsRenamed({"doc_id": "asked_id", "line_no": "asked_no"}),
+        small.withColumnsRenamed({"doc_id": "asked_id", "line_no": "asked_no"}),
         F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("line_no") == F.col("asked_no")),
         "left_semi",
     )
-    words = ordered_words(F.col("line"), ranks)
-    worded = materialise(
-        found.select(F.struct("doc_id", "line_no").alias("own"), words.alias("words")).distinct(),
-        "candidate-words",
+    # Words travel by place once, for both sides of the pairs: rows that repeat a line go, and
+    # the joins need no other partitioning.  Places are structs, never null, whose null ids
+    # compare as equal.
+    worded = found.select(
+        F.struct("doc_id", "line_no").cast(_PLACE).alias("own"),
+        ordered_words(F.col("line"), ranks).alias("words"),
     )
-    discard(table)
+    worded = worded.repartition("own").dropDuplicates(["own", "words"])
     x = worded.select(F.col("own").alias("xo"), F.col("words").alias("xw"))
     y = worded.select(F.col("own").alias("yo"), F.col("words").alias("yw"))
     shared = F.size(F.array_intersect("xw", "yw"))
     union = F.size("xw") + F.size("yw") - shared
     similar = materialise(
-        pairs.join(x, F.col("later").eqNullSafe(F.col("xo")))
-        .join(y, F.col("earlier").eqNullSafe(F.col("yo")))
+        pairs.join(x, F.col("later") == F.col("xo"))
+        .join(y, F.col("earlier") == F.col("yo"))
         .where(shared * b >= union * t)
         .select("later")
         .distinct(),
         "similar",
     )
-    discard(worded)
+    discard(asked)
     return similar
 
 
