@@ -33,6 +33,8 @@ BLOCK = 32_768
 SMALL = 16
 #: Words of the shingles that the pipeline's stage compares, and bits of its first search.
 STAGE_WORDS, STAGE_RADIUS = 5, 5
+#: Rows whose shingles are held as arrays at a time.
+SLICE = 256
 #: Slots of the counts that order shingles by rarity; they change no result, only the work.
 RARITY_SLOTS = 1 << 18
 
@@ -203,8 +205,8 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 
         words_of = re.compile(rb"[^\x20\x09-\x0D]+").findall
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
+            for low in range(0, batch.num_rows, SLICE):
+                part = batch.slice(low, SLICE)
                 own, keys, prints = [], [], []
                 for text in part.column(1).to_pylist():
                     found = words_of((text or "").encode("utf-8", "surrogatepass").lower())
@@ -244,7 +246,9 @@ def _rarity(sets: DataFrame, slots: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(slots, np.int64)
         for batch in batches:
-            total += np.bincount(batch.column(0).flatten().to_numpy() % slots, minlength=slots)
+            for low in range(0, batch.num_rows, SLICE):
+                flat = batch.column(0).slice(low, SLICE).flatten().to_numpy()
+                total += np.bincount(flat % slots, minlength=slots)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "c"])
 
@@ -265,25 +269,31 @@ def _prefixes(sets: DataFrame, slots: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column(2).flatten().to_numpy()
-            n = batch.column(1).to_numpy()
-            owner = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((flat, counts.value[flat % slots], owner))
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
-            first = place < np.repeat(n - (4 * n + 4) // 5 + 1, n)
-            chosen, owner = flat[order][first], owner[first]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(batch.column(0).to_numpy()[owner]),
-                    pa.array(n[owner]),
-                    pa.array(chosen),
-                ],
-                names=["key", "n", "entry"],
-            )
+            for low in range(0, batch.num_rows, SLICE):  # sorting holds several copies
+                yield _rarest(batch.slice(low, SLICE), counts.value)
 
     return sets.select("key", "n", "shingles").mapInArrow(run, "key bigint, n int, entry bigint")
 
 
+def _rarest(batch: pa.RecordBatch, counts: np.ndarray) -> pa.RecordBatch:
+    """The prefixes of a batch of ``key, n, shingles``."""
+    flat = batch.column(2).flatten().to_numpy()
+    n = batch.column(1).to_numpy()
+    owner = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((flat, counts[flat % len(counts)], owner))
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+    first = place < np.repeat(n - (4 * n + 4) // 5 + 1, n)
+    owner = owner[first]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(batch.column(0).to_numpy()[owner]),
+            pa.array(n[owner]),
+            pa.array(flat[order][first]),
+        ],
+        names=["key", "n", "entry"],
+    )
+
+
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The ``pairs (a, b)`` of keys whose sets have a Jaccard similarity of 0.8 or more."""
     pairs = materialise(
