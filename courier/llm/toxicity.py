@@ -66,6 +66,10 @@ def opening_hashes(text: Column) -> Column:
     return F.transform(_words(text), lambda w: F.xxhash64(F.substring(w, 1, OPENING_LETTERS)))
 
 
+def _slots(hashes: Column, size: int) -> Column:
+    return F.transform(hashes, lambda h: h.bitwiseAND(F.lit(size - 1)).cast("int"))
+
+
 def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}]+"), lambda w: w != "")
 
@@ -93,7 +97,7 @@ class ClassModels:
         return again, np.maximum(np.stack(sums, axis=1), 1.0)
 
     def log_ratios(self, words: np.ndarray, openings: np.ndarray) -> np.ndarray:
-        """log P_toxic - log P_ordinary of each word, from its hashes."""
+        """log P_toxic - log P_ordinary of each word, from its hashes or slots."""
         word = words & (WORD_SLOTS - 1)
         opening = openings & (OPENING_SLOTS - 1)
         counts, released = self.words[:, word], self.openings[:, opening]
@@ -217,7 +221,12 @@ def document_evidence(docs: DataFrame, models, id_column: str, text_column: str)
             )
 
     text = text_of(text_column)
-    hashed = docs.select(F.col(id_column).cast("bigint"), word_hashes(text), opening_hashes(text))
+    # Slots go to the worker as 32-bit numbers, half of what the hashes would take.
+    hashed = docs.select(
+        F.col(id_column).cast("bigint"),
+        _slots(word_hashes(text), WORD_SLOTS),
+        _slots(opening_hashes(text), OPENING_SLOTS),
+    )
     return hashed.mapInArrow(run, "id bigint, evidence double, n_words bigint")
 
 
