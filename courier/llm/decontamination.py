@@ -7,7 +7,7 @@ between them add up to at most n - 1, so among the (k - 1) // 2 neighbouring pai
 one is at most ``reach(n)`` wide, and one gap of that pair at most half of it.  An item is
 therefore filed under every three of its words within its reach.  A document is searched
 for pairs within half the longest reach that occur in an item at all; only these are
-completed to three words, before or after, and looked up.  Each hit puts a document and
+completed to three words, after or before, and looked up, once for each three.  Each hit puts a document and
 an item on a diagonal; along it the words are compared one by one.
 
 Scripts written without spaces count character by character.  Items of fewer than
@@ -28,11 +28,15 @@ SHORTEST = 5
 LEAST, SHARE = 13, 0.8
 #: Seeds up to which the benchmark's side is broadcast: 40 bytes each.
 BROADCAST_SEEDS = 500_000
+#: Words of a document that are searched as one row.
+PIECE = 256
 
 
-#: Characters of scripts that do not put spaces between words.
+#: Characters of scripts that do not put spaces between words.  None is below U+0E00, which
+#: is far cheaper to ask than the script.
 UNSPACED = (
-    r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+    r"([\x{E00}-\x{10FFFF}"
+    r"&&[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]])"
 )
 
 
@@ -97,48 +101,53 @@ def _gaps(widest: int) -> range:
     return range(1, widest // 2 + 1)
 
 
-def _document_seeds(hashed: DataFrame, pairs: DataFrame, widest: int, margin: int) -> DataFrame:
-    """``doc_id, at, seed`` of all three words that a pair of an item is part of.
+def _pieces(hashed: DataFrame, length: int, margin: int) -> DataFrame:
+    """``doc_id, h, at, low``: every place that a seed may begin at, with the words around it.
 
-    ``h`` holds the words up to ``margin`` before and after the pair, from ``low`` on.
+    ``h`` holds ``length`` words of a document and up to ``margin`` before and after them, from
+    ``low`` on; ``at`` counts from there.  No row holds more, whatever the document's length.
     """
-    start = F.when(F.size("h") > 2, F.sequence(F.lit(0), F.size("h") - 2))
-    at = hashed.select("doc_id", "h", F.explode(start).alias("place"))
-    low = F.greatest(F.col("place") - margin, F.lit(0))
-    around = at.select(
+    start = F.when(F.size("h") > 2, F.sequence(F.lit(0), F.size("h") - 1, F.lit(length)))
+    low = F.greatest(F.col("start") - margin, F.lit(0))
+    pieces = hashed.select("doc_id", "h", F.explode(start).alias("start")).select(
         "doc_id",
-        F.slice("h", low + 1, 2 * margin + 1).alias("h"),
-        (F.col("place") - low).alias("at"),
+        F.slice("h", low + 1, F.col("start") - low + length + margin).alias("h"),
         low.alias("low"),
+        (F.col("start") - low).alias("first"),
     )
-    entries = F.array(
-        *[F.struct(F.lit(g).alias("g"), _pair(F.col("at"), g).alias("pair")) for g in _gaps(widest)]
-    )
-    filed = around.select("doc_id", "h", "at", "low", F.explode(entries).alias("e")).where(
-        F.col("at") + F.col("e.g") < F.size("h")
-    )
-    met = filed.select("doc_id", "h", "at", "low", "e.g", "e.pair").join(pairs, "pair", "left_semi")
-    one = F.col("at")
-    thirds = F.array(
-        *[
-            s
-            for o in range(1, widest)
-            for s in (
-                # After the pair, and before it.
-                F.struct(one.alias("at"), F.col("g").alias("a"), F.lit(o).alias("b")),
-                F.struct((one - o).alias("at"), F.lit(o).alias("a"), F.col("g").alias("b")),
-            )
-        ]
+    last = F.least(F.col("first") + length, F.size("h")) - 1
+    return pieces.select("doc_id", "h", "low", F.explode(F.sequence("first", last)).alias("at"))
+
+
+def _thirds(widest: int) -> list[tuple[int, bool]]:
+    """Third words for a pair: how far they lie, and whether before it.
+
+    A gap that is narrow enough for a pair of its own needs no search from the pair behind
+    it: that pair finds the same three words.
+    """
+    return [(o, False) for o in range(1, widest)] + [(o, True) for o in range(widest // 2 + 1, widest)]
+
+
+def _document_seeds(pieces: DataFrame, pairs: DataFrame, widest: int) -> DataFrame:
+    """``doc_id, h, low, at, seed`` of all three words that a pair of an item is part of."""
+    entries = F.array(*[_pair(F.col("at"), g) for g in _gaps(widest)])
+    filed = pieces.select("*", F.posexplode(entries).alias("g", "pair")).withColumn(
+        "g", F.col("g") + _gaps(widest)[0]
     )
-    last = F.col("t.at") + F.col("t.a") + F.col("t.b")
-    inside = (F.col("t.a") + F.col("t.b") <= widest) & (F.col("t.at") >= 0) & (last < F.size("h"))
-    threes = met.select("doc_id", "h", "low", F.explode(thirds).alias("t")).where(inside)
-    return threes.select(
-        "doc_id",
-        "h",
-        "low",
-        (F.col("t.at") + F.col("low")).alias("at"),
-        _triple(F.col("t.at"), F.col("t.a"), F.col("t.b")).alias("seed"),
+    met = filed.where(F.col("at") + F.col("g") < F.size("h")).join(pairs, "pair", "left_semi")
+    at, g = F.col("at"), F.col("g")
+    thirds = _thirds(widest)
+    seeds = [
+        F.when(
+            (g + o <= widest) & ((at >= o) if before else (at + g + o < F.size("h"))),
+            _triple(at - o, F.lit(o), g) if before else _triple(at, g, F.lit(o)),
+        )
+        for o, before in thirds
+    ]
+    threes = met.select("doc_id", "h", "low", "at", F.posexplode(F.array(*seeds)).alias("t", "seed"))
+    back = F.array(*[F.lit(o if before else 0) for o, before in thirds])
+    return threes.where(F.col("seed").isNotNull()).select(
+        "doc_id", "h", "low", (at + F.col("low") - F.get(back, F.col("t"))).alias("at"), "seed"
     )
 
 
@@ -182,14 +191,16 @@ def overlaps(
     small = items.select("item", "item_id", "needed", F.col("h").alias("words"))
     shift = (F.col("at") - F.col("item_at")).alias("shift")
     n_pairs = pairs.count()
+    in_place = max(n_pairs, seeds.count()) <= broadcast_seeds
     near = broadcast_if_small(pairs, n_pairs, broadcast_seeds)
-    if max(n_pairs, seeds.count()) <= broadcast_seeds:
+    if in_place:
         longest = items.agg(F.max(F.size("h"))).first()[0] or widest
-        hits = _document_seeds(hashed, near, widest, max(longest, widest))
+        margin = max(longest, widest)
+        hits = _document_seeds(_pieces(hashed, max(PIECE, margin), margin), near, widest)
         found = hits.join(F.broadcast(seeds), "seed").select("doc_id", "item", shift, "low", "h")
         found = found.join(F.broadcast(small), "item")
-    else:
-        hits = _document_seeds(hashed, near, widest, widest)
+    else:  # rows that travel hold one place each
+        hits = _document_seeds(_pieces(hashed, 1, widest), near, widest)
         slim = hits.join(seeds, "seed").select("doc_id", "item", shift).distinct()
         found = slim.join(hashed, slim["doc_id"].eqNullSafe(hashed["doc_id"])).select(
             slim["doc_id"], "item", "shift", F.lit(0).alias("low"), "h"

@@ -257,6 +257,40 @@ def test_decontamination_finds_all_the_rule_accepts(spark):
         assert {(r["doc_id"], r["item_id"], r["shift"]) for r in got.collect()} == expected
 
 
+def test_decontamination_in_pieces(spark):
+    """Passages across the ends of pieces; any three words are looked up once, from one pair."""
+    rng = random.Random(12)
+    items = [(n, prose(rng, n, 100_000)) for n in (14, 40)]
+    expected, rows = set(), []
+    for i, begin in enumerate((0, 230, 250, 256, 500, 767, 1_000)):
+        words = prose(rng, 1_040, 50_000).replace("w", "v").split()
+        item, text = items[i % 2]
+        words[begin : begin + item] = text.split()
+        rows.append((i, " ".join(words[:1_040]), "", "", 0))
+        expected.add((i, item, begin))
+    docs, bench = frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")
+    for limit in (500_000, 0):
+        got = decontamination.overlaps(docs, bench, broadcast_seeds=limit).collect()
+        assert {(r["doc_id"], r["item_id"], r["shift"]) for r in got} == expected
+    widest = max(decontamination.reach(n) for n, _ in items)
+    cut = bench.select("item_id", decontamination._hashes(F.col("text")).alias("h"))
+    cut = cut.withColumn("item", F.col("item_id")).withColumn("reach", F.lit(widest))
+    seeds, pairs = decontamination._item_seeds(cut, widest)
+    hashed = docs.select("doc_id", decontamination._hashes(F.col("text")).alias("h"))
+    for length, margin in ((256, 58), (1, widest)):
+        pieces = decontamination._pieces(hashed, length, margin)
+        found = decontamination._document_seeds(pieces, pairs, widest).join(seeds, "seed")
+        places = [(r["doc_id"], r["at"], r["seed"]) for r in found.select("doc_id", "at", "seed").collect()]
+        assert len(places) == len(set(places)) >= 7 * 12
+
+
+def test_unspaced_letters_are_those_of_the_scripts(spark):
+    scripts = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+    points = spark.range(0x110000).where("id NOT BETWEEN 55296 AND 57343")
+    letters = points.select(F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    assert letters.where(F.col("c").rlike(scripts) != F.col("c").rlike(decontamination.UNSPACED)).count() == 0
+
+
 @pytest.mark.parametrize("words", range(5, 20))
 def test_reach_holds_three_words_of_every_pattern(words):
     for places in itertools.combinations(range(words), decontamination.words_needed(words)):
