@@ -10,8 +10,9 @@ n words in the larger and t the threshold, among its first n - ceil(t n) + 1, an
 first m - ceil(2t / (1 + t) m) + 1 of the smaller with m.  Rows that share such a word are
 candidates if their sizes fit, and if their words still to come after it can bring the
 overlap that is needed.  As a further bound that drops no pair, each set has a parity
-signature of 64 bits, in which every word flips one: similar sets differ in few.  What
-is left is verified on all words.  Only distinct sets take part; a set's first line stands
+signature of 64 bits, in which every word flips one: similar sets differ in few; so do
+signatures of 512 bits, looked up for the candidates only.  What is left is verified on all
+words.  Only distinct sets take part; a set's first line stands
 for all its copies, so a line that occurs a million times is one row here.
 
 How rare a word is comes from counts over all lines, added up in ``RARITY_SLOTS`` slots by
@@ -31,6 +32,8 @@ THRESHOLD = (4, 5)
 RARITY_SLOTS = 1 << 16
 #: Rows of 100 bytes or less up to which a table of places is broadcast.
 BROADCAST_ROWS = 500_000
+#: Numbers of 64 bits, a power of two, in the signature that rules out candidates.
+WIDE = 8
 #: The characters that separate words.
 BLANKS = " \t\n\x0b\x0c\r"
 _REST = (1 << 47) - 1
@@ -171,6 +174,40 @@ def _candidates(later: DataFrame, earlier: DataFrame, threshold: tuple[int, int]
     )
 
 
+def wide_signature(words: str) -> Column:
+    """A parity signature of ``64 * WIDE`` bits, in which every word flips one."""
+
+    def part(k: int) -> Column:
+        mine = F.filter(words, lambda w: F.shiftright(w, 6).bitwiseAND(F.lit(WIDE - 1)) == k)
+        return F.aggregate(
+            mine,
+            F.lit(0).cast("bigint"),
+            lambda s, w: s.bitwiseXOR(
+                F.call_function("shiftleft", F.lit(1).cast("bigint"), w.bitwiseAND(F.lit(63)).cast("int"))
+            ),
+        )
+
+    return F.array(*[part(k) for k in range(WIDE)])
+
+
+def _not_ruled_out(pairs: DataFrame, worded: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The ``pairs`` whose wide signatures differ in no more bits than similar sets may.
+
+    The 64 bits of the first signature fill up on long lines; their words are too many to
+    travel for every candidate.  Similar sets are never ruled out.
+    """
+    t, b = threshold
+    slim = worded.select("own", F.size("words").alias("n"), "wide")
+    x, y = slim.toDF("xo", "xn", "xs"), slim.toDF("yo", "yn", "ys")
+    both = F.col("xn") + F.col("yn")
+    differing = sum(
+        (F.bit_count(F.get("xs", F.lit(k)).bitwiseXOR(F.get("ys", F.lit(k)))) for k in range(WIDE)),
+        F.lit(0),
+    )
+    met = pairs.join(x, F.col("later") == F.col("xo")).join(y, F.col("earlier") == F.col("yo"))
+    return met.where(differing <= both - _at_least((t, t + b), both) * 2).select("later", "earlier").distinct()
+
+
 def _verified(
     pairs: DataFrame, lines: DataFrame, ranks: Column, threshold: tuple[int, int]
 ) -> DataFrame:
@@ -185,14 +222,16 @@ def _verified(
         F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("line_no") == F.col("asked_no")),
         "left_semi",
     )
-    # Words travel by place once, for both sides of the pairs: rows that repeat a line go, and
-    # the joins need no other partitioning.  Places are structs, never null, whose null ids
-    # compare as equal.
+    # Words are filed by place once, for both sides of the pairs: rows that repeat a line go.
+    # Places are structs, never null, whose null ids compare as equal.
     worded = found.select(
         F.struct("doc_id", "line_no").cast(_PLACE).alias("own"),
         ordered_words(F.col("line"), ranks).alias("words"),
     )
-    worded = worded.repartition("own").dropDuplicates(["own", "words"])
+    worded = materialise(
+        worded.dropDuplicates(["own", "words"]).withColumn("wide", wide_signature("words")), "worded"
+    )
+    pairs = materialise(_not_ruled_out(pairs, worded, threshold), "near-pairs")
     x = worded.select(F.col("own").alias("xo"), F.col("words").alias("xw"))
     y = worded.select(F.col("own").alias("yo"), F.col("words").alias("yw"))
     shared = F.size(F.array_intersect("xw", "yw"))
@@ -205,7 +244,7 @@ def _verified(
         .distinct(),
         "similar",
     )
-    discard(asked)
+    discard(asked, worded, pairs)
     return similar
 
 

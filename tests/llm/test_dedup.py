@@ -197,6 +197,36 @@ def test_lines_beside_columns_of_any_name(spark):
     assert both.columns[-2:] == ["kept", "n_removed"] and len(set(both.columns)) == len(both.columns)
 
 
+def test_wide_signatures_rule_out_unlike_long_lines_only(spark):
+    """Lines of 150 words: 64 bits are full, so most candidates used to take their words along."""
+    import random
+
+    rng = random.Random(4)
+    base = [f"k{i}" for i in range(150)]
+    rows, unlike = [(0, " ".join(base), "", "", 0)], 0
+    for i in range(1, 41):
+        changed = 10 + i  # similar up to 16 changed words
+        words = base[:]
+        for at in rng.sample(range(150), changed):
+            words[at] = f"n{i}x{at}"
+        unlike += 5 * (150 - changed) < 4 * (150 + changed)
+        rows.append((i, " ".join(words), "", "", 0))
+    docs = frame(spark, rows)
+    assert {tuple(r) for r in line_dedup.similar_earlier(docs).collect()} == brute_lines(rows)
+    lines = line_dedup._lines(docs, "doc_id", "text")
+    ranks = line_dedup.rarity_ranks(lines)
+    worded = lines.select(
+        F.struct("doc_id", "line_no").cast(line_dedup._PLACE).alias("own"),
+        line_dedup.ordered_words(F.col("line"), ranks).alias("words"),
+    ).withColumn("wide", line_dedup.wide_signature("words"))
+    first = worded.where("own.doc_id = 0").select(F.col("own").alias("earlier"))
+    pairs = worded.where("own.doc_id > 0").select(F.col("own").alias("later")).crossJoin(first)
+    left = line_dedup._not_ruled_out(pairs, worded, (4, 5)).select("later.doc_id").collect()
+    found = {r["doc_id"] for r in left}
+    assert found >= {i for i in range(1, 41) if 5 * (140 - i) >= 4 * (160 + i)}
+    assert len(found) < 41 - unlike + unlike // 3
+
+
 def test_a_document_of_very_many_similar_lines(spark):
     import time
 
@@ -279,3 +309,16 @@ def test_similar_groups_are_those_of_all_pairs(spark, slots, radius):
     docs = docs.selectExpr("*", "1 AS id", "2 AS key", "3 AS fp", "4 AS shingles").repartition(3)
     groups = simhash_dedup.jaccard_groups(docs, radius=radius, slots=slots)
     assert {r["id"]: r["component_id"] for r in groups.collect()} == expected
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from courier.sources.scratch import SHUFFLE_CLEANUP, materialise
+
+    def files():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in manager.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    before, setting = files(), spark.conf.get(SHUFFLE_CLEANUP)
+    table = materialise(spark.range(10_000).repartition(5, "id"), "spread")
+    assert files() <= before and spark.conf.get(SHUFFLE_CLEANUP) == setting
+    assert table.count() == 10_000
