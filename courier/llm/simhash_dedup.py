@@ -37,6 +37,8 @@ STAGE_WORDS, STAGE_RADIUS = 5, 5
 SLICE = 256
 #: Slots of the counts that order shingles by rarity; they change no result, only the work.
 RARITY_SLOTS = 1 << 18
+#: Numbers of 64 bits in the parity signature of a set.
+WIDE = 16
 
 
 def shingle_fingerprint(text: str | None, words: int) -> int:
@@ -192,10 +194,11 @@ def fingerprint_hex(fp: str | Column) -> Column:
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``id, key, fp, n, shingles``: the sorted distinct hashes of a text's shingles.
+    """``id, key, fp, n, wide, shingles``: the sorted distinct hashes of a text's shingles.
 
-    ``key`` is a hash of the set, ``fp`` the fingerprint, ``n`` the size of the set.  Null and
-    empty texts have an empty set; null and repeated ids keep their rows.
+    ``key`` is a hash of the set, ``fp`` the fingerprint, ``n`` the size of the set and ``wide``
+    a parity signature, in which every shingle flips one bit.  Null and empty texts have an
+    empty set; null and repeated ids keep their rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +210,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, SLICE):
                 part = batch.slice(low, SLICE)
-                own, keys, prints = [], [], []
+                own, keys, prints, wide = [], [], [], []
                 for text in part.column(1).to_pylist():
                     found = words_of((text or "").encode("utf-8", "surrogatepass").lower())
                     last = max(1, len(found) - words + 1) if found else 0
@@ -222,6 +225,8 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                     prints.append(np.packbits(votes * 2 > last, bitorder="little").view("<i8")[0])
                     own.append(np.unique(hashes).view(np.int64))
                     keys.append(xxhash.xxh64_intdigest(own[-1].tobytes(), 7))
+                    flips = np.bincount(own[-1] % (64 * WIDE), minlength=64 * WIDE) & 1
+                    wide.append(np.packbits(flips.astype(np.uint8)).view("<i8"))
                 ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -229,14 +234,17 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                         pa.array(np.array(keys, np.uint64).view(np.int64)),
                         pa.array(np.array(prints, np.int64)),
                         pa.array(np.diff(ends)),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.arange(len(own) + 1, dtype=np.int32) * WIDE), pa.array(np.concatenate(wide))
+                        ),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own))),
                     ],
-                    names=["id", "key", "fp", "n", "shingles"],
+                    names=["id", "key", "fp", "n", "wide", "shingles"],
                 )
 
     slim = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return slim.mapInArrow(
-        run, "id bigint, key bigint, fp bigint, n int, shingles array<bigint>"
+        run, "id bigint, key bigint, fp bigint, n int, wide array<bigint>, shingles array<bigint>"
     )
 
 
@@ -294,12 +302,22 @@ def _rarest(batch: pa.RecordBatch, counts: np.ndarray) -> pa.RecordBatch:
     )
 
 
+def _not_ruled_out(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``pairs (a, b)`` whose signatures differ in no more bits than similar sets may.
+
+    Sets of n and m shingles with a similarity of 0.8 differ in (n + m) / 9 at most, and in no
+    more bits; so none of these is ruled out, and the others' shingles need not travel.
+    """
+    slim = sets.select("key", "n", "wide").dropDuplicates(["key"])
+    met = pairs.join(slim.toDF("a", "n", "x"), "a").join(slim.toDF("b", "m", "y"), "b")
+    bits = (F.bit_count(F.get("x", F.lit(k)).bitwiseXOR(F.get("y", F.lit(k)))) for k in range(WIDE))
+    return met.where(sum(bits, F.lit(0)) * 9 <= F.col("n") + F.col("m")).select("a", "b")
+
+
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The ``pairs (a, b)`` of keys whose sets have a Jaccard similarity of 0.8 or more."""
-    pairs = materialise(
-        pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
-        "pairs",
-    )
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = materialise(_not_ruled_out(pairs, sets), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     met = materialise(
         sets.join(ends, "key", "left_semi").groupBy("key").agg(F.any_value("shingles").alias("x")),

@@ -322,3 +322,19 @@ def test_written_tables_leave_no_shuffle_files(spark):
     table = materialise(spark.range(10_000).repartition(5, "id"), "spread")
     assert files() <= before and spark.conf.get(SHUFFLE_CLEANUP) == setting
     assert table.count() == 10_000
+
+
+def test_signatures_rule_out_unlike_sets_only(spark):
+    """Texts that share rare shingles: unlike pairs used to take their whole sets along."""
+    base = [f"k{i}" for i in range(400)]
+    rows = [(0, " ".join(base), "", "", 0)]
+    rows += [(i, " ".join(base[: 400 - 10 * i] + [f"n{i}x{k}" for k in range(10 * i)]), "", "", 0) for i in range(1, 31)]
+    sets = simhash_dedup.shingle_sets(frame(spark, rows), 5)
+    found = {r["id"]: (r["key"], set(r["shingles"])) for r in sets.collect()}
+    pairs = spark.createDataFrame([(found[0][0], found[i][0]) for i in range(1, 31)], "a bigint, b bigint")
+    left = {r["b"] for r in simhash_dedup._not_ruled_out(pairs, sets).collect()}
+    near = {k for k, s in found.values() if s != found[0][1] and 5 * len(s & found[0][1]) >= 4 * len(s | found[0][1])}
+    assert near and near <= left and len(left) < 15
+    assert {(r["a"], r["b"]) for r in simhash_dedup._alike(pairs, sets).collect()} == {
+        (min(found[0][0], k), max(found[0][0], k)) for k in near
+    }
