@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from courier.llm.common import without_ids
 from courier.llm.components import connected_components
-from courier.sources.scratch import discard, materialise
+from courier.sources.scratch import arrow_batches, discard, materialise
 
 #: Shingles hashed before their bits are added up.
 BLOCK = 32_768
@@ -33,7 +33,7 @@ BLOCK = 32_768
 SMALL = 16
 #: Words of the shingles that the pipeline's stage compares, and bits of its first search.
 STAGE_WORDS, STAGE_RADIUS = 5, 5
-#: Rows whose shingles are held as arrays at a time.
+#: Rows whose shingles are handed to a worker, and held as arrays, at a time.
 SLICE = 256
 #: Slots of the counts that order shingles by rarity; they change no result, only the work.
 RARITY_SLOTS = 1 << 18
@@ -261,7 +261,8 @@ def _rarity(sets: DataFrame, slots: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "c"])
 
     counted = sets.select("shingles").mapInArrow(run, "slot bigint, c bigint")
-    found = counted.groupBy("slot").agg(F.sum("c").alias("c")).toArrow()  # at most a row a slot
+    with arrow_batches(sets.sparkSession, SLICE):
+        found = counted.groupBy("slot").agg(F.sum("c").alias("c")).toArrow()  # at most a row a slot
     out = np.zeros(slots, np.int64)
     out[found["slot"].to_numpy()] = found["c"].to_numpy()
     return out
@@ -356,7 +357,7 @@ def jaccard_groups(
     each shingle and then, where several groups are left, with all.  No pair is missed.  Texts
     without words are equal.  Null ids link, and have no part in naming a group.
     """
-    sets = materialise(shingle_sets(docs, words), "sets")
+    sets = materialise(shingle_sets(docs, words), "sets", SLICE)
     full = sets.where("n > 0")
     prints = materialise(
         full.groupBy("fp").agg(F.min("key").alias("key"), F.max("key").alias("last")), "prints"
@@ -373,7 +374,7 @@ def jaccard_groups(
     )
     links = _alike(near.unionByName(same.where("a <> b").select("a", "b")), full)
 
-    filed = materialise(_prefixes(full, slots).distinct(), "entries")
+    filed = materialise(_prefixes(full, slots).distinct(), "entries", SLICE)
     shared = filed.groupBy("entry").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
     kept = filed.join(shared.where("lo <> hi").select("entry"), "entry")
     entries = materialise(_placed(kept, links), "shared-entries")

@@ -5,6 +5,7 @@ import hashlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import functions as F
 
 from courier.llm import line_dedup, simhash_dedup, suffix_dedup
@@ -338,3 +339,41 @@ def test_signatures_rule_out_unlike_sets_only(spark):
     assert {(r["a"], r["b"]) for r in simhash_dedup._alike(pairs, sets).collect()} == {
         (min(found[0][0], k), max(found[0][0], k)) for k in near
     }
+
+
+class Largest(AccumulatorParam):
+    def zero(self, value):
+        return 0
+
+    def addInPlace(self, one, other):
+        return max(one, other)
+
+
+def test_the_stage_hands_its_workers_small_batches(spark, monkeypatch):
+    """Lists of shingles in batches of 10,000 rows took an executor over its memory."""
+    largest, kind = [], type(spark.range(1))
+    real = kind.mapInArrow
+
+    def noting(self, run, schema, *args, **options):
+        if not {"shingles", "text"} & set(self.columns):
+            return real(self, run, schema, *args, **options)
+        rows = spark.sparkContext.accumulator(0, Largest())
+        largest.append(rows)
+
+        def noted(batches):
+            def each():
+                for batch in batches:
+                    rows.add(batch.num_rows)
+                    yield batch
+
+            return run(each())
+
+        return real(self, noted, schema, *args, **options)
+
+    monkeypatch.setattr(kind, "mapInArrow", noting)
+    before = dict(spark.conf.getAll)
+    docs = frame(spark, [(i, f"a{i} b c d e f g{i}", "en", "s", 0) for i in range(600)]).coalesce(1)
+    groups = simhash_dedup.jaccard_groups(docs).collect()
+    assert len(groups) == 600 and all(r["id"] == r["component_id"] for r in groups)
+    assert [rows.value for rows in largest] == [simhash_dedup.SLICE] * 3  # sets, counts, prefixes
+    assert dict(spark.conf.getAll) == before
