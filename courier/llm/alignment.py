@@ -7,8 +7,9 @@ one side is linked to every token of the other side of its group.
 The work is done on Arrow columns, a slice of documents at a time.  The lists of ids are
 flattened with the index of their document, token lengths are summed up inside each document
 to byte ends, and a hash join on (document, end) finds the ends that both sides share; groups
-are counted off between them.  A second hash join, on the group, makes the links, which are
-counted by document and id pair.  In a group with many tokens equal ids are counted first, so
+are counted off between them.  Links of a group with a single token on a side follow from its
+number; for all others a second hash join, on the group, makes them.  They are counted by
+document and id pair.  In a group with many tokens equal ids are counted first, so
 a long run of one character makes no rows for each pair of its tokens.
 
 How many documents hold a pair is counted by Arrow per task and merged by Spark.  Back at the
@@ -20,6 +21,7 @@ no frequent pair meets in one task, and no pair is left out.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -113,10 +115,9 @@ class PieceSide(_Side):
     """
 
     #: Spaces and what follows; a single last space goes with the run before it.
-    _RUN = r" +[^ ]*(?: \Z)?"
+    _RUN = re.compile(r" +[^ ]*(?: \Z)?")
 
     def __init__(self, path: str) -> None:
-        import regex
         import sentencepiece
 
         processor = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -132,18 +133,23 @@ class PieceSide(_Side):
         )
         probe = "a  b ½ﬁ "
         plain = "".join(processor.encode(probe, out_type=str)).replace("▁", " ")
-        apart = not any(regex.search("[^▁]▁", p) for p in pieces)
-        self._find = regex.compile(self._RUN).findall if apart and plain == f" {probe}" else None
+        apart = not any(re.search("[^▁]▁", p) for p in pieces)
+        self._apart = apart and plain == f" {probe}"
         self._cache = PieceCache(
             lambda pieces: processor.encode([p[1:] for p in pieces], num_threads=1)
         )
 
-    def ids(self, spaced: list[str]) -> list[bytes]:
-        if self._find is None:
-            return self._cache.ids([[t] for t in spaced])
+    def _cut(self, text: str) -> list[str]:
         # A text with U+2581 itself does not come back the same from any model; its spaces
         # are not those of the cut, so it is encoded whole.
-        return self._cache.ids([[t] if "▁" in t else self._find(t) for t in spaced])
+        if not self._apart or "▁" in text:
+            return [text]
+        if "  " in text or text.endswith(" ") or "\0" in text:
+            return self._RUN.findall(text)
+        return text.replace(" ", "\0 ").split("\0")[1:]  # single spaces: the same cuts, without a search
+
+    def ids(self, spaced: list[str]) -> list[bytes]:
+        return self._cache.ids([self._cut(t) for t in spaced])
 
 
 @lru_cache(maxsize=4)
@@ -199,14 +205,16 @@ class _Tokens:
     def sizes(self, groups: int) -> np.ndarray:
         return np.bincount(self.group, minlength=groups)
 
-    def by_group(self, wide: np.ndarray, name: str) -> pa.Table:
-        """``group, <name>, n_<name>``, equal ids of wide groups as one row."""
-        many = wide[self.group]
+    def by_group(self, groups: np.ndarray, wide: np.ndarray, name: str) -> pa.Table:
+        """``group, <name>, n_<name>`` of some groups, equal ids of wide ones as one row."""
+        mine = groups[self.group]
+        group, ids = self.group[mine], self.id[mine]
+        many = wide[group]
         one = pa.table(
-            {"group": self.group[~many], name: self.id[~many], f"n_{name}": np.ones((~many).sum(), np.int64)}
+            {"group": group[~many], name: ids[~many], f"n_{name}": np.ones((~many).sum(), np.int64)}
         )
         counted = (
-            pa.table({"group": self.group[many], name: self.id[many]})
+            pa.table({"group": group[many], name: ids[many]})
             .group_by(["group", name], use_threads=False)
             .aggregate([(name, "count")])
             .select(["group", name, f"{name}_count"])
@@ -253,19 +261,31 @@ def align_texts(side_a: _Side, side_b: _Side, texts: list[str]) -> dict[str, pa.
     links = np.zeros(docs, np.int64)
     np.add.at(links, doc_of_group, size_a * size_b)
 
+    # In most groups one side has a single token, so each token of the other has one link and
+    # its partner's place follows from the group's number; only the others are joined.
+    one_a, one_b = size_a == 1, size_b == 1
+    lone_a = one_b[a.group]  # tokens of A whose group has one token of B
+    lone_b = one_a[b.group] & ~one_b[b.group]
+    single = [
+        (a.group[lone_a], a.id[lone_a], b.id[b.last][a.group[lone_a]]),
+        (b.group[lone_b], a.id[a.last][b.group[lone_b]], b.id[lone_b]),
+    ]
+    many = ~one_a & ~one_b
     wide = size_a * size_b >= WIDE_GROUP
-    joined = a.by_group(wide, "a").join(
-        b.by_group(wide, "b"), "group", join_type="inner", use_threads=False
+    joined = a.by_group(many, wide, "a").join(
+        b.by_group(many, wide, "b"), "group", join_type="inner", use_threads=False
+    )
+    group, id_a, id_b = (
+        np.concatenate([*parts, joined[name].to_numpy()])
+        for name, parts in zip(("group", "a", "b"), zip(*single))
     )
+    times = np.ones(len(group), np.int64)
+    times[len(group) - len(joined) :] = joined["n_a"].to_numpy() * joined["n_b"].to_numpy()
     vocabulary_b = len(side_b.lengths)
     pairs = len(side_a.lengths) * vocabulary_b
-    key = (
-        doc_of_group[joined["group"].to_numpy()] * pairs
-        + joined["a"].to_numpy() * vocabulary_b
-        + joined["b"].to_numpy()
-    )
+    key = doc_of_group[group] * pairs + id_a * vocabulary_b + id_b
     counted = (
-        pa.table({"key": key, "n": joined["n_a"].to_numpy() * joined["n_b"].to_numpy()})
+        pa.table({"key": key, "n": times})
         .group_by("key", use_threads=False)
         .aggregate([("n", "sum")])
     )

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterable, Sequence
 from itertools import chain
+from struct import pack
 
 import numpy as np
 
@@ -57,6 +58,11 @@ class Cutter:
         return [text[m.start() : m.end()] for m in self._each(shadow)]
 
 
+def _packed(ids: Sequence[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers; short lists are dear to make arrays of."""
+    return np.asarray(ids, "<u4").tobytes() if isinstance(ids, np.ndarray) else pack(f"<{len(ids)}I", *ids)
+
+
 class PieceCache:
     """Ids of pieces of text as little-endian unsigned 32-bit integers, each encoded once.
 
@@ -79,7 +85,7 @@ class PieceCache:
         known = self._ids
         missing = list(set(chain.from_iterable(cuts)).difference(known))
         known.update(
-            (piece, np.asarray(ids, "<u4").tobytes())
+            (piece, _packed(ids))
             for piece, ids in zip(missing, self._encode(missing) if missing else ())
         )
         get = known.__getitem__
