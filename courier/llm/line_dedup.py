@@ -4,16 +4,21 @@ A line is the set of its words, lower-cased.  A line goes if an earlier one (sma
 document id, or above it in the same document) has a set with a Jaccard similarity of at
 least the threshold.  All lines are judged on the input.  Lines without words stay.
 
-The similar sets are found by an exact prefix join.  Words are ordered by how rare they
-are.  Two sets that are similar enough share a word among the first few of each; with
-n words in the larger and t the threshold, among its first n - ceil(t n) + 1, and the
-first m - ceil(2t / (1 + t) m) + 1 of the smaller with m.  Rows that share such a word are
-candidates if their sizes fit, and if their words still to come after it can bring the
-overlap that is needed.  As a further bound that drops no pair, each set has a parity
-signature of 64 bits, in which every word flips one: similar sets differ in few; so do
-signatures of 512 bits, looked up for the candidates only.  What is left is verified on all
-words.  Only distinct sets take part; a set's first line stands
-for all its copies, so a line that occurs a million times is one row here.
+The similar sets are found by an exact prefix filter over pairs of words.  Words are ordered
+by how rare they are, and each word and the next form a pair; the last has a pair of its own.
+A word that only one of two sets has breaks two pairs of it and one of the other.  So sets of n
+and m words that have c in common share at least 3c - n - m pairs, which is (n + m) / 3 or more
+where the similarity is 4/5, and then one of these is among the first few of each.  A single
+rare word, in contrast, is met in ever more unlike lines as the input grows.
+
+Every line is held first against the earliest line of each of its pairs, so a pair that m
+lines share makes m rows.  Only lines that this does not settle are held against all other lines
+of their pairs.  Their candidates have to fit in size, have enough pairs still to come, and
+have close parity signatures of 64 bits, in which every word flips one: similar sets differ in
+few bits; so do signatures of 512 bits, looked up for the candidates only.  None of
+these bounds drops a similar set.  What is left is verified on all words.  Only distinct sets
+take part; a set's first line stands for all its copies, so a line that occurs a million times is
+one row here.
 
 How rare a word is comes from counts over all lines, added up in ``RARITY_SLOTS`` slots by
 the word's hash.  The slots have a fixed size, and any order of the words that is the same
@@ -22,7 +27,9 @@ everywhere gives the same pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courier.llm.common import SPACE, broadcast_if_small, text_of
@@ -34,6 +41,8 @@ RARITY_SLOTS = 1 << 16
 BROADCAST_ROWS = 500_000
 #: Numbers of 64 bits, a power of two, in the signature that rules out candidates.
 WIDE = 8
+#: Parts of the pairs of words that are filed one after another, so that less is on disk at once.
+PARTS = 4
 #: The characters that separate words.
 BLANKS = " \t\n\x0b\x0c\r"
 _REST = (1 << 47) - 1
@@ -113,7 +122,12 @@ def similar_earlier(
             F.call_function("shiftleft", F.lit(1).cast("bigint"), w.bitwiseAND(F.lit(63)).cast("int"))
         ),
     )
-    prefix = F.slice("words", F.lit(1), n - _at_least((t, b), n) + 1)
+    # The smallest set that may be similar asks for the fewest common pairs.
+    count = n - _common_pairs(n, _at_least((t, b), n), threshold) + 1
+    pairs = F.transform(
+        F.sequence(F.lit(0), count - 1),
+        lambda i: F.xxhash64(*(F.get("words", i + k) for k in range(_width(threshold)))),
+    )
     marked = materialise(
         sets.select(
             "doc_id",
@@ -122,8 +136,7 @@ def similar_earlier(
             F.xxhash64(F.lit(1), "words").alias("set_b"),
             n.alias("n"),
             signature.alias("signature"),
-            # As keys, 32 bits of each word will do: candidates are verified.
-            F.transform(prefix, lambda w: F.hash(w)).alias("prefix"),
+            pairs.alias("prefix"),
         ),
         "line-sets",
     )
@@ -135,9 +148,9 @@ def similar_earlier(
         .select("first.*")
     )
     distinct = materialise(distinct, "distinct-lines")
+    narrow = materialise(marked.select("doc_id", "line_no", *keys), "line-keys")
+    discard(marked)
     near = materialise(_near_firsts(distinct, lines, ranks, threshold), "near-lines")
-    discard(distinct)
-    narrow = marked.select("doc_id", "line_no", *keys)
     firsts = narrow.groupBy(*keys).agg(F.min(place).alias("first"))
     # Of near sets the first line goes as well, of all others only the copies.
     kept_first = firsts.join(
@@ -149,29 +162,90 @@ def similar_earlier(
     return copies.select("doc_id", "line_no").distinct()
 
 
-def _candidates(later: DataFrame, earlier: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """``later, earlier, distance``: sets that may be similar, by prefix, size, place, signature.
+def _width(threshold: tuple[int, int]) -> int:
+    """Words that are filed together: pairs, or single ones where similar sets need share no pair."""
+    t, b = threshold
+    return 2 if 2 * t > b else 1
+
+
+def _common_pairs(n: Column, m: Column, threshold: tuple[int, int]) -> Column:
+    """How many pairs similar sets of n and m words share at least; one or more, and grows with m."""
+    t, b = threshold
+    # c is t / (t + b) of n + m at least, and 3c - n - m pairs are shared.
+    return _at_least((2 * t - b if _width(threshold) == 2 else t, t + b), n + m)
+
+
+def _shared(distinct: DataFrame, part: int) -> DataFrame:
+    """``word_pair, place, n, at, number, nth, one``: filed pairs of words that several sets have.
 
-    ``distance`` is the share of differing signature bits, in thousandths of the words.
+    ``number`` counts the sets of a pair from the earliest, ``one``; ``nth`` is equal for equal places.
+    All sets of a pair are in the same of the ``PARTS``.
     """
+    entries = distinct.select("doc_id", "line_no", "n", F.posexplode("prefix").alias("at", "word_pair"))
+    entries = entries.where(F.pmod("word_pair", F.lit(PARTS)) == part)
+    own = Window.partitionBy("word_pair").orderBy("doc_id", "line_no")
+    numbered = entries.select(
+        "*",
+        F.row_number().over(own).alias("number"),
+        F.rank().over(own).alias("nth"),
+        F.lead("n").over(own).alias("next"),
+        F.first(F.struct("doc_id", "line_no", "n", "at"))
+        .over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        .alias("one"),
+    )
+    place = F.struct("doc_id", "line_no").cast(_PLACE).alias("place")
+    return numbered.where("number > 1 OR next IS NOT NULL").select(
+        "word_pair", place, "n", "at", "number", "nth", "one"
+    )
+
+
+def _may_be_similar(
+    n: Column, at: Column, m: Column, other_at: Column, threshold: tuple[int, int]
+) -> Column:
+    """Whether sizes n and m fit, and enough pairs follow the places of the shared one."""
     t, b = threshold
-    entry = ["doc_id", "line_no", "n", "signature", F.posexplode("prefix").alias("at", "word")]
-    x, y = later.select(*entry).alias("x"), earlier.select(*entry).alias("y")
+    follow = F.least(n - at, m - other_at) >= _common_pairs(n, m, threshold)
+    return (m * b >= n * t) & (n * b >= m * t) & follow
+
+
+def _with_earliest(shared: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """``later, earlier``: each set and the earliest of each of its pairs."""
+    fits = _may_be_similar(F.col("n"), F.col("at"), F.col("one.n"), F.col("one.at"), threshold)
+    earliest = F.struct("one.doc_id", "one.line_no").cast(_PLACE)
+    return (
+        shared.where("nth > 1").where(fits).select(F.col("place").alias("later"), earliest.alias("earlier"))
+    ).distinct()
+
+
+def _with_all(
+    shared: DataFrame, settled: DataFrame, signatures: DataFrame, threshold: tuple[int, int]
+) -> DataFrame:
+    """``later, earlier``: sets that are not settled, and all but the earliest of each of their pairs."""
+    signed = signatures.select(F.struct("doc_id", "line_no").cast(_PLACE).alias("signed"), "signature")
+    rest = shared.where("number > 1").drop("one")
+    open_ = rest.where("number > 2").join(settled, F.col("place") == F.col("later"), "left_anti")
+    asked = open_.groupBy("word_pair").agg(F.max("number").alias("last"))
+    met = rest.join(asked, "word_pair").where("number <= last").drop("last", "number")
+    met = met.join(signed, F.col("place") == F.col("signed")).drop("signed")
+    met = materialise(
+        met.join(settled.withColumn("done", F.lit(True)), F.col("place") == F.col("later"), "left")
+        .drop("later"),
+        "open-pairs",
+    )
+    x, y = met.where("done IS NULL").alias("x"), met.alias("y")
     n, m = F.col("x.n"), F.col("y.n")
-    xp, yp = (F.struct(f"{s}.doc_id", f"{s}.line_no") for s in "xy")
-    overlap = _at_least((t, t + b), n + m)
     differing = F.bit_count(F.col("x.signature").bitwiseXOR(F.col("y.signature")))
+    t, b = threshold
     candidate = (
-        (F.col("x.word") == F.col("y.word"))
-        & (xp > yp)
-        & (m * b >= n * t)
-        & (n * b >= m * t)
-        & (F.least(n - F.col("x.at"), m - F.col("y.at")) >= overlap)
-        & (differing <= n + m - overlap * 2)
-    )
-    return x.join(y, candidate).select(
-        xp.alias("later"), yp.alias("earlier"), F.floor(differing * 1000 / (n + m)).alias("distance")
+        (F.col("x.word_pair") == F.col("y.word_pair"))
+        & (F.col("x.nth") > F.col("y.nth"))
+        & _may_be_similar(n, F.col("x.at"), m, F.col("y.at"), threshold)
+        & (differing <= n + m - _at_least((t, t + b), n + m) * 2)
     )
+    pairs = x.join(y, candidate).select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier"))
+    found = materialise(pairs.distinct(), "rest")
+    discard(met)
+    return found
 
 
 def wide_signature(words: str) -> Column:
@@ -253,33 +327,21 @@ def _near_firsts(
 ) -> DataFrame:
     """``place`` of the first lines of sets that a similar set's first line precedes.
 
-    Among many variants of a line each has many candidates, and one similar one is enough.
-    So the likeliest of each is verified first, and only the lines that it does not settle
-    are verified against all their candidates.
+    ``distinct`` is removed as soon as it has been read.  Among many variants of a line one similar earlier line is enough.  So each is verified
+    against the earliest lines that it shares pairs with first, and only the lines that these do
+    not settle are verified against all.
     """
-    likeliest = F.min(F.struct("distance", "earlier")).alias("best")
-    best = _candidates(distinct, distinct, threshold).groupBy("later").agg(likeliest)
-    best = materialise(best.select("later", "best.earlier"), "likeliest")
-    settled = _verified(best, lines, ranks, threshold)
-    place = F.struct("doc_id", "line_no")
-    open_ = best.select("later").join(settled, "later", "left_anti").select("later.*")
-    unsettled = materialise(
-        distinct.join(
-            broadcast_if_small(open_, open_.count(), BROADCAST_ROWS).withColumnsRenamed(
-                {"doc_id": "open_id", "line_no": "open_no"}
-            ),
-            F.col("doc_id").eqNullSafe(F.col("open_id")) & (F.col("line_no") == F.col("open_no")),
-            "left_semi",
-        ),
-        "unsettled",
-    )
-    discard(best)
-    asking = broadcast_if_small(unsettled, unsettled.count() * 16, BROADCAST_ROWS)
-    rest = materialise(
-        _candidates(asking, distinct, threshold).select("later", "earlier").distinct(), "rest"
-    )
+    parts = [materialise(_shared(distinct, part), "shared-pairs") for part in range(PARTS)]
+    shared = reduce(DataFrame.unionByName, parts)
+    signed = materialise(distinct.select("doc_id", "line_no", "signature"), "signatures")
+    discard(distinct)
+    star = materialise(_with_earliest(shared, threshold), "earliest")
+    settled = _verified(star, lines, ranks, threshold)
+    discard(star)
+    rest = _with_all(shared, settled, signed, threshold)
+    discard(*parts, signed)
     found = settled.union(_verified(rest, lines, ranks, threshold))
-    discard(unsettled, rest)
+    discard(rest)
     return found.select(F.col("later").alias("place")).distinct()
 
 

@@ -228,6 +228,45 @@ def test_wide_signatures_rule_out_unlike_long_lines_only(spark):
     assert len(found) < 41 - unlike + unlike // 3
 
 
+def test_unlike_lines_that_share_single_rare_words_are_no_candidates(spark):
+    """300 long lines, some thousand pairs of which share one of their rarest words by chance."""
+    import random
+
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.sample([f"w{k}" for k in range(20_000)], 150)), "", "", 0) for i in range(300)]
+    base = [f"b{i}" for i in range(20)]
+    for i in range(100):  # variants, two words of which are replaced: most settled by the first
+        words = base[:]
+        for at in rng.sample(range(20), 2):
+            words[at] = f"n{i}x{at}"
+        rows.append((1000 + i, " ".join(words), "", "", 0))
+    # Two rows of one id have lines at the same place, which do not remove each other.
+    rows += [(2000, "p q r s t", "", "", 0), (2000, "p q r s t u", "", "", 0), (2001, "p q r s u", "", "", 0)]
+    docs = frame(spark, rows)
+    expected = brute_lines(rows[:-3]) | {(2001, 0)}
+    assert {tuple(r) for r in line_dedup.similar_earlier(docs).collect()} == expected
+    asked = {}
+    verified = line_dedup._verified
+
+    def watched(pairs, *rest):
+        asked[len(asked)] = pairs.count()
+        return verified(pairs, *rest)
+
+    line_dedup._verified = watched
+    try:
+        assert line_dedup.similar_earlier(docs.where("doc_id < 300")).count() == 0
+    finally:
+        line_dedup._verified = verified
+    assert sum(asked.values()) < 100  # single words: 430
+
+
+def test_lines_at_a_similarity_of_one_half(spark):
+    """Similar sets then need not share a pair of neighbouring words, so single ones are filed."""
+    rows = [(1, "a c e g\na b c d e f g h", "", "", 0), (2, "b d f h i k\nx y\ny z", "", "", 0)]
+    got = {tuple(r) for r in line_dedup.similar_earlier(frame(spark, rows), threshold=(1, 2)).collect()}
+    assert got == brute_lines(rows, 0.5) == {(1, 1)}
+
+
 def test_a_document_of_very_many_similar_lines(spark):
     import time
 
