@@ -208,13 +208,25 @@ def _may_be_similar(
     return (m * b >= n * t) & (n * b >= m * t) & follow
 
 
-def _with_earliest(shared: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """``later, earlier``: each set and the earliest of each of its pairs."""
-    fits = _may_be_similar(F.col("n"), F.col("at"), F.col("one.n"), F.col("one.at"), threshold)
+def _close(x: str, y: str, n: Column, m: Column, threshold: tuple[int, int]) -> Column:
+    """Whether the signatures of sets of n and m words differ in no more bits than similar sets may."""
+    t, b = threshold
+    return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= n + m - _at_least((t, t + b), n + m) * 2
+
+
+def _with_earliest(shared: DataFrame, signatures: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """``later, earlier``: each set and the earliest of each of its pairs, if their signatures are close."""
+    n, m = F.col("n"), F.col("one.n")
+    fits = _may_be_similar(n, F.col("at"), m, F.col("one.at"), threshold)
     earliest = F.struct("one.doc_id", "one.line_no").cast(_PLACE)
-    return (
-        shared.where("nth > 1").where(fits).select(F.col("place").alias("later"), earliest.alias("earlier"))
-    ).distinct()
+    pairs = shared.where("nth > 1").where(fits).select(
+        F.col("place").alias("later"), earliest.alias("earlier"), n.alias("n"), m.alias("m")
+    )
+    place = F.struct("doc_id", "line_no").cast(_PLACE)
+    x, y = (signatures.select(place.alias(f"{s}o"), F.col("signature").alias(f"{s}s")) for s in "xy")
+    met = pairs.distinct().join(x, F.col("later") == F.col("xo")).join(y, F.col("earlier") == F.col("yo"))
+    close = _close("xs", "ys", F.col("n"), F.col("m"), threshold)
+    return met.where(close).select("later", "earlier").distinct()
 
 
 def _with_all(
@@ -234,13 +246,11 @@ def _with_all(
     )
     x, y = met.where("done IS NULL").alias("x"), met.alias("y")
     n, m = F.col("x.n"), F.col("y.n")
-    differing = F.bit_count(F.col("x.signature").bitwiseXOR(F.col("y.signature")))
-    t, b = threshold
     candidate = (
         (F.col("x.word_pair") == F.col("y.word_pair"))
         & (F.col("x.nth") > F.col("y.nth"))
         & _may_be_similar(n, F.col("x.at"), m, F.col("y.at"), threshold)
-        & (differing <= n + m - _at_least((t, t + b), n + m) * 2)
+        & _close("x.signature", "y.signature", n, m, threshold)
     )
     pairs = x.join(y, candidate).select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier"))
     found = materialise(pairs.distinct(), "rest")
@@ -335,7 +345,7 @@ def _near_firsts(
     shared = reduce(DataFrame.unionByName, parts)
     signed = materialise(distinct.select("doc_id", "line_no", "signature"), "signatures")
     discard(distinct)
-    star = materialise(_with_earliest(shared, threshold), "earliest")
+    star = materialise(_with_earliest(shared, signed, threshold), "earliest")
     settled = _verified(star, lines, ranks, threshold)
     discard(star)
     rest = _with_all(shared, settled, signed, threshold)
